@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from boxstar import config
 
 # A number as Python's float() accepts it, without inf/nan/underscores.
-_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_NUM = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
+_NUMBER = rf"^\s*({_NUM})\s*$"
+# MM:SS split on the first colon; each side a number, whitespace allowed.
+_MINUTES_SECONDS = rf"^\s*({_NUM})\s*:\s*({_NUM})\s*$"
 
 
 def _col(c: str | Column) -> Column:
@@ -29,23 +32,27 @@ def null_na_tokens(c: str | Column, tokens: Iterable[str] = config.NA_TOKENS) ->
 
 
 def to_double(c: str | Column) -> Column:
-    """Numeric coercion: a strict number, else NULL (never raises)."""
-    c = _col(c)
-    s = strip_whitespace(c.cast("string"))
+    """Numeric coercion: a strict number (surrounding whitespace allowed), else NULL.
+
+    Spark's own cast would also accept ``12d``, ``0x1p3`` or ``Infinity``;
+    the anchored pattern rejects them. One regex match per row.
+    """
+    s = _col(c).cast("string")
     return F.when(s.rlike(_NUMBER), s.try_cast("double"))
 
 
 def parse_minutes(c: str | Column) -> Column:
     """Playing time: ``MM:SS`` -> MM + SS/60, a plain number -> itself,
-    blank or unparsable -> NULL. Split on the first colon only."""
-    text = strip_whitespace(_col(c).cast("string"))
-    parts = F.split(text, ":", 2)
-    minutes = to_double(F.element_at(parts, 1))
-    seconds = to_double(F.element_at(parts, 2))
+    blank or unparsable -> NULL. Split on the first colon only, so
+    ``12:34:56`` is NULL. Anchored patterns with capture groups: at most
+    two matches and two extracts per row, no per-branch re-stripping."""
+    s = _col(c).cast("string")
+    mm = F.regexp_extract(s, _MINUTES_SECONDS, 1).try_cast("double")
+    ss = F.regexp_extract(s, _MINUTES_SECONDS, 2).try_cast("double")
     return (
-        F.when(text.isNull() | (text == ""), F.lit(None).cast("double"))
-        .when(text.contains(":"), minutes + seconds / F.lit(60.0))
-        .otherwise(to_double(text))
+        F.when(s.rlike(_MINUTES_SECONDS), mm + ss / F.lit(60.0))
+        .when(s.rlike(_NUMBER), s.try_cast("double"))
+        .otherwise(F.lit(None).cast("double"))
     )
 
 

@@ -1,7 +1,7 @@
 """The analyses wired together over one set of inputs.
 
-``Analysis`` lands the cleaned raw inputs and the dimensions once (reliable
-checkpoints in the shared checkpoint folder), keeps the facts lazy, and
+``Analysis`` lands the cleaned raw inputs and the dimensions once (Parquet
+tables in the shared checkpoint folder), keeps the facts lazy, and
 exposes every recipe as a DataFrame. The player-season pool and the scored
 pool are landed too: each feeds several consumers (z-scores, nine
 percentile ranks, benchmarks, active pool), which would otherwise
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from boxstar import config
 from boxstar.plans import audits, clean, pool, roles, teams, tiers
 from boxstar.plans.warehouse import Warehouse, build_warehouse, row_count_summary
-from boxstar.session import cut_lineage
+from boxstar.session import land
 from boxstar.sources import bindings
 
 
@@ -69,21 +69,21 @@ class Analysis:
     land: bool = True
     broadcast_rows: int | None = 2_000_000
 
-    def _stage(self, df: DataFrame) -> DataFrame:
-        return cut_lineage(df) if self.land else df
+    def _stage(self, df: DataFrame, name: str = "stage") -> DataFrame:
+        return land(df, name) if self.land else df
 
     # -- inputs --------------------------------------------------------------
     @cached_property
     def players_raw(self) -> DataFrame:
-        return self._stage(clean.clean_players(bindings.players_source(self.spark, self.sf_dir)))
+        return self._stage(clean.clean_players(bindings.players_source(self.spark, self.sf_dir)), "players_raw")
 
     @cached_property
     def player_stats_raw(self) -> DataFrame:
-        return self._stage(clean.clean_box_stats(bindings.player_stats_source(self.spark, self.sf_dir)))
+        return self._stage(clean.clean_box_stats(bindings.player_stats_source(self.spark, self.sf_dir)), "player_stats_raw")
 
     @cached_property
     def team_stats_raw(self) -> DataFrame:
-        return self._stage(clean.clean_box_stats(bindings.team_stats_source(self.spark, self.sf_dir)))
+        return self._stage(clean.clean_box_stats(bindings.team_stats_source(self.spark, self.sf_dir)), "team_stats_raw")
 
     # -- warehouse -----------------------------------------------------------
     @cached_property
@@ -124,7 +124,8 @@ class Analysis:
         p = self.params
         wh = self.warehouse
         return self._stage(
-            pool.season_aggregates(wh.player_stats_fact, wh.players, wh.dates, p.pool_min_minutes, p.pool_min_games)
+            pool.season_aggregates(wh.player_stats_fact, wh.players, wh.dates, p.pool_min_minutes, p.pool_min_games),
+            "season_rows",
         )
 
     @cached_property
@@ -148,11 +149,11 @@ class Analysis:
 
     @cached_property
     def scored(self) -> DataFrame:
-        return self._stage(roles.score_roles(self._stage(self.roles)))
+        return self._stage(roles.score_roles(self._stage(self.roles, "roles")), "scored")
 
     @cached_property
     def benchmarks(self) -> DataFrame:
-        return self._stage(tiers.role_benchmarks(self.spark, self.scored))
+        return self._stage(tiers.role_benchmarks(self.spark, self.scored), "benchmarks")
 
     @cached_property
     def active(self) -> DataFrame:
@@ -174,7 +175,7 @@ class Analysis:
 
     @cached_property
     def active_tiers(self) -> DataFrame:
-        return self._stage(tiers.overall_tier(self.metric_tiers))
+        return self._stage(tiers.overall_tier(self.metric_tiers), "active_tiers")
 
     def window_label(self) -> DataFrame:
         return tiers.window_label(self.scored, self.params.recent_seasons)

@@ -233,18 +233,18 @@ def build_warehouse(
 ) -> Warehouse:
     """All dimensions and facts.
 
-    ``stage`` (e.g. a reliable checkpoint) is applied to each dimension, so
+    ``stage(df, name)`` (e.g. landing as a table) is applied to each dimension, so
     that both facts and every analysis read one materialised copy; facts
     stay lazy so that consumers prune them to the columns they use.
     ``broadcast_rows`` bounds the dimensions that may be broadcast into the
     fact joins (checked by a bounded count).
     """
-    stage = stage or (lambda df: df)
-    players = stage(players_dim(players_raw, key_method))
-    teams = stage(teams_dim(team_stats_raw, key_method))
+    stage = stage or (lambda df, name: df)
+    players = stage(players_dim(players_raw, key_method), "players")
+    teams = stage(teams_dim(team_stats_raw, key_method), "teams")
     lookup = team_lookup(teams)
-    games = stage(games_dim(player_stats_raw, key_method))
-    dates = stage(dates_dim(team_stats_raw, player_stats_raw, key_method))
+    games = stage(games_dim(player_stats_raw, key_method), "games")
+    dates = stage(dates_dim(team_stats_raw, player_stats_raw, key_method), "dates")
     return Warehouse(
         players_raw=players_raw,
         player_stats_raw=player_stats_raw,

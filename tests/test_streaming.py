@@ -1,0 +1,28 @@
+"""Incremental landing: new files are cleaned and appended exactly once."""
+
+from boxstar.streaming import land_csv_stream
+
+COLS = ["gameId", "personId", "gameDateTimeEst", "numMinutes", "points"]
+
+
+def _write(path, rows):
+    path.write_text(",".join(COLS) + "\n" + "\n".join(",".join(r) for r in rows) + "\n")
+
+
+def test_incremental_landing(spark, tmp_path):
+    src, out, ck = tmp_path / "in", tmp_path / "out", tmp_path / "ck"
+    src.mkdir()
+    _write(src / "a.csv", [("1", "10", "2024-01-07 10:00:00", "34:30", "12"), ("1", "11", "2024-01-07 10:00:00", "NA", "3")])
+    q = land_csv_stream(spark, str(src), COLS, str(out), str(ck))
+    q.awaitTermination(120)
+    first = spark.read.parquet(str(out))
+    assert first.count() == 2
+    _write(src / "b.csv", [("2", "10", "2024-01-09 19:30:00", " 12 ", "7")])
+    q = land_csv_stream(spark, str(src), COLS, str(out), str(ck))
+    q.awaitTermination(120)
+    rows = {(r.gameId, r.personId): r for r in spark.read.parquet(str(out)).collect()}
+    assert len(rows) == 3
+    assert rows[("1", "10")].numMinutes == 34.5
+    assert rows[("1", "11")].numMinutes is None
+    assert rows[("2", "10")].numMinutes == 12.0
+    assert str(rows[("2", "10")].gameDateTimeEst) == "2024-01-09 19:30:00"
