@@ -8,6 +8,7 @@ from boxstar.operators.ordered import (  # noqa: F401
     order_proxy,
     percentile_rank_by,
     prefix_before,
+    value_ranks,
 )
 from boxstar.operators.shaping import (  # noqa: F401
     attach_scalars,

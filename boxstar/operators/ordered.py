@@ -33,8 +33,14 @@ _CODE_POINTS = 1114112.0
 _PROXY_CHARS = 3
 
 
+# Target rows per bucket: a group gets ceil(rows / ROWS_PER_BUCKET) buckets,
+# capped by ``buckets`` -- one bucket for small groups, many for large or
+# skewed ones, decided at run time from the group's own row count.
+ROWS_PER_BUCKET = 50_000
+
+
 def default_buckets(df: DataFrame) -> int:
-    """Buckets per group: a few per shuffle partition, at least 64."""
+    """Maximum buckets per group: a few per shuffle partition, at least 64."""
     try:
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     except Exception:  # pragma: no cover - unset or "auto"
@@ -77,41 +83,58 @@ def prefix_before(
     buckets: int | None = None,
     bounded_groups: bool = True,
     out: str = "_before",
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    weights: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Add ``out`` = sum of ``weight`` over rows strictly before each row
     within its group, in ``order_cols`` order (ties in arbitrary order).
 
-    ``proxy`` must be monotone non-decreasing in ``order_cols`` (NULL sort
-    keys must order last and have a NULL proxy). ``bounded_groups`` says the
-    number of groups is small by construction (a few roles x metrics, or a
-    single group), so the per-group tables may be broadcast.
+    ``weights`` ({output column: weight}) computes several such sums in the
+    same pass instead. ``proxy`` must be monotone non-decreasing in
+    ``order_cols`` (NULL sort keys must order last and have a NULL proxy).
+    ``bounded_groups`` says the number of groups is small by construction
+    (a few roles x metrics, or a single group), so the per-group tables may
+    be broadcast.
     """
     group_cols = list(group_cols)
     nb = int(buckets or default_buckets(df))
-    d = df.withColumn("_px", proxy).withColumn("_w", (weight if weight is not None else F.lit(1)).cast("long"))
-    bounds = d.groupBy(*group_cols).agg(F.min("_px").alias("_lo"), F.max("_px").alias("_hi"))
+    if weights is None:
+        weights = {out: weight if weight is not None else F.lit(1)}
+    wnames = {name: f"_w{i}" for i, name in enumerate(weights)}
+    d = df.withColumn("_px", proxy).withColumns({wnames[k]: v.cast("long") for k, v in weights.items()})
+    per_group = F.least(
+        F.lit(nb).cast("long"),
+        F.greatest(F.lit(1).cast("long"), F.ceil(F.count(F.lit(1)) / F.lit(float(max(1, rows_per_bucket))))),
+    )
+    bounds = d.groupBy(*group_cols).agg(
+        F.min("_px").alias("_lo"), F.max("_px").alias("_hi"), per_group.alias("_nb")
+    )
     d = _join_groups(d, bounds, group_cols, bounded=True if not group_cols else bounded_groups)
     bucket = (
         F.when(F.col("_px").isNull(), F.lit(nb + 2))
-        .when(F.col("_hi") == F.col("_lo"), F.lit(1))
-        .otherwise(F.width_bucket(F.col("_px"), F.col("_lo"), F.col("_hi"), F.lit(nb)))
+        .when((F.col("_hi") == F.col("_lo")) | (F.col("_nb") <= 1), F.lit(1))
+        .otherwise(F.width_bucket(F.col("_px"), F.col("_lo"), F.col("_hi"), F.col("_nb")))
     )
-    d = d.withColumn("_bkt", bucket.cast("int")).drop("_px", "_lo", "_hi")
+    d = d.withColumn("_bkt", bucket.cast("int")).drop("_px", "_lo", "_hi", "_nb")
 
-    per_bucket = d.groupBy(*group_cols, "_bkt").agg(F.sum("_w").alias("_bw"))
+    per_bucket = d.groupBy(*group_cols, "_bkt").agg(*[F.sum(w).alias(f"_b{w}") for w in wnames.values()])
     offset_window = (Window.partitionBy(*group_cols) if group_cols else Window).orderBy("_bkt").rowsBetween(
         Window.unboundedPreceding, -1
     )
     offsets = per_bucket.select(
-        *group_cols, "_bkt", F.coalesce(F.sum("_bw").over(offset_window), F.lit(0)).alias("_off")
+        *group_cols,
+        "_bkt",
+        *[F.coalesce(F.sum(f"_b{w}").over(offset_window), F.lit(0)).alias(f"_o{w}") for w in wnames.values()],
     )
     inner_window = Window.partitionBy(*group_cols, "_bkt").orderBy(*order_cols).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    d = d.withColumn("_in", F.coalesce(F.sum("_w").over(inner_window), F.lit(0)))
+    d = d.withColumns({f"_i{w}": F.coalesce(F.sum(w).over(inner_window), F.lit(0)) for w in wnames.values()})
     keys = [*group_cols, "_bkt"]
     d = d.join(F.broadcast(offsets) if bounded_groups else offsets, keys, "inner")
-    return d.withColumn(out, (F.col("_off") + F.col("_in")).cast("long")).drop("_off", "_in", "_bkt", "_w")
+    d = d.withColumns({name: (F.col(f"_o{w}") + F.col(f"_i{w}")).cast("long") for name, w in wnames.items()})
+    drop = ["_bkt"] + [c for w in wnames.values() for c in (w, f"_o{w}", f"_i{w}")]
+    return d.drop(*drop)
 
 
 def dense_key(
@@ -120,6 +143,7 @@ def dense_key(
     key_name: str,
     buckets: int | None = None,
     method: str = "bucketed",
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Surrogate key 1..n in ``order_col`` order, NULLs last (ROW_NUMBER semantics).
 
@@ -128,7 +152,7 @@ def dense_key(
     order = F.col(order_col).asc_nulls_last()
     if method == "window":
         return df.withColumn(key_name, F.row_number().over(Window.orderBy(order)).cast("long"))
-    out = prefix_before(df, [], [order], order_proxy(df, order_col), None, buckets, True, "_before")
+    out = prefix_before(df, [], [order], order_proxy(df, order_col), None, buckets, True, "_before", rows_per_bucket)
     return out.withColumn(key_name, (F.col("_before") + 1).cast("long")).drop("_before")
 
 
@@ -141,37 +165,68 @@ def _value_counts(df: DataFrame, group_cols: Sequence[str], value_col: str) -> D
     )
 
 
-def percentile_rank_by(
+def value_ranks(
     df: DataFrame,
     group_cols: Sequence[str],
     value_col: str,
-    ascending: bool = True,
-    out: str = "pct",
     buckets: int | None = None,
     bounded_groups: bool = True,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Per distinct (group, value): percentile rank with average ties, in (0, 100].
+    """Per distinct non-NULL (group, value): ``_cnt`` rows with the value,
+    ``_rows_before`` / ``_vals_before`` rows / distinct values smaller in the
+    group, ``_n`` rows and ``_d`` distinct values in the group.
 
-    pct = (rows ordered before + (ties + 1) / 2) / non-NULL rows * 100.
-    Returns (group_cols..., value_col, out); join it back on (group, value).
+    One ascending pass; descending positions follow exactly from the totals.
     """
     group_cols = list(group_cols)
     counts = _value_counts(df, group_cols, value_col)
-    order = F.col(value_col).asc() if ascending else F.col(value_col).desc()
     ranked = prefix_before(
         counts,
         group_cols,
-        [order],
-        order_proxy(counts, value_col, descending=not ascending),
-        F.col("_cnt"),
-        buckets,
-        bounded_groups,
+        [F.col(value_col).asc()],
+        order_proxy(counts, value_col),
+        buckets=buckets,
+        bounded_groups=bounded_groups,
+        rows_per_bucket=rows_per_bucket,
+        weights={"_rows_before": F.col("_cnt"), "_vals_before": F.lit(1)},
     )
-    totals = counts.groupBy(*group_cols).agg(F.sum("_cnt").alias("_n"))
-    ranked = _join_groups(ranked, totals, group_cols, bounded_groups)
-    avg_rank = (F.col("_before") + F.lit(1)).cast("double") + (F.col("_cnt") - F.lit(1)).cast("double") / F.lit(2.0)
-    pct = avg_rank / F.col("_n").cast("double") * F.lit(100.0)
-    return ranked.select(*group_cols, value_col, pct.alias(out))
+    totals = counts.groupBy(*group_cols).agg(F.sum("_cnt").alias("_n"), F.count(F.lit(1)).alias("_d"))
+    return _join_groups(ranked, totals, group_cols, bounded_groups)
+
+
+def avg_tie_percentile(ascending: bool = True) -> Column:
+    """Percentile rank with average ties from :func:`value_ranks` columns:
+    (rows ordered before + (ties + 1) / 2) / non-NULL rows * 100."""
+    before = F.col("_rows_before") if ascending else F.col("_n") - F.col("_rows_before") - F.col("_cnt")
+    avg_rank = (before + F.lit(1)).cast("double") + (F.col("_cnt") - F.lit(1)).cast("double") / F.lit(2.0)
+    return avg_rank / F.col("_n").cast("double") * F.lit(100.0)
+
+
+def dense_position(descending: bool = True) -> Column:
+    """Dense rank (1 = first) from :func:`value_ranks` columns."""
+    if descending:
+        return (F.col("_d") - F.col("_vals_before")).cast("long")
+    return (F.col("_vals_before") + 1).cast("long")
+
+
+def percentile_rank_by(
+    df: DataFrame,
+    group_cols: Sequence[str],
+    value_col: str,
+    ascending: bool = True,
+    out: str = "pct",
+    buckets: int | None = None,
+    bounded_groups: bool = True,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+) -> DataFrame:
+    """Per distinct (group, value): percentile rank with average ties, in (0, 100].
+
+    pct = (rows ordered before + (ties + 1) / 2) / non-NULL rows * 100.
+    Returns (group_cols..., value_col, out); join it back on (group, value).
+    """
+    r = value_ranks(df, group_cols, value_col, buckets, bounded_groups, rows_per_bucket)
+    return r.select(*group_cols, value_col, avg_tie_percentile(ascending).alias(out))
 
 
 def dense_rank_by(
@@ -182,21 +237,11 @@ def dense_rank_by(
     out: str = "dense_rank",
     buckets: int | None = None,
     bounded_groups: bool = True,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Per distinct (group, value): dense rank (1 = first), NULL values excluded."""
-    group_cols = list(group_cols)
-    distinct = df.where(F.col(value_col).isNotNull()).select(*group_cols, value_col).distinct()
-    order = F.col(value_col).desc() if descending else F.col(value_col).asc()
-    ranked = prefix_before(
-        distinct,
-        group_cols,
-        [order],
-        order_proxy(distinct, value_col, descending=descending),
-        None,
-        buckets,
-        bounded_groups,
-    )
-    return ranked.select(*group_cols, value_col, (F.col("_before") + 1).cast("long").alias(out))
+    r = value_ranks(df, group_cols, value_col, buckets, bounded_groups, rows_per_bucket)
+    return r.select(*group_cols, value_col, dense_position(descending).alias(out))
 
 
 def exact_quantiles(
@@ -207,6 +252,7 @@ def exact_quantiles(
     size_col: str | None = "pool_size",
     buckets: int | None = None,
     bounded_groups: bool = True,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Exact linearly interpolated quantiles per group (NULLs ignored).
 
@@ -219,7 +265,14 @@ def exact_quantiles(
     group_cols = list(group_cols)
     counts = _value_counts(df, group_cols, value_col)
     ranked = prefix_before(
-        counts, group_cols, [F.col(value_col).asc()], order_proxy(counts, value_col), F.col("_cnt"), buckets, bounded_groups
+        counts,
+        group_cols,
+        [F.col(value_col).asc()],
+        order_proxy(counts, value_col),
+        F.col("_cnt"),
+        buckets,
+        bounded_groups,
+        rows_per_bucket=rows_per_bucket,
     )
     totals = counts.groupBy(*group_cols).agg(F.sum("_cnt").alias("_n"))
     spec = F.array(*[F.struct(F.lit(name).alias("_q"), F.lit(float(q)).alias("_p")) for name, q in probs])

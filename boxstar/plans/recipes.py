@@ -149,7 +149,7 @@ class Analysis:
 
     @cached_property
     def scored(self) -> DataFrame:
-        return self._stage(roles.score_roles(self._stage(self.roles, "roles")), "scored")
+        return self._stage(roles.score_roles(self._stage(self.roles, "roles"), stage=self._stage if self.land else None), "scored")
 
     @cached_property
     def benchmarks(self) -> DataFrame:
@@ -167,6 +167,7 @@ class Analysis:
             p.active_min_games,
             p.active_years,
             p.recent_seasons,
+            stage=self._stage if self.land else None,
         )
 
     @cached_property

@@ -305,37 +305,44 @@ def q_leaderboard(spark, sf_dir):
 
 
 # -- operators on whole driver tables --------------------------------------------------------
+# Small buckets (2,000 rows) so that these checks cover the multi-bucket path
+# even on the small test tables; the recipes use the adaptive default.
+CHECK_ROWS_PER_BUCKET = 2_000
+
 
 def q_bucketed_key(spark, sf_dir):
     o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderdate")
-    return dense_key(o, "o_orderkey", "order_key")
+    return dense_key(o, "o_orderkey", "order_key", rows_per_bucket=CHECK_ROWS_PER_BUCKET)
 
 
 def q_bucketed_key_text(spark, sf_dir):
     c = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name")
-    return dense_key(c, "c_name", "name_key")
+    return dense_key(c, "c_name", "name_key", rows_per_bucket=CHECK_ROWS_PER_BUCKET)
 
 
 def q_bucketed_key_dates(spark, sf_dir):
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_shipdate").distinct()
-    return dense_key(li, "l_shipdate", "ship_key")
+    return dense_key(li, "l_shipdate", "ship_key", rows_per_bucket=CHECK_ROWS_PER_BUCKET)
 
 
 def q_bucketed_percentile_rank(spark, sf_dir):
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice")
-    pct = percentile_rank_by(li, ["l_returnflag"], "l_extendedprice", True, "pct")
+    pct = percentile_rank_by(li, ["l_returnflag"], "l_extendedprice", True, "pct", rows_per_bucket=CHECK_ROWS_PER_BUCKET)
     return _round(li.join(pct, ["l_returnflag", "l_extendedprice"], "left"), ("pct",))
 
 
 def q_bucketed_dense_rank(spark, sf_dir):
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_linestatus", "l_quantity")
-    dr = dense_rank_by(li, ["l_linestatus"], "l_quantity", True, "qty_rank")
+    dr = dense_rank_by(li, ["l_linestatus"], "l_quantity", True, "qty_rank", rows_per_bucket=CHECK_ROWS_PER_BUCKET)
     return li.join(dr, ["l_linestatus", "l_quantity"], "left")
 
 
 def q_exact_quantiles(spark, sf_dir):
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_returnflag", "l_extendedprice")
-    q = exact_quantiles(li, ["l_returnflag"], "l_extendedprice", [("p50", 0.5), ("p75", 0.75), ("p95", 0.95)], "n")
+    q = exact_quantiles(
+        li, ["l_returnflag"], "l_extendedprice", [("p50", 0.5), ("p75", 0.75), ("p95", 0.95)], "n",
+        rows_per_bucket=CHECK_ROWS_PER_BUCKET,
+    )
     return _round(q, ("p50", "p75", "p95"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from boxstar import config
 from boxstar.functions.numeric import arg_max, weighted_sum
-from boxstar.operators.ordered import dense_rank_by, percentile_rank_by
+from boxstar.operators.ordered import avg_tie_percentile, dense_position, percentile_rank_by, value_ranks
 
 KEYS = ("season_end_year", "playerKey")
 
@@ -49,10 +49,12 @@ def _pct_name(metric: str, ascending: bool) -> str:
     return f"_p_{metric}" if ascending else f"_pd_{metric}"
 
 
-def score_roles(roles: DataFrame, buckets: int | None = None) -> DataFrame:
+def score_roles(roles: DataFrame, buckets: int | None = None, stage=None) -> DataFrame:
     """Pillars, role-weighted overall score, percentile and dense rank within role.
 
     Rows without a role are dropped (they still counted in the z-scores).
+    ``stage(df, name)`` may land the scored rows before the two overall
+    ranks, which read them three times.
     The nine percentile ranks are computed in one pass over a long
     (role, metric, value) frame -- 27 groups cut into buckets -- and pivoted
     back to one row per player-season.
@@ -93,13 +95,20 @@ def score_roles(roles: DataFrame, buckets: int | None = None) -> DataFrame:
         term = F.col(name) * weight
         overall = term if overall is None else overall + term
     df = df.withColumn("overall_score", overall)
+    if stage is not None:
+        df = stage(df, "overall")
 
-    pct_overall = percentile_rank_by(df, ["role"], "overall_score", True, "historical_percentile_within_role", buckets)
-    dense = dense_rank_by(df, ["role"], "overall_score", True, "historical_rank_within_role", buckets)
+    # percentile (ascending) and dense rank (descending) of the overall score
+    # from one ordered pass over the distinct (role, score) values
+    ranks = value_ranks(df, ["role"], "overall_score", buckets).select(
+        "role",
+        "overall_score",
+        avg_tie_percentile(True).alias("historical_percentile_within_role"),
+        dense_position(True).alias("historical_rank_within_role"),
+    )
     sizes = df.groupBy("role").agg(F.count(F.lit(1)).alias("historical_pool_size"))
     return (
-        df.join(pct_overall, ["role", "overall_score"], "left")
-        .join(dense, ["role", "overall_score"], "left")
+        df.join(ranks, ["role", "overall_score"], "left")
         .join(F.broadcast(sizes), "role", "inner")
         .withColumn("reb36", F.col("dreb36") + F.col("oreb36"))
     )

@@ -14,7 +14,7 @@ from boxstar.operators import dense_key, dense_rank_by, exact_quantiles, latest_
 
 def test_dense_key_nulls_last(spark):
     df = spark.createDataFrame([(2,), (None,), (1,)], "k long")
-    got = {r["k"]: r["key"] for r in dense_key(df, "k", "key", buckets=2).collect()}
+    got = {r["k"]: r["key"] for r in dense_key(df, "k", "key", buckets=2, rows_per_bucket=1).collect()}
     assert got == {2: 2, None: 3, 1: 1}
 
 
@@ -23,7 +23,7 @@ def test_dense_key_matches_row_number(spark, buckets):
     rng = random.Random(7)
     rows = [(rng.randint(-500, 500) * 10000 + i,) for i in range(2000)] + [(None,)]
     df = spark.createDataFrame(rows, "k long").repartition(5)
-    a = {r["k"]: r["key"] for r in dense_key(df, "k", "key", buckets=buckets).collect()}
+    a = {r["k"]: r["key"] for r in dense_key(df, "k", "key", buckets=buckets, rows_per_bucket=1).collect()}
     b = {r["k"]: r["key"] for r in dense_key(df, "k", "key", method="window").collect()}
     assert a == b
     assert sorted(a.values()) == list(range(1, len(rows) + 1))
@@ -32,12 +32,12 @@ def test_dense_key_matches_row_number(spark, buckets):
 def test_dense_key_strings_and_timestamps(spark):
     names = ["b", "a", "ab", "é", "Z", "", "aa", None, "a b"]
     df = spark.createDataFrame([(n,) for n in names], "s string")
-    got = {r["s"]: r["key"] for r in dense_key(df, "s", "key", buckets=3).collect()}
+    got = {r["s"]: r["key"] for r in dense_key(df, "s", "key", buckets=3, rows_per_bucket=1).collect()}
     want = {r["s"]: r["key"] for r in dense_key(df, "s", "key", method="window").collect()}
     assert got == want
     ts = [dt.datetime(2020, 1, 1) + dt.timedelta(hours=7 * i) for i in range(300)]
     tdf = spark.createDataFrame([(t,) for t in ts], "t timestamp_ntz")
-    got = {r["t"]: r["key"] for r in dense_key(tdf, "t", "key", buckets=5).collect()}
+    got = {r["t"]: r["key"] for r in dense_key(tdf, "t", "key", buckets=5, rows_per_bucket=1).collect()}
     assert [got[t] for t in sorted(ts)] == list(range(1, 301))
 
 
@@ -48,7 +48,7 @@ def _pandas_pct(values, ascending=True):
 def test_percentile_rank_fixture(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (2.0,), (None,), (5.0,)], "v double").withColumn("g", F.lit("x"))
     for asc, want in ((True, [25.0, 62.5, 62.5, 100.0]), (False, [100.0, 62.5, 62.5, 25.0])):
-        pct = percentile_rank_by(df, ["g"], "v", asc, "p", buckets=2)
+        pct = percentile_rank_by(df, ["g"], "v", asc, "p", buckets=2, rows_per_bucket=1)
         got = {r["v"]: r["p"] for r in pct.collect()}
         assert [got[v] for v in (1.0, 2.0, 2.0, 5.0)] == want
 
@@ -61,7 +61,7 @@ def test_percentile_rank_matches_pandas_with_ties(spark):
     v[rng.random(n) < 0.05] = np.nan
     pdf = pd.DataFrame({"g": g.astype(str), "v": v, "id": np.arange(n)})
     df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), "g string, v double, id long")
-    pct = percentile_rank_by(df, ["g"], "v", True, "p", buckets=4)
+    pct = percentile_rank_by(df, ["g"], "v", True, "p", buckets=4, rows_per_bucket=1)
     got = df.join(pct, ["g", "v"], "left").select("id", "p").toPandas().set_index("id")["p"].sort_index()
     want = pdf.groupby("g")["v"].rank(pct=True, method="average") * 100
     assert np.allclose(got.to_numpy(dtype=float), want.to_numpy(), equal_nan=True, rtol=0, atol=1e-12)
@@ -69,20 +69,20 @@ def test_percentile_rank_matches_pandas_with_ties(spark):
 
 def test_dense_rank_matches_window(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (2.0,), (None,), (5.0,)], "v double").withColumn("g", F.lit(1))
-    dr = dense_rank_by(df, ["g"], "v", True, "r", buckets=2)
+    dr = dense_rank_by(df, ["g"], "v", True, "r", buckets=2, rows_per_bucket=1)
     got = {r["v"]: r["r"] for r in df.join(dr, ["g", "v"], "left").collect()}
     assert got == {1.0: 3, 2.0: 2, 5.0: 1, None: None}
     rng = random.Random(5)
     rows = [(rng.choice("abc"), float(rng.randint(0, 50))) for _ in range(2000)]
     big = spark.createDataFrame(rows, "g string, v double")
-    ours = dense_rank_by(big, ["g"], "v", True, "r", buckets=3)
+    ours = dense_rank_by(big, ["g"], "v", True, "r", buckets=3, rows_per_bucket=1)
     plain = big.distinct().withColumn("r", F.dense_rank().over(Window.partitionBy("g").orderBy(F.col("v").desc())).cast("long"))
     assert sorted(ours.collect()) == sorted(plain.select("g", "v", "r").collect())
 
 
 def test_exact_quantiles(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (10.0,), (None,)], "v double").withColumn("g", F.lit("x"))
-    row = exact_quantiles(df, ["g"], "v", [("p95", 0.95), ("p50", 0.5)], "n", buckets=2).first()
+    row = exact_quantiles(df, ["g"], "v", [("p95", 0.95), ("p50", 0.5)], "n", buckets=2, rows_per_bucket=1).first()
     assert row["n"] == 4
     assert abs(row["p95"] - 8.95) < 1e-9
     assert row["p50"] == 2.5
@@ -92,7 +92,7 @@ def test_exact_quantiles_match_numpy(spark):
     rng = np.random.default_rng(11)
     rows = [(str(int(k)), float(x)) for k, x in zip(rng.integers(0, 4, 5000), np.round(rng.normal(50, 15, 5000), 1))]
     df = spark.createDataFrame(rows, "g string, v double")
-    got = {r["g"]: r for r in exact_quantiles(df, ["g"], "v", [("a", 0.5), ("b", 0.75), ("c", 0.95)], "n", buckets=5).collect()}
+    got = {r["g"]: r for r in exact_quantiles(df, ["g"], "v", [("a", 0.5), ("b", 0.75), ("c", 0.95)], "n", buckets=5, rows_per_bucket=1).collect()}
     pdf = pd.DataFrame(rows, columns=["g", "v"])
     for g, part in pdf.groupby("g"):
         for name, q in (("a", 0.5), ("b", 0.75), ("c", 0.95)):
@@ -104,7 +104,7 @@ def test_exact_quantiles_single_group_and_skew(spark):
     # a third of the rows share one value
     vals = [7.0] * 1000 + [float(i) for i in range(2000)]
     df = spark.createDataFrame([(v,) for v in vals], "v double")
-    row = exact_quantiles(df, [], "v", [("m", 0.5)], "n", buckets=8).first()
+    row = exact_quantiles(df, [], "v", [("m", 0.5)], "n", buckets=8, rows_per_bucket=1).first()
     assert row["n"] == 3000 and row["m"] == float(np.quantile(vals, 0.5))
 
 
@@ -112,11 +112,11 @@ def test_results_stable_under_partitioning(spark):
     rng = random.Random(9)
     rows = [(rng.choice("xy"), float(rng.randint(0, 100))) for _ in range(1500)]
     base = spark.createDataFrame(rows, "g string, v double")
-    a = sorted(percentile_rank_by(base, ["g"], "v", True, "p", buckets=4).collect())
+    a = sorted(percentile_rank_by(base, ["g"], "v", True, "p", buckets=4, rows_per_bucket=1).collect())
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         spark.conf.set("spark.sql.shuffle.partitions", "3")
-        b = sorted(percentile_rank_by(base.repartition(7), ["g"], "v", True, "p", buckets=9).collect())
+        b = sorted(percentile_rank_by(base.repartition(7), ["g"], "v", True, "p", buckets=9, rows_per_bucket=1).collect())
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert a == b
