@@ -137,6 +137,10 @@ def prefix_before(
     return d.drop(*drop)
 
 
+# Salts per key value for numbering tied rows in parallel.
+KEY_SALTS = 64
+
+
 def dense_key(
     df: DataFrame,
     order_col: str,
@@ -144,16 +148,40 @@ def dense_key(
     buckets: int | None = None,
     method: str = "bucketed",
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    salts: int = KEY_SALTS,
 ) -> DataFrame:
     """Surrogate key 1..n in ``order_col`` order, NULLs last (ROW_NUMBER semantics).
 
-    ``method="window"`` is the plain single-partition form, kept for checks.
+    Rows are salted by a hash of their content and counted per
+    (key, salt) with map-side combining; a bucketed prefix sum over those
+    counts gives each (key, salt) its first position, and rows are numbered
+    inside (key, salt) partitions. A key value repeated on a third of the
+    rows is therefore numbered by up to ``salts`` tasks (only fully
+    identical rows share a salt). ``method="window"`` is the plain
+    single-partition form, kept for checks.
     """
     order = F.col(order_col).asc_nulls_last()
     if method == "window":
         return df.withColumn(key_name, F.row_number().over(Window.orderBy(order)).cast("long"))
-    out = prefix_before(df, [], [order], order_proxy(df, order_col), None, buckets, True, "_before", rows_per_bucket)
-    return out.withColumn(key_name, (F.col("_before") + 1).cast("long")).drop("_before")
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(int(salts))))
+    counts = salted.groupBy(order_col, "_salt").agg(F.count(F.lit(1)).alias("_c"))
+    starts = prefix_before(
+        counts,
+        [],
+        [order, F.col("_salt").asc()],
+        order_proxy(counts, order_col),
+        F.col("_c"),
+        buckets,
+        True,
+        "_start",
+        rows_per_bucket,
+    ).select(F.col(order_col).alias("_k"), F.col("_salt").alias("_ks"), "_start")
+    cond = salted[order_col].eqNullSafe(starts["_k"]) & (salted["_salt"] == starts["_ks"])
+    joined = salted.join(starts, cond, "inner").drop("_k", "_ks")
+    inner = Window.partitionBy(order_col, "_salt").orderBy(F.col("_salt"))
+    return joined.withColumn(key_name, (F.col("_start") + F.row_number().over(inner)).cast("long")).drop(
+        "_salt", "_start"
+    )
 
 
 def _value_counts(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:

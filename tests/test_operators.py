@@ -29,6 +29,24 @@ def test_dense_key_matches_row_number(spark, buckets):
     assert sorted(a.values()) == list(range(1, len(rows) + 1))
 
 
+def test_dense_key_hot_value(spark):
+    # a third of the rows share one key value; keys stay a permutation of 1..n
+    rows = [(7, i) for i in range(1000)] + [(i, i) for i in range(2000)] + [(None, 1), (None, 2)]
+    df = spark.createDataFrame(rows, "k long, other long")
+    got = dense_key(df, "k", "key", buckets=4, rows_per_bucket=1, salts=16).collect()
+    assert sorted(r["key"] for r in got) == list(range(1, len(rows) + 1))
+    by_k = {}
+    for r in got:
+        by_k.setdefault(r["k"], []).append(r["key"])
+    # every key value owns a contiguous block, in key order, NULLs last
+    order = sorted((k for k in by_k if k is not None)) + [None]
+    pos = 1
+    for k in order:
+        block = sorted(by_k[k])
+        assert block == list(range(pos, pos + len(block)))
+        pos += len(block)
+
+
 def test_dense_key_strings_and_timestamps(spark):
     names = ["b", "a", "ab", "é", "Z", "", "aa", None, "a b"]
     df = spark.createDataFrame([(n,) for n in names], "s string")
