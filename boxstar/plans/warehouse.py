@@ -112,14 +112,20 @@ def dates_dim(team_stats_raw: DataFrame, player_stats_raw: DataFrame, key_method
     )
 
 
-def sized_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """Broadcast ``df`` only when a bounded count proves it has at most
-    ``max_rows`` rows; otherwise leave the join strategy to the planner
-    (sort-merge, or AQE's runtime choice). ``max_rows=None`` skips the check."""
+def fits(df: DataFrame, max_rows: int | None) -> bool:
+    """True when a bounded count proves ``df`` has at most ``max_rows`` rows."""
     if max_rows is None:
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+        return False
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def sized_broadcast(df: DataFrame, max_rows: int | None, small: bool | None = None) -> DataFrame:
+    """Broadcast ``df`` only when its size is proven small (``small``, or a
+    bounded count against ``max_rows``); otherwise leave the join strategy
+    to the planner (sort-merge, or AQE's runtime choice)."""
+    if small is None:
+        small = fits(df, max_rows)
+    return F.broadcast(df) if small else df
 
 
 def _resolve_keys(
@@ -132,11 +138,13 @@ def _resolve_keys(
     broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Left joins of a raw fact to the lookup (twice), games and dates."""
-    tl = lookup.select(F.col("teamName").alias("_tl_name"), F.col("teamKey"))
-    ol = lookup.select(F.col("teamName").alias("_ol_name"), F.col("teamKey").alias("opponentTeamKey"))
-    g = games.select(F.col("gameId").alias("_g_id"), "gameKey")
-    d = dates.select(F.col("gameDateEst").alias("_d_ts"), "dateKey")
-    tl, ol, g, d = (sized_broadcast(x, broadcast_rows) for x in (tl, ol, g, d))
+    small_lookup = fits(lookup, broadcast_rows)
+    tl = sized_broadcast(lookup.select(F.col("teamName").alias("_tl_name"), F.col("teamKey")), None, small_lookup)
+    ol = sized_broadcast(
+        lookup.select(F.col("teamName").alias("_ol_name"), F.col("teamKey").alias("opponentTeamKey")), None, small_lookup
+    )
+    g = sized_broadcast(games.select(F.col("gameId").alias("_g_id"), "gameKey"), broadcast_rows)
+    d = sized_broadcast(dates.select(F.col("gameDateEst").alias("_d_ts"), "dateKey"), broadcast_rows)
     out = src.join(tl, src[team_col] == tl["_tl_name"], "left")
     out = out.join(ol, out[opp_col] == ol["_ol_name"], "left")
     out = out.join(g, out["_gid"] == g["_g_id"], "left")

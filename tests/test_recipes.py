@@ -122,3 +122,14 @@ def test_leaderboard_shape(small):
     for r in lb:
         per_role[r["role"]] = per_role.get(r["role"], 0) + 1
     assert max(per_role.values()) <= STANDIN.per_role
+
+
+def test_contract_and_preview(spark, small):
+    from boxstar.sources.contract import missing_inputs, require_inputs
+
+    avail = {"players": small.players_raw, "teams": None}
+    assert missing_inputs(avail, ["players", "teams", "games"]) == ["teams", "games"]
+    with pytest.raises(FileNotFoundError, match="teams, games"):
+        require_inputs(avail, ["players", "teams", "games"])
+    prev = tiers.benchmark_preview(small.benchmarks, 9).collect()
+    assert len(prev) == 9 and [r["metric_order"] for r in prev] == [0, 0, 0, 1, 1, 1, 2, 2, 2]
