@@ -22,7 +22,7 @@ from boxstar.plans import audits, teams, tiers
 from boxstar.plans.recipes import STANDIN, Analysis
 from boxstar.session import scratch_path
 from boxstar.sources.csvscan import read_box_csv
-from boxstar.sources.landing import read_table, write_table
+from boxstar.sources.landing import read_table, write_table  # noqa: F401
 
 _CACHE: dict[tuple[int, str], Analysis] = {}
 
@@ -89,15 +89,16 @@ def q_landing_roundtrip(spark, sf_dir):
 
 
 def q_required_tables_audit(spark, sf_dir):
+    from boxstar.plans.warehouse import open_warehouse, write_warehouse
+
     a = analysis(spark, sf_dir)
     root = scratch_path(spark, "warehouse")
-    present = []
-    for name, df in a.warehouse.tables().items():
-        write_table(df, f"{root}/{name}", force_rebuild=True)
-        read_table(spark, f"{root}/{name}").createOrReplaceTempView(f"boxstar_{name}")
-        present.append(name)
+    write_warehouse(a.warehouse, root, force_rebuild=True)
+    opened = open_warehouse(spark, root)
+    for name, df in opened.items():
+        df.createOrReplaceTempView(f"boxstar_{name}")
     views = {t.name.removeprefix("boxstar_") for t in spark.catalog.listTables() if t.name.startswith("boxstar_")}
-    return audits.expected_tables(spark, [n for n in present if n in views])
+    return audits.expected_tables(spark, [n for n in opened if n in views])
 
 
 def q_parse_minutes(spark, sf_dir):

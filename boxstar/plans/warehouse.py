@@ -267,6 +267,27 @@ def build_warehouse(
     )
 
 
+def write_warehouse(wh: Warehouse, root: str, force_rebuild: bool = True) -> dict[str, str]:
+    """Write the nine tables under ``root`` (overwrite, or fail if present)."""
+    from boxstar.sources.landing import write_table
+
+    root = root.rstrip("/")
+    return {name: write_table(df, f"{root}/{name}", force_rebuild) for name, df in wh.tables().items()}
+
+
+def open_warehouse(spark, root: str, names=config.WAREHOUSE_TABLES) -> dict[str, DataFrame]:
+    """Reopen written tables read-only; tables that are missing are left out."""
+    from boxstar.sources.landing import read_table
+
+    out = {}
+    for name in names:
+        try:
+            out[name] = read_table(spark, f"{root.rstrip('/')}/{name}")
+        except Exception:  # noqa: BLE001 - absent table
+            continue
+    return out
+
+
 def row_count_summary(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, row_count) for every table, ordered by name."""
     parts = [df.select(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count")) for name, df in tables.items()]
