@@ -684,7 +684,7 @@ GROUP BY r.role, r.role_order ORDER BY r.role_order""")
     order_case = "CASE role " + " ".join(f"WHEN {_q(r)} THEN {i}" for i, r in enumerate(config.ROLE_ORDER)) + " END"
     out["leaderboard"] = chain(f"""
 SELECT season_label AS season, role, current_rank_within_role AS role_rank, player, overall_tier AS tier,
-       {rnd('historical_percentile_within_role')} AS historical_percentile, role_order, playerKey
+       {rnd('historical_percentile_within_role')} AS historical_percentile
 FROM (SELECT *, {order_case} AS role_order,
              ROW_NUMBER() OVER (PARTITION BY role ORDER BY current_rank_within_role ASC NULLS LAST, playerKey ASC) AS rn
       FROM active_tiers) t
