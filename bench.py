@@ -24,7 +24,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from boxstar.plans import audits, teams  # noqa: E402
+from boxstar.plans import audits  # noqa: E402
 from boxstar.plans.recipes import Analysis  # noqa: E402
 from boxstar.session import local_session  # noqa: E402
 
@@ -85,7 +85,7 @@ def main() -> None:
     recipes = {
         "warehouse_build": build,
         "audits": audits_all,
-        "win_loss_summary": lambda: force(teams.win_loss_summary(on_warehouse().warehouse.team_stats_fact)),
+        "win_loss_summary": lambda: force(on_warehouse().win_loss),
         "top_teams": lambda: force(on_warehouse().top_teams()),
         "team_profile": lambda: force(on_warehouse().team_profile()),
         "role_scores": scored,

@@ -106,17 +106,19 @@ class Analysis:
     # -- team analyses -------------------------------------------------------
     @cached_property
     def win_loss(self) -> DataFrame:
-        return teams.win_loss_summary(self.warehouse.team_stats_fact)
+        return teams.win_loss_summary(self.warehouse.team_fact(keys=()))
 
     def top_teams(self) -> DataFrame:
         p = self.params
         wh = self.warehouse
-        return teams.top_teams(wh.team_stats_fact, wh.teams, wh.dates, p.top_since_year, p.top_min_games, p.top_limit)
+        fact = wh.team_fact(keys=("teamKey", "dateKey"))
+        return teams.top_teams(fact, wh.teams, wh.dates, p.top_since_year, p.top_min_games, p.top_limit)
 
     def team_profile(self) -> DataFrame:
         p = self.params
         wh = self.warehouse
-        return teams.team_profile(wh.team_stats_fact, wh.teams, wh.dates, p.profile_team, p.top_since_year)
+        fact = wh.team_fact(keys=("teamKey", "dateKey"))
+        return teams.team_profile(fact, wh.teams, wh.dates, p.profile_team, p.top_since_year)
 
     # -- player benchmarks ---------------------------------------------------
     @cached_property
@@ -124,7 +126,9 @@ class Analysis:
         p = self.params
         wh = self.warehouse
         return self._stage(
-            pool.season_aggregates(wh.player_stats_fact, wh.players, wh.dates, p.pool_min_minutes, p.pool_min_games),
+            pool.season_aggregates(
+                wh.player_fact(keys=("gameKey", "dateKey")), wh.players, wh.dates, p.pool_min_minutes, p.pool_min_games
+            ),
             "season_rows",
         )
 
@@ -161,7 +165,7 @@ class Analysis:
         wh = self.warehouse
         return tiers.active_players(
             self.scored,
-            wh.player_stats_fact,
+            wh.player_fact(keys=("dateKey",)),
             wh.dates,
             p.active_min_minutes,
             p.active_min_games,

@@ -128,6 +128,9 @@ def sized_broadcast(df: DataFrame, max_rows: int | None, small: bool | None = No
     return F.broadcast(df) if small else df
 
 
+FACT_KEYS = ("teamKey", "opponentTeamKey", "gameKey", "dateKey")
+
+
 def _resolve_keys(
     src: DataFrame,
     team_col: str,
@@ -136,22 +139,43 @@ def _resolve_keys(
     games: DataFrame,
     dates: DataFrame,
     broadcast_rows: int | None = None,
+    keys=FACT_KEYS,
 ) -> DataFrame:
-    """Left joins of a raw fact to the lookup (twice), games and dates."""
-    small_lookup = fits(lookup, broadcast_rows)
-    tl = sized_broadcast(lookup.select(F.col("teamName").alias("_tl_name"), F.col("teamKey")), None, small_lookup)
-    ol = sized_broadcast(
-        lookup.select(F.col("teamName").alias("_ol_name"), F.col("teamKey").alias("opponentTeamKey")), None, small_lookup
-    )
-    g = sized_broadcast(games.select(F.col("gameId").alias("_g_id"), "gameKey"), broadcast_rows)
-    d = sized_broadcast(dates.select(F.col("gameDateEst").alias("_d_ts"), "dateKey"), broadcast_rows)
-    out = src.join(tl, src[team_col] == tl["_tl_name"], "left")
-    out = out.join(ol, out[opp_col] == ol["_ol_name"], "left")
-    out = out.join(g, out["_gid"] == g["_g_id"], "left")
-    out = out.join(d, out["_ts"] == d["_d_ts"], "left")
+    """Left joins of a raw fact to the lookup (twice), games and dates.
+
+    Only the requested ``keys`` are resolved. Each of these dimensions is
+    unique on its join key by construction (lookup grouped by name, games by
+    id, dates distinct), so a left join never changes the row count and an
+    unrequested key can be skipped -- a fact read for its measures only does
+    not shuffle against a dimension too large to broadcast.
+    """
+    keys = set(keys)
+    out = src
+    if keys & {"teamKey", "opponentTeamKey"}:
+        small_lookup = fits(lookup, broadcast_rows)
+    if "teamKey" in keys:
+        tl = sized_broadcast(lookup.select(F.col("teamName").alias("_tl_name"), F.col("teamKey")), None, small_lookup)
+        out = out.join(tl, out[team_col] == tl["_tl_name"], "left")
+    if "opponentTeamKey" in keys:
+        ol = sized_broadcast(
+            lookup.select(F.col("teamName").alias("_ol_name"), F.col("teamKey").alias("opponentTeamKey")),
+            None,
+            small_lookup,
+        )
+        out = out.join(ol, out[opp_col] == ol["_ol_name"], "left")
+    if "gameKey" in keys:
+        g = sized_broadcast(games.select(F.col("gameId").alias("_g_id"), "gameKey"), broadcast_rows)
+        out = out.join(g, out["_gid"] == g["_g_id"], "left")
+    if "dateKey" in keys:
+        d = sized_broadcast(dates.select(F.col("gameDateEst").alias("_d_ts"), "dateKey"), broadcast_rows)
+        out = out.join(d, out["_ts"] == d["_d_ts"], "left")
     return out
 
 
+def _keys_or_null(keys) -> list:
+    return [F.col(k) if k in set(keys) else F.lit(None).cast("long").alias(k) for k in FACT_KEYS]
+
+
 def player_stats_fact(
     player_stats_raw: DataFrame,
     players: DataFrame,
@@ -159,8 +183,12 @@ def player_stats_fact(
     games: DataFrame,
     dates: DataFrame,
     broadcast_rows: int | None = None,
+    keys=FACT_KEYS,
 ) -> DataFrame:
-    """One row per player-game row (times duplicate players: not de-duplicated)."""
+    """One row per player-game row (times duplicate players: not de-duplicated).
+
+    ``playerKey`` is always resolved (a duplicated player multiplies rows);
+    other keys only when listed in ``keys`` (unlisted ones are NULL)."""
     src = player_stats_raw.withColumns(
         {
             "_pid": F.col("personId").try_cast("long"),
@@ -170,13 +198,10 @@ def player_stats_fact(
     )
     p = sized_broadcast(players.select(F.col("personId").alias("_p_id"), "playerKey"), broadcast_rows)
     out = src.join(p, src["_pid"] == p["_p_id"], "left")
-    out = _resolve_keys(out, "playerteamName", "opponentteamName", lookup, games, dates, broadcast_rows)
+    out = _resolve_keys(out, "playerteamName", "opponentteamName", lookup, games, dates, broadcast_rows, keys)
     return out.select(
         "playerKey",
-        "teamKey",
-        "opponentTeamKey",
-        "gameKey",
-        "dateKey",
+        *_keys_or_null(keys),
         "gameType",
         "gameLabel",
         "gameSubLabel",
@@ -194,20 +219,20 @@ def team_stats_fact(
     games: DataFrame,
     dates: DataFrame,
     broadcast_rows: int | None = None,
+    keys=FACT_KEYS,
 ) -> DataFrame:
-    """One row per team-game row; games come from player statistics only."""
+    """One row per team-game row; games come from player statistics only.
+
+    Keys not listed in ``keys`` are not resolved (NULL)."""
     src = team_stats_raw.withColumns(
         {
             "_gid": F.col("gameId").try_cast("long"),
             "_ts": F.col("gameDateTimeEst").cast("timestamp_ntz"),
         }
     )
-    out = _resolve_keys(src, "teamName", "opponentTeamName", lookup, games, dates, broadcast_rows)
+    out = _resolve_keys(src, "teamName", "opponentTeamName", lookup, games, dates, broadcast_rows, keys)
     return out.select(
-        "teamKey",
-        "opponentTeamKey",
-        "gameKey",
-        "dateKey",
+        *_keys_or_null(keys),
         F.col("home").try_cast("int").alias("home"),
         F.col("win").try_cast("int").alias("win"),
         *[F.col(c).try_cast("double").alias(c) for c in TEAM_STATS],
@@ -226,6 +251,21 @@ class Warehouse:
     dates: DataFrame
     player_stats_fact: DataFrame
     team_stats_fact: DataFrame
+    broadcast_rows: int | None = None
+
+    def player_fact(self, keys=FACT_KEYS) -> DataFrame:
+        """The player fact resolving only ``keys`` (playerKey always)."""
+        if set(keys) >= set(FACT_KEYS):
+            return self.player_stats_fact
+        return player_stats_fact(
+            self.player_stats_raw, self.players, self.team_lookup, self.games, self.dates, self.broadcast_rows, keys
+        )
+
+    def team_fact(self, keys=FACT_KEYS) -> DataFrame:
+        """The team fact resolving only ``keys``."""
+        if set(keys) >= set(FACT_KEYS):
+            return self.team_stats_fact
+        return team_stats_fact(self.team_stats_raw, self.team_lookup, self.games, self.dates, self.broadcast_rows, keys)
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in config.WAREHOUSE_TABLES}
@@ -264,6 +304,7 @@ def build_warehouse(
         dates=dates,
         player_stats_fact=player_stats_fact(player_stats_raw, players, lookup, games, dates, broadcast_rows),
         team_stats_fact=team_stats_fact(team_stats_raw, lookup, games, dates, broadcast_rows),
+        broadcast_rows=broadcast_rows,
     )
 
 
