@@ -19,7 +19,7 @@ from boxstar.functions.cleaning import parse_minutes
 from boxstar.functions.numeric import round_half_away
 from boxstar.operators.ordered import dense_key, dense_rank_by, exact_quantiles, percentile_rank_by
 from boxstar.plans import audits, teams, tiers
-from boxstar.plans.recipes import STANDIN, Analysis
+from boxstar.plans.recipes import Analysis
 from boxstar.session import scratch_path
 from boxstar.sources.csvscan import read_box_csv
 from boxstar.sources.landing import read_table, write_table  # noqa: F401
@@ -367,4 +367,4 @@ ROUNDED: dict[str, tuple[str, ...]] = {
     "exact_quantiles": ("p50", "p75", "p95"),
 }
 
-__all__ = ["QUERIES", "ROUNDED", "analysis", "STANDIN"]
+__all__ = ["QUERIES", "ROUNDED", "analysis"]

@@ -74,7 +74,10 @@ def teams_dim(team_stats_raw: DataFrame, key_method: str = "bucketed") -> DataFr
         # last_seen DESC NULLS LAST, then non-NULL city first, then city DESC
         [last_seen.isNotNull(), last_seen, city.isNotNull(), city],
     )
-    keyed = dense_key(latest.select("teamName", "teamCity", "coachId"), "teamName", "teamKey", method=key_method)
+    # one row per name: the key is unique by construction
+    keyed = dense_key(
+        latest.select("teamName", "teamCity", "coachId"), "teamName", "teamKey", method=key_method, spread_ties=False
+    )
     return keyed.select("teamKey", "teamName", "teamCity", "coachId")
 
 
@@ -90,7 +93,7 @@ def games_dim(player_stats_raw: DataFrame, key_method: str = "bucketed") -> Data
         normalize_game_type("gameType").alias("gameType"),
     )
     games = src.groupBy("gameId").agg(F.coalesce(F.max("gameType"), F.lit(config.GAME_TYPE_LABELS["unknown"])).alias("gameType"))
-    keyed = dense_key(games, "gameId", "gameKey", method=key_method)
+    keyed = dense_key(games, "gameId", "gameKey", method=key_method, spread_ties=False)
     return keyed.select("gameKey", "gameId", "gameType")
 
 
@@ -98,7 +101,7 @@ def dates_dim(team_stats_raw: DataFrame, player_stats_raw: DataFrame, key_method
     """One row per distinct game timestamp of either input (NULL is one row)."""
     ts = F.col("gameDateTimeEst").cast("timestamp_ntz").alias("gameDateEst")
     stamps = team_stats_raw.select(ts).union(player_stats_raw.select(ts)).distinct()
-    keyed = dense_key(stamps, "gameDateEst", "dateKey", method=key_method)
+    keyed = dense_key(stamps, "gameDateEst", "dateKey", method=key_method, spread_ties=False)
     d = F.col("gameDateEst")
     return keyed.select(
         "dateKey",

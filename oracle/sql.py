@@ -531,7 +531,7 @@ def _r(cols, rounded) -> str:
 
 
 def oracle_queries(p: Params = STANDIN) -> dict[str, str]:
-    from boxstar.plans.registered import ACTIVE_COLS, PILLAR_COLS, POOL_COLS, ROUNDED, SCORE_COLS, SIGNALS, TIER_COLS, WL_COLS
+    from boxstar.plans.registered import ACTIVE_COLS, POOL_COLS, ROUNDED, SCORE_COLS, SIGNALS, TIER_COLS, WL_COLS
 
     ctes = base_ctes(p)
     chain = lambda select: with_chain(ctes, select)

@@ -27,6 +27,8 @@ def test_dense_key_matches_row_number(spark, buckets):
     b = {r["k"]: r["key"] for r in dense_key(df, "k", "key", method="window").collect()}
     assert a == b
     assert sorted(a.values()) == list(range(1, len(rows) + 1))
+    c = {r["k"]: r["key"] for r in dense_key(df, "k", "key", buckets=buckets, rows_per_bucket=1, spread_ties=False).collect()}
+    assert c == b
 
 
 def test_dense_key_hot_value(spark):

@@ -133,3 +133,26 @@ def test_contract_and_preview(spark, small):
         require_inputs(avail, ["players", "teams", "games"])
     prev = tiers.benchmark_preview(small.benchmarks, 9).collect()
     assert len(prev) == 9 and [r["metric_order"] for r in prev] == [0, 0, 0, 1, 1, 1, 2, 2, 2]
+
+
+def test_force_rebuild_switch(spark, tmp_path):
+    from boxstar.sources.landing import read_table, write_table
+
+    df = spark.createDataFrame([(1,), (2,)], "x int")
+    path = str(tmp_path / "t")
+    write_table(df, path, force_rebuild=True)
+    write_table(df, path, force_rebuild=True)  # overwrite keeps two rows
+    assert read_table(spark, path).count() == 2
+    with pytest.raises(Exception):
+        write_table(df, path, force_rebuild=False)
+
+
+def test_tier_monotone_in_value(spark):
+    from boxstar.functions.numeric import threshold_ladder
+
+    vals = [float(v) for v in range(0, 40)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    ladder = [("95", F.lit(30.0)), ("75", F.lit(20.0)), ("50", F.lit(10.0))]
+    rank = {"Low": 0, "50": 50, "75": 75, "95": 95}
+    got = [rank[r[0]] for r in df.orderBy("v").select(threshold_ladder("v", ladder, "Low")).collect()]
+    assert got == sorted(got)
