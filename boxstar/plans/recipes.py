@@ -69,6 +69,30 @@ class Analysis:
     land: bool = True
     broadcast_rows: int | None = 2_000_000
 
+    @classmethod
+    def from_csv(
+        cls,
+        spark: SparkSession,
+        players_csv: str,
+        player_stats_csv: str,
+        team_stats_csv: str,
+        params: Params | None = None,
+        **options,
+    ) -> "Analysis":
+        """The recipes over the three original box-score CSV files
+        (players, player statistics, team statistics)."""
+        from boxstar.sources.csvscan import read_box_csv
+
+        a = cls(spark, sf_dir="", params=params or Params(), **options)
+        a.__dict__["players_raw"] = a._stage(clean.clean_players(read_box_csv(spark, players_csv)), "players_raw")
+        a.__dict__["player_stats_raw"] = a._stage(
+            clean.clean_box_stats(read_box_csv(spark, player_stats_csv)), "player_stats_raw"
+        )
+        a.__dict__["team_stats_raw"] = a._stage(
+            clean.clean_box_stats(read_box_csv(spark, team_stats_csv)), "team_stats_raw"
+        )
+        return a
+
     def _stage(self, df: DataFrame, name: str = "stage") -> DataFrame:
         return land(df, name) if self.land else df
 
