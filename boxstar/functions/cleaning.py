@@ -11,9 +11,11 @@ from boxstar import config
 
 # A number as Python's float() accepts it, without inf/nan/underscores.
 _NUM = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
-_NUMBER = rf"^\s*({_NUM})\s*$"
+# (?U): \s matches Unicode whitespace too (no-break space, em space, ...),
+# like str.strip.
+_NUMBER = rf"(?U)^\s*({_NUM})\s*$"
 # MM:SS split on the first colon; each side a number, whitespace allowed.
-_MINUTES_SECONDS = rf"^\s*({_NUM})\s*:\s*({_NUM})\s*$"
+_MINUTES_SECONDS = rf"(?U)^\s*({_NUM})\s*:\s*({_NUM})\s*$"
 
 
 def _col(c: str | Column) -> Column:
@@ -38,7 +40,7 @@ def to_double(c: str | Column) -> Column:
     the anchored pattern rejects them. One regex match per row.
     """
     s = _col(c).cast("string")
-    return F.when(s.rlike(_NUMBER), s.try_cast("double"))
+    return F.when(s.rlike(_NUMBER), F.regexp_extract(s, _NUMBER, 1).try_cast("double"))
 
 
 def parse_minutes(c: str | Column) -> Column:
@@ -51,7 +53,7 @@ def parse_minutes(c: str | Column) -> Column:
     ss = F.regexp_extract(s, _MINUTES_SECONDS, 2).try_cast("double")
     return (
         F.when(s.rlike(_MINUTES_SECONDS), mm + ss / F.lit(60.0))
-        .when(s.rlike(_NUMBER), s.try_cast("double"))
+        .when(s.rlike(_NUMBER), F.regexp_extract(s, _NUMBER, 1).try_cast("double"))
         .otherwise(F.lit(None).cast("double"))
     )
 

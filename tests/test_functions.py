@@ -32,6 +32,11 @@ def test_minutes_good(spark):
     assert got == [34.5, 12.0, 7.5, -0.5, 10.0, 3.25, 0.5]
 
 
+def test_minutes_unicode_whitespace(spark):
+    got = col_values(spark, ["\u00a012\u2003", "\t7.5\n", "\u00a034:30 "], parse_minutes)
+    assert got == [12.0, 7.5, 34.5]
+
+
 def test_minutes_bad(spark):
     got = col_values(spark, ["", "12:34:56", "abc", "12d", ":30", "5:", "PT12M", None, "   "], parse_minutes)
     assert got == [None] * 9
