@@ -71,18 +71,23 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> bytes:
 def _fingerprints(shingle_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = b"".join([fingerprint(t.as_py(), shingle_words) for t in batch.column(1)])
+            raw = b"".join([fingerprint(t.as_py(), shingle_words) for t in batch.column("text")])
             values = np.frombuffer(raw, dtype=">u8").astype(np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values)], names=["doc_id", "fp"])
+            keys = batch.schema.names[:-1]
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in keys], pa.array(values)], names=[*keys, "fp"])
 
     return run
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed 64-bit number, per input row."""
+def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, row_key: bool = False) -> DataFrame:
+    """(doc_id, fp): the fingerprint as a signed 64-bit number, per input row;
+    with ``row_key`` also ``row``, a hash of the whole row."""
     prepare(docs.sparkSession)
-    narrow = docs.select(F.col("doc_id").cast("long"), F.col("text"))
-    return narrow.mapInArrow(_fingerprints(shingle_words), "doc_id long, fp long")
+    keys = [F.col("doc_id").cast("long").alias("doc_id")]
+    if row_key:
+        keys.append(F.xxhash64(*[F.col(c) for c in docs.columns]).alias("row"))
+    schema = "doc_id long, row long, fp long" if row_key else "doc_id long, fp long"
+    return docs.select(*keys, F.col("text")).mapInArrow(_fingerprints(shingle_words), schema)
 
 
 def band_masks(bands: int) -> list[np.uint64]:
@@ -240,15 +245,37 @@ def fingerprint_links(fps: DataFrame, max_distance: int = MAX_DISTANCE, bands: i
     return routed.groupBy("shard").applyInArrow(_search(masks, reach, max_distance), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """One row per input row: doc_id, fingerprint (16 hex digits), component_id."""
-    prints = land(fingerprints(docs, shingle_words), "doc_fingerprints")
+def group_roots(prints: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
+    """(fp, root) for every distinct fingerprint of ``prints``."""
     tree = components(fingerprint_links(prints, max_distance))
-    per_print = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    rooted = per_print.join(tree.withColumnRenamed("node", "fp"), "fp", "left").select(
+    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    return distinct.join(tree.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
+
+
+def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE) -> DataFrame:
+    """One row per input row: doc_id, fingerprint (16 hex digits), component_id."""
+    prints = land(fingerprints(docs, shingle_words), "doc_fingerprints")
+    rooted = group_roots(prints, max_distance)
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = land(rooted.join(smallest, "root").select("fp", "component_id"), "named")
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return prints.join(named, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE) -> DataFrame:
+    """The rows of ``docs``, all columns, without near-duplicates: of each group the
+    row with the smallest doc_id (NULL last; ties: by a hash of the row) stays,
+    and one of it where it is repeated."""
+    prints = land(fingerprints(docs, shingle_words, row_key=True), "row_fingerprints")
+    rooted = group_roots(prints, max_distance).select("fp", "root")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row"))
+    per_print = prints.groupBy("fp").agg(F.min(first).alias("first"))  # copies meet before the join
+    stays = per_print.join(rooted, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    repeated = prints.groupBy("row").count().where("count > 1").select("row")
+    stays = land(stays.select(F.col("first.row").alias("row")).join(repeated.withColumn("many", F.lit(True)), "row", "left"), "stays")
+    rows = docs.withColumn("_row", F.xxhash64(*[F.col(c) for c in docs.columns]))
+    kept = rows.join(stays.withColumnRenamed("row", "_row"), "_row")
+    once = kept.where("many IS NULL").select(*docs.columns)
+    return once.unionByName(kept.where("many").dropDuplicates(["_row"]).select(*docs.columns))
