@@ -204,14 +204,14 @@ def _assemble(path: str):
         ids = np.frombuffer(ids, dtype="<i8").tolist()
         missing = np.frombuffer(missing, dtype="?").tolist()
         opened = {p: [_open(r) for r in _unpack(blob.as_py())] for p, blob in parts.items()}
-        rows, at = [], 0
-        for doc, null, n in zip(ids, missing, lengths):
-            pieces = join_chunks([opened[p][i] for p, i in layout[at : at + n]])
-            at += n
-            windows = iter(enc.ids_many([x for x in pieces if isinstance(x, str)]))
-            whole = b"".join(next(windows) if isinstance(x, str) else _wide(x) for x in pieces)
+        ends = np.cumsum(lengths).tolist()
+        pieces = [join_chunks([opened[p][i] for p, i in layout[e - n : e]]) for n, e in zip(lengths, ends)]
+        windows = iter(enc.ids_many([x for doc in pieces for x in doc if isinstance(x, str)]))
+        decimal, token = words
+        rows = []
+        for doc, null, parts_of in zip(ids, missing, pieces):
+            whole = b"".join([next(windows) if isinstance(x, str) else _wide(x) for x in parts_of])
             numbers = np.frombuffer(whole, dtype="<u4").tolist()
-            decimal, token = words
             rows.append((
                 None if null else doc,
                 len(numbers),

@@ -119,7 +119,7 @@ class UnitEncoder:
         if len(self.memo) > MAX_UNITS:
             self.memo.clear()
         memo = self.memo
-        new = list(set().union(*[units for units in plain if units]) - memo.keys())
+        new = [u for u in set().union(*[units for units in plain if units]) if u not in memo]
         if new:
             self._learn(new)
         return [
