@@ -8,12 +8,12 @@ from boxstar.functions.cleaning import (  # noqa: F401
     null_na_tokens,
     parse_minutes,
     parse_timestamp,
-    strip_whitespace,
+    to_flag,
     to_double,
+    to_whole,
 )
 from boxstar.functions.calendar import (  # noqa: F401
     day_of_week_sunday0,
-    epoch_seconds,
     season_end_year,
     season_label,
 )

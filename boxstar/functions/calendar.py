@@ -28,9 +28,3 @@ def day_of_week_sunday0(ts) -> Column:
     """Day of week with Sunday = 0 ... Saturday = 6."""
     return F.dayofweek(_col(ts)) - 1
 
-
-def epoch_seconds(ts) -> Column:
-    """Seconds since 1970-01-01 of a zone-less timestamp or date (no time zone math)."""
-    ts = _col(ts)
-    days = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("double")
-    return days * 86400.0 + F.hour(ts) * 3600.0 + F.minute(ts) * 60.0 + F.second(ts)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boxstar import config
@@ -22,11 +22,6 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def strip_whitespace(c: str | Column) -> Column:
-    """Strip leading and trailing whitespace of any kind (str.strip)."""
-    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
-
-
 def null_na_tokens(c: str | Column, tokens: Iterable[str] = config.NA_TOKENS) -> Column:
     """NULL when the raw field is one of the NA tokens (exact match)."""
     c = _col(c)
@@ -37,10 +32,26 @@ def to_double(c: str | Column) -> Column:
     """Numeric coercion: a strict number (surrounding whitespace allowed), else NULL.
 
     Spark's own cast would also accept ``12d``, ``0x1p3`` or ``Infinity``;
-    the anchored pattern rejects them. One regex match per row.
+    the anchored pattern rejects them, and a number too large for a double
+    (``1e999``) is NULL as well: no cleaned value is infinite.
     """
     s = _col(c).cast("string")
-    return F.when(s.rlike(_NUMBER), F.regexp_extract(s, _NUMBER, 1).try_cast("double"))
+    return F.when(s.rlike(_NUMBER), _finite(F.regexp_extract(s, _NUMBER, 1).try_cast("double")))
+
+
+def _finite(c: Column) -> Column:
+    return F.when(F.abs(c) < F.lit(float("inf")), c)
+
+
+def to_whole(c: str | Column, kind: str = "int") -> Column:
+    """Whole number from text: a strict number with an integral value (``1``,
+    ``1.0``) or a boolean word (1 / 0), else NULL."""
+    c = _col(c)
+    n = to_double(c)
+    word = F.lower(F.trim(c.cast("string")))
+    return (
+        F.when(word == "true", F.lit(1)).when(word == "false", F.lit(0)).when(n == F.floor(n), n).try_cast(kind)
+    )
 
 
 def parse_minutes(c: str | Column) -> Column:
@@ -52,14 +63,14 @@ def parse_minutes(c: str | Column) -> Column:
     mm = F.regexp_extract(s, _MINUTES_SECONDS, 1).try_cast("double")
     ss = F.regexp_extract(s, _MINUTES_SECONDS, 2).try_cast("double")
     return (
-        F.when(s.rlike(_MINUTES_SECONDS), mm + ss / F.lit(60.0))
-        .when(s.rlike(_NUMBER), F.regexp_extract(s, _NUMBER, 1).try_cast("double"))
+        F.when(s.rlike(_MINUTES_SECONDS), _finite(mm + ss / F.lit(60.0)))
+        .when(s.rlike(_NUMBER), _finite(F.regexp_extract(s, _NUMBER, 1).try_cast("double")))
         .otherwise(F.lit(None).cast("double"))
     )
 
 
 def decode_flag(c: str | Column) -> Column:
-    """Position flag text -> 1 / 0, anything else NULL."""
+    """Position flag text of a mixed column -> 1 / 0, anything else NULL."""
     c = _col(c).cast("string")
     return (
         F.when(c.isin(list(config.FLAG_TRUE)), F.lit(1))
@@ -68,6 +79,26 @@ def decode_flag(c: str | Column) -> Column:
     )
 
 
+def flag_profile(c: str | Column) -> Column:
+    """Aggregate over a column of flag text: 'bool' when every value is a
+    boolean word, 'number' when every value is a number, else 'text' -- the
+    type that reading the column with type inference would give."""
+    s = _col(c).cast("string")
+    return F.when(F.bool_and(s.isin(list(config.FLAG_WORDS))), F.lit("bool")).when(
+        F.bool_and(s.rlike(_NUMBER)), F.lit("number")
+    ).otherwise(F.lit("text"))
+
+
+def to_flag(c: str | Column, profile: Column) -> Column:
+    """Position flag -> 1 / 0 given the column's :func:`flag_profile`."""
+    n = to_double(c)
+    return (
+        F.when(profile == "bool", F.when(F.lower(_col(c)) == "true", F.lit(1)).otherwise(F.when(_col(c).isNotNull(), F.lit(0))))
+        .when(profile == "number", F.when(n == 1, F.lit(1)).when(n == 0, F.lit(0)))
+        .otherwise(decode_flag(c))
+    )
+
+
 def mask_values(c: str | Column, values: Iterable[float]) -> Column:
     """NULL where the value is one of the sentinels."""
     c = _col(c)
@@ -80,11 +111,20 @@ def mask_outside(c: str | Column, lo: float, hi: float) -> Column:
     return F.when(c.between(lo, hi), c)
 
 
-def parse_timestamp(c: str | Column, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+def parse_timestamp(c: str | Column, fmt: str = config.TIMESTAMP_FORMATS[0]) -> Column:
     """Zone-less timestamp in one explicit format; other formats -> NULL."""
     return F.try_to_timestamp(_col(c).cast("string"), F.lit(fmt)).cast("timestamp_ntz")
 
 
+def pick_format(df: DataFrame, c: str, formats: Iterable[str] = config.TIMESTAMP_FORMATS) -> str | None:
+    """The format of the column's first value that follows one of ``formats``
+    (the first such format); None when no value does."""
+    formats = list(formats)
+    which = F.coalesce(*[F.when(parse_timestamp(c, f).isNotNull(), F.lit(i)) for i, f in enumerate(formats)])
+    row = df.select(which.alias("i")).where("i IS NOT NULL").limit(1).collect()
+    return formats[row[0]["i"]] if row else None
+
+
 def normalize_game_type(c: str | Column) -> Column:
     """Blank -> NULL; known spellings -> canonical labels; else trimmed text."""
     c = _col(c)

@@ -1,17 +1,16 @@
 """Distributed operators built from DataFrame primitives."""
 
 from boxstar.operators.ordered import (  # noqa: F401
-    default_buckets,
+    default_parts,
     dense_key,
     dense_rank_by,
     exact_quantiles,
-    order_proxy,
+    ordered,
     percentile_rank_by,
     prefix_before,
     value_ranks,
 )
 from boxstar.operators.shaping import (  # noqa: F401
-    attach_scalars,
     latest_per_key,
     top_n_per_group,
 )

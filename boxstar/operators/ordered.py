@@ -1,140 +1,105 @@
 """Order statistics without a single-partition window.
 
 A global ``ROW_NUMBER() OVER (ORDER BY k)`` or a percentile over a handful
-of groups puts every row through one task. Here rows are first cut into
-range buckets by a monotone function of the sort key (``width_bucket`` on
-a numeric proxy of the key, per group), so that
+of groups puts every row through one task. Here rows are cut into range
+partitions of equal size by the data's own order (``repartitionByRange`` on
+group and sort key), written once, and
 
-* the count of rows in all earlier buckets is a small table
-  (groups x buckets rows) whose running sum is cheap, and
-* the order inside a bucket is a window partitioned by (group, bucket),
-  spread over all tasks.
+* what all earlier partitions of a group hold is a small table (at most
+  partitions + groups rows) whose running sum gives each partition's offset,
+* the order inside a partition is a window partitioned by (partition, group).
 
 Everything that needs "how many rows come before this one" -- dense
 surrogate keys, average-tie percentile ranks, dense ranks, exact quantiles
--- is derived from :func:`prefix_before`. Ties are collapsed into
-(value, count) rows before ordering, so a value held by a third of all
-rows is a single row here.
+-- is derived from :func:`ordered`. Ties are collapsed into (value, count)
+rows before ordering, so a value held by a third of all rows is a single row
+here, and no partition depends on how values are spread, on a common text
+prefix or on outliers.
+
+NULL groups are groups like any other. NaN counts as missing, as NULL does,
+where values are ranked; infinities stand at the ends.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from boxstar.functions.calendar import epoch_seconds
-
-# Base for packing leading characters of a string into a number that is
-# monotone in the binary (code point) order used by Spark string comparison.
-_CODE_POINTS = 1114112.0
-_PROXY_CHARS = 3
-
-
-# Target rows per bucket: a group gets ceil(rows / ROWS_PER_BUCKET) buckets,
-# capped by ``buckets`` -- one bucket for small groups, many for large or
-# skewed ones, decided at run time from the group's own row count.
-ROWS_PER_BUCKET = 50_000
-
-
-def default_buckets(df: DataFrame) -> int:
-    """Maximum buckets per group: a few per shuffle partition, at least 64."""
-    try:
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # pragma: no cover - unset or "auto"
-        parts = 200
-    return max(64, 4 * parts)
-
-
-def order_proxy(df: DataFrame, col_name: str, descending: bool = False) -> Column:
-    """Double that is monotone non-decreasing in the sort order of the column."""
-    dt = df.schema[col_name].dataType
-    c = F.col(col_name)
-    if isinstance(dt, T.NumericType | T.BooleanType):
-        proxy = c.cast("double")
-    elif isinstance(dt, T.DateType | T.TimestampNTZType):
-        proxy = epoch_seconds(c)
-    elif isinstance(dt, T.TimestampType):
-        proxy = F.unix_micros(c).cast("double")
-    elif isinstance(dt, T.StringType):
-        proxy = F.lit(0.0)
-        for i in range(1, _PROXY_CHARS + 1):
-            proxy = proxy * F.lit(_CODE_POINTS) + F.ascii(F.substring(c, i, 1)).cast("double")
-        proxy = F.when(c.isNotNull(), proxy)
-    else:
-        raise TypeError(f"no order proxy for {dt}")
-    return -proxy if descending else proxy
+from boxstar.session import land
+
+
+def default_parts(df: DataFrame) -> int:
+    """Range partitions: as many as the session's shuffle partitions."""
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+@dataclass(frozen=True)
+class Ordered:
+    """``rows`` with running sums; ``offsets`` per (group, ``_part``); ``totals`` per group."""
 
+    rows: DataFrame
+    offsets: DataFrame
+    totals: DataFrame
 
-def _join_groups(df: DataFrame, small: DataFrame, keys: Sequence[str], bounded: bool) -> DataFrame:
-    if not keys:
+
+def _same(left: DataFrame, right: DataFrame, names: Sequence[str], prefix: str) -> list[Column]:
+    return [left[n].eqNullSafe(right[f"{prefix}{n}"]) for n in names]
+
+
+def join_groups(df: DataFrame, small: DataFrame, names: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``names``, NULLs equal; with no names ``small`` is one row."""
+    if not names:
         return df.crossJoin(F.broadcast(small))
-    return df.join(F.broadcast(small) if bounded else small, list(keys), "inner")
+    renamed = small.withColumnsRenamed({n: f"_j_{n}" for n in names})
+    return df.join(renamed, _same(df, renamed, names, "_j_"), how).drop(*[f"_j_{n}" for n in names])
 
 
-def prefix_before(
-    df: DataFrame,
-    group_cols: Sequence[str],
-    order_cols: Sequence[Column],
-    proxy: Column,
-    weight: Column | None = None,
-    buckets: int | None = None,
-    bounded_groups: bool = True,
-    out: str = "_before",
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-    weights: dict[str, Column] | None = None,
-) -> DataFrame:
-    """Add ``out`` = sum of ``weight`` over rows strictly before each row
-    within its group, in ``order_cols`` order (ties in arbitrary order).
-
-    ``weights`` ({output column: weight}) computes several such sums in the
-    same pass instead. ``proxy`` must be monotone non-decreasing in
-    ``order_cols`` (NULL sort keys must order last and have a NULL proxy).
-    ``bounded_groups`` says the number of groups is small by construction
-    (a few roles x metrics, or a single group), so the per-group tables may
-    be broadcast.
+def ordered(
+    df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column], weights: dict[str, Column], parts: int | None = None
+) -> Ordered:
+    """For each (name, weight): the sum of the weight over the rows before each
+    row of its group, in ``order_cols`` order (ties in arbitrary order).
+
+    ``order_cols`` should tell rows apart: rows with equal keys share a range
+    partition. Rows out equal rows in.
     """
     group_cols = list(group_cols)
-    nb = int(buckets or default_buckets(df))
-    if weights is None:
-        weights = {out: weight if weight is not None else F.lit(1)}
-    wnames = {name: f"_w{i}" for i, name in enumerate(weights)}
-    d = df.withColumn("_px", proxy).withColumns({wnames[k]: v.cast("long") for k, v in weights.items()})
-    per_group = F.least(
-        F.lit(nb).cast("long"),
-        F.greatest(F.lit(1).cast("long"), F.ceil(F.count(F.lit(1)) / F.lit(float(max(1, rows_per_bucket))))),
-    )
-    bounds = d.groupBy(*group_cols).agg(
-        F.min("_px").alias("_lo"), F.max("_px").alias("_hi"), per_group.alias("_nb")
-    )
-    d = _join_groups(d, bounds, group_cols, bounded=True if not group_cols else bounded_groups)
-    bucket = (
-        F.when(F.col("_px").isNull(), F.lit(nb + 2))
-        .when((F.col("_hi") == F.col("_lo")) | (F.col("_nb") <= 1), F.lit(1))
-        .otherwise(F.width_bucket(F.col("_px"), F.col("_lo"), F.col("_hi"), F.col("_nb")))
+    inner = {name: f"_w{i}" for i, name in enumerate(weights)}
+    weighted = df.withColumns({inner[k]: v.cast("long") for k, v in weights.items()})
+    by = [*[F.col(g).asc_nulls_first() for g in group_cols], *order_cols]
+    ranged = weighted.repartitionByRange(parts or default_parts(df), *by).withColumn("_part", F.spark_partition_id())
+    ranged = land(ranged, "ranged")
+    places = [*group_cols, "_part"]
+    sums = ranged.groupBy(*places).agg(*[F.sum(w).alias(f"_t{w}") for w in inner.values()])
+    earlier = (Window.partitionBy(*group_cols) if group_cols else Window).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.withColumns({f"_o{w}": F.coalesce(F.sum(f"_t{w}").over(earlier), F.lit(0)) for w in inner.values()})
+    offsets = land(offsets, "offsets")
+    before = Window.partitionBy(*places).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    rows = ranged.withColumns({f"_i{w}": F.coalesce(F.sum(w).over(before), F.lit(0)) for w in inner.values()})
+    first = offsets.select(*places, *[f"_o{w}" for w in inner.values()])
+    if group_cols:
+        rows = join_groups(rows, first, places)
+    else:
+        rows = rows.join(F.broadcast(first), "_part")  # one row per range partition
+    rows = rows.withColumns({name: (F.col(f"_o{w}") + F.col(f"_i{w}")).cast("long") for name, w in inner.items()})
+    rows = rows.drop(*[c for w in inner.values() for c in (w, f"_o{w}", f"_i{w}")])
+    totals = offsets.groupBy(*group_cols).agg(*[F.sum(f"_t{w}").alias(name) for name, w in inner.items()])
+    spans = offsets.select(
+        *places, *[F.col(f"_o{w}").alias(f"{name}_from") for name, w in inner.items()],
+        *[(F.col(f"_o{w}") + F.col(f"_t{w}")).alias(f"{name}_to") for name, w in inner.items()],
     )
-    d = d.withColumn("_bkt", bucket.cast("int")).drop("_px", "_lo", "_hi", "_nb")
+    return Ordered(rows, spans, totals)
 
-    per_bucket = d.groupBy(*group_cols, "_bkt").agg(*[F.sum(w).alias(f"_b{w}") for w in wnames.values()])
-    offset_window = (Window.partitionBy(*group_cols) if group_cols else Window).orderBy("_bkt").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = per_bucket.select(
-        *group_cols,
-        "_bkt",
-        *[F.coalesce(F.sum(f"_b{w}").over(offset_window), F.lit(0)).alias(f"_o{w}") for w in wnames.values()],
-    )
-    inner_window = Window.partitionBy(*group_cols, "_bkt").orderBy(*order_cols).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    d = d.withColumns({f"_i{w}": F.coalesce(F.sum(w).over(inner_window), F.lit(0)) for w in wnames.values()})
-    keys = [*group_cols, "_bkt"]
-    d = d.join(F.broadcast(offsets) if bounded_groups else offsets, keys, "inner")
-    d = d.withColumns({name: (F.col(f"_o{w}") + F.col(f"_i{w}")).cast("long") for name, w in wnames.items()})
-    drop = ["_bkt"] + [c for w in wnames.values() for c in (w, f"_o{w}", f"_i{w}")]
-    return d.drop(*drop)
+
+def prefix_before(
+    df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column], weights: dict[str, Column], parts: int | None = None
+) -> DataFrame:
+    """``df`` with the running sums of :func:`ordered`."""
+    return ordered(df, group_cols, order_cols, weights, parts).rows.drop("_part")
 
 
 # Salts per key value for numbering tied rows in parallel.
@@ -145,21 +110,20 @@ def dense_key(
     df: DataFrame,
     order_col: str,
     key_name: str,
-    buckets: int | None = None,
-    method: str = "bucketed",
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    method: str = "ranged",
     salts: int = KEY_SALTS,
     spread_ties: bool = True,
+    parts: int | None = None,
 ) -> DataFrame:
     """Surrogate key 1..n in ``order_col`` order, NULLs last (ROW_NUMBER semantics).
 
     Rows are salted by a hash of their content and counted per
-    (key, salt) with map-side combining; a bucketed prefix sum over those
+    (key, salt) with map-side combining; a prefix sum over those
     counts gives each (key, salt) its first position, and rows are numbered
     inside (key, salt) partitions. A key value repeated on a third of the
     rows is therefore numbered by up to ``salts`` tasks (only fully
     identical rows share a salt). ``spread_ties=False`` numbers rows
-    directly inside the ordered buckets -- cheaper, equally correct, meant
+    directly inside the range partitions -- cheaper, equally correct, meant
     for keys that are unique by construction (a grouped frame).
     ``method="window"`` is the plain single-partition form, kept for checks.
     """
@@ -167,47 +131,31 @@ def dense_key(
     if method == "window":
         return df.withColumn(key_name, F.row_number().over(Window.orderBy(order)).cast("long"))
     if not spread_ties:
-        out = prefix_before(df, [], [order], order_proxy(df, order_col), None, buckets, True, "_before", rows_per_bucket)
+        out = prefix_before(df, [], [order], {"_before": F.lit(1)}, parts)
         return out.withColumn(key_name, (F.col("_before") + 1).cast("long")).drop("_before")
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(int(salts))))
     counts = salted.groupBy(order_col, "_salt").agg(F.count(F.lit(1)).alias("_c"))
-    starts = prefix_before(
-        counts,
-        [],
-        [order, F.col("_salt").asc()],
-        order_proxy(counts, order_col),
-        F.col("_c"),
-        buckets,
-        True,
-        "_start",
-        rows_per_bucket,
-    ).select(F.col(order_col).alias("_k"), F.col("_salt").alias("_ks"), "_start")
-    cond = salted[order_col].eqNullSafe(starts["_k"]) & (salted["_salt"] == starts["_ks"])
-    joined = salted.join(starts, cond, "inner").drop("_k", "_ks")
+    starts = prefix_before(counts, [], [order, F.col("_salt").asc()], {"_start": F.col("_c")}, parts).drop("_c")
+    joined = join_groups(salted, starts, [order_col, "_salt"])
     inner = Window.partitionBy(order_col, "_salt").orderBy(F.col("_salt"))
-    return joined.withColumn(key_name, (F.col("_start") + F.row_number().over(inner)).cast("long")).drop(
-        "_salt", "_start"
-    )
+    return joined.withColumn(key_name, (F.col("_start") + F.row_number().over(inner)).cast("long")).drop("_salt", "_start")
+
+
+def present(df: DataFrame, value_col: str) -> Column:
+    """Neither NULL nor NaN."""
+    c = F.col(value_col)
+    if isinstance(df.schema[value_col].dataType, T.FloatType | T.DoubleType):
+        return c.isNotNull() & ~F.isnan(c)
+    return c.isNotNull()
 
 
 def _value_counts(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
     # map-side combine: a value shared by many rows becomes one row early
-    return (
-        df.where(F.col(value_col).isNotNull())
-        .groupBy(*group_cols, value_col)
-        .agg(F.count(F.lit(1)).alias("_cnt"))
-    )
+    return df.where(present(df, value_col)).groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("_cnt"))
 
 
-def value_ranks(
-    df: DataFrame,
-    group_cols: Sequence[str],
-    value_col: str,
-    buckets: int | None = None,
-    bounded_groups: bool = True,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-) -> DataFrame:
-    """Per distinct non-NULL (group, value): ``_cnt`` rows with the value,
+def value_ranks(df: DataFrame, group_cols: Sequence[str], value_col: str, parts: int | None = None) -> DataFrame:
+    """Per distinct present (group, value): ``_cnt`` rows with the value,
     ``_rows_before`` / ``_vals_before`` rows / distinct values smaller in the
     group, ``_n`` rows and ``_d`` distinct values in the group.
 
@@ -215,23 +163,14 @@ def value_ranks(
     """
     group_cols = list(group_cols)
     counts = _value_counts(df, group_cols, value_col)
-    ranked = prefix_before(
-        counts,
-        group_cols,
-        [F.col(value_col).asc()],
-        order_proxy(counts, value_col),
-        buckets=buckets,
-        bounded_groups=bounded_groups,
-        rows_per_bucket=rows_per_bucket,
-        weights={"_rows_before": F.col("_cnt"), "_vals_before": F.lit(1)},
-    )
-    totals = counts.groupBy(*group_cols).agg(F.sum("_cnt").alias("_n"), F.count(F.lit(1)).alias("_d"))
-    return _join_groups(ranked, totals, group_cols, bounded_groups)
+    o = ordered(counts, group_cols, [F.col(value_col).asc()], {"_rows_before": F.col("_cnt"), "_vals_before": F.lit(1)}, parts)
+    totals = o.totals.withColumnsRenamed({"_rows_before": "_n", "_vals_before": "_d"})
+    return join_groups(o.rows.drop("_part"), totals, group_cols)
 
 
 def avg_tie_percentile(ascending: bool = True) -> Column:
     """Percentile rank with average ties from :func:`value_ranks` columns:
-    (rows ordered before + (ties + 1) / 2) / non-NULL rows * 100."""
+    (rows ordered before + (ties + 1) / 2) / present rows * 100."""
     before = F.col("_rows_before") if ascending else F.col("_n") - F.col("_rows_before") - F.col("_cnt")
     avg_rank = (before + F.lit(1)).cast("double") + (F.col("_cnt") - F.lit(1)).cast("double") / F.lit(2.0)
     return avg_rank / F.col("_n").cast("double") * F.lit(100.0)
@@ -245,36 +184,22 @@ def dense_position(descending: bool = True) -> Column:
 
 
 def percentile_rank_by(
-    df: DataFrame,
-    group_cols: Sequence[str],
-    value_col: str,
-    ascending: bool = True,
-    out: str = "pct",
-    buckets: int | None = None,
-    bounded_groups: bool = True,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    df: DataFrame, group_cols: Sequence[str], value_col: str, ascending: bool = True, out: str = "pct", parts: int | None = None
 ) -> DataFrame:
     """Per distinct (group, value): percentile rank with average ties, in (0, 100].
 
-    pct = (rows ordered before + (ties + 1) / 2) / non-NULL rows * 100.
+    pct = (rows ordered before + (ties + 1) / 2) / present rows * 100.
     Returns (group_cols..., value_col, out); join it back on (group, value).
     """
-    r = value_ranks(df, group_cols, value_col, buckets, bounded_groups, rows_per_bucket)
+    r = value_ranks(df, group_cols, value_col, parts)
     return r.select(*group_cols, value_col, avg_tie_percentile(ascending).alias(out))
 
 
 def dense_rank_by(
-    df: DataFrame,
-    group_cols: Sequence[str],
-    value_col: str,
-    descending: bool = True,
-    out: str = "dense_rank",
-    buckets: int | None = None,
-    bounded_groups: bool = True,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    df: DataFrame, group_cols: Sequence[str], value_col: str, descending: bool = True, out: str = "dense_rank", parts: int | None = None
 ) -> DataFrame:
-    """Per distinct (group, value): dense rank (1 = first), NULL values excluded."""
-    r = value_ranks(df, group_cols, value_col, buckets, bounded_groups, rows_per_bucket)
+    """Per distinct (group, value): dense rank (1 = first), missing values excluded."""
+    r = value_ranks(df, group_cols, value_col, parts)
     return r.select(*group_cols, value_col, dense_position(descending).alias(out))
 
 
@@ -284,72 +209,50 @@ def exact_quantiles(
     value_col: str,
     probs: Sequence[tuple[str, float]],
     size_col: str | None = "pool_size",
-    buckets: int | None = None,
-    bounded_groups: bool = True,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    parts: int | None = None,
 ) -> DataFrame:
-    """Exact linearly interpolated quantiles per group (NULLs ignored).
+    """Exact linearly interpolated quantiles per group (missing values ignored).
 
     For n values sorted v[0..n-1] and probability q: rn = (n - 1) * q,
     result = v[floor(rn)] + (v[ceil(rn)] - v[floor(rn)]) * (rn - floor(rn)).
-    The order statistics are located with bucketed prefix counts and one
-    join against the (tiny) table of target positions, so no task ever
-    holds a whole group. Groups without values produce no row.
+    Each order statistic's range partition is found in the small offsets
+    table; only rows of such partitions meet it. Groups without values
+    produce no row.
     """
     group_cols = list(group_cols)
     counts = _value_counts(df, group_cols, value_col)
-    ranked = prefix_before(
-        counts,
-        group_cols,
-        [F.col(value_col).asc()],
-        order_proxy(counts, value_col),
-        F.col("_cnt"),
-        buckets,
-        bounded_groups,
-        rows_per_bucket=rows_per_bucket,
-    )
-    totals = counts.groupBy(*group_cols).agg(F.sum("_cnt").alias("_n"))
+    o = ordered(counts, group_cols, [F.col(value_col).asc()], {"_before": F.col("_cnt")}, parts)
+    totals = o.totals.withColumnRenamed("_before", "_n")
     spec = F.array(*[F.struct(F.lit(name).alias("_q"), F.lit(float(q)).alias("_p")) for name, q in probs])
+    rn = (F.col("_n") - 1).cast("double") * F.col("_t._p")
+    sides = F.array(
+        F.struct(F.lit("lo").alias("_side"), (F.floor("_rn") + 1).alias("_pos")),
+        F.struct(F.lit("hi").alias("_side"), (F.ceil("_rn") + 1).alias("_pos")),
+    )
     targets = (
         totals.select(*group_cols, "_n", F.explode(spec).alias("_t"))
-        .select(*group_cols, "_n", F.col("_t._q").alias("_q"), ((F.col("_n") - 1).cast("double") * F.col("_t._p")).alias("_rn"))
-        .withColumn("_lo", F.floor("_rn"))
-        .withColumn("_hi", F.ceil("_rn"))
-        .withColumn("_frac", F.col("_rn") - F.col("_lo").cast("double"))
-        .select(
-            *group_cols,
-            "_n",
-            "_q",
-            "_frac",
-            F.explode(
-                F.array(
-                    F.struct(F.lit("lo").alias("_side"), (F.col("_lo") + 1).alias("_pos")),
-                    F.struct(F.lit("hi").alias("_side"), (F.col("_hi") + 1).alias("_pos")),
-                )
-            ).alias("_s"),
-        )
+        .select(*group_cols, "_n", F.col("_t._q").alias("_q"), rn.alias("_rn"))
+        .select(*group_cols, "_n", "_q", (F.col("_rn") - F.floor("_rn")).alias("_frac"), F.explode(sides).alias("_s"))
         .select(*group_cols, "_n", "_q", "_frac", "_s._side", "_s._pos")
     )
-    targets = targets.select(*[F.col(g).alias(f"_tg_{g}") for g in group_cols], "_n", "_q", "_frac", "_side", "_pos")
-    t = F.broadcast(targets) if bounded_groups or not group_cols else targets
-    cond = [F.col(g) == F.col(f"_tg_{g}") for g in group_cols] + [
-        F.col("_pos") > F.col("_before"),
-        F.col("_pos") <= F.col("_before") + F.col("_cnt"),
-    ]
-    hits = ranked.join(t, cond, "inner").select(
-        *group_cols, "_n", "_q", "_frac", "_side", F.col(value_col).alias("_v")
+    located = join_groups(targets, o.offsets, group_cols) if group_cols else targets.join(
+        F.broadcast(o.offsets), (F.col("_pos") > F.col("_before_from")) & (F.col("_pos") <= F.col("_before_to"))
+    )
+    located = located.where((F.col("_pos") > F.col("_before_from")) & (F.col("_pos") <= F.col("_before_to")))
+    located = located.drop("_before_from", "_before_to")
+    hits = join_groups(o.rows, located, [*group_cols, "_part"]).where(
+        (F.col("_pos") > F.col("_before")) & (F.col("_pos") <= F.col("_before") + F.col("_cnt"))
     )
     picked = hits.groupBy(*group_cols, "_n", "_q").agg(
-        F.max(F.when(F.col("_side") == "lo", F.col("_v"))).alias("_lv"),
-        F.max(F.when(F.col("_side") == "hi", F.col("_v"))).alias("_hv"),
+        F.max(F.when(F.col("_side") == "lo", F.col(value_col))).alias("_lv"),
+        F.max(F.when(F.col("_side") == "hi", F.col(value_col))).alias("_hv"),
         F.max("_frac").alias("_frac"),
     )
-    value = F.col("_lv") + (F.col("_hv") - F.col("_lv")) * F.col("_frac")
+    # equal ends stay themselves, so that an infinite value does not become NaN
+    value = F.when(F.col("_lv") == F.col("_hv"), F.col("_lv")).otherwise(
+        F.col("_lv") + (F.col("_hv") - F.col("_lv")) * F.col("_frac")
+    )
     picked = picked.select(*group_cols, "_n", "_q", value.alias("_val"))
     names = [name for name, _ in probs]
     wide = picked.groupBy(*group_cols, "_n").pivot("_q", names).agg(F.first("_val"))
-    if size_col:
-        wide = wide.withColumnRenamed("_n", size_col)
-    else:
-        wide = wide.drop("_n")
-    return wide
+    return wide.withColumnRenamed("_n", size_col) if size_col else wide.drop("_n")

@@ -1,4 +1,4 @@
-"""Row selection and scalar broadcast helpers."""
+"""Row selection per key and per group."""
 
 from __future__ import annotations
 
@@ -8,27 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def attach_scalars(df: DataFrame, scalars: DataFrame) -> DataFrame:
-    """Cross join a one-row statistics frame (mean, median, max ...) as columns.
-
-    The one-row side is broadcast; the statistics never reach the driver.
-    """
-    return df.crossJoin(F.broadcast(scalars))
-
-
 def latest_per_key(df: DataFrame, key_cols: Sequence[str], ordering: Sequence[Column]) -> DataFrame:
-    """Keep, per key, the row with the largest ``ordering`` tuple.
+    """Keep, per key, the row with the largest ``ordering`` tuple (NULL smallest).
 
-    An aggregate (``max_by`` over a struct), so partial aggregation runs
-    map-side and a key holding a third of the rows costs no single task more
+    ``row_number() = 1`` is planned with a group limit before the shuffle, so
+    each map task forwards one row per key and a hot key costs no task more
     than its share. ``ordering`` must not tie within a key.
     """
-    key_cols = list(key_cols)
-    others = [c for c in df.columns if c not in key_cols]
-    packed = F.struct(*[F.col(c) for c in others])
-    order = F.struct(*ordering)
-    picked = df.groupBy(*key_cols).agg(F.max_by(packed, order).alias("_row"))
-    return picked.select(*key_cols, *[F.col(f"_row.{c}").alias(c) for c in others])
+    return top_n_per_group(df, key_cols, [c.desc_nulls_last() for c in ordering], 1)
 
 
 def top_n_per_group(df: DataFrame, group_cols: Sequence[str], ordering: Sequence[Column], n: int, rank_col: str = "_rn") -> DataFrame:

@@ -32,9 +32,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder
-    and is used as is. Only when nothing is configured (local tests) a fresh
-    folder is created under the system temp directory.
+    On a cluster ``spark.checkpoint.dir`` must name a folder that all executors
+    share; without it this raises. Only a local master (tests) gets a fresh
+    folder under the system temp directory.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -42,6 +42,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="boxstar-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -53,22 +56,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/boxstar-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder: survives executor loss,
-    bounds plan size, and lets several consumers share one computation."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def land(df: DataFrame, name: str) -> DataFrame:
+def land(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table under the shared checkpoint folder and
     read it back.
 
     Same guarantees as a reliable checkpoint (durable, lineage cut), plus
     columnar storage: later scans read only the columns they use, push
-    filters down, and give the planner real sizes for join choices.
+    filters down, and give the planner real sizes for join choices. The
+    tables stay in the checkpoint folder until that is cleaned.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        # rows of a partition value meet in few files; large values stay split
+        writer = df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by)
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path) if partition_by else spark.read.parquet(path)

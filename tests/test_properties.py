@@ -18,7 +18,7 @@ values = st.lists(
 @given(rows=values, asc=st.booleans())
 def test_percentile_rank_property(spark, rows, asc):
     df = spark.createDataFrame(rows, "g string, v double")
-    got = {(r["g"], r["v"]): r["p"] for r in percentile_rank_by(df, ["g"], "v", asc, "p", buckets=3, rows_per_bucket=1).collect()}
+    got = {(r["g"], r["v"]): r["p"] for r in percentile_rank_by(df, ["g"], "v", asc, "p", parts=3).collect()}
     pdf = pd.DataFrame(rows, columns=["g", "v"])
     pdf["p"] = pdf.groupby("g")["v"].rank(pct=True, method="average", ascending=asc) * 100
     for g, v, p in pdf.itertuples(index=False):
