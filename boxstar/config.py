@@ -38,6 +38,8 @@ NA_TOKENS = (
 # Position flag text -> 0/1; anything else becomes NULL.
 FLAG_TRUE = ("True", "true", "1")
 FLAG_FALSE = ("False", "false", "0")
+# Words that make a column boolean when it holds nothing else.
+FLAG_WORDS = ("True", "TRUE", "true", "False", "FALSE", "false")
 
 # Draft fields: sentinel values meaning "unknown".
 DRAFT_SENTINELS = (-1, -22)
@@ -198,8 +200,50 @@ WAREHOUSE_TABLES = (
     "team_stats_fact",
 )
 
+# Column orders and types of the players dimension and the two facts.
+PLAYER_COLUMNS = (
+    ("personId", "long"),
+    ("firstName", "string"),
+    ("lastName", "string"),
+    ("birthdate", "date"),
+    ("lastAttended", "string"),
+    ("country", "string"),
+    ("height", "double"),
+    ("bodyWeight", "double"),
+    ("guard", "int"),
+    ("forward", "int"),
+    ("center", "int"),
+    ("draftYear", "double"),
+    ("draftRound", "double"),
+    ("draftNumber", "double"),
+)
+BOX_STATS = (
+    "points", "assists", "blocks", "steals", "fieldGoalsAttempted", "fieldGoalsMade",
+    "fieldGoalsPercentage", "threePointersAttempted", "threePointersMade",
+    "threePointersPercentage", "freeThrowsAttempted", "freeThrowsMade", "freeThrowsPercentage",
+    "reboundsDefensive", "reboundsOffensive", "reboundsTotal", "foulsPersonal", "turnovers",
+    "plusMinusPoints",
+)
+TEAM_STATS = (
+    "teamScore", "opponentScore", "assists", "blocks", "steals", "fieldGoalsAttempted",
+    "fieldGoalsMade", "fieldGoalsPercentage", "threePointersAttempted", "threePointersMade",
+    "threePointersPercentage", "freeThrowsAttempted", "freeThrowsMade", "freeThrowsPercentage",
+    "reboundsDefensive", "reboundsOffensive", "reboundsTotal", "foulsPersonal", "turnovers",
+    "plusMinusPoints", "numMinutes", "q1Points", "q2Points", "q3Points", "q4Points",
+    "benchPoints", "biggestLead", "biggestScoringRun", "leadChanges", "pointsFastBreak",
+    "pointsFromTurnovers", "pointsInThePaint", "pointsSecondChance", "timesTied",
+    "timeoutsRemaining", "seasonWins", "seasonLosses",
+)
+
+# Columns without which the inputs cannot be read as box scores.
+REQUIRED_COLUMNS = {
+    "players": ("personId", "firstName", "lastName"),
+    "player_stats": ("personId", "gameId", "gameDateTimeEst", "gameType", "playerteamName", "opponentteamName", "numMinutes", *BOX_STATS),
+    "team_stats": ("gameId", "gameDateTimeEst", "teamName", "teamCity", "opponentTeamName", "coachId", *TEAM_STATS),
+}
+
 # ---------------------------------------------------------------------------
-# default parameters (the original analysis values)
+# fixed values: default parameters (the original analysis values)
 # ---------------------------------------------------------------------------
 
 POOL_MIN_MINUTES = 750
@@ -215,3 +259,19 @@ TOP_TEAMS_MIN_GAMES = 100
 TOP_TEAMS_LIMIT = 10
 PROFILE_TEAM = "thunder"
 LEADERBOARD_PER_ROLE = 5
+
+# ---------------------------------------------------------------------------
+# own parameters
+# ---------------------------------------------------------------------------
+
+# Time formats tried in this order on a column's first value.
+TIMESTAMP_FORMATS = (
+    "yyyy-MM-dd HH:mm:ss",
+    "yyyy-MM-dd'T'HH:mm:ss",
+    "yyyy-MM-dd'T'HH:mm:ssXXX",
+    "yyyy-MM-dd HH:mm",
+    "yyyy-MM-dd",
+    "MM/dd/yyyy HH:mm:ss",
+    "MM/dd/yyyy HH:mm",
+    "MM/dd/yyyy",
+)

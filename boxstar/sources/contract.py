@@ -19,6 +19,9 @@ def require_inputs(available: Mapping[str, DataFrame | None], required: Iterable
         raise FileNotFoundError("Missing required inputs: " + ", ".join(missing))
 
 
-def missing_columns(df: DataFrame, required: Iterable[str]) -> list[str]:
+def require_columns(name: str, df: DataFrame, required: Iterable[str]) -> None:
+    """Raise ValueError listing the columns that input ``name`` lacks."""
     have = set(df.columns)
-    return [c for c in required if c not in have]
+    missing = [c for c in required if c not in have]
+    if missing:
+        raise ValueError(f"input {name} lacks columns: " + ", ".join(missing))

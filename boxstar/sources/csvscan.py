@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,46 +16,62 @@ from boxstar.functions.cleaning import null_na_tokens
 def apply_na_tokens(df: DataFrame, tokens: Iterable[str] = config.NA_TOKENS) -> DataFrame:
     """NULL every string field that is exactly one of the NA tokens."""
     tokens = list(tokens)
-    cols = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, T.StringType):
-            cols.append(null_na_tokens(F.col(f.name), tokens).alias(f.name))
-        else:
-            cols.append(F.col(f.name))
-    return df.select(*cols)
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    return df.select(*[null_na_tokens(F.col(c), tokens).alias(c) if c in text else F.col(c) for c in df.columns])
 
 
-def read_box_csv(spark: SparkSession, path: str, tokens: Iterable[str] = config.NA_TOKENS) -> DataFrame:
-    """Read a CSV with a header as all-string columns.
-
-    * header names are stripped of surrounding whitespace,
-    * quotes are escaped by doubling (``"a ""q"", b"``),
-    * every NA token (not only one ``nullValue``) becomes NULL,
-    * types are applied later by the cleaning and cast specs.
-
-    The header is read from the first line only (a tiny bounded read); the
-    scan itself is a normal distributed CSV scan with an explicit schema.
-    """
-    header = (
-        spark.read.option("header", "false").option("quote", '"').option("escape", '"').csv(path).limit(1).collect()
-    )
-    if not header:
-        return spark.createDataFrame([], T.StructType([]))
-    names = [str(v).strip() if v is not None else f"_c{i}" for i, v in enumerate(header[0])]
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(len(names))])
-    raw = (
-        spark.read.schema(schema)
-        .option("header", "true")
-        .option("quote", '"')
+def _reader(spark: SparkSession, multi_line: bool):
+    return (
+        spark.read.option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", "false")
+        .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
         # keep empty strings and whitespace as read; NA handling follows
         .option("nullValue", "\u0000")
         .option("emptyValue", "")
         .option("ignoreLeadingWhiteSpace", "false")
         .option("ignoreTrailingWhiteSpace", "false")
-        .csv(path)
     )
-    raw = raw.toDF(*names)
-    return apply_na_tokens(raw, tokens)
+
+
+def read_box_csv(
+    spark: SparkSession, path: str, tokens: Iterable[str] = config.NA_TOKENS, multi_line: bool = True
+) -> DataFrame:
+    """Read a CSV file, or a folder of CSV files, with headers as all-string columns.
+
+    * header names are stripped of surrounding whitespace,
+    * quotes are escaped by doubling (``"a ""q"", b"``), quoted fields may hold
+      line breaks,
+    * every NA token (not only one ``nullValue``) becomes NULL,
+    * types are applied later by the cleaning and cast specs.
+
+    Each file is read by its own header: files with the same columns in another
+    order are lined up by name, files with other columns raise ValueError. A
+    path that is not there raises FileNotFoundError. Only headers are read
+    up front (one line per file); ``multi_line=False`` lets Spark split large
+    files that are known to hold no line break inside quotes.
+    """
+    reader = lambda: _reader(spark, multi_line)
+    try:
+        files = sorted(reader().schema("_c0 string").csv(path).inputFiles())
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in str(error):
+            raise FileNotFoundError(f"no input at {path}") from error
+        raise
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for f in files:
+        first = reader().option("header", "false").csv(f).limit(1).collect()
+        if first:
+            names = tuple(str(v).strip() if v is not None else f"_c{i}" for i, v in enumerate(first[0]))
+            by_header.setdefault(names, []).append(f)
+    if not by_header:
+        return spark.createDataFrame([], T.StructType([]))
+    columns = next(iter(by_header))
+    out = None
+    for names, same in by_header.items():
+        if set(names) != set(columns):
+            raise ValueError(f"{same[0]} has other columns than the files before it: {sorted(set(names) ^ set(columns))}")
+        schema = T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(len(names))])
+        part = reader().option("header", "true").option("enforceSchema", "true").schema(schema).csv(same).toDF(*names)
+        out = part if out is None else out.unionByName(part)
+    return apply_na_tokens(out, tokens)

@@ -1,5 +1,6 @@
 """The CSV path (original file inputs) gives the same results as the bindings."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from boxstar.plans.recipes import STANDIN, Analysis
@@ -26,7 +27,7 @@ def _rows(df):
     return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=lambda t: tuple((x is None, repr(x)) for x in t))
 
 
-def test_from_csv_matches_bindings(spark, tmp_path):
+def _inputs(spark, tmp_path, change=lambda name, df: df):
     paths = {}
     for name, fn in (
         ("players", bindings.players_source),
@@ -34,7 +35,40 @@ def test_from_csv_matches_bindings(spark, tmp_path):
         ("team_stats", bindings.team_stats_source),
     ):
         paths[name] = str(tmp_path / name)
-        _to_csv(fn(spark, SF), paths[name])
+        _to_csv(change(name, fn(spark, SF)), paths[name])
+    return paths
+
+
+def test_from_csv_reads_iso_times(spark, tmp_path):
+    def iso(name, df):
+        t = "gameDateTimeEst"
+        return df.withColumn(t, F.regexp_replace(F.col(t).cast("string"), " ", "T")) if t in df.columns else df
+
+    p = _inputs(spark, tmp_path, iso)
+    got = Analysis.from_csv(spark, p["players"], p["player_stats"], p["team_stats"], params=STANDIN)
+    direct = Analysis(spark, SF)
+    assert _rows(got.top_teams()) == _rows(direct.top_teams())
+    assert got.season_rows.count() == direct.season_rows.count() > 0
+
+
+def test_from_csv_names_what_is_missing(spark, tmp_path):
+    p = _inputs(spark, tmp_path, lambda name, df: df.drop("coachId"))
+    with pytest.raises(FileNotFoundError, match="player_stats"):
+        Analysis.from_csv(spark, p["players"], str(tmp_path / "no.csv"), p["team_stats"])
+    with pytest.raises(ValueError, match="team_stats lacks columns: coachId"):
+        Analysis.from_csv(spark, p["players"], p["player_stats"], p["team_stats"])
+
+
+def test_from_csv_refuses_unreadable_times(spark, tmp_path):
+    bad = lambda name, df: df.withColumn("gameDateTimeEst", F.lit("soon")) if "gameDateTimeEst" in df.columns else df
+    p = _inputs(spark, tmp_path, bad)
+    a = Analysis.from_csv(spark, p["players"], p["player_stats"], p["team_stats"], params=STANDIN)
+    with pytest.raises(ValueError, match="soon"):
+        a.top_teams()
+
+
+def test_from_csv_matches_bindings(spark, tmp_path):
+    paths = _inputs(spark, tmp_path)
     from_csv = Analysis.from_csv(spark, paths["players"], paths["player_stats"], paths["team_stats"], params=STANDIN)
     direct = Analysis(spark, SF)
     assert _rows(from_csv.row_counts()) == _rows(direct.row_counts())

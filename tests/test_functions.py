@@ -19,6 +19,8 @@ from boxstar.functions import (
     season_end_year,
     season_label,
     threshold_ladder,
+    to_double,
+    to_whole,
 )
 
 
@@ -47,6 +49,28 @@ def test_flags(spark):
     assert got == [1, 0, 1, 0, None, None, None, None, 1, 0]
 
 
+@pytest.mark.parametrize(
+    "values,want",
+    [
+        (["1.0", "0.0", None, "1.0"], [1, 0, None, 1]),  # a column of numbers
+        (["TRUE", "False", None], [1, 0, None]),  # a column of boolean words
+        (["True", "1", "TRUE", "yes", "1.0"], [1, 1, None, None, None]),  # mixed text
+    ],
+)
+def test_flag_columns_are_read_by_their_type(spark, values, want):
+    from boxstar.plans.clean import clean_players
+
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, guard string")
+    assert [r["guard"] for r in clean_players(df).orderBy("i").collect()] == want
+
+
+def test_whole_numbers_from_text(spark):
+    got = col_values(spark, ["1", "1.0", "True", "false", " 0 ", "1.5", "12d", "inf", "1e999", None], to_whole)
+    assert got == [1, 1, 1, 0, 0, None, None, None, None, None]
+    assert col_values(spark, ["1e999", "1e3", "inf"], to_double) == [None, 1000.0, None]
+    assert col_values(spark, ["1e999", "1:1e999"], parse_minutes) == [None, None]
+
+
 def test_range_masks(spark):
     h = col_values(spark, [64.0, 65.0, 90.0, 91.0, None], lambda c: mask_outside(c, 65, 90), "v double")
     w = col_values(spark, [119.0, 120.0, 400.0, 401.0], lambda c: mask_outside(c, 120, 400), "v double")
