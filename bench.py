@@ -10,7 +10,8 @@ times; the median is reported. Results are forced with the ``noop`` sink
 * each analysis is timed on top of the landed results of the step before it
   (warehouse -> player pool -> scored pool -> benchmarks -> tiers), like the
   original's build-once / analyse-many workflow.
-* ``leaderboard_cold``: the flagship end to end from Parquet, nothing reused.
+* ``*_cold``: end to end from Parquet, nothing reused; ``leaderboard_cold`` is
+  the flagship.
 
 Prints one JSON line.
 """
@@ -25,7 +26,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from boxstar.plans import audits  # noqa: E402
 from boxstar.plans.recipes import Analysis  # noqa: E402
 from boxstar.session import local_session  # noqa: E402
 
@@ -50,61 +50,48 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app="boxstar-bench")
 
+    def fresh() -> Analysis:
+        return Analysis(spark, sf_dir)
+
     def build():
-        a = Analysis(spark, sf_dir)
+        a = fresh()
         force(a.warehouse.player_stats_fact)
         force(a.warehouse.team_stats_fact)
         return a
 
     built = build()
+    ready = Analysis(spark, sf_dir, warehouse=built.warehouse)
+    ready.active_tiers  # every step landed once
 
-    def derived(**landed) -> Analysis:
-        """Fresh analysis state on top of already landed results."""
-        b = Analysis(spark, sf_dir)
-        for name in ("players_raw", "player_stats_raw", "team_stats_raw", "warehouse", *landed):
-            b.__dict__[name] = landed.get(name, getattr(built, name, None))
+    def after(*steps: str) -> Analysis:
+        """Fresh analysis over the landed warehouse and the landed results of ``steps``."""
+        b = Analysis(spark, sf_dir, warehouse=built.warehouse)
+        b.__dict__.update({name: ready.__dict__[name] for name in steps})
         return b
 
     def audits_all():
-        b = derived()
-        for df in audits.run_audits(spark, b.warehouse, b.warehouse.tables(), b.params.active_years).values():
+        for df in after().audits().values():
             force(df)
 
-    pool_ready = derived()
-    pool_ready.season_rows  # land once for the downstream recipes
-    scored_ready = derived(season_rows=pool_ready.season_rows)
-    scored_ready.scored
-    bench_ready = derived(season_rows=pool_ready.season_rows, scored=scored_ready.scored)
-    bench_ready.benchmarks
-
-    def player_pool():
-        force(derived().pool)
-
-    def role_scores():
-        derived(season_rows=pool_ready.season_rows).scored
-
-    def role_benchmarks():
-        derived(season_rows=pool_ready.season_rows, scored=scored_ready.scored).benchmarks
-
     def tiers_and_board():
-        b = derived(season_rows=pool_ready.season_rows, scored=scored_ready.scored, benchmarks=bench_ready.benchmarks)
+        b = after("season_rows", "pool", "scored", "benchmarks")
         force(b.leaderboard())
         force(b.tier_distribution())
 
-    def cold():
-        force(Analysis(spark, sf_dir).leaderboard())
-
     recipes = {
         "warehouse_build": build,
         "audits": audits_all,
-        "win_loss_summary": lambda: force(derived().win_loss),
-        "top_teams": lambda: force(derived().top_teams()),
-        "team_profile": lambda: force(derived().team_profile()),
-        "player_pool": player_pool,
-        "role_scores": role_scores,
-        "role_benchmarks": role_benchmarks,
+        "win_loss_summary": lambda: force(after().win_loss),
+        "top_teams": lambda: force(after().top_teams()),
+        "team_profile": lambda: force(after().team_profile()),
+        "player_pool": lambda: force(after().pool),
+        "role_scores": lambda: after("season_rows", "pool").scored,
+        "role_benchmarks": lambda: after("season_rows", "pool", "scored").benchmarks,
         "tiers_leaderboard": tiers_and_board,
-        "leaderboard_cold": cold,
+        "win_loss_cold": lambda: force(fresh().win_loss),
+        "top_teams_cold": lambda: force(fresh().top_teams()),
+        "player_pool_cold": lambda: force(fresh().pool),
+        "leaderboard_cold": lambda: force(fresh().leaderboard()),
     }
     results = {name: round(timed(fn, runs), 3) for name, fn in recipes.items()}
     sf = os.path.basename(sf_dir).removeprefix("sf")

@@ -1,25 +1,30 @@
 """The analyses wired together over one set of inputs.
 
-``Analysis`` lands the cleaned raw inputs and the dimensions once (Parquet
-tables in the shared checkpoint folder), keeps the facts lazy, and
-exposes every recipe as a DataFrame. The player-season pool and the scored
-pool are landed too: each feeds several consumers (z-scores, nine
+``Analysis`` lands the cleaned raw inputs and the dimensions it needs once
+(Parquet tables in the shared checkpoint folder; box rows by year), keeps the
+facts lazy, and exposes every recipe as a DataFrame. The player-season pool and
+the scored pool are landed too: each feeds several consumers (z-scores, nine
 percentile ranks, benchmarks, active pool), which would otherwise
-re-aggregate the fact each time.
+re-aggregate the box rows each time.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from boxstar import config
+from boxstar.functions.cleaning import pick_format
 from boxstar.plans import audits, clean, pool, roles, teams, tiers
-from boxstar.plans.warehouse import Warehouse, build_warehouse, row_count_summary
+from boxstar.plans.warehouse import Warehouse, open_warehouse, row_count_summary
 from boxstar.session import land
 from boxstar.sources import bindings
+from boxstar.sources.contract import require_columns, require_inputs
+from boxstar.sources.csvscan import read_box_csv
 
 
 @dataclass(frozen=True)
@@ -60,14 +65,27 @@ STANDIN = Params(
 )
 
 
-@dataclass
 class Analysis:
-    spark: SparkSession
-    sf_dir: str
-    params: Params = field(default_factory=lambda: STANDIN)
-    key_method: str = "bucketed"
-    land: bool = True
-    broadcast_rows: int | None = 2_000_000
+    """Recipes over the stand-in tables of ``sf_dir``, over three CSV files
+    (:meth:`from_csv`) or over a written warehouse (:meth:`from_warehouse`).
+
+    Every table and result is made and landed on first use. With ``strict``, an
+    empty pool or an empty current pool raises ValueError.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str = "", params: Params | None = None, key_method: str = "ranged",
+                 strict: bool = False, warehouse: Warehouse | None = None):
+        self.spark, self.sf_dir, self.strict = spark, sf_dir, strict
+        self.params = params or STANDIN
+        self.warehouse = warehouse or Warehouse(self._standin_sources(), key_method, stage=land)
+
+    def _standin_sources(self):
+        spark, sf = self.spark, self.sf_dir
+        return {
+            "players_raw": lambda: land(clean.clean_players(bindings.players_source(spark, sf)), "players_raw"),
+            "player_stats_raw": lambda: _land_box(clean.clean_box_stats(bindings.player_stats_source(spark, sf)), "player_stats_raw"),
+            "team_stats_raw": lambda: _land_box(clean.clean_box_stats(bindings.team_stats_source(spark, sf)), "team_stats_raw"),
+        }
 
     @classmethod
     def from_csv(
@@ -77,55 +95,68 @@ class Analysis:
         player_stats_csv: str,
         team_stats_csv: str,
         params: Params | None = None,
-        **options,
+        time_formats: Sequence[str] = config.TIMESTAMP_FORMATS,
+        strict: bool = False,
+        multi_line: bool = True,
+        key_method: str = "ranged",
     ) -> "Analysis":
-        """The recipes over the three original box-score CSV files
-        (players, player statistics, team statistics)."""
-        from boxstar.sources.csvscan import read_box_csv
-
-        a = cls(spark, sf_dir="", params=params or Params(), **options)
-        a.__dict__["players_raw"] = a._stage(clean.clean_players(read_box_csv(spark, players_csv)), "players_raw")
-        a.__dict__["player_stats_raw"] = a._stage(
-            clean.clean_box_stats(read_box_csv(spark, player_stats_csv)), "player_stats_raw"
-        )
-        a.__dict__["team_stats_raw"] = a._stage(
-            clean.clean_box_stats(read_box_csv(spark, team_stats_csv)), "team_stats_raw"
-        )
-        return a
+        """The recipes over the three original box-score CSV files.
+
+        Missing files or columns are named in the error. Each time column is read
+        in the format of its first value that follows one of ``time_formats``;
+        values in another format become NULL, and game times of which none can be
+        read raise ValueError.
+        """
+        paths = {"players": players_csv, "player_stats": player_stats_csv, "team_stats": team_stats_csv}
+        raw: dict[str, DataFrame | None] = {}
+        for name, path in paths.items():
+            try:
+                raw[name] = read_box_csv(spark, path, multi_line=multi_line)
+            except FileNotFoundError:
+                raw[name] = None
+        require_inputs(raw, paths)
+        for name, columns in config.REQUIRED_COLUMNS.items():
+            require_columns(name, raw[name], columns)
+
+        def box(name: str) -> DataFrame:
+            fmt = pick_format(raw[name], "gameDateTimeEst", time_formats)
+            unread = [] if fmt else raw[name].where(F.col("gameDateTimeEst").isNotNull()).select("gameDateTimeEst").limit(1).collect()
+            if unread:
+                raise ValueError(f"input {name}: no game time can be read, such as {unread[0][0]!r}")
+            return _land_box(clean.clean_box_stats(raw[name], ts_format=fmt or clean.TIMESTAMP_FORMAT), f"{name}_raw")
+
+        def people() -> DataFrame:
+            born = next((c for c in ("birthDate", "birthdate") if c in raw["players"].columns), None)
+            fmt = pick_format(raw["players"], born, (clean.DATE_FORMAT, *time_formats)) if born else None
+            return land(clean.clean_players(raw["players"], fmt or clean.DATE_FORMAT), "players_raw")
+
+        sources = {"players_raw": people, "player_stats_raw": lambda: box("player_stats"), "team_stats_raw": lambda: box("team_stats")}
+        return cls(spark, params=params or Params(), strict=strict, warehouse=Warehouse(sources, key_method, stage=land))
 
-    def _stage(self, df: DataFrame, name: str = "stage") -> DataFrame:
-        return land(df, name) if self.land else df
+    @classmethod
+    def from_warehouse(cls, spark: SparkSession, root: str, params: Params | None = None, strict: bool = False) -> "Analysis":
+        """The recipes over the tables that ``write_warehouse`` has left under ``root``."""
+        stored = open_warehouse(spark, root)
+        require_inputs(stored, config.WAREHOUSE_TABLES)
+        return cls(spark, params=params or Params(), strict=strict, warehouse=Warehouse({}, stored=stored))
 
-    # -- inputs --------------------------------------------------------------
-    @cached_property
+    @property
     def players_raw(self) -> DataFrame:
-        return self._stage(clean.clean_players(bindings.players_source(self.spark, self.sf_dir)), "players_raw")
+        return self.warehouse.players_raw
 
-    @cached_property
+    @property
     def player_stats_raw(self) -> DataFrame:
-        return self._stage(clean.clean_box_stats(bindings.player_stats_source(self.spark, self.sf_dir)), "player_stats_raw")
+        return self.warehouse.player_stats_raw
 
-    @cached_property
+    @property
     def team_stats_raw(self) -> DataFrame:
-        return self._stage(clean.clean_box_stats(bindings.team_stats_source(self.spark, self.sf_dir)), "team_stats_raw")
-
-    # -- warehouse -----------------------------------------------------------
-    @cached_property
-    def warehouse(self) -> Warehouse:
-        return build_warehouse(
-            self.players_raw,
-            self.player_stats_raw,
-            self.team_stats_raw,
-            self.key_method,
-            stage=self._stage,
-            broadcast_rows=self.broadcast_rows if self.land else None,
-        )
+        return self.warehouse.team_stats_raw
 
     def row_counts(self) -> DataFrame:
-        return row_count_summary(self.warehouse.tables())
+        return row_count_summary(self.warehouse.counting_tables())
 
-    def audits(self, present) -> dict[str, DataFrame]:
-        return audits.run_audits(self.spark, self.warehouse, present, self.params.active_years)
+    def audits(self, stored: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+        return audits.run_audits(self.warehouse, stored or self.warehouse.counting_tables(), self.params.active_years)
 
     # -- team analyses -------------------------------------------------------
     @cached_property
@@ -134,68 +165,45 @@ class Analysis:
 
     def top_teams(self) -> DataFrame:
         p = self.params
-        wh = self.warehouse
-        fact = wh.team_fact(keys=("teamKey", "dateKey"))
-        return teams.top_teams(fact, wh.teams, wh.dates, p.top_since_year, p.top_min_games, p.top_limit)
+        fact = self.warehouse.team_fact(keys=("teamKey",), since_year=p.top_since_year)
+        return teams.top_teams(fact, self.warehouse.teams, p.top_since_year, p.top_min_games, p.top_limit)
 
     def team_profile(self) -> DataFrame:
         p = self.params
-        wh = self.warehouse
-        fact = wh.team_fact(keys=("teamKey", "dateKey"))
-        return teams.team_profile(fact, wh.teams, wh.dates, p.profile_team, p.top_since_year)
+        fact = self.warehouse.team_fact(keys=("teamKey",), since_year=p.top_since_year)
+        return teams.team_profile(fact, self.warehouse.teams, p.profile_team)
 
     # -- player benchmarks ---------------------------------------------------
     @cached_property
     def season_rows(self) -> DataFrame:
         p = self.params
         wh = self.warehouse
-        return self._stage(
-            pool.season_aggregates(
-                wh.player_fact(keys=("gameKey", "dateKey")), wh.players, wh.dates, p.pool_min_minutes, p.pool_min_games
-            ),
-            "season_rows",
-        )
+        return land(pool.season_aggregates(wh.player_stats_raw, wh.players, p.pool_min_minutes, p.pool_min_games), "season_rows")
 
     @cached_property
     def pool(self) -> DataFrame:
-        from pyspark.sql import functions as F
-
-        from boxstar.functions.calendar import season_label
-
         p = self.params
-        labelled = self.season_rows.withColumns(
-            {
-                "player": F.concat(F.col("firstName"), F.lit(" "), F.col("lastName")),
-                "season_label": season_label("season_end_year"),
-            }
-        )
-        return pool.impute_shooting(labelled, p.tp_min_attempts, p.fg_min_attempts)
+        return land(pool.player_season_pool(self.season_rows, p.tp_min_attempts, p.fg_min_attempts, self.strict), "pool")
 
     @cached_property
     def roles(self) -> DataFrame:
-        return roles.assign_roles(self.pool)
+        return land(roles.assign_roles(self.pool), "roles")
 
     @cached_property
     def scored(self) -> DataFrame:
-        return self._stage(roles.score_roles(self._stage(self.roles, "roles"), stage=self._stage if self.land else None), "scored")
+        return land(roles.score_roles(self.roles, stage=land), "scored")
 
     @cached_property
     def benchmarks(self) -> DataFrame:
-        return self._stage(tiers.role_benchmarks(self.spark, self.scored), "benchmarks")
+        return land(tiers.role_benchmarks(self.spark, self.scored), "benchmarks")
 
     @cached_property
     def active(self) -> DataFrame:
         p = self.params
         wh = self.warehouse
         return tiers.active_players(
-            self.scored,
-            wh.player_fact(keys=("dateKey",)),
-            wh.dates,
-            p.active_min_minutes,
-            p.active_min_games,
-            p.active_years,
-            p.recent_seasons,
-            stage=self._stage if self.land else None,
+            self.scored, wh.player_stats_raw, wh.players, p.active_min_minutes, p.active_min_games, p.active_years,
+            p.recent_seasons, strict=self.strict,
         )
 
     @cached_property
@@ -204,7 +212,7 @@ class Analysis:
 
     @cached_property
     def active_tiers(self) -> DataFrame:
-        return self._stage(tiers.overall_tier(self.metric_tiers), "active_tiers")
+        return land(tiers.overall_tier(self.metric_tiers), "active_tiers")
 
     def window_label(self) -> DataFrame:
         return tiers.window_label(self.scored, self.params.recent_seasons)
@@ -214,3 +222,8 @@ class Analysis:
 
     def tier_distribution(self) -> DataFrame:
         return tiers.tier_distribution(self.spark, self.active_tiers)
+
+
+def _land_box(df: DataFrame, name: str) -> DataFrame:
+    """Box rows, landed by year of the game."""
+    return land(clean.with_year(df), name, partition_by="_year")

@@ -20,16 +20,18 @@ from boxstar.functions.numeric import round_half_away
 from boxstar.operators.ordered import dense_key, dense_rank_by, exact_quantiles, percentile_rank_by
 from boxstar.plans import audits, teams, tiers
 from boxstar.plans.recipes import Analysis
+from boxstar.plans.warehouse import open_warehouse, row_count_summary, write_warehouse
 from boxstar.session import scratch_path
 from boxstar.sources.csvscan import read_box_csv
-from boxstar.sources.landing import read_table, write_table  # noqa: F401
+from boxstar.sources.landing import read_table, write_table
 
-_CACHE: dict[tuple[int, str], Analysis] = {}
+_CACHE: dict[tuple[str, str], Analysis] = {}
 
 
 def analysis(spark: SparkSession, sf_dir: str, fresh: bool = False) -> Analysis:
-    """One Analysis per (session, input folder); ``fresh`` rebuilds it."""
-    key = (id(spark), sf_dir.rstrip("/"))
+    """One Analysis per (application, input folder); ``fresh`` rebuilds it, as is
+    needed when the input files change in place."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if fresh or key not in _CACHE:
         _CACHE[key] = Analysis(spark, sf_dir)
     return _CACHE[key]
@@ -61,7 +63,9 @@ def q_csv_scan_na(spark, sf_dir):
     k = F.col("p_partkey")
     text = part.select(
         k.cast("string").alias(" p_partkey"),
-        F.when(k % 17 == 0, F.concat(F.col("p_name"), F.lit(' "q", x'))).otherwise(F.col("p_name")).alias("p_name "),
+        F.when(k % 17 == 0, F.concat(F.col("p_name"), F.lit(' "q", x')))
+        .when(k % 19 == 0, F.concat(F.col("p_name"), F.lit("\nsecond, line")))
+        .otherwise(F.col("p_name")).alias("p_name "),
         F.when(k % 7 == 0, F.lit("NA")).otherwise(F.col("p_brand")).alias("p_brand"),
         F.when(k % 11 == 0, F.lit("null")).when(k % 13 == 0, F.lit("")).otherwise(F.col("p_type")).alias("p_type"),
         F.col("p_size").cast("string").alias("p_size"),
@@ -88,19 +92,6 @@ def q_landing_roundtrip(spark, sf_dir):
     return read_table(spark, path)
 
 
-def q_required_tables_audit(spark, sf_dir):
-    from boxstar.plans.warehouse import open_warehouse, write_warehouse
-
-    a = analysis(spark, sf_dir)
-    root = scratch_path(spark, "warehouse")
-    write_warehouse(a.warehouse, root, force_rebuild=True)
-    opened = open_warehouse(spark, root)
-    for name, df in opened.items():
-        df.createOrReplaceTempView(f"boxstar_{name}")
-    views = {t.name.removeprefix("boxstar_") for t in spark.catalog.listTables() if t.name.startswith("boxstar_")}
-    return audits.expected_tables(spark, [n for n in opened if n in views])
-
-
 def q_parse_minutes(spark, sf_dir):
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
     q = F.col("l_quantity").cast("int").cast("string")
@@ -173,7 +164,10 @@ def q_fact_team(spark, sf_dir):
 
 
 def q_row_count_summary(spark, sf_dir):
-    return analysis(spark, sf_dir).row_counts()
+    # write the nine tables, reopen them, count what is there
+    root = scratch_path(spark, "warehouse")
+    write_warehouse(analysis(spark, sf_dir).warehouse, root, force_rebuild=True)
+    return row_count_summary(open_warehouse(spark, root))
 
 
 # -- audits -----------------------------------------------------------------------------------
@@ -219,7 +213,7 @@ def q_flag_distribution(spark, sf_dir):
 def q_active_multi_flag(spark, sf_dir):
     a = analysis(spark, sf_dir)
     wh = a.warehouse
-    return audits.active_multi_position(wh.players, wh.player_stats_fact, wh.dates, a.params.active_years)
+    return audits.active_multi_position(wh.players, wh.player_stats_raw, a.params.active_years)
 
 
 # -- team analyses ----------------------------------------------------------------------------
@@ -306,35 +300,34 @@ def q_leaderboard(spark, sf_dir):
 
 
 # -- operators on whole driver tables --------------------------------------------------------
-# Small buckets (2,000 rows) so that these checks cover the multi-bucket path
-# even on the small test tables; the recipes use the adaptive default.
-CHECK_ROWS_PER_BUCKET = 2_000
+# Several range partitions even on the small test tables.
+CHECK_PARTS = 8
 
 
 def q_bucketed_key(spark, sf_dir):
     o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderdate")
-    return dense_key(o, "o_orderkey", "order_key", rows_per_bucket=CHECK_ROWS_PER_BUCKET)
+    return dense_key(o, "o_orderkey", "order_key", parts=CHECK_PARTS)
 
 
 def q_bucketed_key_text(spark, sf_dir):
     c = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name")
-    return dense_key(c, "c_name", "name_key", rows_per_bucket=CHECK_ROWS_PER_BUCKET)
+    return dense_key(c, "c_name", "name_key", parts=CHECK_PARTS)
 
 
 def q_bucketed_key_dates(spark, sf_dir):
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_shipdate").distinct()
-    return dense_key(li, "l_shipdate", "ship_key", rows_per_bucket=CHECK_ROWS_PER_BUCKET)
+    return dense_key(li, "l_shipdate", "ship_key", parts=CHECK_PARTS)
 
 
 def q_bucketed_percentile_rank(spark, sf_dir):
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice")
-    pct = percentile_rank_by(li, ["l_returnflag"], "l_extendedprice", True, "pct", rows_per_bucket=CHECK_ROWS_PER_BUCKET)
+    pct = percentile_rank_by(li, ["l_returnflag"], "l_extendedprice", True, "pct", parts=CHECK_PARTS)
     return _round(li.join(pct, ["l_returnflag", "l_extendedprice"], "left"), ("pct",))
 
 
 def q_bucketed_dense_rank(spark, sf_dir):
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_linestatus", "l_quantity")
-    dr = dense_rank_by(li, ["l_linestatus"], "l_quantity", True, "qty_rank", rows_per_bucket=CHECK_ROWS_PER_BUCKET)
+    dr = dense_rank_by(li, ["l_linestatus"], "l_quantity", True, "qty_rank", parts=CHECK_PARTS)
     return li.join(dr, ["l_linestatus", "l_quantity"], "left")
 
 
@@ -342,7 +335,7 @@ def q_exact_quantiles(spark, sf_dir):
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_returnflag", "l_extendedprice")
     q = exact_quantiles(
         li, ["l_returnflag"], "l_extendedprice", [("p50", 0.5), ("p75", 0.75), ("p95", 0.95)], "n",
-        rows_per_bucket=CHECK_ROWS_PER_BUCKET,
+        parts=CHECK_PARTS,
     )
     return _round(q, ("p50", "p75", "p95"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from boxstar import config
 from boxstar.functions.numeric import arg_max, weighted_sum
 from boxstar.operators.ordered import avg_tie_percentile, dense_position, percentile_rank_by, value_ranks
+from boxstar.session import land
 
 KEYS = ("season_end_year", "playerKey")
 
@@ -49,20 +50,20 @@ def _pct_name(metric: str, ascending: bool) -> str:
     return f"_p_{metric}" if ascending else f"_pd_{metric}"
 
 
-def score_roles(roles: DataFrame, buckets: int | None = None, stage=None) -> DataFrame:
+def score_roles(roles: DataFrame, stage=land, parts: int | None = None) -> DataFrame:
     """Pillars, role-weighted overall score, percentile and dense rank within role.
 
     Rows without a role are dropped (they still counted in the z-scores).
-    ``stage(df, name)`` may land the scored rows before the two overall
-    ranks, which read them three times.
+    ``stage(df, name)`` writes the scored rows before the two overall ranks:
+    they are read three times, and the join on the score needs one copy of it.
     The nine percentile ranks are computed in one pass over a long
-    (role, metric, value) frame -- 27 groups cut into buckets -- and pivoted
+    (role, metric, value) frame -- 27 groups over range partitions -- and pivoted
     back to one row per player-season.
     """
     scored = roles.where(F.col("role").isNotNull())
     terms = {}
-    for _, parts in config.PILLARS:
-        for m, _, asc in parts:
+    for _, blend in config.PILLARS:
+        for m, _, asc in blend:
             terms[_pct_name(m, asc)] = (m, asc)
     long = scored.select(
         *KEYS,
@@ -76,13 +77,13 @@ def score_roles(roles: DataFrame, buckets: int | None = None, stage=None) -> Dat
             )
         ).alias("_m"),
     ).select(*KEYS, "role", "_m.metric", "_m.value")
-    pct = percentile_rank_by(long, ["role", "metric"], "value", True, "pct", buckets)
+    pct = percentile_rank_by(long, ["role", "metric"], "value", True, "pct", parts)
     ranked = long.join(pct, ["role", "metric", "value"], "left")
     wide = ranked.groupBy(*KEYS).pivot("metric", list(terms)).agg(F.first("pct"))
     df = scored.join(wide, list(KEYS), "inner")
     pillar_cols = {}
-    for pillar, parts in config.PILLARS:
-        pillar_cols[pillar] = weighted_sum([(F.col(_pct_name(m, asc)), w) for m, w, asc in parts])
+    for pillar, blend in config.PILLARS:
+        pillar_cols[pillar] = weighted_sum([(F.col(_pct_name(m, asc)), w) for m, w, asc in blend])
     df = df.withColumns(pillar_cols).drop(*terms)
 
     overall = None
@@ -95,12 +96,11 @@ def score_roles(roles: DataFrame, buckets: int | None = None, stage=None) -> Dat
         term = F.col(name) * weight
         overall = term if overall is None else overall + term
     df = df.withColumn("overall_score", overall)
-    if stage is not None:
-        df = stage(df, "overall")
+    df = stage(df, "overall")
 
     # percentile (ascending) and dense rank (descending) of the overall score
     # from one ordered pass over the distinct (role, score) values
-    ranks = value_ranks(df, ["role"], "overall_score", buckets).select(
+    ranks = value_ranks(df, ["role"], "overall_score", parts).select(
         "role",
         "overall_score",
         avg_tie_percentile(True).alias("historical_percentile_within_role"),

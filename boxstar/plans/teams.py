@@ -21,18 +21,18 @@ def win_loss_summary(team_fact: DataFrame) -> DataFrame:
 def top_teams(
     team_fact: DataFrame,
     teams: DataFrame,
-    dates: DataFrame,
     since_year: int = config.TOP_TEAMS_SINCE_YEAR,
     min_games: int = config.TOP_TEAMS_MIN_GAMES,
     limit: int = config.TOP_TEAMS_LIMIT,
 ) -> DataFrame:
-    """Win % (NULL win counts as a loss) since ``since_year``, top ``limit`` teams."""
+    """Win % (NULL win counts as a loss) since ``since_year``, top ``limit`` teams.
+
+    ``team_fact`` holds the rows since that year (``Warehouse.team_fact``)."""
     pct_col = f"win_pct_{since_year}_plus"
     rows = (
-        team_fact.select("teamKey", "dateKey", "win")
+        team_fact.select("teamKey", "win")
         .join(teams.select("teamKey", "teamName", "teamCity"), "teamKey", "inner")
-        .join(dates.select("dateKey", "year"), "dateKey", "inner")
-        .where((F.col("year") >= since_year) & F.col("teamCity").isNotNull())
+        .where(F.col("teamCity").isNotNull())
     )
     won = F.when(F.col("win") == 1, F.lit(1.0)).otherwise(F.lit(0.0))
     agg = (
@@ -47,16 +47,11 @@ def top_teams(
 def team_profile(
     team_fact: DataFrame,
     teams: DataFrame,
-    dates: DataFrame,
     team_name: str = config.PROFILE_TEAM,
-    since_year: int = config.TOP_TEAMS_SINCE_YEAR,
 ) -> DataFrame:
-    """One row: the team's average box score in its wins since ``since_year``."""
-    rows = (
-        team_fact.join(teams.select("teamKey", "teamName"), "teamKey", "inner")
-        .join(dates.select("dateKey", "year"), "dateKey", "inner")
-        .where((F.col("year") >= since_year) & (F.lower(F.col("teamName")) == team_name.lower()) & (F.col("win") == 1))
-    )
+    """One row: the team's average box score in its wins among ``team_fact``."""
+    named = teams.where(F.lower(F.col("teamName")) == team_name.lower()).select("teamKey")
+    rows = team_fact.where(F.col("win") == 1).join(named, "teamKey", "inner")
     return rows.agg(*[F.avg(c).alias(c) for c, _ in config.COUNT_LABELS])
 
 
@@ -94,7 +89,7 @@ def team_vs_history(spark, win_loss: DataFrame, profile: DataFrame) -> DataFrame
     )
     team = profile.withColumn("_k", F.lit(1)).unpivot("_k", metrics, "metric", "team_wins_avg").drop("_k")
     return (
-        F.broadcast(labels)
+        labels
         .join(hist, "metric", "left")
         .join(team, "metric", "left")
         .orderBy("_ord")

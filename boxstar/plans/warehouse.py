@@ -2,69 +2,56 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from boxstar import config
 from boxstar.functions.calendar import day_of_week_sunday0
-from boxstar.functions.cleaning import normalize_game_type
+from boxstar.functions.cleaning import normalize_game_type, to_double, to_whole
 from boxstar.operators.ordered import dense_key
 from boxstar.operators.shaping import latest_per_key
 
-PLAYER_COLUMNS = (
-    ("personId", "long"),
-    ("firstName", "string"),
-    ("lastName", "string"),
-    ("birthdate", "date"),
-    ("lastAttended", "string"),
-    ("country", "string"),
-    ("height", "double"),
-    ("bodyWeight", "double"),
-    ("guard", "int"),
-    ("forward", "int"),
-    ("center", "int"),
-    ("draftYear", "double"),
-    ("draftRound", "double"),
-    ("draftNumber", "double"),
-)
-
-BOX_STATS = (
-    "points", "assists", "blocks", "steals", "fieldGoalsAttempted", "fieldGoalsMade",
-    "fieldGoalsPercentage", "threePointersAttempted", "threePointersMade",
-    "threePointersPercentage", "freeThrowsAttempted", "freeThrowsMade", "freeThrowsPercentage",
-    "reboundsDefensive", "reboundsOffensive", "reboundsTotal", "foulsPersonal", "turnovers",
-    "plusMinusPoints",
-)
-
-TEAM_STATS = (
-    "teamScore", "opponentScore", "assists", "blocks", "steals", "fieldGoalsAttempted",
-    "fieldGoalsMade", "fieldGoalsPercentage", "threePointersAttempted", "threePointersMade",
-    "threePointersPercentage", "freeThrowsAttempted", "freeThrowsMade", "freeThrowsPercentage",
-    "reboundsDefensive", "reboundsOffensive", "reboundsTotal", "foulsPersonal", "turnovers",
-    "plusMinusPoints", "numMinutes", "q1Points", "q2Points", "q3Points", "q4Points",
-    "benchPoints", "biggestLead", "biggestScoringRun", "leadChanges", "pointsFastBreak",
-    "pointsFromTurnovers", "pointsInThePaint", "pointsSecondChance", "timesTied",
-    "timeoutsRemaining", "seasonWins", "seasonLosses",
-)
-
-
-def _typed(name: str, t: str):
-    return F.col(name).try_cast(t).alias(name)
-
-
-def players_dim(players_raw: DataFrame, key_method: str = "bucketed") -> DataFrame:
+PLAYER_COLUMNS, BOX_STATS, TEAM_STATS = config.PLAYER_COLUMNS, config.BOX_STATS, config.TEAM_STATS
+
+
+def typed_column(df: DataFrame, name: str, kind: str) -> Column:
+    """Column ``name`` as ``kind``. Text follows the cleaning rules: strict
+    numbers, ``1.0`` and boolean words as whole numbers, nothing infinite."""
+    c = F.col(name)
+    if isinstance(df.schema[name].dataType, T.StringType):
+        if kind in ("int", "long"):
+            return to_whole(c, kind)
+        if kind == "double":
+            return to_double(c)
+    return c.try_cast(kind)
+
+
+def since(df: DataFrame, year: int | None, ts_col: str = "gameDateTimeEst") -> DataFrame:
+    """Rows from ``year`` on. Landed box rows are partitioned by ``_year``, so the
+    scan leaves out earlier partitions; otherwise the time filter reaches the files."""
+    if year is None:
+        return df
+    if "_year" in df.columns:
+        df = df.where(F.col("_year") >= year)
+    return df.where(F.col(ts_col).cast("timestamp_ntz") >= F.lit(f"{year:04d}-01-01").cast("timestamp_ntz"))
+
+
+def players_dim(players_raw: DataFrame, key_method: str = "ranged") -> DataFrame:
     """One row per raw player row (not de-duplicated), key by personId, NULLs last."""
-    typed = players_raw.select(*[_typed(n, t) for n, t in PLAYER_COLUMNS])
+    typed = players_raw.select(*[typed_column(players_raw, n, t).alias(n) for n, t in PLAYER_COLUMNS])
     keyed = dense_key(typed, "personId", "playerKey", method=key_method)
     return keyed.select("playerKey", *[n for n, _ in PLAYER_COLUMNS])
 
 
-def teams_dim(team_stats_raw: DataFrame, key_method: str = "bucketed") -> DataFrame:
+def teams_dim(team_stats_raw: DataFrame, key_method: str = "ranged") -> DataFrame:
     """One row per team name with its most recently seen city and that city's max coach."""
     history = team_stats_raw.groupBy("teamName", "teamCity").agg(
-        F.max(F.col("coachId").try_cast("double")).alias("coachId"),
+        F.max(typed_column(team_stats_raw, "coachId", "double")).alias("coachId"),
         F.max(F.col("gameDateTimeEst").cast("timestamp_ntz")).alias("last_seen"),
     )
     last_seen, city = F.col("last_seen"), F.col("teamCity")
@@ -86,10 +73,10 @@ def team_lookup(teams: DataFrame) -> DataFrame:
     return teams.groupBy("teamName").agg(F.min("teamKey").alias("teamKey"))
 
 
-def games_dim(player_stats_raw: DataFrame, key_method: str = "bucketed") -> DataFrame:
+def games_dim(player_stats_raw: DataFrame, key_method: str = "ranged") -> DataFrame:
     """One row per gameId of the player statistics, normalised game type."""
     src = player_stats_raw.select(
-        F.col("gameId").try_cast("long").alias("gameId"),
+        typed_column(player_stats_raw, "gameId", "long").alias("gameId"),
         normalize_game_type("gameType").alias("gameType"),
     )
     games = src.groupBy("gameId").agg(F.coalesce(F.max("gameType"), F.lit(config.GAME_TYPE_LABELS["unknown"])).alias("gameType"))
@@ -97,7 +84,7 @@ def games_dim(player_stats_raw: DataFrame, key_method: str = "bucketed") -> Data
     return keyed.select("gameKey", "gameId", "gameType")
 
 
-def dates_dim(team_stats_raw: DataFrame, player_stats_raw: DataFrame, key_method: str = "bucketed") -> DataFrame:
+def dates_dim(team_stats_raw: DataFrame, player_stats_raw: DataFrame, key_method: str = "ranged") -> DataFrame:
     """One row per distinct game timestamp of either input (NULL is one row)."""
     ts = F.col("gameDateTimeEst").cast("timestamp_ntz").alias("gameDateEst")
     stamps = team_stats_raw.select(ts).union(player_stats_raw.select(ts)).distinct()
@@ -115,22 +102,6 @@ def dates_dim(team_stats_raw: DataFrame, player_stats_raw: DataFrame, key_method
     )
 
 
-def fits(df: DataFrame, max_rows: int | None) -> bool:
-    """True when a bounded count proves ``df`` has at most ``max_rows`` rows."""
-    if max_rows is None:
-        return False
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def sized_broadcast(df: DataFrame, max_rows: int | None, small: bool | None = None) -> DataFrame:
-    """Broadcast ``df`` only when its size is proven small (``small``, or a
-    bounded count against ``max_rows``); otherwise leave the join strategy
-    to the planner (sort-merge, or AQE's runtime choice)."""
-    if small is None:
-        small = fits(df, max_rows)
-    return F.broadcast(df) if small else df
-
-
 FACT_KEYS = ("teamKey", "opponentTeamKey", "gameKey", "dateKey")
 
 
@@ -138,10 +109,9 @@ def _resolve_keys(
     src: DataFrame,
     team_col: str,
     opp_col: str,
-    lookup: DataFrame,
-    games: DataFrame,
-    dates: DataFrame,
-    broadcast_rows: int | None = None,
+    lookup: DataFrame | None,
+    games: DataFrame | None,
+    dates: DataFrame | None,
     keys=FACT_KEYS,
 ) -> DataFrame:
     """Left joins of a raw fact to the lookup (twice), games and dates.
@@ -150,185 +120,181 @@ def _resolve_keys(
     unique on its join key by construction (lookup grouped by name, games by
     id, dates distinct), so a left join never changes the row count and an
     unrequested key can be skipped -- a fact read for its measures only does
-    not shuffle against a dimension too large to broadcast.
+    not shuffle against a dimension. The planner broadcasts a dimension when
+    its files are below the session's broadcast threshold.
     """
-    keys = set(keys)
-    out = src
-    if keys & {"teamKey", "opponentTeamKey"}:
-        small_lookup = fits(lookup, broadcast_rows)
-    if "teamKey" in keys:
-        tl = sized_broadcast(lookup.select(F.col("teamName").alias("_tl_name"), F.col("teamKey")), None, small_lookup)
-        out = out.join(tl, out[team_col] == tl["_tl_name"], "left")
-    if "opponentTeamKey" in keys:
-        ol = sized_broadcast(
-            lookup.select(F.col("teamName").alias("_ol_name"), F.col("teamKey").alias("opponentTeamKey")),
-            None,
-            small_lookup,
-        )
-        out = out.join(ol, out[opp_col] == ol["_ol_name"], "left")
-    if "gameKey" in keys:
-        g = sized_broadcast(games.select(F.col("gameId").alias("_g_id"), "gameKey"), broadcast_rows)
-        out = out.join(g, out["_gid"] == g["_g_id"], "left")
-    if "dateKey" in keys:
-        d = sized_broadcast(dates.select(F.col("gameDateEst").alias("_d_ts"), "dateKey"), broadcast_rows)
-        out = out.join(d, out["_ts"] == d["_d_ts"], "left")
-    return out
-
-
-def _keys_or_null(keys) -> list:
-    return [F.col(k) if k in set(keys) else F.lit(None).cast("long").alias(k) for k in FACT_KEYS]
+    # key -> (dimension, its join column, its key, column of the fact)
+    wanted = {
+        "teamKey": (lookup, "teamName", "teamKey", team_col),
+        "opponentTeamKey": (lookup, "teamName", "teamKey", opp_col),
+        "gameKey": (games, "gameId", "gameKey", "_gid"),
+        "dateKey": (dates, "gameDateEst", "dateKey", "_ts"),
+    }
+    for key in FACT_KEYS:
+        if key in keys:
+            dim, on, number, left = wanted[key]
+            side = dim.select(F.col(on).alias(f"_j_{key}"), F.col(number).alias(key))
+            src = src.join(side, F.col(left) == F.col(f"_j_{key}"), "left")
+    return src
 
 
 def player_stats_fact(
-    player_stats_raw: DataFrame,
-    players: DataFrame,
-    lookup: DataFrame,
-    games: DataFrame,
-    dates: DataFrame,
-    broadcast_rows: int | None = None,
-    keys=FACT_KEYS,
+    player_stats_raw: DataFrame, players: DataFrame, lookup: DataFrame, games: DataFrame, dates: DataFrame, keys=FACT_KEYS
 ) -> DataFrame:
     """One row per player-game row (times duplicate players: not de-duplicated).
 
-    ``playerKey`` is always resolved (a duplicated player multiplies rows);
-    other keys only when listed in ``keys`` (unlisted ones are NULL)."""
-    src = player_stats_raw.withColumns(
+    ``playerKey`` is always resolved (a duplicated player multiplies rows); the
+    other keys only when listed in ``keys`` -- the rest are left out."""
+    raw = player_stats_raw
+    src = raw.withColumns(
         {
-            "_pid": F.col("personId").try_cast("long"),
-            "_gid": F.col("gameId").try_cast("long"),
+            "_pid": typed_column(raw, "personId", "long"),
+            "_gid": typed_column(raw, "gameId", "long"),
             "_ts": F.col("gameDateTimeEst").cast("timestamp_ntz"),
         }
     )
-    p = sized_broadcast(players.select(F.col("personId").alias("_p_id"), "playerKey"), broadcast_rows)
-    out = src.join(p, src["_pid"] == p["_p_id"], "left")
-    out = _resolve_keys(out, "playerteamName", "opponentteamName", lookup, games, dates, broadcast_rows, keys)
+    out = src.join(players.select(F.col("personId").alias("_j_person"), "playerKey"), F.col("_pid") == F.col("_j_person"), "left")
+    out = _resolve_keys(out, "playerteamName", "opponentteamName", lookup, games, dates, keys)
+    numbers = [("win", "int"), ("home", "int"), ("numMinutes", "double"), *[(c, "double") for c in BOX_STATS]]
     return out.select(
         "playerKey",
-        *_keys_or_null(keys),
+        *[k for k in FACT_KEYS if k in keys],
         "gameType",
         "gameLabel",
         "gameSubLabel",
         "seriesGameNumber",
-        F.col("win").try_cast("int").alias("win"),
-        F.col("home").try_cast("int").alias("home"),
-        F.col("numMinutes").try_cast("double").alias("numMinutes"),
-        *[F.col(c).try_cast("double").alias(c) for c in BOX_STATS],
+        *[typed_column(raw, c, t).alias(c) for c, t in numbers],
     )
 
 
-def team_stats_fact(
-    team_stats_raw: DataFrame,
-    lookup: DataFrame,
-    games: DataFrame,
-    dates: DataFrame,
-    broadcast_rows: int | None = None,
-    keys=FACT_KEYS,
-) -> DataFrame:
+def team_stats_fact(team_stats_raw: DataFrame, lookup: DataFrame, games: DataFrame, dates: DataFrame, keys=FACT_KEYS) -> DataFrame:
     """One row per team-game row; games come from player statistics only.
 
-    Keys not listed in ``keys`` are not resolved (NULL)."""
-    src = team_stats_raw.withColumns(
-        {
-            "_gid": F.col("gameId").try_cast("long"),
-            "_ts": F.col("gameDateTimeEst").cast("timestamp_ntz"),
-        }
-    )
-    out = _resolve_keys(src, "teamName", "opponentTeamName", lookup, games, dates, broadcast_rows, keys)
-    return out.select(
-        *_keys_or_null(keys),
-        F.col("home").try_cast("int").alias("home"),
-        F.col("win").try_cast("int").alias("win"),
-        *[F.col(c).try_cast("double").alias(c) for c in TEAM_STATS],
-    )
+    Keys not listed in ``keys`` are left out."""
+    raw = team_stats_raw
+    src = raw.withColumns({"_gid": typed_column(raw, "gameId", "long"), "_ts": F.col("gameDateTimeEst").cast("timestamp_ntz")})
+    out = _resolve_keys(src, "teamName", "opponentTeamName", lookup, games, dates, keys)
+    numbers = [("home", "int"), ("win", "int"), *[(c, "double") for c in TEAM_STATS]]
+    return out.select(*[k for k in FACT_KEYS if k in keys], *[typed_column(raw, c, t).alias(c) for c, t in numbers])
 
 
-@dataclass
 class Warehouse:
-    players_raw: DataFrame
-    player_stats_raw: DataFrame
-    team_stats_raw: DataFrame
-    players: DataFrame
-    teams: DataFrame
-    team_lookup: DataFrame
-    games: DataFrame
-    dates: DataFrame
-    player_stats_fact: DataFrame
-    team_stats_fact: DataFrame
-    broadcast_rows: int | None = None
-
-    def player_fact(self, keys=FACT_KEYS) -> DataFrame:
-        """The player fact resolving only ``keys`` (playerKey always)."""
-        if set(keys) >= set(FACT_KEYS):
-            return self.player_stats_fact
-        return player_stats_fact(
-            self.player_stats_raw, self.players, self.team_lookup, self.games, self.dates, self.broadcast_rows, keys
-        )
-
-    def team_fact(self, keys=FACT_KEYS) -> DataFrame:
-        """The team fact resolving only ``keys``."""
-        if set(keys) >= set(FACT_KEYS):
-            return self.team_stats_fact
-        return team_stats_fact(self.team_stats_raw, self.team_lookup, self.games, self.dates, self.broadcast_rows, keys)
+    """The nine tables, each made on first use.
+
+    ``sources`` gives the three raw tables as functions; ``stored`` tables (of a
+    written warehouse) are taken as they are. ``stage(df, name)`` lands each
+    dimension, so that both facts and every analysis read one copy; facts stay
+    lazy so that consumers prune them to the columns they use.
+    """
+
+    def __init__(self, sources: dict[str, Callable[[], DataFrame]], key_method: str = "ranged", stage=None,
+                 stored: dict[str, DataFrame] | None = None):
+        self._sources, self._key_method = sources, key_method
+        self._stage = stage or (lambda df, name: df)
+        self._stored = stored or {}
+
+    def _table(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        return self._stored[name] if name in self._stored else make()
+
+    @cached_property
+    def players_raw(self) -> DataFrame:
+        return self._table("players_raw", self._sources.get("players_raw"))
+
+    @cached_property
+    def player_stats_raw(self) -> DataFrame:
+        return self._table("player_stats_raw", self._sources.get("player_stats_raw"))
+
+    @cached_property
+    def team_stats_raw(self) -> DataFrame:
+        return self._table("team_stats_raw", self._sources.get("team_stats_raw"))
+
+    @cached_property
+    def players(self) -> DataFrame:
+        return self._table("players", lambda: self._stage(players_dim(self.players_raw, self._key_method), "players"))
+
+    @cached_property
+    def teams(self) -> DataFrame:
+        return self._table("teams", lambda: self._stage(teams_dim(self.team_stats_raw, self._key_method), "teams"))
+
+    @cached_property
+    def team_lookup(self) -> DataFrame:
+        return team_lookup(self.teams)
+
+    @cached_property
+    def games(self) -> DataFrame:
+        return self._table("games", lambda: self._stage(games_dim(self.player_stats_raw, self._key_method), "games"))
+
+    @cached_property
+    def dates(self) -> DataFrame:
+        return self._table("dates", lambda: self._stage(dates_dim(self.team_stats_raw, self.player_stats_raw, self._key_method), "dates"))
+
+    @cached_property
+    def player_stats_fact(self) -> DataFrame:
+        return self._table("player_stats_fact", self.player_fact)
+
+    @cached_property
+    def team_stats_fact(self) -> DataFrame:
+        return self._table("team_stats_fact", self.team_fact)
+
+    def player_fact(self, keys=FACT_KEYS, since_year: int | None = None) -> DataFrame:
+        """The player fact with ``keys`` (playerKey always), from ``since_year`` on."""
+        tables = self._key_tables(keys)
+        return player_stats_fact(since(self.player_stats_raw, since_year), self.players, *tables, keys)
+
+    def team_fact(self, keys=FACT_KEYS, since_year: int | None = None) -> DataFrame:
+        """The team fact with ``keys``, from ``since_year`` on."""
+        return team_stats_fact(since(self.team_stats_raw, since_year), *self._key_tables(keys), keys)
+
+    def _key_tables(self, keys) -> list[DataFrame | None]:
+        """Lookup, games and dates, where ``keys`` need them (else not even built)."""
+        return [
+            self.team_lookup if {"teamKey", "opponentTeamKey"} & set(keys) else None,
+            self.games if "gameKey" in keys else None,
+            self.dates if "dateKey" in keys else None,
+        ]
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in config.WAREHOUSE_TABLES}
 
+    def counting_tables(self) -> dict[str, DataFrame]:
+        """The same tables for counting: facts without the joins that cannot
+        change their number of rows (only duplicate players can)."""
+        facts = {"player_stats_fact": lambda: self.player_fact(keys=()), "team_stats_fact": lambda: self.team_stats_raw}
+        return {n: self._table(n, facts[n]) if n in facts else getattr(self, n) for n in config.WAREHOUSE_TABLES}
+
 
 def build_warehouse(
-    players_raw: DataFrame,
-    player_stats_raw: DataFrame,
-    team_stats_raw: DataFrame,
-    key_method: str = "bucketed",
-    stage=None,
-    broadcast_rows: int | None = None,
+    players_raw: DataFrame, player_stats_raw: DataFrame, team_stats_raw: DataFrame, key_method: str = "ranged", stage=None
 ) -> Warehouse:
-    """All dimensions and facts.
-
-    ``stage(df, name)`` (e.g. landing as a table) is applied to each dimension, so
-    that both facts and every analysis read one materialised copy; facts
-    stay lazy so that consumers prune them to the columns they use.
-    ``broadcast_rows`` bounds the dimensions that may be broadcast into the
-    fact joins (checked by a bounded count).
-    """
-    stage = stage or (lambda df, name: df)
-    players = stage(players_dim(players_raw, key_method), "players")
-    teams = stage(teams_dim(team_stats_raw, key_method), "teams")
-    lookup = team_lookup(teams)
-    games = stage(games_dim(player_stats_raw, key_method), "games")
-    dates = stage(dates_dim(team_stats_raw, player_stats_raw, key_method), "dates")
-    return Warehouse(
-        players_raw=players_raw,
-        player_stats_raw=player_stats_raw,
-        team_stats_raw=team_stats_raw,
-        players=players,
-        teams=teams,
-        team_lookup=lookup,
-        games=games,
-        dates=dates,
-        player_stats_fact=player_stats_fact(player_stats_raw, players, lookup, games, dates, broadcast_rows),
-        team_stats_fact=team_stats_fact(team_stats_raw, lookup, games, dates, broadcast_rows),
-        broadcast_rows=broadcast_rows,
-    )
+    """A warehouse over three raw tables."""
+    raw = {"players_raw": players_raw, "player_stats_raw": player_stats_raw, "team_stats_raw": team_stats_raw}
+    return Warehouse({name: (lambda df=df: df) for name, df in raw.items()}, key_method, stage)
 
 
 def write_warehouse(wh: Warehouse, root: str, force_rebuild: bool = True) -> dict[str, str]:
-    """Write the nine tables under ``root`` (overwrite, or fail if present)."""
+    """Write the nine tables under ``root`` (overwrite, or fail if present); box
+    rows with a year are partitioned by it."""
     from boxstar.sources.landing import write_table
 
     root = root.rstrip("/")
-    return {name: write_table(df, f"{root}/{name}", force_rebuild) for name, df in wh.tables().items()}
+    return {
+        name: write_table(df, f"{root}/{name}", force_rebuild, ["_year"] if "_year" in df.columns else None)
+        for name, df in wh.tables().items()
+    }
 
 
 def open_warehouse(spark, root: str, names=config.WAREHOUSE_TABLES) -> dict[str, DataFrame]:
-    """Reopen written tables read-only; tables that are missing are left out."""
+    """Reopen written tables; tables that are not there are left out. Any other
+    failure (rights, broken files) is raised."""
     from boxstar.sources.landing import read_table
 
     out = {}
     for name in names:
         try:
             out[name] = read_table(spark, f"{root.rstrip('/')}/{name}")
-        except Exception:  # noqa: BLE001 - absent table
-            continue
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
     return out
 
 

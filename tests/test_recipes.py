@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from boxstar import config
-from boxstar.plans import audits, tiers
-from boxstar.plans.recipes import STANDIN, Analysis, Params
+from boxstar.plans import tiers
+from boxstar.plans.recipes import STANDIN, Analysis
 from boxstar.sources.csvscan import read_box_csv
 
 SF = "/root/testdata/sf0.001"
@@ -81,13 +81,42 @@ def test_bucketed_and_plain_keys_agree(spark):
 
 
 def test_audits_run_and_foreign_keys_reported(spark, small):
-    res = small.audits(config.WAREHOUSE_TABLES)
+    res = small.audits()
     assert len(res) == 8
-    fk = res["6. Unresolved foreign-key-style fields in team fact table"].first()
+    fk = res["team_rows_without_key"].first()
     assert fk["missing_opponentteamkey"] > 0  # NATION_25..29 never resolve
     assert fk["missing_teamkey"] == 0
-    dup = res["2. Duplicate personId check in players dimension"].first()
-    assert dup["duplicate_person_id_rows"] == 0
+    assert res["repeated_person_ids"].first()["duplicate_person_id_rows"] == 0
+    assert {r["table_name"] for r in res["stored_tables"].collect()} == set(config.WAREHOUSE_TABLES)
+
+
+def test_unrequested_fact_keys_are_left_out(small):
+    fact = small.warehouse.player_fact(keys=("dateKey",))
+    assert "dateKey" in fact.columns and "teamKey" not in fact.columns
+
+
+def test_tables_are_made_on_first_use(spark):
+    a = Analysis(spark, SF)
+    a.win_loss.collect()
+    assert set(a.warehouse.__dict__) & set(config.WAREHOUSE_TABLES) == {"team_stats_raw"}
+
+
+def test_year_filter_reaches_the_partitions(small):
+    plan = small.top_teams()._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_year" in plan.replace("#", "") or "_year" in plan.split("PartitionFilters:")[1][:80]
+
+
+def test_stored_warehouse_gives_the_same_results(spark, small, tmp_path):
+    from boxstar.plans.warehouse import open_warehouse, write_warehouse
+
+    write_warehouse(small.warehouse, str(tmp_path / "wh"))
+    again = Analysis.from_warehouse(spark, str(tmp_path / "wh"), params=STANDIN)
+    assert again.leaderboard().collect() == small.leaderboard().collect()
+    assert again.win_loss.collect() == small.win_loss.collect()
+    assert again.top_teams().collect() == small.top_teams().collect()
+    assert open_warehouse(spark, str(tmp_path / "none")) == {}
+    with pytest.raises(FileNotFoundError, match="dates"):
+        Analysis.from_warehouse(spark, str(tmp_path / "none"))
 
 
 def test_percentiles_in_range_and_roles(small):
@@ -105,14 +134,25 @@ def test_benchmarks_scaffold_and_monotone(small):
             assert r["p50"] <= r["p75"] <= r["p95"]
 
 
-def test_strict_guards(small):
-    from boxstar.plans.pool import player_season_pool
+def test_strict_guards(spark):
+    from dataclasses import replace
 
-    wh = small.warehouse
     with pytest.raises(ValueError):
-        player_season_pool(wh.player_stats_fact, wh.players, wh.dates, min_minutes=10**9, strict=True)
+        Analysis(spark, SF, replace(STANDIN, pool_min_minutes=10**9), strict=True).pool
     with pytest.raises(ValueError):
-        tiers.active_players(small.scored, wh.player_stats_fact, wh.dates, 10**9, 2, (2000, 2001), 3, strict=True)
+        Analysis(spark, SF, replace(STANDIN, active_min_minutes=10**9), strict=True).active
+
+
+def test_csv_line_breaks_and_column_orders(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,name\n1,"two\nlines"\n')
+    (tmp_path / "b.csv").write_text("name,id\nplain,2\n")
+    rows = sorted((r["id"], r["name"]) for r in read_box_csv(spark, str(tmp_path)).collect())
+    assert rows == [("1", "two\nlines"), ("2", "plain")]
+    (tmp_path / "c.csv").write_text("id,other\n3,x\n")
+    with pytest.raises(ValueError, match="other"):
+        read_box_csv(spark, str(tmp_path))
+    with pytest.raises(FileNotFoundError):
+        read_box_csv(spark, str(tmp_path / "missing.csv"))
 
 
 def test_leaderboard_shape(small):

@@ -14,14 +14,14 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-KEEP = re.compile(r"Scan|Exchange|Join|Aggregate|Window|ReadSchema|PushedFilters|WindowGroupLimit|TakeOrdered")
+KEEP = re.compile(r"Scan|Exchange|Join|Aggregate|Window|ReadSchema|PushedFilters|PartitionFilters|WindowGroupLimit|TakeOrdered")
 
 
 def main() -> None:
     args = [a for a in sys.argv[1:] if not a.startswith("--")]
     full = "--full" in sys.argv
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
-    from boxstar.plans import pool
+    from boxstar.plans import audits, pool
     from boxstar.plans.recipes import Analysis
     from boxstar.session import local_session
 
@@ -32,10 +32,8 @@ def main() -> None:
         "win_loss_summary": a.win_loss,
         "top_teams": a.top_teams(),
         "player_stats_fact": wh.player_stats_fact,
-        "season_aggregates": pool.season_aggregates(wh.player_stats_fact, wh.players, wh.dates, 150, 2),
-        "benchmarks (from landed scores)": a.benchmarks.sparkSession.read.parquet(
-            a.benchmarks.inputFiles()[0].rsplit("/", 1)[0]
-        ),
+        "season_aggregates": pool.season_aggregates(wh.player_stats_raw, wh.players, 150, 2),
+        "active_multi_position": audits.active_multi_position(wh.players, wh.player_stats_raw, a.params.active_years),
         "leaderboard": a.leaderboard(),
     }
     for name, df in recipes.items():
