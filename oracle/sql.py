@@ -9,9 +9,9 @@ distributed bucketed forms, so agreement checks those too.
 
 from __future__ import annotations
 
-from boxstar import config
 from boxstar.plans.recipes import STANDIN, Params
 from boxstar.sources.bindings import FLAG_TEXT, GAME_TYPE_TEXT
+from oracle import fixed as config
 
 NUMBER_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
@@ -540,14 +540,13 @@ def oracle_queries(p: Params = STANDIN) -> dict[str, str]:
 
     out["csv_scan_na"] = """
 SELECT p_partkey,
-       CASE WHEN p_partkey % 17 = 0 THEN p_name || ' "q", x' ELSE p_name END AS p_name,
+       CASE WHEN p_partkey % 17 = 0 THEN p_name || ' "q", x'
+            WHEN p_partkey % 19 = 0 THEN p_name || chr(10) || 'second, line' ELSE p_name END AS p_name,
        CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_brand END AS p_brand,
        CASE WHEN p_partkey % 11 = 0 OR p_partkey % 13 = 0 THEN NULL ELSE p_type END AS p_type,
        p_size, p_retailprice
 FROM part"""
     out["landing_roundtrip"] = "SELECT * FROM orders"
-    names = ", ".join(f"({_q(t)})" for t in sorted(config.WAREHOUSE_TABLES))
-    out["required_tables_audit"] = f"SELECT table_name FROM (VALUES {names}) v(table_name) ORDER BY table_name"
     q = "CAST(CAST(l_quantity AS INTEGER) AS VARCHAR)"
     text = (
         f"CASE WHEN l_linenumber = 1 THEN {q} || ':00' "
