@@ -33,7 +33,7 @@ from boxstar.llm.common import parallelism, prepare
 #: A chunk ends, on average, every 2 ** CUT_BITS bytes past its least size.
 CUT_BITS = 9
 MIN_CHUNK = 512
-BATCH_BYTES = 8_000_000
+BATCH_BYTES = 16_000_000
 _ROUTED = "part long, batch long, blob binary"
 
 _GEAR = np.random.default_rng(20_090_401).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -64,7 +64,7 @@ def _pack(parts: list[bytes]) -> bytes:
     import zstandard
 
     sizes = np.array([len(parts), *map(len, parts)], dtype="<u4").tobytes()
-    return zstandard.ZstdCompressor(level=3).compress(sizes + b"".join(parts))
+    return zstandard.ZstdCompressor(level=6).compress(sizes + b"".join(parts))
 
 
 def _unpack(blob: bytes) -> list[bytes]:
