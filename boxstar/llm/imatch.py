@@ -125,7 +125,7 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def next_documents(keys: DataFrame) -> DataFrame:
-    """(doc_id, h, next_id, next_h): each key's follower, the first after the last.
+    """(id, h, none, next_id, next_h): each key's follower, the first after the last.
 
     Keys are sorted over range partitions; inside one a window gives the
     follower, and each partition's last key gets the first key of the next
@@ -133,56 +133,77 @@ def next_documents(keys: DataFrame) -> DataFrame:
     """
     spark = keys.sparkSession
     parts = parallelism(spark)
-    order = [F.col("doc_id").asc_nulls_first(), F.col("h").asc()]
+    order = [F.col("none").desc(), F.col("id").asc(), F.col("h").asc()]  # a NULL id comes first
     sorted_keys = land(
-        keys.select("doc_id", "h").distinct().repartitionByRange(parts, *order).withColumn("pid", F.spark_partition_id()), "doc_order"
+        keys.select("none", "id", "h").distinct().repartitionByRange(parts, *order).withColumn("pid", F.spark_partition_id()),
+        "doc_order",
     )
     inside = Window.partitionBy("pid").orderBy(*order)
-    firsts = sorted_keys.groupBy("pid").agg(F.min(F.struct("doc_id", "h")).alias("head"))  # one row per partition
+    rank = F.struct((~F.col("none")).alias("some"), F.col("id"), F.col("h"))
+    firsts = sorted_keys.groupBy("pid").agg(F.min(rank).alias("head"))  # one row per partition
     along = Window.orderBy("pid")
     whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     heads = firsts.select("pid", F.coalesce(F.lead("head").over(along), F.first("head").over(whole)).alias("after"))
-    follower = F.lead(F.struct("doc_id", "h")).over(inside)
     return (
-        sorted_keys.withColumn("follower", follower)
+        sorted_keys.withColumn("follower", F.lead(rank).over(inside))
         .join(F.broadcast(heads), "pid")
-        .select("doc_id", "h", F.coalesce("follower", "after").alias("n"))
-        .select("doc_id", "h", F.col("n.doc_id").alias("next_id"), F.col("n.h").alias("next_h"))
+        .select("id", "h", "none", F.coalesce("follower", "after").alias("n"))
+        .select("id", "h", "none", F.col("n.id").alias("next_id"), F.col("n.h").alias("next_h"))
     )
 
 
-def fingerprint_documents(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
-    """Per row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next."""
-    prepare(docs.sparkSession)
+def keyed_documents(docs: DataFrame) -> DataFrame:
+    """doc_id, text (NULL: empty), n_chars, and a key without NULLs: ``id`` and
+    ``h``, a hash of the text that also tells a NULL id."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    base = base.withColumns({"h": F.xxhash64("text"), "n_chars": F.length("text").cast("long")})
-    bits = lexicon_bits(base, low, high)
-    follow = land(next_documents(base), "next_documents")
-    sizes = base.select("doc_id", "h", "n_chars").distinct()
+    none = F.col("doc_id").isNull()
+    return base.select(
+        "doc_id", "text", F.length("text").cast("long").alias("n_chars"),
+        none.alias("none"), F.coalesce("doc_id", F.lit(-1)).alias("id"), F.xxhash64("text", none).alias("h"),
+    )
+
+
+def edited_documents(base: DataFrame) -> DataFrame:
+    """Keyed documents with ``edited``: the last quarter of the text replaced by
+    the start of the next document's; and the next document's key.
 
-    # the start of each document, as long as the one before it needs
-    asks = follow.alias("f").join(sizes.alias("s"), F.expr("f.doc_id <=> s.doc_id AND f.h = s.h")).select(
-        F.col("f.doc_id").alias("for_id"), F.col("f.h").alias("for_h"), "next_id", "next_h",
-        F.floor(F.col("s.n_chars") / 4).cast("int").alias("k"),
+    Both joins read the documents dealt by their own key with the same columns,
+    so the texts are shuffled once.
+    """
+    follow = land(
+        next_documents(base).join(base.select("id", "h", "n_chars").distinct(), ["id", "h"])
+        .withColumn("k", F.floor(F.col("n_chars") / 4).cast("int")).drop("n_chars"),
+        "next_documents",
     )
+    dealt = base.select("id", "h", "n_chars", "text")
+    asks = follow.select(F.col("id").alias("for_id"), F.col("h").alias("for_h"), "none", "k", F.col("next_id").alias("id"), F.col("next_h").alias("h"))
+    start = F.substring("text", F.lit(1), F.least(F.col("k"), F.col("n_chars").cast("int")))
     ends = (
-        base.alias("d")
-        .join(asks.alias("a"), F.expr("d.doc_id <=> a.next_id AND d.h = a.next_h"))
-        .select("for_id", "for_h", "k", "next_id", "next_h", F.expr("substring(d.text, 1, a.k)").alias("tail"))
+        dealt.join(asks, ["id", "h"])
+        .select("for_id", "for_h", "none", "k", F.col("id").alias("next_id"), F.col("h").alias("next_h"), start.alias("tail"))
         .dropDuplicates(["for_id", "for_h"])
+        .withColumnsRenamed({"for_id": "id", "for_h": "h"})
     )
-    both = base.alias("d").join(ends.alias("e"), F.expr("d.doc_id <=> e.for_id AND d.h = e.for_h")).select(
-        "d.doc_id", "d.h", "d.n_chars", "d.text", "next_id", "next_h",
-        F.expr("concat(substring(d.text, 1, CAST(d.n_chars AS INT) - e.k), e.tail)").alias("edited"),
+    kept = F.substring("text", F.lit(1), F.col("n_chars").cast("int") - F.col("k"))
+    return dealt.join(ends, ["id", "h"]).select(
+        F.when(~F.col("none"), F.col("id")).alias("doc_id"), "id", "h", "n_chars", "text", "next_id", "next_h", F.concat(kept, F.col("tail")).alias("edited")
     )
+
+
+def fingerprint_documents(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
+    """Per row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
+    near_edited, near_next."""
+    prepare(docs.sparkSession)
+    base = keyed_documents(docs)
+    bits = lexicon_bits(base, low, high)
+    both = edited_documents(base)
     marked = with_signatures(with_signatures(both, "text", "own", bits), "edited", "changed", bits)
     marked = land(
-        marked.select("doc_id", "h", "n_chars", "next_id", "next_h", F.sha2("edited", 256).alias("edited_sha256"), "own", "changed"),
+        marked.select("doc_id", "id", "h", "n_chars", "next_id", "next_h", F.sha2("edited", 256).alias("edited_sha256"), "own", "changed"),
         "signatures",
     )
-    others = marked.select(F.col("doc_id").alias("o_id"), F.col("h").alias("o_h"), F.col("own").alias("other")).dropDuplicates(["o_id", "o_h"])
-    out = marked.join(others, F.expr("next_id <=> o_id AND next_h = o_h"))
+    others = marked.select(F.col("id").alias("next_id"), F.col("h").alias("next_h"), F.col("own").alias("other"))
+    out = marked.join(others.dropDuplicates(["next_id", "next_h"]), ["next_id", "next_h"])
     return out.select(
         "doc_id",
         "n_chars",

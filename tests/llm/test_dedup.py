@@ -224,7 +224,7 @@ def test_op7_single_document_is_its_own_next(spark):
 
 def test_next_documents_over_many_partitions(spark):
     ids = random.Random(1).sample(range(10_000), 500)
-    keys = spark.createDataFrame([(i, i * 7) for i in ids], "doc_id long, h long").repartition(9)
-    got = {r.doc_id: (r.next_id, r.next_h) for r in imatch.next_documents(keys).collect()}
+    keys = spark.createDataFrame([(False, i, i * 7) for i in ids], "none boolean, id long, h long").repartition(9)
+    got = {r.id: (r.next_id, r.next_h) for r in imatch.next_documents(keys).collect()}
     order = sorted(ids)
     assert got == {a: (b, b * 7) for a, b in zip(order, order[1:] + order[:1])}
