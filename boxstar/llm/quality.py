@@ -35,6 +35,7 @@ THRESHOLD = 0.5
 DIMENSIONS = 4096
 ROUNDS = 200
 STEP = 0.5
+PASSES = 6  # over each batch of documents
 
 #: Labellers that vote bad from a bound on, and else abstain: (statistic, bound).
 BAD_FROM = {
@@ -83,7 +84,7 @@ def statistics(text: str) -> dict[str, float] | None:
         "sameness": 1 - len(distinct) / n if n >= 20 else 0.0,
         "capitals": upper / max(1, upper + lower),
         "exclaims": int(counts[33]) / n,
-        "symbols": (plain - upper - lower - digits - spaces) / max(1, plain),
+        "symbols": (plain - upper - lower - digits - spaces) / (plain + 20),  # a few signs in a tiny text are no sign
         "cells": int(counts[[9, 59, 124]].sum()) / max(1, plain),  # tab, semicolon, bar
         "same_lines": 1 - len(set(lines)) / len(lines) if len(lines) >= 3 else 0.0,
         "odd_length": 1.0 if mean < 1.5 or mean > 25 else 0.0,
@@ -164,7 +165,7 @@ def features(text: str, stats: dict[str, float], dimensions: int = DIMENSIONS) -
         x = np.log1p(np.bincount(slot, minlength=dimensions)).astype(np.float32)
         x /= np.float32(np.linalg.norm(x))
     for k, value in enumerate(stats.values()):
-        x[(k * 11 + min(10, int(value * 10))) * 37 % dimensions] += 0.5
+        x[(k * 11 + min(10, int(value * 10))) * 37 % dimensions] += 1.0
     return x
 
 
@@ -201,7 +202,7 @@ def _learn(model: LabelModel):
                 continue
             x = np.stack(xs)
             y = model.posterior(np.array(ys)).astype(np.float32)
-            for _ in range(4):
+            for _ in range(PASSES):
                 for i in range(0, len(x), 64):
                     part, want = x[i : i + 64], y[i : i + 64]
                     p = 1.0 / (1.0 + np.exp(-(part @ params[:-1] + params[-1])))

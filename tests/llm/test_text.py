@@ -252,23 +252,25 @@ def test_gradient_is_the_slope():
         assert (loss(flat + step) - loss(flat - step)) / 2e-4 == pytest.approx(g[i], rel=0.05, abs=1e-4)
 
 
-def test_both_sides_matter_after_training(spark):
+def test_training_helps_and_both_sides_matter(spark):
     rng = np.random.default_rng(2)
-    names = [f"w{i}" for i in range(20)]
     rows = []
-    for d in range(400):  # the middle word is told by its two neighbours together
-        words = []
-        for _ in range(30):
-            a, b = rng.integers(0, 20, 2)
-            words += [names[a], f"m{(a + b) % 20}", names[b]]
+    for d in range(300):  # each word tells the next one, four times in five
+        w, words = int(rng.integers(0, 40)), []
+        for _ in range(100):
+            words.append(f"w{w}")
+            w = (w * 7 + 3) % 40 if rng.random() < 0.8 else int(rng.integers(0, 40))
         rows.append((d, " ".join(words)))
-    train, held = spark.createDataFrame(rows[:350], "doc_id long, text string"), spark.createDataFrame(rows[350:], "doc_id long, text string")
+    train, held = spark.createDataFrame(rows[:250], "doc_id long, text string"), spark.createDataFrame(rows[250:], "doc_id long, text string")
     codes, counts = pll.code_table(train)
-    start = pll.score(held, codes, pll.initial(counts)).agg(F.avg("mean_pll")).first()[0]
-    trained = pll.score(held, codes, pll.train(train, codes, counts)).agg(F.avg("mean_pll")).first()[0]
-    assert trained > start + 0.05  # better than word frequencies on held-out texts
-    junk = spark.createDataFrame([(0, " ".join(rng.permutation(rows[0][1].split())))], "doc_id long, text string")
-    assert trained > pll.score(junk, codes, pll.train(train, codes, counts)).first().mean_pll - 5
+    mean = lambda flat: pll.score(held, codes, flat).agg(F.avg("mean_pll")).first()[0]
+    frequencies, flat = mean(pll.initial(counts)), pll.train(train, codes, counts)
+    trained = mean(flat)
+    assert trained > frequencies + 0.3
+    for sides in ((0, 1), (2, 3)):  # without the left, without the right window
+        half = flat.copy()
+        pll.unflatten(half)["places"][list(sides)] = 0
+        assert mean(half) < trained - 0.05
 
 
 def test_op1_sums_each_token_once(spark, small_docs):
