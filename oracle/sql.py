@@ -274,16 +274,13 @@ def base_ctes(p: Params) -> list[tuple[str, str]]:
                COALESCE(MAX({_norm_game_type('gameType')}), {_q(config.GAME_TYPE_LABELS['unknown'])}) AS gameType
         FROM box_clean GROUP BY 1) g""")
     add("dates", """
-  SELECT ROW_NUMBER() OVER (ORDER BY gameDateEst ASC NULLS LAST) AS dateKey,
-         gameDateEst,
-         strftime(gameDateEst, '%Y-%m-%d') AS fullDate,
-         CAST(year(gameDateEst) AS INTEGER) AS year,
-         CAST(month(gameDateEst) AS INTEGER) AS month,
-         CAST(day(gameDateEst) AS INTEGER) AS day,
-         CAST(dayofweek(gameDateEst) AS INTEGER) AS dayOfTheWeek,
-         CAST(quarter(gameDateEst) AS INTEGER) AS quarter
-  FROM (SELECT gameDateTimeEst AS gameDateEst FROM team_clean
-        UNION SELECT gameDateTimeEst FROM box_clean) u""")
+  SELECT count(*) OVER (ORDER BY stamp NULLS LAST ROWS UNBOUNDED PRECEDING) AS dateKey, stamp AS gameDateEst,
+         left(CAST(stamp AS VARCHAR), 10) AS fullDate,
+         CAST(date_part('year', stamp) AS INTEGER) AS year, CAST(date_part('month', stamp) AS INTEGER) AS month,
+         CAST(date_part('day', stamp) AS INTEGER) AS day, CAST(date_part('dow', stamp) AS INTEGER) AS dayOfTheWeek,
+         CAST(date_part('quarter', stamp) AS INTEGER) AS quarter
+  FROM (SELECT stamp FROM (SELECT gameDateTimeEst AS stamp FROM box_clean UNION ALL SELECT gameDateTimeEst FROM team_clean) b
+        GROUP BY stamp) s""")
 
     # ---- facts ---------------------------------------------------------------
     box_stats = ",\n    ".join(f"CAST(b.{c} AS DOUBLE) AS {c}" for c in BOX_STATS)
@@ -320,16 +317,13 @@ def base_ctes(p: Params) -> list[tuple[str, str]]:
   FROM team_fact WHERE win IN (0, 1) GROUP BY win""")
     pct_col = f"win_pct_{p.top_since_year}_plus"
     add("top_teams", f"""
-  SELECT t.teamName, t.teamCity,
-         ROUND(AVG(CASE WHEN f.win = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100, 2) AS {pct_col},
-         COUNT(*) AS games_count
-  FROM team_fact f
-  JOIN teams t ON t.teamKey = f.teamKey
-  JOIN dates d ON d.dateKey = f.dateKey
-  WHERE d.year >= {p.top_since_year} AND t.teamCity IS NOT NULL
-  GROUP BY t.teamName, t.teamCity
-  HAVING COUNT(*) >= {p.top_min_games}
-  ORDER BY {pct_col} DESC, games_count DESC, t.teamName ASC
+  SELECT n.teamName, n.teamCity, round(r.share * 100, 2) AS {pct_col}, r.games AS games_count
+  FROM (SELECT teamKey, avg(CAST(coalesce(win = 1, false) AS DOUBLE)) AS share, count(*) AS games
+        FROM team_fact SEMI JOIN (SELECT dateKey FROM dates WHERE year >= {p.top_since_year}) recent USING (dateKey)
+        GROUP BY teamKey) r
+  JOIN (SELECT * FROM teams WHERE teamCity IS NOT NULL) n USING (teamKey)
+  WHERE r.games >= {p.top_min_games}
+  ORDER BY 3 DESC, 4 DESC, 1
   LIMIT {p.top_limit}""")
     prof = ",\n    ".join(f"AVG(f.{c}) AS {c}" for c, _ in config.COUNT_LABELS)
     add("team_profile", f"""
