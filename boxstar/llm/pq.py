@@ -3,15 +3,16 @@
 Equal vectors are one class first. Class vectors are scaled to length one; a
 coarse quantiser (k-means) deals them into inverted lists, and each stores a
 residual code: ``SUBSPACES`` table indices of one byte. The quantisers are
-fitted on a bounded sample (``SAMPLE`` vectors, by hash order); every vector
-is indexed.
+fitted on a bounded sample by hash order (four vectors a list, ``SAMPLE`` at
+least and ``MAX_SAMPLE`` at most); every vector is indexed. There is a list for
+every ``LIST_SIZE`` vectors, ``MAX_LISTS`` at most.
 
 Search. A vector asks every list whose centroid scores within ``MARGIN`` of its
-own best one. A link partner x of q with cosine c has q's score for x's list
-at most 2 * sqrt(1 - c ** 2) below q's best in the worst direction, and about
-a sixth of that at random in 64 dimensions, so the margin covers several
-standard deviations; recall against brute force is measured in the tests and
-the README. In a list, distances from the query to all codes are sums of
+own best one. How far a partner's list can fall behind is the difference of two
+scores along the direction between the vectors; at cosine 0.95 in 64 dimensions
+its spread is about 0.05, so the margin covers more than two of it, and more at
+higher cosines. Recall against brute force is measured in the tests and the
+README. In a list, distances from the query to all codes are sums of
 table lookups (asymmetric). Each vector also carries the length of its own
 coding error, so a code is passed over only where the triangle inequality
 rules the link out. What is left is decided by the exact cosine in double
@@ -36,19 +37,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from boxstar.llm.common import land, prepare
 from boxstar.llm.graph import components, roots
 
 COSINE = 0.95
-MARGIN = 0.22
+MARGIN = 0.12
+LIST_SIZE = 64
 SAMPLE = 16_384
+MAX_SAMPLE = 65_536
 SUBSPACES = 16
 CODES = 256
 BLOCK = 2_048
 ASKERS = 4_096
-MAX_LISTS = 65_536
-ROUNDS = 8
+MAX_LISTS = 16_384
+ROUNDS = 6
 
 
 class Quantiser:
@@ -81,19 +85,20 @@ class Quantiser:
 
 
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int, unit: bool) -> np.ndarray:
+    x = x.astype(np.float32)
     centres = x[rng.choice(len(x), size=min(k, len(x)), replace=False)].copy()
     for _ in range(rounds):
         near = np.empty(len(x), dtype=np.int64)
         half = 0.5 * (centres**2).sum(axis=1)
-        for i in range(0, len(x), 4096):
-            near[i : i + 4096] = (x[i : i + 4096] @ centres.T - half).argmax(axis=1)
+        for i in range(0, len(x), 1024):
+            near[i : i + 1024] = (x[i : i + 1024] @ centres.T - half).argmax(axis=1)
         sums = np.zeros_like(centres)
         np.add.at(sums, near, x)
         n = np.bincount(near, minlength=len(centres))
         centres[n > 0] = sums[n > 0] / n[n > 0, None]
         if unit:
             centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
-    return centres
+    return centres.astype(np.float64)
 
 
 def fit(sample: np.ndarray, lists: int, seed: int = 7) -> Quantiser:
@@ -118,8 +123,9 @@ def _unit(batch_column: pa.Array, dim: int) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _routed(q: Quantiser, dim: int, margin: float, blocks: dict[int, int], audiences: dict[int, int] | None):
-    """Class vectors -> rows (list, block, audience, node, copies, home, codes' error, vector).
+def _routed(q: Quantiser, dim: int, margin: float, kind: str, blocks: dict[int, int], audiences: dict[int, int] | None):
+    """Class vectors -> rows (list, block, audience, node, copies, home, vector);
+    vectors travel in the precision that the table has.
 
     Without ``audiences`` only (list, home) is filled, for counting."""
 
@@ -137,9 +143,9 @@ def _routed(q: Quantiser, dim: int, margin: float, blocks: dict[int, int], audie
         for b in batches:
             if not b.num_rows:
                 continue
-            x = _unit(b.column(2), dim)
             node, copies = b.column(0).to_numpy(), b.column(1).to_numpy()
-            s = q.scores(x)
+            raw = b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+            s = q.scores(_unit(b.column(2), dim))
             mine = s.argmax(axis=1)
             row, at = np.nonzero(s >= s.max(axis=1, keepdims=True) - margin)
             spread = (node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
@@ -153,8 +159,8 @@ def _routed(q: Quantiser, dim: int, margin: float, blocks: dict[int, int], audie
                     rows.append(r), lists.append(k), home.append(True), aud.append(a)
                     blk.append(int(spread[r]) % blocks[k])
             rows = np.array(rows)
-            vectors = x[rows].astype("<f8").tobytes()
-            wide = 8 * dim
+            vectors = raw[rows].astype(kind).tobytes()
+            wide = np.dtype(kind).itemsize * dim
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(lists, pa.int64()), pa.array(blk, pa.int64()), pa.array(aud, pa.int64()), pa.array(node[rows]),
@@ -166,14 +172,15 @@ def _routed(q: Quantiser, dim: int, margin: float, blocks: dict[int, int], audie
     return counted if audiences is None else sent
 
 
-def _search(q: Quantiser, dim: int, cosine: float):
+def _search(q: Quantiser, dim: int, kind: str, cosine: float):
     reach = float(np.sqrt(2 - 2 * cosine))
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         centre = q.centroids[key[0].as_py()]
         home = table["home"].to_numpy(zero_copy_only=False)
         node, copies = table["node"].to_numpy(), table["copies"].to_numpy()
-        x = np.frombuffer(b"".join(v.as_py() for v in table["vector"]), dtype="<f8").reshape(-1, dim)
+        x = np.frombuffer(b"".join(v.as_py() for v in table["vector"]), dtype=kind).reshape(-1, dim).astype(np.float64)
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
         points, askers = np.flatnonzero(home), np.flatnonzero(~home)
         codes, missed = q.encode(x[points] - centre)
         links = np.zeros(len(askers), dtype=np.int64)
@@ -213,6 +220,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, margin: float =
     """Per row of (vec_id, embedding): vec_id, n_links, component_id, kept."""
     spark = vectors.sparkSession
     prepare(spark)
+    kind = "<f4" if vectors.schema["embedding"].dataType == T.ArrayType(T.FloatType()) else "<f8"
     rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"))
     good = rows.where(_valid()).select("vec_id", F.transform("embedding", lambda c: c + F.lit(0.0)).alias("embedding"))
     # one row per distinct vector; the key is its smallest id, made unique by a rank where ids repeat
@@ -226,18 +234,19 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, margin: float =
     for dim in dims:  # in practice one
         own = classes.where(F.size("embedding") == dim).select("node", "copies", "embedding")
         n = own.count()
-        picked = own.orderBy("node").limit(sample).select("embedding").collect()
+        lists = int(min(MAX_LISTS, max(1, n // LIST_SIZE)))
+        picked = own.orderBy("node").limit(min(MAX_SAMPLE, max(sample, 4 * lists))).select("embedding").collect()
         x = np.array([r["embedding"] for r in picked], dtype=np.float64)
-        q = fit(x / np.linalg.norm(x, axis=1, keepdims=True), int(min(MAX_LISTS, len(x), max(1, np.ceil(np.sqrt(n))))))
-        visits = own.mapInArrow(_routed(q, dim, margin, {}, None), "list long, home boolean")
+        q = fit(x / np.linalg.norm(x, axis=1, keepdims=True), lists)
+        visits = own.mapInArrow(_routed(q, dim, margin, kind, {}, None), "list long, home boolean")
         sizes = visits.groupBy("list").agg(F.count(F.lit(1)).alias("asked"), F.sum(F.col("home").cast("long")).alias("n")).collect()
         blocks = {r["list"]: -(-r["n"] // BLOCK) for r in sizes if r["n"]}  # one entry per list
         audiences = {r["list"]: -(-r["asked"] // ASKERS) for r in sizes}
         sent = own.mapInArrow(
-            _routed(q, dim, margin, blocks, audiences),
+            _routed(q, dim, margin, kind, blocks, audiences),
             "list long, block long, audience long, node long, copies long, home boolean, vector binary",
         )
-        part = sent.groupBy("list", "block", "audience").applyInArrow(_search(q, dim, cosine), "node long, links long, root long")
+        part = sent.groupBy("list", "block", "audience").applyInArrow(_search(q, dim, kind, cosine), "node long, links long, root long")
         found = part if found is None else found.unionByName(part)
     if found is None:
         named = spark.createDataFrame([], "embedding array<double>, others long, component_id long")

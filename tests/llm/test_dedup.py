@@ -160,6 +160,19 @@ def test_op3_whole_table_recall(spark):
         assert len(got) == len(rows)
 
 
+def test_op3_recall_just_above_the_threshold(spark):
+    rng = np.random.default_rng(4)
+    base = rng.standard_normal((3000, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    side = rng.standard_normal(base.shape)
+    side -= (side * base).sum(axis=1, keepdims=True) * base
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    pairs = 0.9505 * base + np.sqrt(1 - 0.9505**2) * side
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([base, pairs]))]
+    found = pq.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).agg(F.sum("n_links")).first()[0]
+    assert found >= 0.97 * 6000
+
+
 def test_op3_empty(spark):
     assert pq.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).collect() == []
 
