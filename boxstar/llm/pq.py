@@ -75,13 +75,17 @@ class Quantiser:
             missed += ((part - table[codes[:, s]]) ** 2).sum(axis=1)
         return codes, np.sqrt(missed)
 
-    def lookup(self, residual: np.ndarray) -> np.ndarray:
-        """Per query and subspace, squared distances to all codewords."""
-        out = np.empty((len(residual), len(self.tables), CODES), dtype=np.float32)
+    def distances(self, residual: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Squared distances (codes x queries) from queries to coded vectors: per
+        subspace a table of codeword distances, one row per codeword, is looked up."""
+        x = residual.astype(np.float32)
+        out = np.zeros((len(codes), len(x)), dtype=np.float32)
         for s, table in enumerate(self.tables):
-            part = residual[:, self.edges[s] : self.edges[s + 1]]
-            out[:, s, : len(table)] = ((part[:, None, :] - table[None, :, :]) ** 2).sum(axis=2)
-        return out
+            part, words = x[:, self.edges[s] : self.edges[s + 1]], table.astype(np.float32)
+            lookup = (-2 * words) @ part.T
+            lookup += (words**2).sum(axis=1)[:, None]
+            out += lookup[codes[:, s]]
+        return out + (x**2).sum(axis=1)[None, :]
 
 
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int, unit: bool) -> np.ndarray:
@@ -185,14 +189,11 @@ def _search(q: Quantiser, dim: int, kind: str, cosine: float):
         codes, missed = q.encode(x[points] - centre)
         links = np.zeros(len(askers), dtype=np.int64)
         a, b = [], []
-        for i in range(0, len(askers), 128):
-            part = askers[i : i + 128]
-            tables = q.lookup(x[part] - centre)
-            far = np.zeros((len(part), len(points)), dtype=np.float32)
-            for s in range(codes.shape[1]):
-                far += tables[:, s, :][:, codes[:, s]]
-            maybe = np.sqrt(np.maximum(far, 0)) <= missed[None, :] + reach + 1e-4
-            m, p = np.nonzero(maybe)
+        for i in range(0, len(askers), 512):
+            part = askers[i : i + 512]
+            far = q.distances(x[part] - centre, codes)
+            maybe = np.sqrt(np.maximum(far, 0)) <= missed[:, None] + reach + 1e-4
+            p, m = np.nonzero(maybe)
             m, p = part[m], points[p]
             exact = np.einsum("ij,ij->i", x[m], x[p])
             good = (exact >= cosine) & (node[m] != node[p])
