@@ -26,7 +26,7 @@ from boxstar.llm.common import land, prepare
 
 ASSISTANT = "assistant"
 #: Ids per ranking block: a hot opening is ranked in blocks of its id range.
-ID_BLOCK = 1024
+ID_BLOCK = 256
 
 
 def conversation_turns(conversations: DataFrame) -> DataFrame:
