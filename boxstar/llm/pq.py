@@ -236,8 +236,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, margin: float =
         own = classes.where(F.size("embedding") == dim).select("node", "copies", "embedding")
         n = own.count()
         lists = int(min(MAX_LISTS, max(1, n // LIST_SIZE)))
-        picked = own.orderBy("node").limit(min(MAX_SAMPLE, max(sample, 4 * lists))).select("embedding").collect()
-        x = np.array([r["embedding"] for r in picked], dtype=np.float64)
+        picked = own.orderBy("node").limit(min(MAX_SAMPLE, max(sample, 4 * lists))).select("embedding").toArrow()
+        x = picked["embedding"].combine_chunks().flatten().to_numpy().reshape(-1, dim)
         q = fit(x / np.linalg.norm(x, axis=1, keepdims=True), lists)
         visits = own.mapInArrow(_routed(q, dim, margin, kind, {}, None), "list long, home boolean")
         sizes = visits.groupBy("list").agg(F.count(F.lit(1)).alias("asked"), F.sum(F.col("home").cast("long")).alias("n")).collect()
