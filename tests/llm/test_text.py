@@ -294,3 +294,35 @@ def test_op1_whole_and_awkward(spark, awkward, no_docs):
     assert Counter((r.doc_id, r.n_tokens) for r in rows) == Counter((i, len((t or "").lower().split())) for i, t in awkward_texts())
     assert all((r.pll, r.mean_pll) == (0.0, None) for r in rows if r.n_tokens == 0)
     assert pll.pseudo_likelihood(no_docs).collect() == []
+
+
+def test_op1_random_strings_score_below_real_text(spark, small_docs):
+    rng = np.random.default_rng(5)
+    odd = [(-1 - i, " ".join("".join(map(chr, rng.integers(97, 123, 9))) for _ in range(200))) for i in range(5)]
+    df = spark.createDataFrame(small_docs + odd[:3], "doc_id long, text string").repartition(3)
+    words = pll.word_table(df)
+    exact = Counter(w for _, t in small_docs + odd[:3] for w in t.lower().split())
+    assert {r.word: r.n for r in words.collect()} == exact
+    codes, counts = pll.code_table(df, words)
+    flat = pll.train(df, codes, counts)
+    held = spark.createDataFrame(small_docs + odd, "doc_id long, text string")
+    rows = {r.doc_id: r for r in pll.score_words(held, codes, flat, words, counts, head=300).collect()}
+    worst_real = min(rows[d].mean_pll for d, t in small_docs if t.split())
+    assert max(rows[d].mean_pll for d, _ in odd) < worst_real  # seen once or never
+    p, table = pll.unflatten(flat), codes.tolist()
+    for doc, text in small_docs[:10] + odd[-1:]:  # words with broadcast counts, joined counts, and unseen ones
+        tokens = text.lower().split()
+        own = [table[pll._slot(w)] for w in tokens]
+        around = np.array([pll.EDGE] * 2 + own + [pll.EDGE] * 2)
+        want = pll.log_probabilities(p, around, np.arange(2, len(own) + 2)).sum()
+        want += sum(np.log(max(1, exact[w])) - np.log(counts[c] + 1) for w, c in zip(tokens, own))
+        assert rows[doc].pll == pytest.approx(want, rel=1e-4, abs=1e-3)
+
+
+def test_op1_codes_grow_with_the_frequent_words(spark):
+    words = spark.createDataFrame([(f"w{i}", 2000 if i < 3000 else 2) for i in range(5000)], "word string, n long")
+    codes, counts = pll.code_table(None, words)
+    assert len(counts) > 3000 and counts.sum() == 3000 * 2000 + 2000 * 2
+    flat = pll.initial(counts)
+    assert pll.unflatten(flat)["places"].shape[1] == len(counts) + 1
+    assert len({int(codes[pll._slot(f"w{i}", len(codes))]) for i in range(3000)}) > 2900
