@@ -5,11 +5,14 @@ Two layers find spans in every whole text.
 * Base patterns: keyword assignments, access ids and long hexadecimal runs.
 * The lexer reads source and configuration syntax (``name = "literal"``,
   ``"name": "literal"``, ``name: literal``, ``export NAME=literal``,
-  ``--name literal``, ``<name>literal</name>``) into name-literal pairs,
+  ``--name literal``, ``<name>literal</name>``, ``name: Type = literal``, triple
+  quotes, block scalars and literals on the next line) into name-literal pairs,
   carries constants from name to name (``a = "..."; password = a``, and joins
   with ``+``), and scores each literal by the sensitivity of the name it
   reaches and by its own make-up. Literals that score at least ``THRESHOLD``
-  are reported where they are written.
+  are reported where they are written. A literal with white space counts by its
+  best word that holds letters and digits; other words are prose. Private keys in
+  PEM form are reported whole, whatever their name.
 
 A lexed span that lies inside a base span adds nothing and is left out; base
 spans always stay.
@@ -66,9 +69,15 @@ _LEX = re.compile(
     r"""|(?P<space>[^\S\n]+)"""
     r"""|(?P<other>.)"""
 )
+_LONG = re.compile(r"""[^\S\n]*[A-Za-z]{0,2}(?P<quote>\"{3}|'{3}|`)(?P<body>[\s\S]*?)(?P=quote)""")
+_BLOCK = re.compile(r"[^\S\n]*[|>][-+\d]{0,2}[^\S\n]*(?:#[^\n]*)?\n")
+_PEM = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----(?:(?!-----)[\s\S])*-----END [A-Z0-9 ]*PRIVATE KEY-----")
 _BARE = re.compile(r"[^\s\"'`,;(){}\[\]<>]+")
 
 
+_LETTER, _DIGIT = re.compile("[A-Za-z]"), re.compile("[0-9]")
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the base patterns, ordered by start then kind."""
     low = text.lower()
@@ -91,7 +100,7 @@ def literal_score(value: str) -> float:
     if len(value) < MIN_LITERAL or _PLACEHOLDER.fullmatch(value) or "${" in value or "{{" in value:
         return -1.0
     if any(c.isspace() for c in value):
-        return -1.0
+        return max((literal_score(w) for w in value.split() if _LETTER.search(w) and _DIGIT.search(w)), default=-1.0)
     n = len(value)
     entropy = -sum(k / n * math.log2(k / n) for k in Counter(value).values())
     mixed = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
@@ -104,7 +113,7 @@ def lexed_spans(text: str) -> list[tuple[int, int, int]]:
     if not any(h in low for h in _HINTS):
         return []
     constants: dict[str, tuple[str, tuple[tuple[int, int], ...]]] = {}
-    found: set[tuple[int, int]] = set()
+    found: set[tuple[int, int]] = {m.span() for m in _PEM.finditer(text)}
 
     def judge(name: str, value: str, spans: tuple[tuple[int, int], ...]) -> None:
         weight = name_weight(name)
@@ -113,6 +122,7 @@ def lexed_spans(text: str) -> list[tuple[int, int, int]]:
 
     tokens = [(m.lastgroup if m.lastgroup not in ("tagbody", "tagname", "flagbody", "flagname") else "x", m) for m in _LEX.finditer(text)]
     tokens = [(k if k != "x" else ("tag" if m["tag"] else "flag"), m) for k, m in tokens if k != "space"]
+    closers = _closers(tokens)
     i, n = 0, len(tokens)
     while i < n:
         kind, m = tokens[i]
@@ -124,8 +134,17 @@ def lexed_spans(text: str) -> list[tuple[int, int, int]]:
             j = i + 1
             while j < n and tokens[j][0] == "end" and tokens[j][1][0] == "]":  # config["name"] = ...
                 j += 1
+            if j + 1 < n and tokens[j][1][0] in ("?", "!") and tokens[j + 1][1][0] == ":":  # name?: Type
+                j += 1
             if j < n and tokens[j][0] == "op" and tokens[j][1][0] in ("=", ":", ":=", "=>"):
                 name = m[0].strip("\"'`")
+                if tokens[j][1][0] == ":" and (equals := _after_type(tokens, j + 1, closers)):
+                    value, spans, _ = _value(text, tokens, equals, constants)
+                    if value is not None:
+                        constants[name] = (value, spans)
+                        judge(name, value, spans)
+                        i += 1  # what stands for the type may be a name of its own: if x: name = value
+                        continue
                 value, spans, j = _value(text, tokens, j, constants)
                 if value is not None:
                     constants[name] = (value, spans)
@@ -136,10 +155,85 @@ def lexed_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted((a, 3, b) for a, b in found)
 
 
+def _closers(tokens) -> dict[int, int]:
+    """Token number of each opening bracket -> that of its closing one."""
+    out, stack = {}, []
+    for i, (kind, m) in enumerate(tokens):
+        if kind == "end" and m[0] in "([{":
+            stack.append(i)
+        elif kind == "end" and m[0] in ")]}" and stack:
+            out[stack.pop()] = i
+    return out
+
+
+def _after_type(tokens, at: int, closers: dict[int, int]) -> int | None:
+    """The ``=`` behind a type expression that starts at ``at``, if there is one in the line."""
+    j, angles = at, 0
+    while j < len(tokens):
+        kind, m = tokens[j]
+        sign = m[0]
+        if kind == "op":
+            if sign == "=" or (sign == ">=" and angles):
+                if j == at:
+                    return None
+                # without a blank before it, as in base64 or a=b, only a quoted value makes an assignment
+                spaced = tokens[j - 1][1].end() < m.start()
+                quoted = j + 1 < len(tokens) and (tokens[j + 1][0] == "text" or tokens[j + 1][1][0] in ("\"", "'", "`"))
+                return j if spaced or quoted else None
+            if sign not in ("=>", "+"):  # function types, sums of bounds
+                return None
+        elif kind == "end":
+            if sign in "([{":
+                if j not in closers:
+                    return None
+                j = closers[j]
+            elif sign != "," or not angles:
+                return None
+        elif kind == "line" or kind == "flag":
+            return None
+        elif sign == "<":
+            angles += 1
+        elif sign == ">":
+            angles = max(0, angles - 1)
+        j += 1
+    return None
+
+
+def _across_lines(text: str, op: re.Match) -> tuple[int, int] | None:
+    """Span of a triple-quoted, many-line or block literal right after an operator."""
+    m = _LONG.match(text, op.end())
+    if m and (len(m["quote"]) == 3 or "\n" in m["body"]):
+        return m.span("body")
+    block = _BLOCK.match(text, op.end()) if op[0] == ":" else None
+    if not block:
+        return None
+    line = text[text.rfind("\n", 0, op.start()) + 1 : op.start()]
+    indent = len(line) - len(line.lstrip(" \t"))
+    at = end = block.end()
+    while at < len(text):
+        stop = text.find("\n", at)
+        stop = len(text) if stop < 0 else stop
+        row = text[at:stop]
+        if row.strip():
+            if len(row) - len(row.lstrip(" \t")) <= indent:
+                break
+            end = stop
+        at = stop + 1
+    return (block.end(), end) if end > block.end() else None
+
+
 def _value(text: str, tokens, at: int, constants):
     """The constant after the operator at ``at``: (value or None, its spans, next token)."""
     value, spans, j = "", (), at + 1
     opened_by = tokens[at][1][0]
+    if long := _across_lines(text, tokens[at][1]):
+        body = text[long[0] : long[1]]
+        start = long[0] + len(body) - len(body.lstrip())
+        return body.strip(), ((start, start + len(body.strip())),), at + 1  # the lines inside are read as well
+    while j < len(tokens) and (tokens[j][0] == "line" or tokens[j][1][0] == "("):
+        j += 1
+    if j > at + 1 and (j == len(tokens) or tokens[j][0] != "text" or (j + 1 < len(tokens) and tokens[j + 1][0] == "op" and tokens[j + 1][1][0] != "+")):
+        j = at + 1  # only a literal may stand on the next line
     while j < len(tokens):
         kind, m = tokens[j]
         if kind == "text":
@@ -151,7 +245,8 @@ def _value(text: str, tokens, at: int, constants):
             spans += where
         elif not spans and kind in ("name", "number", "other", "flag") and (bare := _BARE.match(text, m.start())):
             follows = j + 1 < len(tokens) and tokens[j + 1][0] == "op" and tokens[j + 1][1][0] in ("=", ":")
-            if follows and opened_by == ":":  # name: Type = value
+            padded = follows and tokens[j + 1][1][0] == "=" and tokens[j + 1][1].start() < bare.end()  # abc=, part of the literal
+            if follows and opened_by == ":" and not padded:  # name: Type = value
                 return None, (), j
             while j < len(tokens) and tokens[j][1].start() < bare.end():
                 j += 1

@@ -144,6 +144,51 @@ def test_lexer_leaves_other_text_alone(text):
     assert secrets.lexed_spans(text) == []
 
 
+PEM = f"-----BEGIN RSA PRIVATE KEY-----\n{KEY}\n{KEY}\n-----END RSA PRIVATE KEY-----"
+WHOLE = [
+    (f'db_password: str = "{KEY}"', KEY),
+    ('password: str = "hunter2xyz9"', "hunter2xyz9"),
+    ('const apiKey: string = "Zk3mQ9wLx71b"', "Zk3mQ9wLx71b"),
+    (f'secret: Optional[str] = "{KEY}"', KEY),
+    (f'def f(n: int, token: dict[str, "T"] | None = "{KEY}", m: int = 3):', KEY),
+    (f'let access_key: &str = "{KEY}";', KEY),
+    (f"let credential: Option<Map<String, String>>= '{KEY}';", KEY),
+    (f'var privateKey: String? = "{KEY}"', KEY),
+    (f'class A {{ apiKey?: string = "{KEY}" }}', KEY),
+    (f'if ready: password = "{KEY}"', KEY),
+    (f"credential: {KEY}=", KEY + "="),
+    (f'private_key = """\n{KEY}\n{KEY}\n"""', f"{KEY}\n{KEY}"),
+    (f"credential: bytes = b\'\'\'{KEY}\'\'\'", KEY),
+    (f"const privateKey = `\n{KEY}\n`;", KEY),
+    (f"a:\n  private_key: |-\n    {KEY}\n\n    {KEY}\n  colour: blue", f"{KEY}\n\n    {KEY}"),
+    (f'final String credential =\n    "{KEY}";', KEY),
+    (f'passphrase = "word {KEY} word"', f"word {KEY} word"),
+    (f"see {PEM} there", PEM),
+]
+
+
+@pytest.mark.parametrize("text, literal", WHOLE)
+def test_lexer_reads_typed_and_long_literals(text, literal):
+    assert literal in {text[a:b] for a, _, b in secrets.lexed_spans(text)}
+
+
+def test_typed_and_long_literals_through_op8_and_redaction(spark):
+    planted = [(i, text) for i, (text, _) in enumerate(WHOLE)]
+    docs = spark.createDataFrame(planted, "doc_id long, text string").repartition(2)
+    found = {r.doc_id: r for r in secrets.scan_documents(docs).collect()}
+    hidden = {r.doc_id: r.text for r in secrets.redact_documents(docs).collect()}
+    for i, text in planted:
+        start, end = text.index(WHOLE[i][1]), text.index(WHOLE[i][1]) + len(WHOLE[i][1])
+        spans = [tuple(map(int, s.split(":")[1:])) for s in found[i].spans.split(",")]
+        assert any(a <= start and end <= b for a, b in spans), text
+        assert WHOLE[i][1] not in hidden[i] and secrets.REDACTED in hidden[i]
+
+
+@pytest.mark.parametrize("text", [f'colour: str = "{KEY}"', 'secret: str = """please write\nit down"""', "credential: |\n  none of\n  your business"])
+def test_lexer_leaves_typed_and_long_text_alone(text):
+    assert secrets.lexed_spans(text) == []
+
+
 def test_ascii_case_only():
     assert brute_base("toKen=abcdefgh") == [] == secrets.base_spans("toKen=abcdefgh")
     assert secrets.base_spans("ToKeN=abcdefgh") == [(0, 0, 14)]
