@@ -241,3 +241,22 @@ def test_next_documents_over_many_partitions(spark):
     got = {r.id: (r.next_id, r.next_h) for r in imatch.next_documents(keys).collect()}
     order = sorted(ids)
     assert got == {a: (b, b * 7) for a, b in zip(order, order[1:] + order[:1])}
+
+
+@pytest.mark.parametrize("inner", [8, 16, 64])
+def test_op3_recall_at_low_intrinsic_dimension(spark, inner):
+    rng = np.random.default_rng(inner)
+    a = rng.standard_normal((6000, inner))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    away = rng.standard_normal((2000, inner))
+    away -= (away * a[:2000]).sum(axis=1, keepdims=True) * a[:2000]
+    b = 0.951 * a[:2000] + np.sqrt(1 - 0.951**2) * away / np.linalg.norm(away, axis=1, keepdims=True)
+    x = np.concatenate([a, b]) @ np.linalg.qr(rng.standard_normal((64, inner)))[0].T
+    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    got = {r.vec_id: r for r in pq.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)).collect()}
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    link = x @ x.T >= 0.95
+    np.fill_diagonal(link, False)
+    links = np.array([got[i].n_links for i in range(len(x))])
+    assert (links <= link.sum(axis=1)).all()
+    assert links.sum() % 2 == 0 and links.sum() >= 0.999 * link.sum()
