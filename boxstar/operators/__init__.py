@@ -5,6 +5,7 @@ from boxstar.operators.ordered import (  # noqa: F401
     dense_key,
     dense_rank_by,
     exact_quantiles,
+    numbered,
     ordered,
     percentile_rank_by,
     prefix_before,

@@ -9,9 +9,9 @@ group and sort key), written once, and
   partitions + groups rows) whose running sum gives each partition's offset,
 * the order inside a partition is a window partitioned by (partition, group).
 
-Everything that needs "how many rows come before this one" -- dense
-surrogate keys, average-tie percentile ranks, dense ranks, exact quantiles
--- is derived from :func:`ordered`. Ties are collapsed into (value, count)
+Average-tie percentile ranks, dense ranks and exact quantiles are derived from
+:func:`ordered`. Rows that are only numbered (surrogate keys) need no window
+either: :func:`numbered` reads the numbers off the sorted files. Ties are collapsed into (value, count)
 rows before ordering, so a value held by a third of all rows is a single row
 here, and no partition depends on how values are spread, on a common text
 prefix or on outliers.
@@ -25,6 +25,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,43 +103,59 @@ def prefix_before(
     return ordered(df, group_cols, order_cols, weights, parts).rows.drop("_part")
 
 
-# Salts per key value for numbering tied rows in parallel.
-KEY_SALTS = 64
+def with_position(df: DataFrame) -> DataFrame:
+    """``df`` with ``_at``, a hash of where each row stands in the Parquet files it
+    is read from: the same whenever a task runs again, and another one for each of
+    many identical rows. What is not a plain scan of such files is landed first.
+    """
+    at = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("_at")
+    try:
+        return df.select("*", at)
+    except AnalysisException:
+        return land(df, "placed").select("*", at)
+
+
+def numbered(
+    df: DataFrame, order_cols: Sequence[Column], number: str, parts: int | None = None, spread_ties: bool = True, name: str = "numbered"
+) -> DataFrame:
+    """``df`` landed in ``order_cols`` order, with ``number`` counting the rows from 0.
+
+    One range exchange of the rows, which are then written in order, a file for
+    each range partition. A row's number is its place in its file, which the reader
+    knows, and what the files before hold: a table with a row per file. No window
+    and no join meets the rows, and nothing depends on how often a key or a whole
+    row repeats: tied rows are dealt by their position (:func:`with_position`).
+    Their order is arbitrary. ``spread_ties=False`` is for frames whose keys are
+    unique by construction; it takes no position.
+    """
+    by = list(order_cols)
+    if spread_ties:
+        df = with_position(df)
+        by.append(F.col("_at").asc())
+    ranged = df.repartitionByRange(parts or default_parts(df), *by).sortWithinPartitions(*by)
+    rows = land(ranged.drop("_at"), name)
+    placed = rows.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    # files are named by their partition, and by a count where one partition fills several
+    turn = [F.regexp_extract("_file", r"part-(\d+)", 1).cast("long"), F.length("_file"), F.col("_file")]
+    before = Window.orderBy(*turn).rowsBetween(Window.unboundedPreceding, -1)
+    files = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_c"))
+    first = land(files.select("_file", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_first")), "files")
+    out = placed.join(F.broadcast(first), "_file")
+    return out.select(*rows.columns, (F.col("_first") + F.col("_row")).cast("long").alias(number))
 
 
 def dense_key(
-    df: DataFrame,
-    order_col: str,
-    key_name: str,
-    method: str = "ranged",
-    salts: int = KEY_SALTS,
-    spread_ties: bool = True,
-    parts: int | None = None,
+    df: DataFrame, order_col: str, key_name: str, method: str = "ranged", spread_ties: bool = True, parts: int | None = None
 ) -> DataFrame:
-    """Surrogate key 1..n in ``order_col`` order, NULLs last (ROW_NUMBER semantics).
-
-    Rows are salted by a hash of their content and counted per
-    (key, salt) with map-side combining; a prefix sum over those
-    counts gives each (key, salt) its first position, and rows are numbered
-    inside (key, salt) partitions. A key value repeated on a third of the
-    rows is therefore numbered by up to ``salts`` tasks (only fully
-    identical rows share a salt). ``spread_ties=False`` numbers rows
-    directly inside the range partitions -- cheaper, equally correct, meant
-    for keys that are unique by construction (a grouped frame).
-    ``method="window"`` is the plain single-partition form, kept for checks.
+    """Surrogate key 1..n in ``order_col`` order, NULLs last (ROW_NUMBER semantics),
+    numbered by :func:`numbered`. ``method="window"`` is the plain
+    single-partition form, kept for checks.
     """
     order = F.col(order_col).asc_nulls_last()
     if method == "window":
         return df.withColumn(key_name, F.row_number().over(Window.orderBy(order)).cast("long"))
-    if not spread_ties:
-        out = prefix_before(df, [], [order], {"_before": F.lit(1)}, parts)
-        return out.withColumn(key_name, (F.col("_before") + 1).cast("long")).drop("_before")
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(int(salts))))
-    counts = salted.groupBy(order_col, "_salt").agg(F.count(F.lit(1)).alias("_c"))
-    starts = prefix_before(counts, [], [order, F.col("_salt").asc()], {"_start": F.col("_c")}, parts).drop("_c")
-    joined = join_groups(salted, starts, [order_col, "_salt"])
-    inner = Window.partitionBy(order_col, "_salt").orderBy(F.col("_salt"))
-    return joined.withColumn(key_name, (F.col("_start") + F.row_number().over(inner)).cast("long")).drop("_salt", "_start")
+    out = numbered(df, [order], "_before", parts, spread_ties)
+    return out.select(*df.columns, (F.col("_before") + 1).alias(key_name))
 
 
 def present(df: DataFrame, value_col: str) -> Column:

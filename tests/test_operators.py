@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import sys
 
 import numpy as np
 import pandas as pd
@@ -35,7 +36,7 @@ def test_dense_key_hot_value(spark):
     # a third of the rows share one key value; keys stay a permutation of 1..n
     rows = [(7, i) for i in range(1000)] + [(i, i) for i in range(2000)] + [(None, 1), (None, 2)]
     df = spark.createDataFrame(rows, "k long, other long")
-    got = dense_key(df, "k", "key", parts=4, salts=16).collect()
+    got = dense_key(df, "k", "key", parts=4).collect()
     assert sorted(r["key"] for r in got) == list(range(1, len(rows) + 1))
     by_k = {}
     for r in got:
@@ -49,6 +50,41 @@ def test_dense_key_hot_value(spark):
         pos += len(block)
 
 
+def test_numbering_identical_rows_is_even(spark, monkeypatch):
+    from boxstar.operators import numbered
+
+    module, landed = sys.modules["boxstar.operators.ordered"], {}
+    real = module.land
+    monkeypatch.setattr(module, "land", lambda df, name, **k: landed.setdefault(name, real(df, name, **k)))
+
+    # a third of the file is one and the same row
+    rows = [(7, "same")] * 2000 + [(i, "x") for i in range(4000)]
+    df = spark.createDataFrame(rows, "k long, other string").repartition(6)
+    got = numbered(df, [F.col("k").asc()], "n", parts=12)
+    out = got.collect()
+    assert sorted(r["n"] for r in out) == list(range(len(rows)))
+    assert [r["k"] for r in sorted(out, key=lambda r: r["n"])] == sorted(k for k, _ in rows)
+    files = landed["numbered"].groupBy("_metadata.file_name").count().collect()
+    assert max(r["count"] for r in files) <= 2 * len(rows) / 12
+
+
+def test_numbering_moves_whole_rows_once(spark, tmp_path):
+    spark.range(5000).selectExpr("id % 50 AS k", "id", "repeat('x', 20) AS wide").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    out = dense_key(df, "k", "key", parts=5)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "rangepartitioning" not in plan.split("BroadcastExchange")[0] and "Window" not in plan
+    want = {(r["k"]): r["c"] for r in df.groupBy("k").agg(F.count(F.lit(1)).alias("c")).collect()}
+    got = {}
+    for r in out.collect():
+        got.setdefault(r["k"], []).append(r["key"])
+    pos = 1
+    for k in sorted(want):
+        assert sorted(got[k]) == list(range(pos, pos + want[k]))
+        pos += want[k]
+    assert dense_key(df.where("k > 99"), "k", "key").count() == 0
+
+
 def test_dense_key_strings_and_timestamps(spark):
     names = ["b", "a", "ab", "é", "Z", "", "aa", None, "a b"]
     df = spark.createDataFrame([(n,) for n in names], "s string")
