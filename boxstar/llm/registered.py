@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
-from boxstar.llm import chatpairs, chunkreuse, imatch, packing, pll, pq, quality, secrets, simhash, tokencount
+from boxstar.llm import (
+    chatpairs, chunkreuse, filteraudit, fim, hilbert, imatch, packing, pll, pq, quality, secrets, simhash, tokencount,
+)
 from boxstar.llm.common import documents
 
 
@@ -59,6 +61,21 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-middle transformation of all documents."""
+    return fim.transform_documents(documents(spark, sf_dir))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders of the five filters over all documents, by source."""
+    return filteraudit.audit_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents along a Hilbert curve, in 24 shards."""
+    return hilbert.shard_documents(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_chat_formatting": op2_chat_formatting,
@@ -70,8 +87,15 @@ QUERIES = {
     "op8_secret_scans": op8_secret_scans,
     "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_sharding": op13_sharding,
 }
 
 #: The others are held against brute force in the tests: they need a tokenizer, a
-#: trained model, XXH64 or a regular-expression scan with positions.
-ORACLE: dict[str, str] = {"op2_chat_formatting": chatpairs.ORACLE_SQL}
+#: trained model, XXH64, a curve or a regular-expression scan with positions.
+ORACLE: dict[str, str] = {
+    "op2_chat_formatting": chatpairs.ORACLE_SQL,
+    "op11_fill_in_middle": fim.ORACLE_SQL,
+    "op12_filter_audit": filteraudit.ORACLE_SQL,
+}
