@@ -275,3 +275,7 @@ TIMESTAMP_FORMATS = (
     "MM/dd/yyyy HH:mm",
     "MM/dd/yyyy",
 )
+
+#: Dimensions of up to so many rows are joined to the whole fact (the planner broadcasts
+#: them); where two are larger, keys are resolved on the key columns alone.
+DIRECT_JOIN_ROWS = 500_000

@@ -1,5 +1,6 @@
 """Distributed operators built from DataFrame primitives."""
 
+from boxstar.operators.keys import through_keys  # noqa: F401
 from boxstar.operators.ordered import (  # noqa: F401
     default_parts,
     dense_key,

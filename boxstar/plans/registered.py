@@ -199,11 +199,11 @@ def q_ambiguous_name_history(spark, sf_dir):
 
 
 def q_missing_fk_player(spark, sf_dir):
-    return audits.missing_player_fact_keys(analysis(spark, sf_dir).warehouse.player_stats_fact)
+    return audits.missing_player_fact_keys(analysis(spark, sf_dir).warehouse)
 
 
 def q_missing_fk_team(spark, sf_dir):
-    return audits.missing_team_fact_keys(analysis(spark, sf_dir).warehouse.team_stats_fact)
+    return audits.missing_team_fact_keys(analysis(spark, sf_dir).warehouse)
 
 
 def q_flag_distribution(spark, sf_dir):

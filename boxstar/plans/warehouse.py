@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from boxstar import config
 from boxstar.functions.calendar import day_of_week_sunday0
 from boxstar.functions.cleaning import normalize_game_type, to_double, to_whole
+from boxstar.operators.keys import through_keys
 from boxstar.operators.ordered import dense_key
 from boxstar.operators.shaping import latest_per_key
 
@@ -121,7 +122,8 @@ def _resolve_keys(
     id, dates distinct), so a left join never changes the row count and an
     unrequested key can be skipped -- a fact read for its measures only does
     not shuffle against a dimension. The planner broadcasts a dimension when
-    its files are below the session's broadcast threshold.
+    its files are below the session's broadcast threshold; each of the others
+    deals ``src`` out once.
     """
     # key -> (dimension, its join column, its key, column of the fact)
     wanted = {
@@ -134,27 +136,39 @@ def _resolve_keys(
         if key in keys:
             dim, on, number, left = wanted[key]
             side = dim.select(F.col(on).alias(f"_j_{key}"), F.col(number).alias(key))
-            src = src.join(side, F.col(left) == F.col(f"_j_{key}"), "left")
+            src = src.join(side, F.col(left) == F.col(f"_j_{key}"), "left").drop(f"_j_{key}")
     return src
 
 
+def natural_keys(raw: DataFrame, team_col: str, opp_col: str) -> dict[str, Column]:
+    """The columns by which a box row meets the dimensions, typed."""
+    out = {
+        "_gid": typed_column(raw, "gameId", "long"),
+        "_ts": F.col("gameDateTimeEst").cast("timestamp_ntz"),
+        "_team": F.col(team_col),
+        "_opp": F.col(opp_col),
+    }
+    return ({"_pid": typed_column(raw, "personId", "long")} | out) if "personId" in raw.columns else out
+
+
 def player_stats_fact(
-    player_stats_raw: DataFrame, players: DataFrame, lookup: DataFrame, games: DataFrame, dates: DataFrame, keys=FACT_KEYS
+    player_stats_raw: DataFrame, players: DataFrame, lookup: DataFrame, games: DataFrame, dates: DataFrame, keys=FACT_KEYS,
+    narrow: bool = False,
 ) -> DataFrame:
     """One row per player-game row (times duplicate players: not de-duplicated).
 
     ``playerKey`` is always resolved (a duplicated player multiplies rows); the
-    other keys only when listed in ``keys`` -- the rest are left out."""
+    other keys only when listed in ``keys`` -- the rest are left out. With ``narrow``
+    the joins see the key columns alone and whole rows move once
+    (:func:`through_keys`): for dimensions too large to broadcast."""
     raw = player_stats_raw
-    src = raw.withColumns(
-        {
-            "_pid": typed_column(raw, "personId", "long"),
-            "_gid": typed_column(raw, "gameId", "long"),
-            "_ts": F.col("gameDateTimeEst").cast("timestamp_ntz"),
-        }
-    )
-    out = src.join(players.select(F.col("personId").alias("_j_person"), "playerKey"), F.col("_pid") == F.col("_j_person"), "left")
-    out = _resolve_keys(out, "playerteamName", "opponentteamName", lookup, games, dates, keys)
+
+    def resolve(rows: DataFrame) -> DataFrame:
+        people = players.select(F.col("personId").alias("_j_person"), "playerKey")
+        out = rows.join(people, F.col("_pid") == F.col("_j_person"), "left").drop("_j_person")
+        return _resolve_keys(out, "_team", "_opp", lookup, games, dates, keys)
+
+    out = _with_keys(raw, natural_keys(raw, "playerteamName", "opponentteamName"), resolve, narrow)
     numbers = [("win", "int"), ("home", "int"), ("numMinutes", "double"), *[(c, "double") for c in BOX_STATS]]
     return out.select(
         "playerKey",
@@ -167,13 +181,21 @@ def player_stats_fact(
     )
 
 
-def team_stats_fact(team_stats_raw: DataFrame, lookup: DataFrame, games: DataFrame, dates: DataFrame, keys=FACT_KEYS) -> DataFrame:
+def _with_keys(raw: DataFrame, natural: dict[str, Column], resolve: Callable[[DataFrame], DataFrame], narrow: bool) -> DataFrame:
+    return through_keys(raw, natural, resolve) if narrow else resolve(raw.withColumns(natural))
+
+
+def team_stats_fact(
+    team_stats_raw: DataFrame, lookup: DataFrame, games: DataFrame, dates: DataFrame, keys=FACT_KEYS, narrow: bool = False
+) -> DataFrame:
     """One row per team-game row; games come from player statistics only.
 
-    Keys not listed in ``keys`` are left out."""
+    Keys not listed in ``keys`` are left out; ``narrow`` as in :func:`player_stats_fact`."""
     raw = team_stats_raw
-    src = raw.withColumns({"_gid": typed_column(raw, "gameId", "long"), "_ts": F.col("gameDateTimeEst").cast("timestamp_ntz")})
-    out = _resolve_keys(src, "teamName", "opponentTeamName", lookup, games, dates, keys)
+    out = _with_keys(
+        raw, natural_keys(raw, "teamName", "opponentTeamName"),
+        lambda rows: _resolve_keys(rows, "_team", "_opp", lookup, games, dates, keys), narrow,
+    )
     numbers = [("home", "int"), ("win", "int"), *[(c, "double") for c in TEAM_STATS]]
     return out.select(*[k for k in FACT_KEYS if k in keys], *[typed_column(raw, c, t).alias(c) for c, t in numbers])
 
@@ -184,11 +206,13 @@ class Warehouse:
     ``sources`` gives the three raw tables as functions; ``stored`` tables (of a
     written warehouse) are taken as they are. ``stage(df, name)`` lands each
     dimension, so that both facts and every analysis read one copy; facts stay
-    lazy so that consumers prune them to the columns they use.
+    lazy so that consumers prune them to the columns they use. ``direct_rows`` is the size
+    up to which a dimension is taken to be broadcast.
     """
 
     def __init__(self, sources: dict[str, Callable[[], DataFrame]], key_method: str = "ranged", stage=None,
-                 stored: dict[str, DataFrame] | None = None):
+                 stored: dict[str, DataFrame] | None = None, direct_rows: int = config.DIRECT_JOIN_ROWS):
+        self.direct_rows, self._counts = direct_rows, {}
         self._sources, self._key_method = sources, key_method
         self._stage = stage or (lambda df, name: df)
         self._stored = stored or {}
@@ -239,11 +263,26 @@ class Warehouse:
     def player_fact(self, keys=FACT_KEYS, since_year: int | None = None) -> DataFrame:
         """The player fact with ``keys`` (playerKey always), from ``since_year`` on."""
         tables = self._key_tables(keys)
-        return player_stats_fact(since(self.player_stats_raw, since_year), self.players, *tables, keys)
+        raw = since(self.player_stats_raw, since_year)
+        return player_stats_fact(raw, self.players, *tables, keys, self._narrow(keys, players=True))
 
     def team_fact(self, keys=FACT_KEYS, since_year: int | None = None) -> DataFrame:
         """The team fact with ``keys``, from ``since_year`` on."""
-        return team_stats_fact(since(self.team_stats_raw, since_year), *self._key_tables(keys), keys)
+        return team_stats_fact(since(self.team_stats_raw, since_year), *self._key_tables(keys), keys, self._narrow(keys))
+
+    def _rows(self, name: str) -> int:
+        """Rows of a landed dimension, counted once."""
+        if name not in self._counts:
+            self._counts[name] = getattr(self, name).count()
+        return self._counts[name]
+
+    def _narrow(self, keys, players: bool = False) -> bool:
+        """Whether several joins would each deal out whole box rows: two or more of them
+        meet a dimension of over ``direct_rows`` rows. One alone costs what the way
+        through keys costs, and small dimensions are broadcast."""
+        joined = ["teams"] * len({"teamKey", "opponentTeamKey"} & set(keys))
+        joined += ["games"] * ("gameKey" in keys) + ["dates"] * ("dateKey" in keys) + ["players"] * players
+        return len(joined) > 1 and sum(self._rows(n) > self.direct_rows for n in joined) > 1
 
     def _key_tables(self, keys) -> list[DataFrame | None]:
         """Lookup, games and dates, where ``keys`` need them (else not even built)."""
@@ -253,6 +292,9 @@ class Warehouse:
             self.dates if "dateKey" in keys else None,
         ]
 
+    def is_stored(self, name: str) -> bool:
+        return name in self._stored
+
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in config.WAREHOUSE_TABLES}
 
