@@ -97,7 +97,7 @@ class Analysis:
         params: Params | None = None,
         time_formats: Sequence[str] = config.TIMESTAMP_FORMATS,
         strict: bool = False,
-        multi_line: bool = True,
+        multi_line: bool | None = None,
         key_method: str = "ranged",
     ) -> "Analysis":
         """The recipes over the three original box-score CSV files.

@@ -1,16 +1,29 @@
-"""CSV scan of the raw box-score files."""
+"""CSV scan of the raw box-score files, in splits even where fields hold line breaks.
+
+A line break inside quotes keeps Spark's reader from splitting a file. Here every split
+of a file is read by its lines, and a line is a map of states: given that it starts
+inside quotes or outside, does it end inside? Maps compose, so a split is such a map
+too, and running over the splits' maps (a row each) tells the state in which each split
+starts. Files in which no line ends inside quotes are read by Spark's line-wise
+reader. In the others each split then cuts its own records; of a record that crosses a
+border the pieces (two for each split at most) are put together afterwards.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import re
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from boxstar import config
 from boxstar.functions.cleaning import null_na_tokens
+from boxstar.session import land, ship_package
 
 
 def apply_na_tokens(df: DataFrame, tokens: Iterable[str] = config.NA_TOKENS) -> DataFrame:
@@ -20,22 +33,186 @@ def apply_na_tokens(df: DataFrame, tokens: Iterable[str] = config.NA_TOKENS) ->
     return df.select(*[null_na_tokens(F.col(c), tokens).alias(c) if c in text else F.col(c) for c in df.columns])
 
 
-def _reader(spark: SparkSession, multi_line: bool):
-    return (
-        spark.read.option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("mode", "PERMISSIVE")
-        # keep empty strings and whitespace as read; NA handling follows
-        .option("nullValue", "\u0000")
-        .option("emptyValue", "")
-        .option("ignoreLeadingWhiteSpace", "false")
-        .option("ignoreTrailingWhiteSpace", "false")
+_OPTIONS = {
+    "quote": '"',
+    "escape": '"',
+    "mode": "PERMISSIVE",
+    # keep empty strings and whitespace as read; NA handling follows
+    "nullValue": "\u0000",
+    "emptyValue": "",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+_DELIMITER = ","
+# From inside a quoted field to its closing quote; doubled quotes are text.
+_CLOSING = re.compile(r'[^"]*+(?:""[^"]*+)*+"')
+_BLANK = "".join(map(chr, range(33)))
+
+#: What a row of cut text is: a record; the start of one that the split does not end;
+#: the inside of one; the end of one that began in an earlier split.
+RECORD, HEAD, INSIDE, TAIL = range(4)
+
+
+def ends_quoted(line: str, quoted: bool) -> bool:
+    """Whether ``line`` ends inside quotes, given whether it starts inside them. A quote opens
+    a field only as its first character, as in Spark's reader; what follows a closing
+    quote belongs to the field."""
+    at = 0
+    while True:
+        if not quoted and line.startswith('"', at):
+            quoted, at = True, at + 1
+        if quoted:
+            closing = _CLOSING.match(line, at)
+            if not closing:
+                return True
+            quoted, at = False, closing.end()
+        at = line.find(_DELIMITER, at)
+        if at < 0:
+            return False
+        at += 1
+
+
+def _lines(spark: SparkSession, files: list[str]) -> DataFrame:
+    """Lines (``text``) with a hash of their file and their split's first byte; inside a
+    task a split's lines come in order."""
+    lines = spark.read.text(files, lineSep="\n")
+    return lines.select(
+        F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.col("value").alias("text")
+    )
+
+
+def _pieces(text: str) -> list[tuple[str, str]]:
+    """A line up to its line feed as lines with what ends them: a carriage return ends one too."""
+    if "\r" not in text:
+        return [(text, "\n")]
+    if text.index("\r") == len(text) - 1:
+        return [(text[:-1], "\r\n")]
+    *inner, last = text.split("\r")
+    ended = [(piece, "\r") for piece in inner]
+    if last:
+        return [*ended, (last, "\n")]
+    return [*ended[:-1], (ended[-1][0], "\r\n")]
+
+
+def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, int, str]]:
+    for batch in batches:
+        yield from zip(*(batch.column(c).to_pylist() for c in ("file", "split", "text")), strict=True)
+
+
+def _split_maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each split's lines with quotes: the composed map and whether any line opens quotes."""
+    maps: dict[tuple[int, int], list[bool]] = {}
+    for file, split, text in _rows(batches):
+        whole = maps.setdefault((file, split), [False, True, False])
+        for piece, _ in _pieces(text):
+            ends = ends_quoted(piece, False), ends_quoted(piece, True)
+            whole[0], whole[1] = ends[whole[0]], ends[whole[1]]
+            whole[2] |= ends[0]
+    rows = [{"file": f, "split": s, "outside": m[0], "inside": m[1], "opens": m[2]} for (f, s), m in maps.items()]
+    if rows:
+        yield pa.RecordBatch.from_pylist(rows)
+
+
+class SplitStates:
+    """In which state each split starts, from the splits' maps (in any order)."""
+
+    def __init__(self, maps: Iterable[tuple[int, int, bool, bool]]):
+        self.files: dict[int, tuple[list[int], list[bool]]] = {}
+        for file, split, outside, inside in sorted(maps):
+            starts, after = self.files.setdefault(file, ([], []))
+            state = after[-1] if after else False
+            starts.append(split)
+            after.append(inside if state else outside)
+
+    def at(self, file: int, split: int) -> bool:
+        """Splits without quotes pass the state on, so the last map before this split tells."""
+        starts, after = self.files.get(file, ([], []))
+        k = bisect_left(starts, split)
+        return after[k - 1] if k else False
+
+
+def _cutter(states: SplitStates):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        here, quoted, began, first, held = None, False, False, False, []
+
+        def leave() -> None:
+            if held:
+                out.append((*here, HEAD if began else INSIDE, began and first, "".join(held)))
+                held.clear()
+
+        def rows() -> pa.RecordBatch:
+            columns = zip(*out, strict=True)
+            batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["file", "split", "kind", "header", "text"])
+            out.clear()
+            return batch
+
+        for file, split, text in _rows(batches):
+            if (file, split) != here:
+                leave()
+                here, quoted = (file, split), states.at(file, split)
+                began, first = False, split == 0
+            for piece, ended in _pieces(text):
+                if not quoted and not piece.strip(_BLANK):
+                    continue
+                opens = ends_quoted(piece, quoted) if quoted or '"' in piece else False
+                if not quoted and not opens:
+                    out.append((file, split, RECORD, first, piece))
+                    first = False
+                elif opens:
+                    began = began if quoted else True
+                    held.append(piece + ended)
+                else:
+                    out.append((file, split, RECORD if began else TAIL, began and first, "".join(held) + piece))
+                    held.clear()
+                    first = first and not began
+                quoted = opens
+                if not quoted:
+                    began = False
+            if len(out) >= 4096:
+                yield rows()
+        leave()
+        if out:
+            yield rows()
+
+    return cut
+
+
+def _cut_records(spark: SparkSession, files: list[str], states: SplitStates) -> DataFrame:
+    """The records of ``files`` without their headers, one text each."""
+    rows = land(_lines(spark, files).mapInArrow(_cutter(states), "file long, split long, kind long, header boolean, text string"), "csv_records")
+    late = F.col("kind") == HEAD  # a split first ends the record before it, then begins one
+    pieces = rows.where(F.col("kind") != RECORD).withColumn("late", late)
+    along = Window.partitionBy("file").orderBy("split", "late").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pieces = pieces.withColumn("record", F.sum(F.col("late").cast("long")).over(along))  # two rows a split at most
+    whole = pieces.groupBy("file", "record").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("split", "late", "text"))), lambda p: p["text"]), "").alias("text"),
+        F.max(F.col("kind") == TAIL).alias("closed"), F.max("header").alias("header"),
+    )
+    text = F.when(F.col("closed"), F.col("text")).otherwise(F.regexp_replace("text", r"(\r\n|\r|\n)\z", ""))
+    return rows.where((F.col("kind") == RECORD) & ~F.col("header")).select("text").unionByName(
+        whole.where(~F.col("header")).select(text.alias("text"))
     )
 
 
+def _read_split(spark: SparkSession, files: list[str], schema: T.StructType) -> DataFrame:
+    """Rows of ``files`` (with headers), every file read by many tasks."""
+    ship_package(spark)
+    quoting = _lines(spark, files).where(F.col("text").contains('"'))
+    maps = quoting.mapInArrow(_split_maps, "file long, split long, outside boolean, inside boolean, opens boolean").collect()  # a row a split
+    if not any(m.opens for m in maps):
+        return _reader(spark, False).option("header", "true").option("enforceSchema", "true").schema(schema).csv(files)
+    records = _cut_records(spark, files, SplitStates((m.file, m.split, m.outside, m.inside) for m in maps))
+    return records.select(F.from_csv("text", schema.simpleString()[len("struct<"):-1].replace(":", " "), _OPTIONS | {"multiLine": "true"}).alias("r")).select("r.*")
+
+
+def _reader(spark: SparkSession, multi_line: bool):
+    return spark.read.options(**_OPTIONS).option("multiLine", multi_line)
+
+
 def read_box_csv(
-    spark: SparkSession, path: str, tokens: Iterable[str] = config.NA_TOKENS, multi_line: bool = True
+    spark: SparkSession, path: str, tokens: Iterable[str] = config.NA_TOKENS, multi_line: bool | None = None
 ) -> DataFrame:
     """Read a CSV file, or a folder of CSV files, with headers as all-string columns.
 
@@ -47,11 +224,18 @@ def read_box_csv(
 
     Each file is read by its own header: files with the same columns in another
     order are lined up by name, files with other columns raise ValueError. A
-    path that is not there raises FileNotFoundError. Only headers are read
-    up front (one line per file); ``multi_line=False`` lets Spark split large
-    files that are known to hold no line break inside quotes.
+    path that is not there raises FileNotFoundError.
+
+    Files are split whatever they hold. By default one more pass over the lines
+    with quotes finds the files whose fields hold line breaks; their records are cut
+    split by split and written once to the checkpoint folder. ``multi_line=False``
+    (known to hold none) spares the pass, ``multi_line=True`` gives each file to one task of
+    Spark's whole-file reader (which keeps lines of blanks and makes ``\\r\\n`` in quotes ``\\n``).
+    A quote that is never closed takes the rest of its file into one field, without the last line
+    break. Lines end at ``\\n``, ``\\r\\n`` or ``\\r``; line breaks inside quotes stay as they are;
+    lines of blanks alone are left out.
     """
-    reader = lambda: _reader(spark, multi_line)
+    reader = lambda: _reader(spark, multi_line is not False)
     try:
         files = sorted(reader().schema("_c0 string").csv(path).inputFiles())
     except AnalysisException as error:
@@ -72,6 +256,9 @@ def read_box_csv(
         if set(names) != set(columns):
             raise ValueError(f"{same[0]} has other columns than the files before it: {sorted(set(names) ^ set(columns))}")
         schema = T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(len(names))])
-        part = reader().option("header", "true").option("enforceSchema", "true").schema(schema).csv(same).toDF(*names)
+        if multi_line is None:
+            part = _read_split(spark, same, schema).toDF(*names)
+        else:
+            part = reader().option("header", "true").option("enforceSchema", "true").schema(schema).csv(same).toDF(*names)
         out = part if out is None else out.unionByName(part)
     return apply_na_tokens(out, tokens)
