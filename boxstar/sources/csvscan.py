@@ -15,7 +15,9 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -44,9 +46,13 @@ _OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
+# Inside a quoted field up to its closing quote (doubled quotes are text) and the rest of
+# the field; a field from its start. All repeats are possessive: one pass, no recursion.
+_REST = r'[^"]*+(?:""[^"]*+)*+"[^,]*+'
+_FIELD = rf'(?:"{_REST}|(?!")[^,]*+)'
+_FROM_OUTSIDE = re.compile(rf"{_FIELD}(?:,{_FIELD})*+")
+_FROM_INSIDE = re.compile(rf"{_REST}(?:,{_FIELD})*+")
 _DELIMITER = ","
-# From inside a quoted field to its closing quote; doubled quotes are text.
-_CLOSING = re.compile(r'[^"]*+(?:""[^"]*+)*+"')
 _BLANK = "".join(map(chr, range(33)))
 
 #: What a row of cut text is: a record; the start of one that the split does not end;
@@ -58,19 +64,7 @@ def ends_quoted(line: str, quoted: bool) -> bool:
     """Whether ``line`` ends inside quotes, given whether it starts inside them. A quote opens
     a field only as its first character, as in Spark's reader; what follows a closing
     quote belongs to the field."""
-    at = 0
-    while True:
-        if not quoted and line.startswith('"', at):
-            quoted, at = True, at + 1
-        if quoted:
-            closing = _CLOSING.match(line, at)
-            if not closing:
-                return True
-            quoted, at = False, closing.end()
-        at = line.find(_DELIMITER, at)
-        if at < 0:
-            return False
-        at += 1
+    return not (_FROM_INSIDE if quoted else _FROM_OUTSIDE).fullmatch(line)
 
 
 def _lines(spark: SparkSession, files: list[str]) -> DataFrame:
@@ -95,20 +89,61 @@ def _pieces(text: str) -> list[tuple[str, str]]:
     return [*ended[:-1], (ended[-1][0], "\r\n")]
 
 
-def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, int, str]]:
+def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.Array]]:
+    """(file, split, consecutive lines of it)."""
     for batch in batches:
-        yield from zip(*(batch.column(c).to_pylist() for c in ("file", "split", "text")), strict=True)
+        file, split = (batch.column(c).to_numpy() for c in ("file", "split"))
+        texts = batch.column("text")
+        ends = [*(np.flatnonzero((np.diff(file) != 0) | (np.diff(split) != 0)) + 1).tolist(), len(texts)]
+        start = 0
+        for end in ends if len(texts) else ():
+            yield int(file[start]), int(split[start]), texts.slice(start, end - start)
+            start = end
+
+
+def states_after(lines: pa.Array, quoted: bool) -> np.ndarray:
+    """Whether each of consecutive ``lines`` ends inside quotes (:func:`ends_quoted`, one after the
+    other). Where every quote that would open a field by counting does stand at the start
+    of one, or doubles the quote before it, counting decides; else the lines are read one by one."""
+    lines = lines.cast(pa.large_string())
+    _, offsets, data = lines.buffers()
+    bounds = np.frombuffer(offsets, dtype=np.int64)[lines.offset : lines.offset + len(lines) + 1]
+    chars = np.frombuffer(data, dtype=np.uint8)[: bounds[-1]] if data is not None else np.zeros(0, np.uint8)
+    quotes = np.flatnonzero(chars[bounds[0] :] == ord('"')) + bounds[0]
+    opening = quotes[(np.arange(len(quotes)) + quoted) % 2 == 0]
+    before = chars[opening - 1]  # at 0 any character: that is the start of a line
+    first = bounds[np.searchsorted(bounds, opening, side="right") - 1] == opening
+    if (first | (before == ord(_DELIMITER)) | (before == ord('"'))).all():
+        return (np.searchsorted(quotes, bounds[1:], side="left") + quoted) % 2 == 1
+    out = np.empty(len(lines), dtype=bool)
+    for k, text in enumerate(lines.to_pylist()):
+        out[k] = quoted = ends_quoted(text, quoted)
+    return out
+
+
+def _plain(lines: pa.Array) -> tuple[pa.Array, np.ndarray] | None:
+    """Lines without the carriage return at their end, and which had one; None if one stands elsewhere."""
+    has = pc.ends_with(lines, "\r").to_numpy(zero_copy_only=False)
+    if int(pc.sum(pc.count_substring(lines, "\r")).as_py() or 0) != int(has.sum()):
+        return None
+    return (pc.utf8_rtrim(lines, "\r") if has.any() else lines), has
 
 
 def _split_maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each split's lines with quotes: the composed map and whether any line opens quotes."""
+    """Of each split's lines with quotes: the composed map and whether any line opens quotes.
+    Both states are followed until they meet, as they soon do; then one is."""
     maps: dict[tuple[int, int], list[bool]] = {}
-    for file, split, text in _rows(batches):
-        whole = maps.setdefault((file, split), [False, True, False])
-        for piece, _ in _pieces(text):
-            ends = ends_quoted(piece, False), ends_quoted(piece, True)
-            whole[0], whole[1] = ends[whole[0]], ends[whole[1]]
-            whole[2] |= ends[0]
+    for file, split, lines in _runs(batches):
+        whole, k = maps.setdefault((file, split), [False, True, False]), 0
+        plain = _plain(lines)
+        while k < len(lines) and (whole[0] != whole[1] or plain is None):
+            for piece, _ in _pieces(lines[k].as_py()):
+                opens, stays = ends_quoted(piece, False), ends_quoted(piece, True)
+                whole[:] = (stays if whole[0] else opens), (stays if whole[1] else opens), whole[2] or opens
+            k += 1
+        if k < len(lines):
+            after = states_after(plain[0].slice(k), whole[0])
+            whole[:] = bool(after[-1]), bool(after[-1]), whole[2] or bool(after.any())
     rows = [{"file": f, "split": s, "outside": m[0], "inside": m[1], "opens": m[2]} for (f, s), m in maps.items()]
     if rows:
         yield pa.RecordBatch.from_pylist(rows)
@@ -132,49 +167,83 @@ class SplitStates:
         return after[k - 1] if k else False
 
 
+class _Cut:
+    """Cuts the lines of one split after another into records and pieces of records."""
+
+    def __init__(self, states: SplitStates):
+        self.states, self.here, self.held = states, None, []
+        self.out: list[tuple[int, int, int, bool, str]] = []
+        self.quoted = self.began = self.header = False
+
+    def leave(self) -> None:
+        """The end of a split: what is open goes out as a piece."""
+        if self.held:
+            self.out.append((*self.here, HEAD if self.began else INSIDE, self.began and self.header, "".join(self.held)))
+            self.held = []
+
+    def enter(self, file: int, split: int) -> None:
+        if (file, split) != self.here:
+            self.leave()
+            self.here, self.quoted, self.began = (file, split), self.states.at(file, split), False
+            self.header = split == 0
+
+    def put(self, kind: int, text: str) -> None:
+        self.out.append((*self.here, kind, self.header and kind == RECORD, text))
+        self.header = self.header and kind != RECORD
+
+    def line(self, text: str, ended: str) -> None:
+        if self.quoted:
+            if ends_quoted(text, True):
+                self.held.append(text + ended)
+                return
+            self.put(RECORD if self.began else TAIL, "".join(self.held) + text)
+            self.held, self.quoted, self.began = [], False, False
+        elif '"' in text and ends_quoted(text, False):
+            self.held, self.quoted, self.began = [text + ended], True, True
+        elif text.strip(_BLANK):
+            self.put(RECORD, text)
+
+    def lines(self, lines: pa.Array) -> pa.Array | None:
+        """Consecutive lines of the split; returns those that are records as they stand, all others
+        are taken one by one."""
+        plain, k = _plain(lines), 0
+        while k < len(lines) and (plain is None or self.header):
+            for piece, ended in _pieces(lines[k].as_py()):
+                self.line(piece, ended)
+            k += 1
+        if k == len(lines):
+            return None
+        texts, returns = plain[0].slice(k), plain[1][k:]
+        after = states_after(texts, self.quoted)
+        alone = ~after & ~np.append(self.quoted, after[:-1])
+        for j in np.flatnonzero(~alone):
+            self.line(texts[int(j)].as_py(), "\r\n" if returns[j] else "\n")
+        filled = pc.not_equal(pc.utf8_trim(texts, _BLANK), "")
+        return texts.filter(pc.and_(pa.array(alone), filled))
+
+    def batch(self) -> pa.RecordBatch:
+        columns = [pa.array(c) for c in zip(*self.out, strict=True)]
+        self.out = []
+        return pa.RecordBatch.from_arrays(columns, _CUT)
+
+
+_CUT = ["file", "split", "kind", "header", "text"]
+
+
 def _cutter(states: SplitStates):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-        here, quoted, began, first, held = None, False, False, False, []
-
-        def leave() -> None:
-            if held:
-                out.append((*here, HEAD if began else INSIDE, began and first, "".join(held)))
-                held.clear()
-
-        def rows() -> pa.RecordBatch:
-            columns = zip(*out, strict=True)
-            batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["file", "split", "kind", "header", "text"])
-            out.clear()
-            return batch
-
-        for file, split, text in _rows(batches):
-            if (file, split) != here:
-                leave()
-                here, quoted = (file, split), states.at(file, split)
-                began, first = False, split == 0
-            for piece, ended in _pieces(text):
-                if not quoted and not piece.strip(_BLANK):
-                    continue
-                opens = ends_quoted(piece, quoted) if quoted or '"' in piece else False
-                if not quoted and not opens:
-                    out.append((file, split, RECORD, first, piece))
-                    first = False
-                elif opens:
-                    began = began if quoted else True
-                    held.append(piece + ended)
-                else:
-                    out.append((file, split, RECORD if began else TAIL, began and first, "".join(held) + piece))
-                    held.clear()
-                    first = first and not began
-                quoted = opens
-                if not quoted:
-                    began = False
-            if len(out) >= 4096:
-                yield rows()
-        leave()
-        if out:
-            yield rows()
+        cut = _Cut(states)
+        for file, split, lines in _runs(batches):
+            cut.enter(file, split)
+            alone = cut.lines(lines)
+            if alone is not None and len(alone):
+                same = [pa.repeat(pa.scalar(v), len(alone)) for v in (file, split, RECORD, False)]
+                yield pa.RecordBatch.from_arrays([*same, alone], _CUT)
+            if len(cut.out) >= 4096:
+                yield cut.batch()
+        cut.leave()
+        if cut.out:
+            yield cut.batch()
 
     return cut
 

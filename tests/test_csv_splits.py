@@ -4,13 +4,14 @@ import csv
 import io
 import random
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from boxstar.sources import csvscan
-from boxstar.sources.csvscan import SplitStates, ends_quoted, read_box_csv
+from boxstar.sources.csvscan import SplitStates, ends_quoted, read_box_csv, states_after
 
 
 @pytest.fixture
@@ -64,6 +65,16 @@ def test_line_maps(line, outside, inside):
     assert (ends_quoted(line, False), ends_quoted(line, True)) == (outside, inside)
 
 
+@given(st.lists(st.text(alphabet='ab",', max_size=8), min_size=1, max_size=12), st.booleans())
+@settings(max_examples=500, deadline=None)
+def test_states_of_many_lines(lines, quoted):
+    want, state = [], quoted
+    for line in lines:
+        state = ends_quoted(line, state)
+        want.append(state)
+    assert states_after(pa.array(["x", *lines]).slice(1), quoted).tolist() == want
+
+
 def test_split_states_skip_splits_without_quotes():
     states = SplitStates([(1, 200, False, True), (1, 0, True, False), (1, 300, True, False), (2, 0, False, True)])
     assert [states.at(1, s) for s in (0, 100, 200, 300, 400)] == [False, True, True, True, False]
