@@ -45,12 +45,18 @@ def _finite(c: Column) -> Column:
 
 def to_whole(c: str | Column, kind: str = "int") -> Column:
     """Whole number from text: a strict number with an integral value (``1``,
-    ``1.0``) or a boolean word (1 / 0), else NULL."""
+    ``1.0``, ``1e2``) or a boolean word (1 / 0), else NULL; also NULL beyond ``kind``.
+
+    The value is read as a decimal: a double would merge ids beyond 2 ** 53. The double only
+    tells fractions too small for the decimal's 18 places."""
     c = _col(c)
-    n = to_double(c)
-    word = F.lower(F.trim(c.cast("string")))
+    s = c.cast("string")
+    exact = F.when(s.rlike(_NUMBER), F.regexp_extract(s, _NUMBER, 1).try_cast("decimal(38,18)"))
+    n = to_double(s)
+    word = F.lower(F.trim(s))
     return (
-        F.when(word == "true", F.lit(1)).when(word == "false", F.lit(0)).when(n == F.floor(n), n).try_cast(kind)
+        F.when(word == "true", F.lit(1)).when(word == "false", F.lit(0))
+        .when((n == F.floor(n)) & (exact == F.floor(exact)), exact.try_cast("decimal(20,0)")).try_cast(kind)
     )
 
 
@@ -111,9 +117,23 @@ def mask_outside(c: str | Column, lo: float, hi: float) -> Column:
     return F.when(c.between(lo, hi), c)
 
 
+def _has_zone(fmt: str) -> bool:
+    """Whether the format reads an offset or a zone (letters outside quotes)."""
+    return any(c in "XxZzVvO" for c in "".join(fmt.split("'")[::2]))
+
+
 def parse_timestamp(c: str | Column, fmt: str = config.TIMESTAMP_FORMATS[0]) -> Column:
-    """Zone-less timestamp in one explicit format; other formats -> NULL."""
-    return F.try_to_timestamp(_col(c).cast("string"), F.lit(fmt)).cast("timestamp_ntz")
+    """Zone-less timestamp in one explicit format; other formats -> NULL.
+
+    A text without an offset is the wall time that it says, a text with one (where ``fmt`` reads
+    it) the wall time in UTC. The session's zone has no part in it: texts without
+    an offset are parsed as UTC, and the instant is put together again without a zone."""
+    text = _col(c).cast("string")
+    if not _has_zone(fmt):
+        text, fmt = F.concat(text, F.lit(" UTC")), f"{fmt} VV"
+    seconds = F.unix_micros(F.try_to_timestamp(text, F.lit(fmt))).cast("decimal(20,0)") / F.lit(1_000_000)
+    since = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since
 
 
 def pick_format(df: DataFrame, c: str, formats: Iterable[str] = config.TIMESTAMP_FORMATS) -> str | None:

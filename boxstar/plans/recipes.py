@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ from boxstar import config
 from boxstar.functions.cleaning import pick_format
 from boxstar.plans import audits, clean, pool, roles, teams, tiers
 from boxstar.plans.warehouse import Warehouse, open_warehouse, row_count_summary
-from boxstar.session import land
+from boxstar.session import Scratch, land
 from boxstar.sources import bindings
 from boxstar.sources.contract import require_columns, require_inputs
 from boxstar.sources.csvscan import read_box_csv
@@ -65,12 +65,24 @@ STANDIN = Params(
 )
 
 
+def _owned(make):
+    """Tables that a recipe lands belong to its analysis."""
+
+    @wraps(make)
+    def run(self, *args, **kwargs):
+        with self.scratch.active():
+            return make(self, *args, **kwargs)
+
+    return run
+
+
 class Analysis:
     """Recipes over the stand-in tables of ``sf_dir``, over three CSV files
     (:meth:`from_csv`) or over a written warehouse (:meth:`from_warehouse`).
 
     Every table and result is made and landed on first use. With ``strict``, an
-    empty pool or an empty current pool raises ValueError.
+    empty pool or an empty current pool raises ValueError. :meth:`close`, or the end of a
+    ``with`` block (an error too), removes what the analysis has landed; a written warehouse stays.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str = "", params: Params | None = None, key_method: str = "ranged",
@@ -78,6 +90,17 @@ class Analysis:
         self.spark, self.sf_dir, self.strict = spark, sf_dir, strict
         self.params = params or STANDIN
         self.warehouse = warehouse or Warehouse(self._standin_sources(), key_method, stage=land)
+        self.scratch = self.warehouse.scratch
+
+    def close(self) -> None:
+        """Remove the tables that this analysis has landed; its frames can be read no more."""
+        self.scratch.close()
+
+    def __enter__(self) -> "Analysis":
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.close()
 
     def _standin_sources(self):
         spark, sf = self.spark, self.sf_dir
@@ -109,14 +132,20 @@ class Analysis:
         """
         paths = {"players": players_csv, "player_stats": player_stats_csv, "team_stats": team_stats_csv}
         raw: dict[str, DataFrame | None] = {}
-        for name, path in paths.items():
-            try:
-                raw[name] = read_box_csv(spark, path, multi_line=multi_line)
-            except FileNotFoundError:
-                raw[name] = None
-        require_inputs(raw, paths)
-        for name, columns in config.REQUIRED_COLUMNS.items():
-            require_columns(name, raw[name], columns)
+        scratch = Scratch()
+        try:
+            for name, path in paths.items():
+                try:
+                    with scratch.active():
+                        raw[name] = read_box_csv(spark, path, multi_line=multi_line)
+                except FileNotFoundError:
+                    raw[name] = None
+            require_inputs(raw, paths)
+            for name, columns in config.REQUIRED_COLUMNS.items():
+                require_columns(name, raw[name], columns)
+        except BaseException:
+            scratch.close()
+            raise
 
         def box(name: str) -> DataFrame:
             fmt = pick_format(raw[name], "gameDateTimeEst", time_formats)
@@ -131,7 +160,8 @@ class Analysis:
             return land(clean.clean_players(raw["players"], fmt or clean.DATE_FORMAT), "players_raw")
 
         sources = {"players_raw": people, "player_stats_raw": lambda: box("player_stats"), "team_stats_raw": lambda: box("team_stats")}
-        return cls(spark, params=params or Params(), strict=strict, warehouse=Warehouse(sources, key_method, stage=land))
+        warehouse = Warehouse(sources, key_method, stage=land, scratch=scratch)
+        return cls(spark, params=params or Params(), strict=strict, warehouse=warehouse)
 
     @classmethod
     def from_warehouse(cls, spark: SparkSession, root: str, params: Params | None = None, strict: bool = False) -> "Analysis":
@@ -152,22 +182,27 @@ class Analysis:
     def team_stats_raw(self) -> DataFrame:
         return self.warehouse.team_stats_raw
 
+    @_owned
     def row_counts(self) -> DataFrame:
         return row_count_summary(self.warehouse.counting_tables())
 
+    @_owned
     def audits(self, stored: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
         return audits.run_audits(self.warehouse, stored or self.warehouse.counting_tables(), self.params.active_years)
 
     # -- team analyses -------------------------------------------------------
     @cached_property
+    @_owned
     def win_loss(self) -> DataFrame:
         return teams.win_loss_summary(self.warehouse.team_fact(keys=()))
 
+    @_owned
     def top_teams(self) -> DataFrame:
         p = self.params
         fact = self.warehouse.team_fact(keys=("teamKey",), since_year=p.top_since_year)
         return teams.top_teams(fact, self.warehouse.teams, p.top_since_year, p.top_min_games, p.top_limit)
 
+    @_owned
     def team_profile(self) -> DataFrame:
         p = self.params
         fact = self.warehouse.team_fact(keys=("teamKey",), since_year=p.top_since_year)
@@ -175,29 +210,35 @@ class Analysis:
 
     # -- player benchmarks ---------------------------------------------------
     @cached_property
+    @_owned
     def season_rows(self) -> DataFrame:
         p = self.params
         wh = self.warehouse
         return land(pool.season_aggregates(wh.player_stats_raw, wh.players, p.pool_min_minutes, p.pool_min_games), "season_rows")
 
     @cached_property
+    @_owned
     def pool(self) -> DataFrame:
         p = self.params
         return land(pool.player_season_pool(self.season_rows, p.tp_min_attempts, p.fg_min_attempts, self.strict), "pool")
 
     @cached_property
+    @_owned
     def roles(self) -> DataFrame:
         return land(roles.assign_roles(self.pool), "roles")
 
     @cached_property
+    @_owned
     def scored(self) -> DataFrame:
         return land(roles.score_roles(self.roles, stage=land), "scored")
 
     @cached_property
+    @_owned
     def benchmarks(self) -> DataFrame:
         return land(tiers.role_benchmarks(self.spark, self.scored), "benchmarks")
 
     @cached_property
+    @_owned
     def active(self) -> DataFrame:
         p = self.params
         wh = self.warehouse
@@ -207,19 +248,24 @@ class Analysis:
         )
 
     @cached_property
+    @_owned
     def metric_tiers(self) -> DataFrame:
         return tiers.metric_tiers(self.active, self.benchmarks)
 
     @cached_property
+    @_owned
     def active_tiers(self) -> DataFrame:
         return land(tiers.overall_tier(self.metric_tiers), "active_tiers")
 
+    @_owned
     def window_label(self) -> DataFrame:
         return tiers.window_label(self.scored, self.params.recent_seasons)
 
+    @_owned
     def leaderboard(self) -> DataFrame:
         return tiers.leaderboard(self.active_tiers, self.params.per_role)
 
+    @_owned
     def tier_distribution(self) -> DataFrame:
         return tiers.tier_distribution(self.spark, self.active_tiers)
 

@@ -16,6 +16,8 @@ from boxstar.functions.cleaning import normalize_game_type, to_double, to_whole
 from boxstar.operators.keys import through_keys
 from boxstar.operators.ordered import dense_key
 from boxstar.operators.shaping import latest_per_key
+from boxstar.session import Scratch
+from boxstar.sources.landing import VersionedFolder, write_files
 
 PLAYER_COLUMNS, BOX_STATS, TEAM_STATS = config.PLAYER_COLUMNS, config.BOX_STATS, config.TEAM_STATS
 
@@ -207,18 +209,22 @@ class Warehouse:
     written warehouse) are taken as they are. ``stage(df, name)`` lands each
     dimension, so that both facts and every analysis read one copy; facts stay
     lazy so that consumers prune them to the columns they use. ``direct_rows`` is the size
-    up to which a dimension is taken to be broadcast.
+    up to which a dimension is taken to be broadcast. ``scratch`` notes what is landed on
+    the way.
     """
 
     def __init__(self, sources: dict[str, Callable[[], DataFrame]], key_method: str = "ranged", stage=None,
-                 stored: dict[str, DataFrame] | None = None, direct_rows: int = config.DIRECT_JOIN_ROWS):
+                 stored: dict[str, DataFrame] | None = None, direct_rows: int = config.DIRECT_JOIN_ROWS,
+                 scratch: Scratch | None = None):
+        self.scratch = scratch or Scratch()
         self.direct_rows, self._counts = direct_rows, {}
         self._sources, self._key_method = sources, key_method
         self._stage = stage or (lambda df, name: df)
         self._stored = stored or {}
 
     def _table(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-        return self._stored[name] if name in self._stored else make()
+        with self.scratch.active():
+            return self._stored[name] if name in self._stored else make()
 
     @cached_property
     def players_raw(self) -> DataFrame:
@@ -264,11 +270,13 @@ class Warehouse:
         """The player fact with ``keys`` (playerKey always), from ``since_year`` on."""
         tables = self._key_tables(keys)
         raw = since(self.player_stats_raw, since_year)
-        return player_stats_fact(raw, self.players, *tables, keys, self._narrow(keys, players=True))
+        with self.scratch.active():
+            return player_stats_fact(raw, self.players, *tables, keys, self._narrow(keys, players=True))
 
     def team_fact(self, keys=FACT_KEYS, since_year: int | None = None) -> DataFrame:
         """The team fact with ``keys``, from ``since_year`` on."""
-        return team_stats_fact(since(self.team_stats_raw, since_year), *self._key_tables(keys), keys, self._narrow(keys))
+        with self.scratch.active():
+            return team_stats_fact(since(self.team_stats_raw, since_year), *self._key_tables(keys), keys, self._narrow(keys))
 
     def _rows(self, name: str) -> int:
         """Rows of a landed dimension, counted once."""
@@ -314,26 +322,28 @@ def build_warehouse(
 
 
 def write_warehouse(wh: Warehouse, root: str, force_rebuild: bool = True) -> dict[str, str]:
-    """Write the nine tables under ``root`` (overwrite, or fail if present); box
-    rows with a year are partitioned by it."""
-    from boxstar.sources.landing import write_table
-
+    """Write the nine tables under ``root`` and make them the warehouse there in one step: readers
+    see all of the former tables or all of the new ones, and a write that fails leaves the
+    former ones. ``force_rebuild=False`` raises where a warehouse is there. Box rows with a year
+    are partitioned by it. Returns the tables' paths."""
     root = root.rstrip("/")
-    return {
-        name: write_table(df, f"{root}/{name}", force_rebuild, ["_year"] if "_year" in df.columns else None)
-        for name, df in wh.tables().items()
-    }
+
+    def write(folder: str) -> None:
+        for name, df in wh.tables().items():
+            write_files(df, f"{folder}/{name}", ["_year"] if "_year" in df.columns else None)
+
+    folder = VersionedFolder(wh.players.sparkSession, root).replace(write, force_rebuild)
+    return {name: f"{folder}/{name}" for name in config.WAREHOUSE_TABLES}
 
 
 def open_warehouse(spark, root: str, names=config.WAREHOUSE_TABLES) -> dict[str, DataFrame]:
-    """Reopen written tables; tables that are not there are left out. Any other
+    """Reopen the current tables; tables that are not there are left out. Any other
     failure (rights, broken files) is raised."""
-    from boxstar.sources.landing import read_table
-
+    folder = VersionedFolder(spark, root).current() or root.rstrip("/")
     out = {}
     for name in names:
         try:
-            out[name] = read_table(spark, f"{root.rstrip('/')}/{name}")
+            out[name] = spark.read.parquet(f"{folder}/{name}")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise

@@ -6,6 +6,9 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,14 +79,49 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/boxstar-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder in any store that Spark writes to; nothing happens if it is not there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+_ACTIVE: ContextVar[Scratch | None] = ContextVar("boxstar_scratch", default=None)
+
+
+class Scratch:
+    """The tables that one owner has landed.
+
+    While :meth:`active`, :func:`land` notes its tables here, however deep it is called;
+    :meth:`close` removes them. What others have landed, or what lies in the checkpoint folder
+    otherwise, is left alone.
+    """
+
+    def __init__(self):
+        self.landed: list[tuple[SparkSession, str]] = []
+
+    @contextmanager
+    def active(self) -> Iterator[Scratch]:
+        token = _ACTIVE.set(self)
+        try:
+            yield self
+        finally:
+            _ACTIVE.reset(token)
+
+    def close(self) -> None:
+        """Remove the landed tables; frames that read them can be used no more."""
+        while self.landed:
+            remove_path(*self.landed.pop())
+
+
 def land(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table under the shared checkpoint folder and
     read it back.
 
     Same guarantees as a reliable checkpoint (durable, lineage cut), plus
     columnar storage: later scans read only the columns they use, push
-    filters down, and give the planner real sizes for join choices. The
-    tables stay in the checkpoint folder until that is cleaned.
+    filters down, and give the planner real sizes for join choices. An active
+    :class:`Scratch` owns the table; without one it stays in the checkpoint folder until
+    that is cleaned. A write that fails leaves nothing.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
@@ -91,5 +129,12 @@ def land(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame
     if partition_by:
         # rows of a partition value meet in few files; large values stay split
         writer = df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by)
-    writer.parquet(path)
+    try:
+        writer.parquet(path)
+    except BaseException:
+        remove_path(spark, path)
+        raise
+    owner = _ACTIVE.get()
+    if owner is not None:
+        owner.landed.append((spark, path))
     return spark.read.schema(df.schema).parquet(path) if partition_by else spark.read.parquet(path)

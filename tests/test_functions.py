@@ -133,3 +133,48 @@ def test_threshold_ladder(spark):
 def test_round_half_away_binary(spark, x, places, expected):
     got = spark.createDataFrame([(x,)], "v double").select(round_half_away("v", places)).first()[0]
     assert got == expected
+
+
+def test_whole_numbers_keep_every_digit(spark):
+    from boxstar.functions.cleaning import to_whole
+
+    cases = {
+        "9007199254740993": 9007199254740993, "-9007199254740993.0": -9007199254740993, " 9223372036854775807 ": 9223372036854775807,
+        "9223372036854775808": None, "-9223372036854775808": -9223372036854775808, "9007199254740993.5": None, "1": 1, "1.0": 1, "1.": 1,
+        "+7": 7, "1e2": 100, "1.5e1": 15, "1e-1": None, "1e-30": None, "0.5": None, "1e30": None, "1e999": None, "": None, "x": None,
+        "true": 1, " FALSE ": 0, "12d": None, "nan": None, "0": 0, "-0.0": 0, "000123": 123, None: None,
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "s string")
+    got = {r.s: r.n for r in df.select("s", to_whole("s", "long").alias("n")).collect()}
+    assert got == cases
+    small = {r.s: r.n for r in df.select("s", to_whole("s", "int").alias("n")).collect()}
+    assert small["9007199254740993"] is None and small["1e2"] == 100
+
+
+def test_times_do_not_follow_the_session_zone(spark):
+    import datetime as dt
+
+    from boxstar.functions.cleaning import parse_timestamp
+
+    cases = [
+        ("2024-03-10 02:30:00", "yyyy-MM-dd HH:mm:ss", dt.datetime(2024, 3, 10, 2, 30)),  # no such hour in New York
+        ("2024-11-03 01:30:00", "yyyy-MM-dd HH:mm:ss", dt.datetime(2024, 11, 3, 1, 30)),  # twice there
+        ("1890-01-01 00:00:00", "yyyy-MM-dd HH:mm:ss", dt.datetime(1890, 1, 1)),
+        ("2024-03-10", "yyyy-MM-dd", dt.datetime(2024, 3, 10)),
+        ("2024-11-02T19:30:00-05:00", "yyyy-MM-dd'T'HH:mm:ssXXX", dt.datetime(2024, 11, 3, 0, 30)),  # in UTC
+        ("2024-03-10T02:30:00Z", "yyyy-MM-dd'T'HH:mm:ssXXX", dt.datetime(2024, 3, 10, 2, 30)),
+        ("2024-03-10T02:30:00", "yyyy-MM-dd'T'HH:mm:ss", dt.datetime(2024, 3, 10, 2, 30)),
+        ("2024-02-30 00:00:00", "yyyy-MM-dd HH:mm:ss", None),
+        ("2024-03-10 02:30:00 UTC", "yyyy-MM-dd HH:mm:ss", None),
+        ("soon", "yyyy-MM-dd HH:mm:ss", None),
+        (None, "yyyy-MM-dd HH:mm:ss", None),
+    ]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            for text, fmt, want in cases:
+                df = spark.createDataFrame([(text,)], "s string").select(parse_timestamp("s", fmt).alias("t"))
+                assert dict(df.dtypes)["t"] == "timestamp_ntz" and df.first()["t"] == want, (zone, text)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
