@@ -14,11 +14,17 @@ Two layers find spans in every whole text.
   best word that holds letters and digits; other words are prose. Private keys in
   PEM form are reported whole, whatever their name.
 
+A quote that nothing closes in its line is a plain mark, and so are the same quotes behind it
+that the line escapes; a single quote behind a letter or digit is an apostrophe unless a
+string prefix (``b'...'``) stands before it. The time is linear in the text: what one failed
+reading has told about the rest of a line or of a run is kept. Constants are joined up to
+``MAX_JOINED`` characters, so that names joined with themselves cannot grow without end.
+
 A lexed span that lies inside a base span adds nothing and is left out; base
 spans always stay.
 
-Defined results: a NULL or empty text has no spans; repeated rows give repeated
-result rows; an empty table gives an empty result; further columns of the
+Defined results: a NULL or empty text has no spans; a NULL doc_id stays NULL; repeated rows give
+repeated result rows; an empty table gives an empty result; further columns of the
 input are ignored.
 """
 
@@ -27,8 +33,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,6 +47,7 @@ from boxstar.llm.common import prepare
 KINDS = ("assign", "access", "hex", "lexed")
 THRESHOLD = 0.6
 MIN_LITERAL = 6
+MAX_JOINED = 1 << 16
 REDACTED = "[REDACTED]"
 
 _ASCII_FOLD = re.IGNORECASE | re.ASCII
@@ -75,6 +84,11 @@ _PEM = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----(?:(?!-----)[\s\S])*---
 _BARE = re.compile(r"[^\s\"'`,;(){}\[\]<>]+")
 
 
+_MARK = re.compile("(?P<other>.)")
+_PREFIXES = frozenset(("b", "r", "u", "f", "br", "rb", "fr", "rf"))
+#: Words after which a name may be followed by its type alone: ``const name string = literal``.
+_DECLARES = frozenset(("const", "var"))
+
 _LETTER, _DIGIT = re.compile("[A-Za-z]"), re.compile("[0-9]")
 
 
@@ -120,8 +134,7 @@ def lexed_spans(text: str) -> list[tuple[int, int, int]]:
         if weight and weight + literal_score(value) >= THRESHOLD:
             found.update(spans)
 
-    tokens = [(m.lastgroup if m.lastgroup not in ("tagbody", "tagname", "flagbody", "flagname") else "x", m) for m in _LEX.finditer(text)]
-    tokens = [(k if k != "x" else ("tag" if m["tag"] else "flag"), m) for k, m in tokens if k != "space"]
+    tokens, runs = _tokens(text), _Runs(text)
     closers = _closers(tokens)
     i, n = 0, len(tokens)
     while i < n:
@@ -136,16 +149,18 @@ def lexed_spans(text: str) -> list[tuple[int, int, int]]:
                 j += 1
             if j + 1 < n and tokens[j][1][0] in ("?", "!") and tokens[j + 1][1][0] == ":":  # name?: Type
                 j += 1
+            if j + 1 < n and i and tokens[i - 1][1][0] in _DECLARES and tokens[j][0] == "name" and tokens[j + 1][1][0] == "=":
+                j += 1  # const name Type = value
             if j < n and tokens[j][0] == "op" and tokens[j][1][0] in ("=", ":", ":=", "=>"):
                 name = m[0].strip("\"'`")
                 if tokens[j][1][0] == ":" and (equals := _after_type(tokens, j + 1, closers)):
-                    value, spans, _ = _value(text, tokens, equals, constants)
+                    value, spans, _ = _value(text, tokens, equals, constants, runs)
                     if value is not None:
                         constants[name] = (value, spans)
                         judge(name, value, spans)
                         i += 1  # what stands for the type may be a name of its own: if x: name = value
                         continue
-                value, spans, j = _value(text, tokens, j, constants)
+                value, spans, j = _value(text, tokens, j, constants, runs)
                 if value is not None:
                     constants[name] = (value, spans)
                     judge(name, value, spans)
@@ -155,6 +170,52 @@ def lexed_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted((a, 3, b) for a, b in found)
 
 
+def _tokens(text: str) -> list[tuple[str, re.Match]]:
+    """(kind, match) of all tokens but white space."""
+    out: list[tuple[str, re.Match]] = []
+    at, size, plain = 0, len(text), {'"': 0, "'": 0}  # up to where a quote is known to open nothing
+    while at < size:
+        sign = text[at]
+        if sign not in plain:
+            m = _LEX.match(text, at)
+        elif at < plain[sign] or (sign == "'" and _apostrophe(text, at, out)):
+            m = _MARK.match(text, at)
+        else:
+            m = _LEX.match(text, at)
+            if m.lastgroup == "other":
+                # read to the end of its line in vain: every later one of this line is escaped,
+                # and would be read over the same characters
+                end = text.find("\n", at)
+                plain[sign] = size if end < 0 else end
+        at = m.end()
+        kind = m.lastgroup
+        if kind in ("tagbody", "tagname", "flagbody", "flagname"):
+            kind = "tag" if m["tag"] else "flag"
+        if kind != "space":
+            out.append((kind, m))
+    return out
+
+
+def _apostrophe(text: str, at: int, before: list[tuple[str, re.Match]]) -> bool:
+    if not at or not text[at - 1].isalnum():
+        return False
+    kind, m = before[-1]
+    return not (kind == "name" and m[0].lower() in _PREFIXES)
+
+
+class _Runs:
+    """Where the run of bare characters around a place ends; the last run is remembered."""
+
+    def __init__(self, text: str):
+        self.text, self.start, self.stop = text, 0, 0
+
+    def end(self, at: int) -> int:
+        if not self.start <= at < self.stop:
+            m = _BARE.match(self.text, at)
+            self.start, self.stop = at, m.end() if m else at
+        return self.stop if at < self.stop else at
+
+
 def _closers(tokens) -> dict[int, int]:
     """Token number of each opening bracket -> that of its closing one."""
     out, stack = {}, []
@@ -222,9 +283,10 @@ def _across_lines(text: str, op: re.Match) -> tuple[int, int] | None:
     return (block.end(), end) if end > block.end() else None
 
 
-def _value(text: str, tokens, at: int, constants):
+def _value(text: str, tokens, at: int, constants, runs: _Runs):
     """The constant after the operator at ``at``: (value or None, its spans, next token)."""
-    value, spans, j = "", (), at + 1
+    value, j = "", at + 1
+    spans: dict[tuple[int, int], None] = {}  # in order, each once
     opened_by = tokens[at][1][0]
     if long := _across_lines(text, tokens[at][1]):
         body = text[long[0] : long[1]]
@@ -238,19 +300,24 @@ def _value(text: str, tokens, at: int, constants):
         kind, m = tokens[j]
         if kind == "text":
             value += m[0][1:-1]
-            spans += ((m.start() + 1, m.end() - 1),)
-        elif kind == "name" and m[0] in constants and not _bare_goes_on(text, m):
+            spans[m.start() + 1, m.end() - 1] = None
+        elif kind == "name" and m[0].lower() in _PREFIXES and j + 1 < len(tokens) and tokens[j + 1][0] == "text" and tokens[j + 1][1].start() == m.end():
+            j += 1  # b"literal"
+            continue
+        elif kind == "name" and m[0] in constants and runs.end(m.start()) <= m.end():
             known, where = constants[m[0]]
+            if len(value) + len(known) > MAX_JOINED:
+                return None, (), j
             value += known
-            spans += where
-        elif not spans and kind in ("name", "number", "other", "flag") and (bare := _BARE.match(text, m.start())):
+            spans |= dict.fromkeys(where)
+        elif not spans and kind in ("name", "number", "other", "flag") and (stop := runs.end(m.start())) > m.start():
             follows = j + 1 < len(tokens) and tokens[j + 1][0] == "op" and tokens[j + 1][1][0] in ("=", ":")
-            padded = follows and tokens[j + 1][1][0] == "=" and tokens[j + 1][1].start() < bare.end()  # abc=, part of the literal
+            padded = follows and tokens[j + 1][1][0] == "=" and tokens[j + 1][1].start() < stop  # abc=, part of the literal
             if follows and opened_by == ":" and not padded:  # name: Type = value
                 return None, (), j
-            while j < len(tokens) and tokens[j][1].start() < bare.end():
+            while j < len(tokens) and tokens[j][1].start() < stop:
                 j += 1
-            return bare[0], (bare.span(),), j
+            return text[m.start() : stop], ((m.start(), stop),), j
         else:
             return None, (), j
         j += 1
@@ -258,12 +325,7 @@ def _value(text: str, tokens, at: int, constants):
             j += 1
         else:
             break
-    return (value, spans, j) if spans else (None, (), j)
-
-
-def _bare_goes_on(text: str, m: re.Match) -> bool:
-    bare = _BARE.match(text, m.start())
-    return bare is not None and bare.end() > m.end()
+    return (value, tuple(spans), j) if spans else (None, (), j)
 
 
 def scan(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
@@ -271,7 +333,9 @@ def scan(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int,
     if not text:
         return [], []
     base = base_spans(text)
-    more = [s for s in lexed_spans(text) if not any(b[0] <= s[0] and s[2] <= b[2] for b in base)]
+    starts, reach = [b[0] for b in base], list(accumulate((b[2] for b in base), max))
+    # inside a base span: of those that start no later, one reaches as far
+    more = [s for s in lexed_spans(text) if not (k := bisect_right(starts, s[0])) or reach[k - 1] < s[2]]
     return base, sorted(base + more)
 
 

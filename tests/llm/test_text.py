@@ -1,7 +1,9 @@
 """Quality, secrets, chat formatting and language-model scores."""
 
 import hashlib
+import random
 import re
+import time
 from collections import Counter
 
 import duckdb
@@ -189,6 +191,59 @@ def test_lexer_leaves_typed_and_long_text_alone(text):
     assert secrets.lexed_spans(text) == []
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        """don't set passphrase = "Zk3mQ9wLx71b" as it's bad""",
+        "user's passphrase = Zk3mQ9wLx71b  # it's",
+        'const dbCredential string = "Zk3mQ9wLx71b"',
+        "passphrase = b'Zk3mQ9wLx71b'",
+        r"""log "{\"note\": 1, then passphrase = 'Zk3mQ9wLx71b' and \"more\": 2""",
+        "it's 5' wide, passphrase='Zk3mQ9wLx71b'",
+    ],
+)
+def test_marks_beside_literals_through_op8_and_redaction(spark, text):
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    (row,) = secrets.scan_documents(df).collect()
+    found = [text[int(a) : int(b)] for _, a, b in (s.split(":") for s in row.spans.split(","))]
+    assert any("Zk3mQ9wLx71b" in f for f in found)
+    assert "Zk3mQ9wLx71b" not in secrets.redact_documents(df).first().text
+
+
+LONG_TEXTS = {
+    "escaped double quotes": "token " + '{\\"a\\":\\"b\\",}' * 70_000,
+    "escaped single quotes": "token " + "{\\'a\\':\\'b\\',}" * 70_000,
+    "colons": "token " + "a:" * 500_000,
+    "equals": "token " + "a=" * 500_000,
+    "joins": "key password = " + "'a'+" * 250_000,
+    "backslashes": "key '" + "\\" * 1_000_000,
+    "doubled names": "key a='Zk3mQ9wLx71b'\n" + "a=a+a\n" * 5_000 + "password=a\n",
+    "found and base": "password=abcdef1 passphrase='Zk3mQ9wLx71b' " * 25_000,
+}
+
+
+@pytest.mark.parametrize("name", LONG_TEXTS)
+def test_a_megabyte_takes_seconds(name):
+    began = time.process_time()
+    secrets.scan(LONG_TEXTS[name])
+    assert time.process_time() - began < 30  # the quadratic reading took hours
+
+
+def test_unclosed_quotes_are_read_as_before():
+    """What is kept of a failed reading changes no token: against one reading for each place."""
+    rng = random.Random(3)
+    for _ in range(3000):
+        text = "".join(rng.choice(['"', "'", "\\", "a", "b", " ", "=", ":", "\n", "`", ","]) for _ in range(rng.randint(0, 40)))
+        want, at = [], 0
+        while at < len(text):
+            apostrophe = text[at] == "'" and at and text[at - 1].isalnum() and not (want and want[-1] in ("b",) and text[at - 1] == "b")
+            m = (secrets._MARK if apostrophe else secrets._LEX).match(text, at)
+            at = m.end()
+            if m.lastgroup != "space":
+                want.append(m[0])
+        assert [m[0] for _, m in secrets._tokens(text)] == want
+
+
 def test_ascii_case_only():
     assert brute_base("toKen=abcdefgh") == [] == secrets.base_spans("toKen=abcdefgh")
     assert secrets.base_spans("ToKeN=abcdefgh") == [(0, 0, 14)]
