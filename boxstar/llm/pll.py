@@ -17,18 +17,19 @@ these conditional probabilities.
 * Network: an embedding per window place, summed, tanh, then the code's upper
   half by softmax and its lower half by a second softmax given the upper one.
   The product is a proper distribution over codes.
-* Training: every document masks one position in ``MASK`` (by a running count)
+* Training: every document masks one position in ``MASK`` (by a hash of the position)
   and learns to predict it; each task trains on all of its documents, the
   tasks' parameters are averaged by work. The words seen, the counts and the
   training work all grow with the corpus.
 
-Defined results: a NULL or empty text has no token, score 0 and no mean;
+Defined results: a NULL or empty text has no token, score 0 and no mean; a NULL doc_id stays NULL;
 repeated rows give repeated result rows; an empty table gives an empty result;
 further columns of the input are ignored.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -171,31 +172,61 @@ def initial(counts: np.ndarray, seed: int = 1) -> np.ndarray:
 
 
 class Words(dict):
-    """word -> code, filled as words are met."""
+    """word -> number, given as words are met; by number the word's code, the log of its
+    count if it is one of ``head`` (else NaN), and the word. Number 0 is a text's edge."""
 
-    def __init__(self, codes: np.ndarray):
+    def __init__(self, codes: np.ndarray, edge: int, head: dict[str, int] | None = None):
         super().__init__()
-        self.codes = codes.tolist()
+        self.slots, self.edge, self.head = codes, edge, head or {}
+        self.start()
+
+    def start(self) -> None:
+        self.clear()
+        self.names: list[str] = [""]
+        self.code_list, self.log_list = [self.edge], [0.0]
+        self.code_array, self.log_array = np.zeros(0, np.int64), np.zeros(0)
 
     def __missing__(self, word: str) -> int:
-        if len(self) > MAX_WORDS:
-            self.clear()
-        code = self[word] = self.codes[_slot(word, len(self.codes))]
-        return code
-
-
-def _padded(batch: pa.RecordBatch, column: int, words: Words, edge: int = EDGE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Codes of a batch in one array, two edges around each text; the positions
-    of the tokens, and each text's number of tokens."""
-    flat: list[int] = [edge, edge]
-    lengths = []
-    for t in batch.column(column):
-        tokens = (t.as_py() or "").lower().split()
-        flat += [words[w] for w in tokens]
-        flat += [edge, edge]
-        lengths.append(len(tokens))
-    codes = np.array(flat, dtype=np.int64)
-    return codes, np.flatnonzero(codes != edge), np.array(lengths, dtype=np.int64)
+        number = self[word] = len(self.names)
+        self.names.append(word)
+        self.code_list.append(int(self.slots[_slot(word, len(self.slots))]))
+        n = self.head.get(word)
+        self.log_list.append(math.nan if n is None else math.log(n))
+        return number
+
+    def numbered(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the tokens of all texts in one array, two edges around each text, and each
+        text's number of tokens. Forgets the words of earlier batches if they are many."""
+        if len(self.names) > MAX_WORDS:
+            self.start()
+        flat: list[int] = [0, 0]
+        lengths = []
+        for t in texts:
+            before = len(flat)
+            flat += map(self.__getitem__, (t.as_py() or "").lower().split())
+            lengths.append(len(flat) - before)
+            flat += (0, 0)
+        return np.array(flat, dtype=np.int64), np.array(lengths, dtype=np.int64)
+
+    def codes(self, numbers: np.ndarray) -> np.ndarray:
+        self.code_array = np.append(self.code_array, np.array(self.code_list[len(self.code_array) :], dtype=np.int64))
+        return self.code_array[numbers]
+
+    def logs(self, numbers: np.ndarray) -> np.ndarray:
+        self.log_array = np.append(self.log_array, np.array(self.log_list[len(self.log_array) :]))
+        return self.log_array[numbers]
+
+
+def _masked(codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Which tokens a text masks for training: one in ``MASK``, by a hash of the place and
+    of the text's codes, so no period of a table or log is masked in step."""
+    ends = np.cumsum(lengths)
+    own = np.add.reduceat(np.append(codes, 0), np.minimum(ends - lengths, len(codes))) if len(lengths) else np.zeros(0, np.int64)
+    place = np.arange(len(codes)) - np.repeat(ends - lengths, lengths)
+    mixed = (place + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.repeat(own, lengths).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    mixed ^= mixed >> np.uint64(29)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    return (mixed >> np.uint64(32)) % np.uint64(MASK) == 0
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -203,26 +234,38 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
-def forward(p: dict[str, np.ndarray], codes: np.ndarray, at: np.ndarray):
-    """(hidden, log P of upper bits, log P of lower bits given the upper ones, upper, lower)."""
+def _hidden(p: dict[str, np.ndarray], codes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     h = p["bias"] + p["places"][0][codes[at + WINDOW[0]]]
     for k in range(1, len(WINDOW)):
         h += p["places"][k][codes[at + WINDOW[k]]]
-    np.tanh(h, out=h)
-    up, low = np.divmod(codes[at], len(p["upper_bias"]))
+    return (np.tanh(h, out=h), *np.divmod(codes[at], len(p["upper_bias"])))
+
+
+def forward(p: dict[str, np.ndarray], codes: np.ndarray, at: np.ndarray):
+    """(hidden, log P of upper bits, log P of lower bits given the upper ones, upper, lower)."""
+    h, up, low = _hidden(p, codes, at)
     lu = _log_softmax(h @ p["upper"] + p["upper_bias"])
     ll = _log_softmax((h * p["gate"][up]) @ p["lower"] + p["lower_bias"][up])
     return h, lu, ll, up, low
 
 
+def _chosen(x: np.ndarray, rows: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Log-softmax of each row at one place; ``x`` is used up."""
+    top = x.max(axis=1)
+    at = x[rows, which] - top
+    x -= top[:, None]
+    return at - np.log(np.exp(x, out=x).sum(axis=1))
+
+
 def log_probabilities(p: dict[str, np.ndarray], codes: np.ndarray, at: np.ndarray) -> np.ndarray:
     """log P(token | window) at the positions ``at``."""
     out = np.empty(len(at))
     for i in range(0, len(at), 8192):
         part = at[i : i + 8192]
-        _, lu, ll, up, low = forward(p, codes, part)
+        h, up, low = _hidden(p, codes, part)
         rows = np.arange(len(part))
-        out[i : i + 8192] = lu[rows, up] + ll[rows, low]
+        out[i : i + 8192] = _chosen(h @ p["upper"] + p["upper_bias"], rows, up)
+        out[i : i + 8192] += _chosen((h * p["gate"][up]) @ p["lower"] + p["lower_bias"][up], rows, low)
     return out
 
 
@@ -271,14 +314,14 @@ def gradient(p: dict[str, np.ndarray], codes: np.ndarray, at: np.ndarray, flat_s
 
 def _train(codes: np.ndarray):
     def work(batches: Iterator[pa.RecordBatch], flat: np.ndarray) -> tuple[float, np.ndarray]:
-        words = Words(codes)
         p = unflatten(flat)
+        words = Words(codes, len(p["upper_bias"]) ** 2)
         square = unflatten(np.full(len(flat), 1e-6, dtype=np.float32))
-        edge = len(p["upper_bias"]) ** 2
         done = 0
         for batch in batches:
-            text, at, _ = _padded(batch, 0, words, edge)
-            masked = at[(done + np.arange(len(at))) % MASK == 0]
+            numbers, lengths = words.numbered(batch.column(0))
+            text, at = words.codes(numbers), np.flatnonzero(numbers)
+            masked = at[_masked(text[at], lengths)]
             for i in range(0, len(masked), MINIBATCH):
                 v, places = _slopes(p, text, masked[i : i + MINIBATCH])
                 for name, g in v.items():
@@ -316,22 +359,23 @@ def _score(docs: DataFrame, codes: np.ndarray, flat: np.ndarray, counts: np.ndar
     codes = codes.astype(np.int32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(codes)
         p = unflatten(flat)
-        edge = len(p["upper_bias"]) ** 2
+        words = Words(codes, len(p["upper_bias"]) ** 2, head)
         base = None if counts is None else np.log(counts + 1.0)
-        logs = {w: float(np.log(n)) for w, n in head.items()}
         for batch in batches:
-            text, at, lengths = _padded(batch, 1, words, edge)
+            numbers, lengths = words.numbered(batch.column(1))
+            text, at = words.codes(numbers), np.flatnonzero(numbers)
             each = log_probabilities(p, text, at)
-            rest: list[list[str]] = [[] for _ in range(len(lengths))]
+            rest: list[list[str]] = [[]] * len(lengths)
             if base is not None:
-                known: list[float] = []
-                for i, t in enumerate(batch.column(1)):
-                    tokens = (t.as_py() or "").lower().split()
-                    known += [logs.get(w, 0.0) for w in tokens]
-                    rest[i] = [w for w in tokens if w not in logs]
-                each += np.array(known) - base[text[at]]
+                tokens = numbers[at]
+                known = words.logs(tokens)
+                rare = np.flatnonzero(np.isnan(known))
+                known[rare] = 0.0
+                each += known - base[text[at]]
+                names = [words.names[k] for k in tokens[rare].tolist()]
+                cuts = np.searchsorted(rare, np.cumsum(lengths)).tolist()
+                rest = [names[a:b] for a, b in zip([0, *cuts[:-1]], cuts)]
             sums = np.concatenate([[0.0], np.cumsum(each)])
             ends = np.cumsum(lengths)
             total = sums[ends] - sums[ends - lengths]
