@@ -1,19 +1,20 @@
 """I-Match fingerprints in DataFrame functions only (operator 7).
 
-A term is a run of letters and digits in the lower-cased text. Document
-frequencies of all terms over all documents are kept in a count-min sketch of
-two rows of ``SLOTS`` counters (bounded at any corpus size; it can only
-overestimate), which turns into a bitmap: the terms whose share of documents
-lies inside [``LOW``, ``HIGH``], that is, whose inverse document frequency lies
-in a band. A document's fingerprint holds the hash of its sorted distinct band
-terms over several randomised subsets of the lexicon: ``SEEDS`` independent
-draws, each thinned to one term in 4, 16 and 64, so that short and long texts
-both have subsets of a few terms.
-
-Likeness of two fingerprints: the share of subsets with equal hashes among
-those that are not empty on both sides; 1 for equal fingerprints. A text
-without band terms is marked by the hash of all its terms instead, which only
-an equal term set shares.
+A term is a run of letters and digits in the lower-cased text, kept as its 64-bit hash. Document
+frequencies of all terms over all documents are counted exactly (one row per term
+after map-side sums). The lexicon are the terms whose share of documents lies inside
+[``LOW``, ``HIGH``], that is, whose inverse document frequency lies in a band; it holds at
+most (mean number of distinct terms a document) / ``LOW`` terms at any corpus size, is collected
+and goes to the tasks as a table of small buckets. A document's fingerprint holds
+the hash of its sorted distinct band terms over several randomised subsets of the
+lexicon: ``SEEDS`` independent draws, each thinned to one term in 4, 16 and 64, so that
+short and long texts both have subsets of a few terms.
+
+A text with few or no band terms (a copy group of more than ``HIGH`` of the rows, a small
+table) has little to compare there. So the fingerprint also holds, after the band's, the same subsets of
+all the text's terms, and last the hash of all of them. Likeness of two fingerprints: the share of
+subsets with equal hashes among those that are not empty on both sides, of the band's (where both
+have some) or of all terms', whichever is greater; 1 for equal fingerprints. This is alike at every size.
 
 Defined results: a NULL text is empty; identical rows (same id and text) count
 once in the order of documents, and each of them gets the result; rows that
@@ -24,16 +25,17 @@ table gives an empty result; further columns of the input are ignored.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boxstar.llm.common import land, parallelism, prepare
 
-SLOTS = 1 << 18
 LOW, HIGH = 0.002, 0.01
 SEEDS = 4
 RATES = (4, 4, 4)  # each subset thins the one before it: one in 4, 16, 64
-_WORD = 64
+#: Signatures of one kind: subsets of the band, then as many of all terms and one of all.
+SUBSETS = SEEDS * len(RATES)
 
 
 def term_hashes(text: Column) -> Column:
@@ -42,47 +44,26 @@ def term_hashes(text: Column) -> Column:
     return F.transform(F.array_distinct(words), lambda w: F.xxhash64(w))
 
 
-def _slot(term: Column, row: int) -> Column:
-    """Counter of a term in a sketch row; the rows read different bits of the hash."""
-    moved = term if row == 0 else F.shiftrightunsigned(term, 32)
-    return moved.bitwiseAND(F.lit(SLOTS - 1))
-
-
-def lexicon_bits(docs: DataFrame, low: float = LOW, high: float = HIGH) -> list[str]:
-    """Per sketch row, a bitmap of the counters whose share of documents is in
-    the band, as comma-separated 64-bit words (SLOTS / 64 of them)."""
-
-    def counters(row: int) -> Column:
-        return F.array_distinct(F.transform(F.col("terms"), lambda t: _slot(t, row) + F.lit(row * SLOTS)))
-
-    slots = F.concat(counters(0), counters(1))
-    counted = (
-        docs.select(term_hashes(F.col("text")).alias("terms"))
-        .select(F.explode(slots).alias("slot"))
-        .groupBy("slot")
-        .agg(F.count(F.lit(1)).alias("df"))
-    )
+def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> list[int]:
+    """Hashes of the terms whose share of documents is in the band."""
+    counted = docs.select(F.explode(term_hashes(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     total = F.lit(float(max(1, docs.count())))
     band = counted.where((F.col("df") >= total * F.lit(low)) & (F.col("df") <= total * F.lit(high)))
-    word = F.shiftright(F.col("slot"), 6)
-    words = band.groupBy(word.alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, CAST(slot % 64 AS INT))")).alias("bits")
-    )
-    per_row = SLOTS // _WORD
-    found = {r["word"]: r["bits"] for r in words.collect()}  # 2 x SLOTS / 64 rows at most
-    return [",".join(str(found.get(row * per_row + i, 0)) for i in range(per_row)) for row in (0, 1)]
+    return sorted(r["term"] for r in band.select("term").collect())  # mean terms a document / low at most
 
 
-def band_terms(terms: Column, bits: list[str]) -> Column:
-    """Sorted terms that lie in the band by both sketch rows."""
-    maps = [F.split(F.lit(b), ",").cast("array<bigint>") for b in bits]
+def band_terms(terms: Column, band: list[int]) -> Column:
+    """Sorted terms that lie in the band. Its hashes are dealt to buckets by their low bits, one
+    or so in each, laid end to end; a term is looked for in its own bucket."""
+    size = 1 << max(4, len(band).bit_length())
+    laid = sorted(band, key=lambda t: t & (size - 1))
+    ends = np.searchsorted([t & (size - 1) for t in laid], np.arange(size), side="right").tolist()
+    flat, bounds = (F.split(F.lit(",".join(map(str, v or [0]))), ",").cast("array<bigint>") for v in (laid, [0, *ends]))
 
     def inside(t: Column) -> Column:
-        tests = [
-            F.getbit(F.get(m, F.shiftright(_slot(t, r), 6).cast("int")), _slot(t, r).bitwiseAND(F.lit(63)).cast("int")) == 1
-            for r, m in enumerate(maps)
-        ]
-        return tests[0] & tests[1]
+        bucket = t.bitwiseAND(F.lit(size - 1)).cast("int")
+        start, end = F.get(bounds, bucket).cast("int"), F.get(bounds, bucket + 1).cast("int")
+        return F.array_contains(F.slice(flat, start + 1, end - start), t)
 
     return F.sort_array(F.filter(terms, inside))
 
@@ -93,22 +74,21 @@ def _thin(terms: Column, seed: int, rate: int, before: int) -> Column:
     return F.filter(terms, lambda t: draw(t) == 0)
 
 
-def with_signatures(df: DataFrame, text: str, out: str, bits: list[str]) -> DataFrame:
-    """Add ``out``: the subsets' hashes of column ``text`` (NULL: empty subset), and
-    last the mark of a text without band terms (NULL where there are some)."""
-    terms, band = f"_{out}_terms", f"_{out}_band"
-    df = df.withColumn(terms, term_hashes(F.col(text))).withColumn(band, band_terms(F.col(terms), bits))
-    names = []
-    for seed in range(SEEDS):
-        above = band
-        for k, rate in enumerate(RATES):
-            name = f"_{out}_{seed}_{k}"
-            df = df.withColumn(name, _thin(F.col(above), seed, rate, k))
-            names.append(name)
-            above = name
-    sums = [F.when(F.size(n) > 0, F.xxhash64(n)) for n in names]
-    mark = F.when(F.size(band) == 0, F.xxhash64(F.sort_array(F.col(terms))))
-    return df.withColumn(out, F.array(*sums, mark)).drop(terms, band, *names)
+def with_signatures(df: DataFrame, text: str, out: str, band: list[int]) -> DataFrame:
+    """Add ``out``: hashes of the subsets of column ``text``'s band terms, of the same subsets of all its terms, and of all of them; an empty subset is NULL."""
+    terms, inside = f"_{out}_terms", f"_{out}_band"
+    df = df.withColumn(terms, F.sort_array(term_hashes(F.col(text)))).withColumn(inside, band_terms(F.col(terms), band))
+    names, sums = [terms, inside], []
+    for kind in (inside, terms):
+        for seed in range(SEEDS):
+            above = kind
+            for k, rate in enumerate(RATES):
+                name = f"{kind}_{seed}_{k}"
+                df = df.withColumn(name, _thin(F.col(above), seed, rate, k))
+                names.append(name)
+                sums.append(F.when(F.size(name) > 0, F.xxhash64(name)))
+                above = name
+    return df.withColumn(out, F.array(*sums, F.xxhash64(terms))).drop(*names)
 
 
 def rendered(signatures: Column) -> Column:
@@ -118,10 +98,18 @@ def rendered(signatures: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal signatures among those present on either side (0 to 1)."""
-    present = F.size(F.filter(F.zip_with(a, b, lambda x, y: x.isNotNull() | y.isNotNull()), lambda p: p))
-    equal = F.size(F.filter(F.zip_with(a, b, lambda x, y: x.isNotNull() & (x == y)), lambda p: F.coalesce(p, F.lit(False))))
-    return F.when(present == 0, F.lit(1.0)).otherwise(equal / present)
+    """Share of equal signatures among those present on either side (0 to 1): of the
+    band's where both sides have some, or of all terms' if that is more."""
+    band = [F.slice(x, 1, SUBSETS) for x in (a, b)]
+    some = [F.exists(x, lambda s: s.isNotNull()) for x in band]
+    whole = [F.slice(x, SUBSETS + 1, SUBSETS + 1) for x in (a, b)]
+
+    def shared(x: Column, y: Column) -> Column:
+        present = F.size(F.filter(F.zip_with(x, y, lambda s, t: s.isNotNull() | t.isNotNull()), lambda p: p))
+        equal = F.size(F.filter(F.zip_with(x, y, lambda s, t: s.isNotNull() & (s == t)), lambda p: F.coalesce(p, F.lit(False))))
+        return equal / present
+
+    return F.greatest(F.when(some[0] & some[1], shared(*band)), shared(*whole))
 
 
 def next_documents(keys: DataFrame) -> DataFrame:
@@ -195,9 +183,9 @@ def fingerprint_documents(docs: DataFrame, low: float = LOW, high: float = HIGH)
     near_edited, near_next."""
     prepare(docs.sparkSession)
     base = keyed_documents(docs)
-    bits = lexicon_bits(base, low, high)
+    band = lexicon(base, low, high)
     both = edited_documents(base)
-    marked = with_signatures(with_signatures(both, "text", "own", bits), "edited", "changed", bits)
+    marked = with_signatures(with_signatures(both, "text", "own", band), "edited", "changed", band)
     marked = land(
         marked.select("doc_id", "id", "h", "n_chars", "next_id", "next_h", F.sha2("edited", 256).alias("edited_sha256"), "own", "changed"),
         "signatures",

@@ -3,11 +3,13 @@
 import hashlib
 import random
 import re
+import struct
 from collections import Counter
 
 import duckdb
 import numpy as np
 import pytest
+import regex
 import xxhash
 from pyspark.sql import functions as F
 
@@ -214,11 +216,91 @@ def test_op7_whole_table(spark, small_docs):
 def test_op7_terms_and_band_match_python(spark):
     texts = [f"common shared{i % 3} rare{i} Mixed-Case" for i in range(12)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    bits = imatch.lexicon_bits(df, low=3 / 12, high=5 / 12)
+    bits = imatch.lexicon(df, low=3 / 12, high=5 / 12)
+    assert len(bits) == 3
     out = df.select("doc_id", F.size(imatch.band_terms(imatch.term_hashes(F.col("text")), bits)).alias("n")).collect()
     assert {r.n for r in out} == {1}  # only shared0..2 are held by 4 of 12 documents
 
 
+def xx(data, seed=42):
+    return xxhash.xxh64_intdigest(data, seed=seed & (2**64 - 1))
+
+
+def signed(x):
+    return x - 2**64 if x >= 2**63 else x
+
+
+def hash_of(terms):
+    h = 42
+    for t in terms:
+        h = xx(struct.pack("<q", t), h)
+    return h
+
+
+def brute_fingerprints(texts, low=imatch.LOW, high=imatch.HIGH):
+    """Fingerprints of ``texts`` by a band over all of them, as dictionaries."""
+    terms = [sorted({signed(xx(w.encode())) for w in regex.split(r"[^\p{L}\p{N}]+", t.lower()) if w}) for t in texts]
+    df = Counter(t for ts in terms for t in ts)
+    band = {t for t, n in df.items() if low * len(texts) <= n <= high * len(texts)}
+
+    def sums(kept):
+        out = []
+        for seed in range(imatch.SEEDS):
+            above = kept
+            for k, rate in enumerate(imatch.RATES):
+                draw = {t: xx(struct.pack("<i", seed), xx(struct.pack("<q", t))) >> 2 * k for t in above}
+                above = [t for t in above if signed(draw[t]) % rate == 0]
+                out.append(hash_of(above) if above else None)
+        return out
+
+    def of(text):
+        own = sorted({signed(xx(w.encode())) for w in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if w})
+        inside = [t for t in own if t in band]
+        return [*sums(inside), *sums(own), hash_of(own)]
+
+    return of, band
+
+
+def brute_likeness(a, b):
+    shares, n = [], imatch.SUBSETS
+    for part in (slice(0, n), slice(n, None)):
+        pairs = [(x, y) for x, y in zip(a[part], b[part]) if x is not None or y is not None]
+        if all(any(x is not None for x in f[part]) for f in (a, b)):
+            shares.append(sum(x == y for x, y in pairs) / len(pairs))
+    return max(shares)
+
+
+def test_op7_against_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = duckdb.sql(f"SELECT doc_id, coalesce(text, '') FROM '{sf}/documents.parquet' ORDER BY doc_id").fetchall()
+    texts = [t for _, t in docs]
+    of, band = brute_fingerprints(texts)
+    frame = spark.read.parquet(f"{sf}/documents.parquet")
+    assert set(imatch.lexicon(imatch.keyed_documents(frame))) == band
+    rows = {r.doc_id: r for r in op7_fingerprints(spark, sf).collect()}
+    shown = lambda f: ":".join("-" if x is None else f"{x:016x}" for x in f)
+    own = [of(t) for t in texts]
+    for k, ((doc, _), e) in enumerate(zip(docs, edited(texts))):
+        changed = of(e)
+        assert (rows[doc].fingerprint, rows[doc].edited_fingerprint) == (shown(own[k]), shown(changed))
+        assert rows[doc].near_edited == pytest.approx(brute_likeness(own[k], changed))
+        assert rows[doc].near_next == pytest.approx(brute_likeness(own[k], own[(k + 1) % len(own)]))
+
+
+@pytest.mark.parametrize("size,copies", [(50, 0), (1000, 334)])
+def test_op7_compares_small_tables_and_hot_copies(spark, size, copies):
+    texts = [t for (t,) in duckdb.sql(f"SELECT text FROM '/root/testdata/sf0.01/documents.parquet' WHERE length(text) > 400 ORDER BY doc_id LIMIT {size - copies}").fetchall()]
+    rng = random.Random(5)
+    rows = texts + [texts[0]] * copies
+    rng.shuffle(rows)
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r for r in imatch.fingerprint_documents(df).collect()}
+    hot = [r for r in got.values() if rows[r.doc_id] == texts[0]] if copies else list(got.values())
+    assert np.mean([r.near_edited > 0 for r in hot]) >= 0.3  # none without the subsets of all terms
+    other = [r for r in got.values() if rows[r.doc_id] != rows[(r.doc_id + 1) % len(rows)]]
+    assert np.mean([r.near_edited for r in other]) > np.mean([r.near_next for r in other]) + 0.03
+
+
 def test_op7_awkward(spark, awkward, no_docs):
     rows = imatch.fingerprint_documents(awkward).collect()
     assert Counter((r.doc_id, r.n_chars) for r in rows) == Counter((i, len(t or "")) for i, t in awkward_texts())
