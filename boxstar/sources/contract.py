@@ -16,7 +16,7 @@ def require_inputs(available: Mapping[str, DataFrame | None], required: Iterable
     """Raise FileNotFoundError listing every missing input."""
     missing = missing_inputs(available, required)
     if missing:
-        raise FileNotFoundError("Missing required inputs: " + ", ".join(missing))
+        raise FileNotFoundError("no data given for: " + ", ".join(missing))
 
 
 def require_columns(name: str, df: DataFrame, required: Iterable[str]) -> None:
