@@ -90,6 +90,14 @@ class Quantiser:
         return out + (x**2).sum(axis=1)[None, :]
 
 
+def unit_rows(x: np.ndarray) -> np.ndarray:
+    """Rows of length 1. They are first scaled by a power of two, which is exact, so that no square
+    of a very small or large component underflows or overflows."""
+    _, size = np.frexp(np.abs(x).max(axis=1, keepdims=True, initial=0.0))
+    x = np.ldexp(x, -size)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int, unit: bool) -> np.ndarray:
     x = x.astype(np.float32)
     centres = x[rng.choice(len(x), size=min(k, len(x)), replace=False)].copy()
@@ -154,7 +162,7 @@ def measured_margin(q: Quantiser, sample: np.ndarray, cosine: float, least: floa
 def _unit(batch_column: pa.Array, dim: int) -> np.ndarray:
     flat = batch_column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     x = flat.reshape(-1, dim)
-    return x / np.linalg.norm(x, axis=1, keepdims=True)
+    return unit_rows(x)
 
 
 def _routed(q: Quantiser, dim: int, margin: float, kind: str, blocks: dict[int, int], audiences: dict[int, int] | None):
@@ -214,7 +222,7 @@ def _search(q: Quantiser, dim: int, kind: str, cosine: float, margin: float):
         home = table["home"].to_numpy(zero_copy_only=False)
         node, copies = table["node"].to_numpy(), table["copies"].to_numpy()
         x = np.frombuffer(b"".join(v.as_py() for v in table["vector"]), dtype=kind).reshape(-1, dim).astype(np.float64)
-        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        x = unit_rows(x)
         points, askers = np.flatnonzero(home), np.flatnonzero(~home)
         codes, missed = q.encode(x[points] - centre)
         links = np.zeros(len(node), dtype=np.int64)
@@ -272,7 +280,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, margin: float =
         lists = int(min(MAX_LISTS, max(1, n // LIST_SIZE)))
         picked = own.orderBy("node").limit(min(MAX_SAMPLE, max(sample, 4 * lists))).select("embedding").toArrow()
         x = picked["embedding"].combine_chunks().flatten().to_numpy().reshape(-1, dim)
-        x = x / np.linalg.norm(x, axis=1, keepdims=True)
+        x = unit_rows(x)
         q = fit(x, lists)
         wide = measured_margin(q, x, cosine, margin)
         visits = own.mapInArrow(_routed(q, dim, wide, kind, {}, None), "list long, home boolean")

@@ -175,6 +175,14 @@ def test_op3_recall_just_above_the_threshold(spark):
     assert found >= 0.97 * 6000
 
 
+def test_op3_very_small_and_large_components(spark):
+    rows = [(1, [1e-170] * 16), (2, [3e-170] * 16), (3, [1e170] * 16), (4, [2e170] * 16), (5, [1.0] * 16), (6, [5e-324] * 16),
+            (7, [1e170, -1e170] * 8), (8, [-1e-170, 1e-170] * 8), (9, [0.0] * 16), (10, [1.7e308] * 16)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in pq.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    same = {1, 2, 3, 4, 5, 6, 10}
+    assert got == {i: (len(same) - 1, 1) if i in same else (0, i) for i, _ in rows}
+
+
 def test_op3_empty(spark):
     assert pq.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).collect() == []
 
