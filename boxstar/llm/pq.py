@@ -7,17 +7,17 @@ fitted on a bounded sample by hash order (four vectors a list, ``SAMPLE`` at
 least and ``MAX_SAMPLE`` at most); every vector is indexed. There is a list for
 every ``LIST_SIZE`` vectors, ``MAX_LISTS`` at most.
 
-Search. A vector asks every list whose centroid scores within a margin of its
-own best one. How far a partner's list can fall behind is the difference of two
-scores along the direction between the vectors; its spread depends on the
-intrinsic dimension of the data. So pairs at the cosine asked for are made from
-sample vectors, towards other ones, and the margin is the largest shortfall that
-they show, ``MARGIN`` at least. Recall against brute force is measured in the
-tests. A link that only one side finds is counted for both. In a list, distances from the query to all codes are sums of
-table lookups (asymmetric). Each vector also carries the length of its own
-coding error, so a code is passed over only where the triangle inequality
-rules the link out. What is left is decided by the exact cosine in double
-precision.
+Search. Let vectors x and y with a cosine of at least the one asked for, so at
+a distance of at most ``reach``, have the lists i and j. x lies on i's side of
+the plane between the two centroids, y on j's; their distances from it add up
+to ``reach`` at most, so one of them lies within half of it. A vector therefore
+asks every list whose plane against its own list is no further than
+``reach / 2``: no link is lost, whatever the data and the sample (the tests
+compare with all pairs). A link that only one side finds is counted for both.
+In a list, distances from the query to all codes are sums of table lookups
+(asymmetric). Each vector also carries the length of its own coding error, so a
+code is passed over only where the triangle inequality rules the link out. What
+is left is decided by the exact cosine in double precision.
 
 Lists are cut into blocks of ``BLOCK`` vectors and every block answers at most
 ``ASKERS`` queries in one task, however large a list or its audience grows. A
@@ -44,8 +44,8 @@ from boxstar.llm.common import land, prepare
 from boxstar.llm.graph import components, roots
 
 COSINE = 0.95
-MARGIN = 0.22
-PAIRS = 4_096
+#: Slack on distances from a plane, for rounding.
+SLACK = 1e-7
 LIST_SIZE = 64
 SAMPLE = 16_384
 MAX_SAMPLE = 65_536
@@ -66,6 +66,22 @@ class Quantiser:
     def scores(self, x: np.ndarray) -> np.ndarray:
         return x @ self.centroids.T
 
+    def planes(self, own: np.ndarray, other: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """Distance of each centroid in ``own`` from those in ``other`` (all, or one each)."""
+        a, b = self.centroids[own], self.centroids[other]
+        both = np.einsum("ij,ij->i", a, b) if isinstance(other, np.ndarray) else a @ b.T
+        na, nb = (a**2).sum(axis=1), (b**2).sum(axis=1)
+        square = (na + nb if isinstance(other, np.ndarray) else na[:, None] + nb) - 2 * both
+        return np.sqrt(np.maximum(square, 0))
+
+    def asked(self, x: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each vector's own list, and pairs (row, list) of a vector and a list that it asks."""
+        s = self.scores(x)
+        own = s.argmax(axis=1)
+        behind = s[np.arange(len(x)), own][:, None] - s
+        row, at = np.nonzero(behind <= reach / 2 * self.planes(own) + SLACK)
+        return own, row, at
+
     def encode(self, residual: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes, and the length of what they miss."""
         codes = np.empty((len(residual), len(self.tables)), dtype=np.uint8)
@@ -131,98 +147,93 @@ def fit(sample: np.ndarray, lists: int, seed: int = 7) -> Quantiser:
     return Quantiser(centroids, np.stack(tables) if len({t.shape for t in tables}) == 1 else tables, edges)
 
 
-def measured_margin(q: Quantiser, sample: np.ndarray, cosine: float, least: float, seed: int = 11) -> float:
-    """The largest shortfall of a partner's list among pairs at ``cosine`` made
-    from sample vectors of length one: towards any other one, and towards a near one."""
-    rng = np.random.default_rng(seed)
-    margin = least
-    if len(sample) < 2:
-        return margin
-    sine = float(np.sqrt(max(0.0, 1 - cosine * cosine)))
-    for near in (False, True):
-        picked = rng.permutation(len(sample))[:PAIRS]
-        for i in range(0, len(picked), 256):
-            a = sample[picked[i : i + 256]]
-            other = sample[rng.integers(0, len(sample), len(a))]
-            if near:
-                some = sample[rng.integers(0, len(sample), 2048)]
-                s = a @ some.T
-                s[s > 1 - 1e-9] = -2  # itself
-                other = some[s.argmax(axis=1)]
-            away = other - (other * a).sum(axis=1, keepdims=True) * a
-            length = np.linalg.norm(away, axis=1, keepdims=True)
-            some = length[:, 0] > 1e-6
-            a, b = a[some], cosine * a[some] + sine * away[some] / length[some]
-            sa, sb, rows = q.scores(a), q.scores(b), np.arange(len(a))
-            if len(a):
-                margin = max(margin, float((sa.max(axis=1) - sa[rows, sb.argmax(axis=1)]).max()), float((sb.max(axis=1) - sb[rows, sa.argmax(axis=1)]).max()))
-    return margin
-
-
 def _unit(batch_column: pa.Array, dim: int) -> np.ndarray:
     flat = batch_column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     x = flat.reshape(-1, dim)
     return unit_rows(x)
 
 
-def _routed(q: Quantiser, dim: int, margin: float, kind: str, blocks: dict[int, int], audiences: dict[int, int] | None):
-    """Class vectors -> rows (list, block, audience, node, copies, home, vector);
-    vectors travel in the precision that the table has.
+def _reach(cosine: float) -> float:
+    """Distance of two vectors of length one at this cosine."""
+    return float(np.sqrt(max(0.0, 2 - 2 * cosine)))
+
 
-    Without ``audiences`` only (list, home) is filled, for counting."""
+def _counted(q: Quantiser, dim: int, reach: float):
+    """Class vectors -> one row per list and task: (list, vectors that ask it, vectors in it)."""
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, homes = (np.zeros(len(q.centroids), dtype=np.int64) for _ in range(2))
         for b in batches:
-            if not b.num_rows:
-                continue
-            s = q.scores(_unit(b.column(2), dim))
-            best = s.max(axis=1, keepdims=True)
-            row, at = np.nonzero(s >= best - margin)
-            home = at == s.argmax(axis=1)[row]
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(home)], names=["list", "home"])
+            if b.num_rows:
+                own, _, at = q.asked(_unit(b.column(2), dim), reach)
+                asked += np.bincount(at, minlength=len(asked))
+                homes += np.bincount(own, minlength=len(homes))
+        some = np.flatnonzero(asked)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(asked[some]), pa.array(homes[some])], names=["list", "asked", "n"])
+
+    return run
+
 
-    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _packed(x: np.ndarray) -> pa.Array:
+    """One binary value per row."""
+    data = np.ascontiguousarray(x)
+    ends = np.arange(len(data) + 1, dtype=np.int32) * np.int32(data.shape[1] * data.itemsize)
+    return pa.Array.from_buffers(pa.binary(), len(data), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+
+
+def _unpacked(column: pa.ChunkedArray, kind: str, dim: int) -> np.ndarray:
+    """The rows that ``_packed`` wrote."""
+    wide = np.dtype(kind).itemsize * dim
+    parts = [np.frombuffer(c.buffers()[2], dtype=np.uint8)[: (c.offset + len(c)) * wide][c.offset * wide :] for c in column.chunks if len(c)]
+    return np.concatenate(parts).view(kind).reshape(-1, dim)
+
+
+def _copies(rows: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row so many times, and the number of the copy."""
+    first = np.cumsum(times) - times
+    return np.repeat(rows, times), np.arange(times.sum()) - np.repeat(first, times)
+
+
+def _sent(q: Quantiser, dim: int, reach: float, kind: str, blocks: np.ndarray, audiences: np.ndarray):
+    """Class vectors -> rows (list, block, audience, node, copies, own list, home, vector);
+    vectors travel in the precision that the table has. An asker goes to one audience
+    and every block of a list, a point of the list to one block and every audience."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
             node, copies = b.column(0).to_numpy(), b.column(1).to_numpy()
-            raw = b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
-            s = q.scores(_unit(b.column(2), dim))
-            mine = s.argmax(axis=1)
-            row, at = np.nonzero(s >= s.max(axis=1, keepdims=True) - margin)
-            spread = (node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
-            rows, lists, blk, aud, home = [], [], [], [], []
-            for r, k in zip(row.tolist(), at.tolist()):  # as an asker: one audience, every block
-                for p in range(blocks.get(k, 0)):
-                    rows.append(r), lists.append(k), blk.append(p), home.append(False)
-                    aud.append(int(spread[r]) % audiences[k])
-            for r, k in enumerate(mine.tolist()):  # as a point: one block, every audience
-                for a in range(audiences[k]):
-                    rows.append(r), lists.append(k), home.append(True), aud.append(a)
-                    blk.append(int(spread[r]) % blocks[k])
-            rows = np.array(rows)
-            vectors = raw[rows].astype(kind).tobytes()
-            wide = np.dtype(kind).itemsize * dim
+            raw = b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(kind)
+            own, row, at = q.asked(_unit(b.column(2), dim), reach)
+            spread = ((node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64)
+            ask, block = _copies(np.arange(len(row)), blocks[at])
+            asker, asked = row[ask], at[ask]
+            point, audience = _copies(np.arange(len(own)), audiences[own])
+            everyone = np.concatenate([asker, point])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(lists, pa.int64()), pa.array(blk, pa.int64()), pa.array(aud, pa.int64()), pa.array(node[rows]),
-                    pa.array(copies[rows]), pa.array(home), pa.array([vectors[i : i + wide] for i in range(0, len(vectors), wide)], pa.binary()),
+                    pa.array(np.concatenate([asked, own[point]])),
+                    pa.array(np.concatenate([block, spread[point] % blocks[own[point]]])),
+                    pa.array(np.concatenate([spread[asker] % audiences[asked], audience])),
+                    pa.array(node[everyone]), pa.array(copies[everyone]), pa.array(own[everyone]),
+                    pa.array(np.arange(len(everyone)) >= len(asker)), _packed(raw[everyone]),
                 ],
-                names=["list", "block", "audience", "node", "copies", "home", "vector"],
+                names=["list", "block", "audience", "node", "copies", "own", "home", "vector"],
             )
 
-    return counted if audiences is None else sent
+    return run
 
 
-def _search(q: Quantiser, dim: int, kind: str, cosine: float, margin: float):
-    reach = float(np.sqrt(2 - 2 * cosine))
+def _search(q: Quantiser, dim: int, kind: str, cosine: float):
+    reach = _reach(cosine)
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        centre = q.centroids[key[0].as_py()]
+        here = key[0].as_py()
+        centre = q.centroids[here]
         home = table["home"].to_numpy(zero_copy_only=False)
-        node, copies = table["node"].to_numpy(), table["copies"].to_numpy()
-        x = np.frombuffer(b"".join(v.as_py() for v in table["vector"]), dtype=kind).reshape(-1, dim).astype(np.float64)
-        x = unit_rows(x)
+        node, copies, own = (table[c].to_numpy() for c in ("node", "copies", "own"))
+        x = unit_rows(_unpacked(table["vector"], kind, dim).astype(np.float64))
         points, askers = np.flatnonzero(home), np.flatnonzero(~home)
         codes, missed = q.encode(x[points] - centre)
         links = np.zeros(len(node), dtype=np.int64)
@@ -230,17 +241,15 @@ def _search(q: Quantiser, dim: int, kind: str, cosine: float, margin: float):
         for i in range(0, len(askers), 512):
             part = askers[i : i + 512]
             far = q.distances(x[part] - centre, codes)
-            maybe = np.sqrt(np.maximum(far, 0)) <= missed[:, None] + reach + 1e-4
-            p, m = np.nonzero(maybe)
+            p, m = np.nonzero(far <= ((missed + reach + 1e-4) ** 2)[:, None])
             m, p = part[m], points[p]
             exact = np.einsum("ij,ij->i", x[m], x[p])
             good = (exact >= cosine) & (node[m] != node[p])
             m, p = m[good], p[good]
             np.add.at(links, m, copies[p])
             if len(m):  # a partner that does not ask the asker's own list gets its count here
-                who, which = np.unique(m, return_inverse=True)
-                theirs = q.centroids[q.scores(x[who]).argmax(axis=1)][which]
-                blind = np.einsum("ij,ij->i", x[p], theirs) < x[p] @ centre - margin
+                behind = np.einsum("ij,ij->i", x[p], centre - q.centroids[own[m]])
+                blind = behind > reach / 2 * q.planes(own[m], np.full(len(m), here)) + SLACK
                 np.add.at(links, p[blind], copies[m[blind]])
             a.append(m), b.append(p)
         names, index = np.unique(node, return_inverse=True)  # smallest node first
@@ -259,7 +268,7 @@ def _valid() -> F.Column:
     return F.coalesce(ok, F.lit(False)) & F.coalesce(F.exists(v, lambda c: c != 0), F.lit(False))
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = COSINE, margin: float = MARGIN, sample: int = SAMPLE) -> DataFrame:
+def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SAMPLE) -> DataFrame:
     """Per row of (vec_id, embedding): vec_id, n_links, component_id, kept."""
     spark = vectors.sparkSession
     prepare(spark)
@@ -282,16 +291,17 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, margin: float =
         x = picked["embedding"].combine_chunks().flatten().to_numpy().reshape(-1, dim)
         x = unit_rows(x)
         q = fit(x, lists)
-        wide = measured_margin(q, x, cosine, margin)
-        visits = own.mapInArrow(_routed(q, dim, wide, kind, {}, None), "list long, home boolean")
-        sizes = visits.groupBy("list").agg(F.count(F.lit(1)).alias("asked"), F.sum(F.col("home").cast("long")).alias("n")).collect()
-        blocks = {r["list"]: -(-r["n"] // BLOCK) for r in sizes if r["n"]}  # one entry per list
-        audiences = {r["list"]: -(-r["asked"] // ASKERS) for r in sizes}
+        reach = _reach(cosine)
+        visits = own.mapInArrow(_counted(q, dim, reach), "list long, asked long, n long")
+        sizes = visits.groupBy("list").agg(F.sum("asked").alias("asked"), F.sum("n").alias("n")).toArrow()  # one row per list
+        blocks, audiences = np.zeros(lists, dtype=np.int64), np.zeros(lists, dtype=np.int64)
+        at = sizes["list"].to_numpy()
+        blocks[at], audiences[at] = -(-sizes["n"].to_numpy() // BLOCK), -(-sizes["asked"].to_numpy() // ASKERS)
         sent = own.mapInArrow(
-            _routed(q, dim, wide, kind, blocks, audiences),
-            "list long, block long, audience long, node long, copies long, home boolean, vector binary",
+            _sent(q, dim, reach, kind, blocks, audiences),
+            "list long, block long, audience long, node long, copies long, own long, home boolean, vector binary",
         )
-        part = sent.groupBy("list", "block", "audience").applyInArrow(_search(q, dim, kind, cosine, wide), "node long, links long, root long")
+        part = sent.groupBy("list", "block", "audience").applyInArrow(_search(q, dim, kind, cosine), "node long, links long, root long")
         found = part if found is None else found.unionByName(part)
     if found is None:
         named = spark.createDataFrame([], "embedding array<double>, others long, component_id long")
