@@ -45,8 +45,10 @@ BANDS = 3
 SHARD = 20_000
 #: Fingerprints sampled per leaf to grow the routing trees, and their largest number.
 SAMPLE_PER_LEAF = 64
-MAX_SAMPLE = 65_536
+MAX_SAMPLE = 1_048_576
 LEAF = 48
+#: Fingerprints walked through the trees at once, and rows of a batch sent.
+ROUTED = 32_768
 
 
 def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> bytes:
@@ -118,40 +120,82 @@ def grow(sample: np.ndarray, mask: np.uint64, depth: int) -> list[tuple[int, np.
     return tree
 
 
-def walk(tree, values: np.ndarray, mask: np.uint64, reach: int) -> dict[int, np.ndarray]:
-    """Leaf -> indices of the values whose ball of radius ``reach`` may touch it."""
-    at = {1: np.arange(len(values))}
-    for node, vantage, radius in tree:
-        here = at.pop(node)
+def walk(tree: dict[int, tuple[np.uint64, int]], values: np.ndarray, mask: np.uint64, reach: int) -> dict[int, np.ndarray]:
+    """Leaf -> indices of the values whose ball of radius ``reach`` may touch it.
+    Only nodes that some value reaches are visited."""
+    leaves, todo = {}, [(1, np.arange(len(values)))]
+    while todo:
+        node, here = todo.pop()
+        if not len(here):
+            continue
+        if node not in tree:
+            leaves[node] = here
+            continue
+        vantage, radius = tree[node]
         d = _distance(values[here] & mask, vantage)
-        at[2 * node], at[2 * node + 1] = here[d - reach <= radius], here[d + reach > radius]
-    return at
+        todo += [(2 * node, here[d - reach <= radius]), (2 * node + 1, here[d + reach > radius])]
+    return leaves
+
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of ``ROUTED`` rows or more: the session's batches are
+    small for the sake of texts, and a walk over few fingerprints costs as many nodes."""
+    held, rows = [], 0
+    for b in batches:
+        held.append(b)
+        rows += b.num_rows
+        if rows >= ROUTED:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, rows = [], 0
+    if rows:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
-def _route(trees, masks, reach: int, splits: dict[tuple[int, int], int] | None):
-    """Rows (shard, fp, home). Without ``splits`` only home rows, for counting."""
+
+def _counted(trees, masks):
+    """Distinct fingerprints -> one row per shard and task: (shard, fingerprints at home there)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        rooms = [{node: (vantage, radius) for node, vantage, radius in tree} for tree in trees]
+        counts: dict[int, int] = {}
+        for batch in _gathered(batches):
+            values = batch.column(0).to_numpy().view(np.uint64)
+            for band, (tree, mask) in enumerate(zip(rooms, masks)):
+                for leaf, who in walk(tree, values, mask, 0).items():
+                    shard = (band << 40) + (leaf << 16)
+                    counts[shard] = counts.get(shard, 0) + len(who)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(counts.keys()), pa.int64()), pa.array(list(counts.values()), pa.int64())], names=["shard", "n"]
+        )
+
+    return run
+
+
+def _route(trees, masks, reach: int, splits: dict[tuple[int, int], int]):
+    """Distinct fingerprints -> rows (shard, fp, home, asks)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rooms = [{node: (vantage, radius) for node, vantage, radius in tree} for tree in trees]
+        for batch in _gathered(batches):
             values = batch.column(0).to_numpy().view(np.uint64)
-            for band, (tree, mask) in enumerate(zip(trees, masks)):
-                home = walk(tree, values, mask, 0)
-                visit = home if splits is None else walk(tree, values, mask, reach)
-                for leaf, who in visit.items():
-                    if not len(who):
-                        continue
-                    is_home = np.isin(who, home[leaf], assume_unique=True)
-                    n = 1 if splits is None else splits.get((band, leaf), 1)
+            for band, (tree, mask) in enumerate(zip(rooms, masks)):
+                home = np.zeros(len(values), dtype=np.int64)
+                for leaf, who in walk(tree, values, mask, 0).items():
+                    home[who] = leaf
+                cols = []
+                for leaf, who in walk(tree, values, mask, reach).items():
+                    is_home = home[who] == leaf
+                    n = splits.get((band, leaf), 1)
                     part = values[who] % np.uint64(n)
                     shard = (band << 40) + (leaf << 16)
-                    cols = [(shard + part.astype(np.int64), values[who], is_home, np.ones(len(who), dtype=bool))]
+                    cols.append((shard + part.astype(np.int64), values[who], is_home, np.ones(len(who), dtype=bool)))
                     # the shard's points go to all of its parts; a part asks for its own rows only
                     for k in range(n) if n > 1 else ():
                         copy = is_home & (part != k)
                         cols.append((np.full(copy.sum(), shard + k), values[who][copy], np.ones(copy.sum(), bool), np.zeros(copy.sum(), bool)))
-                    s, v, h, q = (np.concatenate(c) for c in zip(*cols))
+                s, v, h, q = (np.concatenate(c) for c in zip(*cols))
+                for i in range(0, len(s), ROUTED):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(s), pa.array(v.view(np.int64)), pa.array(h), pa.array(q)], names=["shard", "fp", "home", "asks"]
+                        [pa.array(c[i : i + ROUTED]) for c in (s, v.view(np.int64), h, q)], names=["shard", "fp", "home", "asks"]
                     )
 
     return run
@@ -233,14 +277,15 @@ def fingerprint_links(fps: DataFrame, max_distance: int = MAX_DISTANCE, bands: i
     n = distinct.count()
     depth = max(0, int(np.ceil(np.log2(max(n, 1) / shard))))
     sample_size = min(MAX_SAMPLE, SAMPLE_PER_LEAF << depth)
-    sample = distinct.orderBy(F.xxhash64("fp"), "fp").limit(sample_size).collect()
-    sample = np.array([r["fp"] for r in sample] or [0], dtype=np.int64).view(np.uint64)
+    sample = distinct.orderBy(F.xxhash64("fp"), "fp").limit(sample_size).select("fp").toArrow()  # 8 MB at most
+    sample = np.array(sample["fp"].to_numpy() if len(sample) else [0], dtype=np.int64).view(np.uint64)
     masks = band_masks(bands)
     trees = [grow(sample, m, depth) for m in masks]
     reach = max_distance // bands
     schema = "shard long, fp long, home boolean, asks boolean"
-    counts = distinct.mapInArrow(_route(trees, masks, reach, None), schema).groupBy("shard").count().collect()  # bands x 2^depth rows
-    splits = {(r["shard"] >> 40, (r["shard"] >> 16) & 0xFFFFFF): -(-r["count"] // (2 * shard)) for r in counts}
+    homes = distinct.mapInArrow(_counted(trees, masks), "shard long, n long")
+    counts = homes.groupBy("shard").agg(F.sum("n").alias("n")).where(F.col("n") > 2 * shard).collect()  # shards over their size alone
+    splits = {(r["shard"] >> 40, (r["shard"] >> 16) & 0xFFFFFF): -(-r["n"] // (2 * shard)) for r in counts}
     routed = distinct.mapInArrow(_route(trees, masks, reach, splits), schema)
     return routed.groupBy("shard").applyInArrow(_search(masks, reach, max_distance), "a long, b long")
 

@@ -8,6 +8,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import regex
 import xxhash
@@ -101,6 +102,29 @@ def test_links_connect_as_all_pairs_do(spark, shard):
     assert len(set(zip(got, want))) == len(set(got)) == len(set(want))
 
 
+def test_routing_reaches_the_home_of_every_near_value_and_no_empty_node():
+    rng = np.random.default_rng(2)
+    values = rng.integers(0, 2**63, 3000).astype(np.uint64)
+    for mask in simhash.band_masks(3):
+        near = values ^ np.uint64(int(mask) & -int(mask))  # one bit of the band away
+        tree = {n: (v, r) for n, v, r in simhash.grow(values[:200], mask, 10)}  # more leaves than sample values
+        home = np.zeros(len(values), dtype=np.int64)
+        for leaf, who in simhash.walk(tree, values, mask, 0).items():
+            assert len(who)
+            home[who] = leaf
+        asked = {(leaf, i) for leaf, who in simhash.walk(tree, near, mask, 1).items() for i in who.tolist()}
+        assert all((h, i) in asked for i, h in enumerate(home.tolist()))
+
+
+def test_gathered_batches_hold_the_same_rows(monkeypatch):
+    monkeypatch.setattr(simhash, "ROUTED", 100)
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(i, i + n), pa.int64())], names=["fp"]) for i, n in ((0, 30), (30, 0), (30, 80), (110, 7))]
+    got = list(simhash._gathered(iter(batches)))
+    assert [b.num_rows for b in got] == [110, 7]
+    assert [v for b in got for v in b.column(0).to_pylist()] == list(range(117))
+    assert list(simhash._gathered(iter([]))) == []
+
+
 def test_components_of_paths_stars_and_rings(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 50)] + [(200 + i, 200 + (i + 1) % 7) for i in range(7)]
     links += [(5, 5), (300, 301), (301, 300)]
