@@ -4,7 +4,8 @@
    so equal passages are cut alike in all documents. Documents travel in
    batches of a few MB; a batch names each distinct chunk once and sends it, by
    chunk hash, to one partition.
-2. There every distinct chunk of the whole corpus is encoded once: its head
+2. There every distinct chunk of the whole corpus is encoded once (as long as
+   the results of a partition fit in ``KNOWN_BYTES``): its head
    (up to the first white space), its body, and its tail (after the last white
    space) apart, since head and tail may be parts of words.
 3. The results go back to the batches. Where two chunks meet, the window of the
@@ -34,6 +35,8 @@ from boxstar.llm.common import parallelism, prepare
 CUT_BITS = 9
 MIN_CHUNK = 512
 BATCH_BYTES = 16_000_000
+#: Results that a task remembers, in bytes with what Python needs for each.
+KNOWN_BYTES = 400_000_000
 _ROUTED = "part long, batch long, blob binary"
 
 _GEAR = np.random.default_rng(20_090_401).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -144,30 +147,40 @@ def split_chunk(text: str) -> tuple[str, str | None, str]:
     return text[:first], text[first : last + 1], text[last + 1 :]
 
 
-def _encode_once(path: str):
+def _encode_once(path: str, known_bytes: int = KNOWN_BYTES):
     """Chunk blobs -> result blobs. A partition sees every copy of its chunks,
-    so each distinct chunk is encoded once."""
+    so each distinct chunk is encoded once. Results are remembered by a 128-bit
+    digest of the chunk; past ``known_bytes`` they are forgotten before the next
+    batch, whose chunks are then encoded anew, to the same ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_128_digest
+
         from boxstar.llm.wordbpe import encoder
 
         enc = encoder(path)
         known: dict[bytes, bytes] = {}
+        held = 0
         for b in batches:
             for part, batch, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 if part < 0:
                     yield _rows([(part, batch, blob.as_py())])
                     continue
                 chunks = _unpack(blob.as_py())
-                new = [c for c in chunks if c not in known]
-                cut = [split_chunk(c.decode()) for c in new]
+                if held > known_bytes:
+                    known.clear()
+                    held = 0
+                names = [xxh3_128_digest(c) for c in chunks]
+                new = {k: c for k, c in zip(names, chunks) if k not in known}
+                cut = [split_chunk(c.decode()) for c in new.values()]
                 bodies = enc.ids_many([body or "" for _, body, _ in cut])
-                for c, (head, body, tail), ids in zip(new, cut, bodies):
+                for k, (head, body, tail), ids in zip(new, cut, bodies):
                     head_b, tail_b = head.encode(), tail.encode()
                     small = np.frombuffer(ids, dtype="<u4").astype("<u2").tobytes()
                     flags = np.array([len(head_b), len(tail_b), body is not None], dtype="<u4").tobytes()
-                    known[c] = flags + head_b + tail_b + small
-                yield _rows([(part, batch, _pack([known[c] for c in chunks]))])
+                    known[k] = flags + head_b + tail_b + small
+                    held += len(known[k]) + 200
+                yield _rows([(part, batch, _pack([known[k] for k in names]))])
 
     return run
 
@@ -241,11 +254,13 @@ def _strings(path: str, enc) -> tuple[list[str], list[str]]:
     return _words[path]
 
 
-def encode_documents(docs: DataFrame, path: str) -> DataFrame:
-    """Per row: doc_id, n_tokens, ids_sha256, decoded_sha256."""
+def encode_documents(docs: DataFrame, path: str, partitions: int | None = None) -> DataFrame:
+    """Per row: doc_id, n_tokens, ids_sha256, decoded_sha256. ``partitions`` deal the chunks
+    (the session's shuffle partitions if not given; about one for each GB of text, at least,
+    keeps the results of each in memory)."""
     spark = docs.sparkSession
     prepare(spark)
-    parts = parallelism(spark)
+    parts = partitions or parallelism(spark)
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text"))
     sent = narrow.mapInArrow(_cut_batches(parts), _ROUTED).repartition(parts, "part")
     encoded = sent.mapInArrow(_encode_once(path), _ROUTED)

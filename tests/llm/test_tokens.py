@@ -123,6 +123,18 @@ def test_op6_whole_table(spark, small_docs):
     assert got == {doc: _digests(text) for doc, text in small_docs}
 
 
+def test_op6_forgotten_chunks_are_encoded_to_the_same_ids(small_docs):
+    texts = [t or "" for _, t in small_docs[:60]]
+    batches = []
+    for k in range(6):  # every chunk comes twice
+        data = [d.encode() for d in texts[(k % 3) * 20 : (k % 3) * 20 + 20]]
+        chunks = [d[a:b] for d in data for a, b in zip([0, *chunkreuse.cuts(d)], chunkreuse.cuts(d))]
+        batches.append(chunkreuse._rows([(0, k, chunkreuse._pack(chunks))]))
+    batches.append(chunkreuse._rows([(-1, 9, b"layout")]))
+    all_of = lambda held: [(r["part"], r["batch"], r["blob"]) for b in chunkreuse._encode_once(WORD, held)(iter(batches)) for r in b.to_pylist()]
+    assert all_of(0) == all_of(chunkreuse.KNOWN_BYTES)
+
+
 def test_op6_awkward(spark, awkward, no_docs):
     got = Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in chunkreuse.encode_documents(awkward, WORD).collect())
     assert got == Counter((i, *_digests(t)) for i, t in awkward_texts())
