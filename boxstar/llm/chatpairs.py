@@ -19,14 +19,13 @@ completions; an empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boxstar.llm.common import land, prepare
+from boxstar.operators.ordered import prefix_before
 
 ASSISTANT = "assistant"
-#: Ids per ranking block: a hot opening is ranked in blocks of its id range.
-ID_BLOCK = 256
 
 
 def conversation_turns(conversations: DataFrame) -> DataFrame:
@@ -41,6 +40,18 @@ def conversation_turns(conversations: DataFrame) -> DataFrame:
     return packed.select("conv_id", F.transform("t", lambda x: F.struct(x.role.alias("role"), x.text.alias("text"))).alias("turns"))
 
 
+def one_of_each(turns: DataFrame) -> DataFrame:
+    """Conversations with equal turns as one row: the smallest conv_id (NULL only where no
+    copy has an id), the turns, and copies, their number."""
+    return turns.groupBy("turns").agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("copies")).select("conv_id", "turns", "copies")
+
+
+def copies_of_each(turns: DataFrame) -> DataFrame:
+    """(conv_id, class_id): the conversation that stands for each one in ``one_of_each``."""
+    ids = turns.select("conv_id", F.sha2(F.to_json("turns"), 256).alias("said"))
+    return ids.join(ids.groupBy("said").agg(F.min("conv_id").alias("class_id")), "said").select("conv_id", "class_id")
+
+
 def pairs_by_opening(turns: DataFrame) -> DataFrame:
     """(chosen_id, rejected_id) of conversations with equal first turns; a left-over
     conversation comes with a NULL rejected_id."""
@@ -51,15 +62,11 @@ def pairs_by_opening(turns: DataFrame) -> DataFrame:
         "conv_id",
         F.sha2(F.concat_ws("\x1f", F.element_at("turns", 1).role, F.element_at("turns", 1).text), 256).alias("opening"),
         spoken.alias("spoken"),
-        F.floor(F.coalesce("conv_id", F.lit(-1)) / ID_BLOCK).alias("block"),
     )
-    counts = heads.groupBy("opening", "block").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("opening").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    first = counts.select("opening", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    inside = Window.partitionBy("opening", "block").orderBy(F.col("conv_id").asc_nulls_first())
-    ranked = heads.withColumn("at", F.row_number().over(inside) - 1).join(first, ["opening", "block"])
+    # ranked over balanced ranges of (opening, id): a hot opening takes many tasks, whatever its ids
+    ranked = prefix_before(heads, ["opening"], [F.col("conv_id").asc_nulls_first()], {"at": F.lit(1)})
     one = F.struct(F.col("spoken"), (-F.coalesce("conv_id", F.lit(-1))).alias("low"), F.col("conv_id"))
-    grouped = ranked.groupBy("opening", F.floor((F.col("first") + F.col("at")) / 2).alias("pair")).agg(
+    grouped = ranked.groupBy("opening", F.floor(F.col("at") / 2).alias("pair")).agg(
         F.sort_array(F.collect_list(one), asc=False).alias("two")
     )
     return grouped.select(
@@ -123,10 +130,15 @@ def format_pairs(turns: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
-def preference_pairs(conversations: DataFrame) -> DataFrame:
-    """Pairs by opening, formatted: the whole table, each conversation in one row."""
+def preference_pairs(conversations: DataFrame, distinct: bool = False) -> DataFrame:
+    """Pairs by opening, formatted: the whole table, each conversation in one row.
+
+    With ``distinct`` conversations with equal turns are one (``copies_of_each`` names
+    its members), so that a copy is never the rejected side of its own text."""
     prepare(conversations.sparkSession)
     turns = land(conversation_turns(conversations), "turns")
+    if distinct:
+        turns = land(one_of_each(turns).select("conv_id", "turns"), "distinct_turns")
     return format_pairs(turns, pairs_by_opening(turns))
 
 

@@ -321,6 +321,24 @@ def test_op2_oracle_on_shared_openings(spark):
     assert Counter(cur.fetchall()) == Counter(tuple(r) for r in spark_rows)
 
 
+def test_op2_copies_as_one(spark):
+    rows = [(c, t, r, x) for c, answer in ((4, "A"), (7, "A"), (9, "Bb"), (11, "Bb"), (12, "A"), (None, "A"))
+            for t, (r, x) in enumerate([("user", "q"), ("assistant", answer)])]
+    df = _conversations(spark, rows)
+    got = chatpairs.preference_pairs(df, distinct=True).collect()
+    assert [(r.chosen_id, r.rejected_id, r.prompt_turns, r.chosen, r.rejected) for r in got] == [
+        (9, 4, 1, "<|assistant|>\nBb\n", "<|assistant|>\nA\n")
+    ]
+    turns = chatpairs.conversation_turns(df)
+    assert {(r.conv_id, r.class_id) for r in chatpairs.copies_of_each(turns).collect()} == {(4, 4), (7, 4), (12, 4), (None, 4), (9, 9), (11, 9)}
+    assert {(r.conv_id, r.copies) for r in chatpairs.one_of_each(turns).collect()} == {(4, 4), (9, 2)}
+
+
+def test_op2_hot_opening_with_sparse_ids(spark):
+    rows = [(c * 1_000_003, t, r, x) for c in range(900) for t, (r, x) in enumerate([("user", "q" if c % 3 else f"q{c}"), ("assistant", "a" * (c % 5))])]
+    assert Counter(tuple(r) for r in chatpairs.preference_pairs(_conversations(spark, rows)).collect()) == brute_pairs(rows)
+
+
 def test_op2_null_conversation(spark):
     got = chatpairs.preference_pairs(_conversations(spark, [(None, 0, "user", "x"), (1, 0, "user", "x")])).collect()
     assert [(r.chosen_id, r.rejected_id, r.prompt_turns) for r in got] in ([(None, 1, 1)], [(1, None, 1)])
