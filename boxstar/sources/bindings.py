@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from boxstar.operators.ordered import default_parts
 from boxstar.sources.csvscan import apply_na_tokens
 
 # ---------------------------------------------------------------------------
@@ -56,6 +57,8 @@ def _s(c: Column) -> Column:
 def players_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Players file stand-in: one row per customer, text columns as read."""
     c = _read(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    # a small file is read by one task: the rows are spread before their text is worked on
+    c = c.repartition(default_parts(c), "c_custkey", "c_name")
     # nation has 25 rows at every scale factor: a broadcast is size-safe
     n = _read(spark, sf_dir, "nation", "n_nationkey", "n_name")
     k = F.col("c_custkey")
