@@ -85,6 +85,23 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+#: Files that one task of a partitioned write keeps open; rows of further partitions are sorted first.
+OPEN_WRITERS = 64
+
+
+@contextmanager
+def unsorted_partitions(spark: SparkSession) -> Iterator[None]:
+    """Partitioned writes inside keep a file open for each partition value that a task meets,
+    instead of sorting its whole rows by that value."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    former = spark.conf.get(name, None)
+    spark.conf.set(name, str(OPEN_WRITERS))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if former is None else spark.conf.set(name, former)
+
+
 _ACTIVE: ContextVar[Scratch | None] = ContextVar("boxstar_scratch", default=None)
 
 
@@ -121,16 +138,17 @@ def land(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame
     columnar storage: later scans read only the columns they use, push
     filters down, and give the planner real sizes for join choices. An active
     :class:`Scratch` owns the table; without one it stays in the checkpoint folder until
-    that is cleaned. A write that fails leaves nothing.
+    that is cleaned. A write that fails leaves nothing. With ``partition_by`` every task writes
+    its rows where they are: they are neither dealt out nor sorted by the partition value.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     writer = df.write.mode("overwrite")
     if partition_by:
-        # rows of a partition value meet in few files; large values stay split
-        writer = df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by)
+        writer = writer.partitionBy(partition_by)
     try:
-        writer.parquet(path)
+        with unsorted_partitions(spark):
+            writer.parquet(path)
     except BaseException:
         remove_path(spark, path)
         raise
