@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from boxstar.session import remove_path
+from boxstar.session import remove_path, unsorted_partitions
 
 POINTER = "current"
 KEPT = 2
@@ -70,7 +70,8 @@ class VersionedFolder:
 def write_files(df: DataFrame, path: str, partition_by: Iterable[str] | None = None) -> None:
     """Write Parquet files to a folder that must not be there yet."""
     w = df.write.mode("errorifexists")
-    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+    with unsorted_partitions(df.sparkSession):
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
 
 
 def write_table(df: DataFrame, path: str, force_rebuild: bool = True, partition_by: list[str] | None = None) -> str:
