@@ -200,6 +200,22 @@ WAREHOUSE_TABLES = (
     "team_stats_fact",
 )
 
+# Columns of box rows that say who played when, where and against whom, and who won.
+GAME_COLUMNS = (
+    "personId",
+    "gameId",
+    "gameDateTimeEst",
+    "gameType",
+    "playerteamName",
+    "opponentteamName",
+    "teamName",
+    "teamCity",
+    "opponentTeamName",
+    "coachId",
+    "home",
+    "win",
+)
+
 # Column orders and types of the players dimension and the two facts.
 PLAYER_COLUMNS = (
     ("personId", "long"),

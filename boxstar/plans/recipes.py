@@ -89,7 +89,7 @@ class Analysis:
                  strict: bool = False, warehouse: Warehouse | None = None):
         self.spark, self.sf_dir, self.strict = spark, sf_dir, strict
         self.params = params or STANDIN
-        self.warehouse = warehouse or Warehouse(self._standin_sources(), key_method, stage=land)
+        self.warehouse = warehouse or Warehouse(self._standin_sources(), key_method, stage=land, games=self._standin_games())
         self.scratch = self.warehouse.scratch
 
     def close(self) -> None:
@@ -104,11 +104,20 @@ class Analysis:
 
     def _standin_sources(self):
         spark, sf = self.spark, self.sf_dir
-        return {
-            "players_raw": lambda: land(clean.clean_players(bindings.players_source(spark, sf)), "players_raw"),
-            "player_stats_raw": lambda: _land_box(clean.clean_box_stats(bindings.player_stats_source(spark, sf)), "player_stats_raw"),
-            "team_stats_raw": lambda: _land_box(clean.clean_box_stats(bindings.team_stats_source(spark, sf)), "team_stats_raw"),
-        }
+        boxes = {"player_stats_raw": bindings.player_stats_source, "team_stats_raw": bindings.team_stats_source}
+        people = {"players_raw": lambda: land(clean.clean_players(bindings.players_source(spark, sf)), "players_raw")}
+        return people | {n: (lambda n=n, read=read: _land_box(clean.clean_box_stats(read(spark, sf)), n)) for n, read in boxes.items()}
+
+    def _standin_games(self):
+        """The box rows without their statistics."""
+        spark, sf = self.spark, self.sf_dir
+        boxes = {"player_stats_raw": bindings.player_stats_source, "team_stats_raw": bindings.team_stats_source}
+
+        def games(name: str) -> DataFrame:
+            rows = clean.clean_box_stats(boxes[name](spark, sf))
+            return _land_box(rows.select(*[c for c in rows.columns if c in config.GAME_COLUMNS]), f"{name}_games")
+
+        return {n: (lambda n=n: games(n)) for n in boxes}
 
     @classmethod
     def from_csv(
@@ -199,7 +208,7 @@ class Analysis:
     @_owned
     def top_teams(self) -> DataFrame:
         p = self.params
-        fact = self.warehouse.team_fact(keys=("teamKey",), since_year=p.top_since_year)
+        fact = self.warehouse.team_fact(keys=("teamKey",), since_year=p.top_since_year, stats=())
         return teams.top_teams(fact, self.warehouse.teams, p.top_since_year, p.top_min_games, p.top_limit)
 
     @_owned

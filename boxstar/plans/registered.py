@@ -213,7 +213,7 @@ def q_flag_distribution(spark, sf_dir):
 def q_active_multi_flag(spark, sf_dir):
     a = analysis(spark, sf_dir)
     wh = a.warehouse
-    return audits.active_multi_position(wh.players, wh.player_stats_raw, a.params.active_years)
+    return audits.active_multi_position(wh.players, wh.game_rows("player_stats_raw"), a.params.active_years)
 
 
 # -- team analyses ----------------------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from functools import cached_property
 
 from pyspark.errors import AnalysisException
@@ -155,22 +155,23 @@ def natural_keys(raw: DataFrame, team_col: str, opp_col: str) -> dict[str, Colum
 
 def player_stats_fact(
     player_stats_raw: DataFrame, players: DataFrame, lookup: DataFrame, games: DataFrame, dates: DataFrame, keys=FACT_KEYS,
-    narrow: bool = False,
+    narrow: Collection[str] = (),
 ) -> DataFrame:
     """One row per player-game row (times duplicate players: not de-duplicated).
 
     ``playerKey`` is always resolved (a duplicated player multiplies rows); the
-    other keys only when listed in ``keys`` -- the rest are left out. With ``narrow``
-    the joins see the key columns alone and whole rows move once
+    other keys only when listed in ``keys`` -- the rest are left out. The joins for the keys
+    in ``narrow`` see the key columns alone and whole rows move once
     (:func:`through_keys`): for dimensions too large to broadcast."""
     raw = player_stats_raw
 
-    def resolve(rows: DataFrame) -> DataFrame:
-        people = players.select(F.col("personId").alias("_j_person"), "playerKey")
-        out = rows.join(people, F.col("_pid") == F.col("_j_person"), "left").drop("_j_person")
-        return _resolve_keys(out, "_team", "_opp", lookup, games, dates, keys)
+    def resolve(rows: DataFrame, wanted: Collection[str]) -> DataFrame:
+        if "playerKey" in wanted:
+            people = players.select(F.col("personId").alias("_j_person"), "playerKey")
+            rows = rows.join(people, F.col("_pid") == F.col("_j_person"), "left").drop("_j_person")
+        return _resolve_keys(rows, "_team", "_opp", lookup, games, dates, wanted)
 
-    out = _with_keys(raw, natural_keys(raw, "playerteamName", "opponentteamName"), resolve, narrow)
+    out = _with_keys(raw, natural_keys(raw, "playerteamName", "opponentteamName"), resolve, ("playerKey", *keys), narrow)
     numbers = [("win", "int"), ("home", "int"), ("numMinutes", "double"), *[(c, "double") for c in BOX_STATS]]
     return out.select(
         "playerKey",
@@ -183,22 +184,40 @@ def player_stats_fact(
     )
 
 
-def _with_keys(raw: DataFrame, natural: dict[str, Column], resolve: Callable[[DataFrame], DataFrame], narrow: bool) -> DataFrame:
-    return through_keys(raw, natural, resolve) if narrow else resolve(raw.withColumns(natural))
+#: The natural key by which each key is found.
+NATURAL = {"playerKey": "_pid", "teamKey": "_team", "opponentTeamKey": "_opp", "gameKey": "_gid", "dateKey": "_ts"}
+
+
+def _with_keys(
+    raw: DataFrame, natural: dict[str, Column], resolve: Callable[[DataFrame, Collection[str]], DataFrame], keys: Collection[str],
+    narrow: Collection[str],
+) -> DataFrame:
+    """``raw`` with ``keys``: those in ``narrow`` through their natural keys alone, the others beside the whole rows."""
+    through = [k for k in keys if k in narrow]
+
+    def beside(rows: DataFrame) -> DataFrame:
+        return resolve(rows.withColumns(natural), [k for k in keys if k not in through])
+
+    if not through:
+        return beside(raw)
+    return through_keys(raw, {NATURAL[k]: natural[NATURAL[k]] for k in through}, lambda rows: resolve(rows, through), beside)
 
 
 def team_stats_fact(
-    team_stats_raw: DataFrame, lookup: DataFrame, games: DataFrame, dates: DataFrame, keys=FACT_KEYS, narrow: bool = False
+    team_stats_raw: DataFrame, lookup: DataFrame, games: DataFrame, dates: DataFrame, keys=FACT_KEYS, narrow: Collection[str] = (),
+    stats=TEAM_STATS,
 ) -> DataFrame:
     """One row per team-game row; games come from player statistics only.
 
-    Keys not listed in ``keys`` are left out; ``narrow`` as in :func:`player_stats_fact`."""
+    Keys not listed in ``keys`` and statistics not listed in ``stats`` are left out; ``narrow`` as in
+    :func:`player_stats_fact`."""
     raw = team_stats_raw
-    out = _with_keys(
-        raw, natural_keys(raw, "teamName", "opponentTeamName"),
-        lambda rows: _resolve_keys(rows, "_team", "_opp", lookup, games, dates, keys), narrow,
-    )
-    numbers = [("home", "int"), ("win", "int"), *[(c, "double") for c in TEAM_STATS]]
+
+    def resolve(rows: DataFrame, wanted: Collection[str]) -> DataFrame:
+        return _resolve_keys(rows, "_team", "_opp", lookup, games, dates, wanted)
+
+    out = _with_keys(raw, natural_keys(raw, "teamName", "opponentTeamName"), resolve, keys, narrow)
+    numbers = [("home", "int"), ("win", "int"), *[(c, "double") for c in stats]]
     return out.select(*[k for k in FACT_KEYS if k in keys], *[typed_column(raw, c, t).alias(c) for c, t in numbers])
 
 
@@ -210,13 +229,14 @@ class Warehouse:
     dimension, so that both facts and every analysis read one copy; facts stay
     lazy so that consumers prune them to the columns they use. ``direct_rows`` is the size
     up to which a dimension is taken to be broadcast. ``scratch`` notes what is landed on
-    the way.
+    the way. ``games`` gives box rows without their statistics, for what needs no more.
     """
 
     def __init__(self, sources: dict[str, Callable[[], DataFrame]], key_method: str = "ranged", stage=None,
                  stored: dict[str, DataFrame] | None = None, direct_rows: int = config.DIRECT_JOIN_ROWS,
-                 scratch: Scratch | None = None):
+                 scratch: Scratch | None = None, games: dict[str, Callable[[], DataFrame]] | None = None):
         self.scratch = scratch or Scratch()
+        self._games, self._game_rows = games or {}, {}
         self.direct_rows, self._counts = direct_rows, {}
         self._sources, self._key_method = sources, key_method
         self._stage = stage or (lambda df, name: df)
@@ -238,13 +258,23 @@ class Warehouse:
     def team_stats_raw(self) -> DataFrame:
         return self._table("team_stats_raw", self._sources.get("team_stats_raw"))
 
+    def game_rows(self, name: str) -> DataFrame:
+        """All rows of the box table ``name`` for readers of ``config.GAME_COLUMNS`` alone: the table
+        itself once it is there, else a copy without statistics, which need not be derived for it."""
+        if name in self.__dict__ or name in self._stored or name not in self._games:
+            return getattr(self, name)
+        if name not in self._game_rows:
+            with self.scratch.active():
+                self._game_rows[name] = self._games[name]()
+        return self._game_rows[name]
+
     @cached_property
     def players(self) -> DataFrame:
         return self._table("players", lambda: self._stage(players_dim(self.players_raw, self._key_method), "players"))
 
     @cached_property
     def teams(self) -> DataFrame:
-        return self._table("teams", lambda: self._stage(teams_dim(self.team_stats_raw, self._key_method), "teams"))
+        return self._table("teams", lambda: self._stage(teams_dim(self.game_rows("team_stats_raw"), self._key_method), "teams"))
 
     @cached_property
     def team_lookup(self) -> DataFrame:
@@ -252,11 +282,14 @@ class Warehouse:
 
     @cached_property
     def games(self) -> DataFrame:
-        return self._table("games", lambda: self._stage(games_dim(self.player_stats_raw, self._key_method), "games"))
+        return self._table("games", lambda: self._stage(games_dim(self.game_rows("player_stats_raw"), self._key_method), "games"))
 
     @cached_property
     def dates(self) -> DataFrame:
-        return self._table("dates", lambda: self._stage(dates_dim(self.team_stats_raw, self.player_stats_raw, self._key_method), "dates"))
+        def make() -> DataFrame:
+            return dates_dim(self.game_rows("team_stats_raw"), self.game_rows("player_stats_raw"), self._key_method)
+
+        return self._table("dates", lambda: self._stage(make(), "dates"))
 
     @cached_property
     def player_stats_fact(self) -> DataFrame:
@@ -268,15 +301,16 @@ class Warehouse:
 
     def player_fact(self, keys=FACT_KEYS, since_year: int | None = None) -> DataFrame:
         """The player fact with ``keys`` (playerKey always), from ``since_year`` on."""
-        tables = self._key_tables(keys)
         raw = since(self.player_stats_raw, since_year)
+        tables = self._key_tables(keys)
         with self.scratch.active():
             return player_stats_fact(raw, self.players, *tables, keys, self._narrow(keys, players=True))
 
-    def team_fact(self, keys=FACT_KEYS, since_year: int | None = None) -> DataFrame:
-        """The team fact with ``keys``, from ``since_year`` on."""
+    def team_fact(self, keys=FACT_KEYS, since_year: int | None = None, stats=TEAM_STATS) -> DataFrame:
+        """The team fact with ``keys`` and ``stats``, from ``since_year`` on."""
+        raw = since(self.team_stats_raw if stats else self.game_rows("team_stats_raw"), since_year)
         with self.scratch.active():
-            return team_stats_fact(since(self.team_stats_raw, since_year), *self._key_tables(keys), keys, self._narrow(keys))
+            return team_stats_fact(raw, *self._key_tables(keys), keys, self._narrow(keys), stats)
 
     def _rows(self, name: str) -> int:
         """Rows of a landed dimension, counted once."""
@@ -284,13 +318,16 @@ class Warehouse:
             self._counts[name] = getattr(self, name).count()
         return self._counts[name]
 
-    def _narrow(self, keys, players: bool = False) -> bool:
-        """Whether several joins would each deal out whole box rows: two or more of them
-        meet a dimension of over ``direct_rows`` rows. One alone costs what the way
+    def _narrow(self, keys, players: bool = False) -> list[str]:
+        """The keys whose joins would each deal out whole box rows, where there are two or more:
+        they meet a dimension of over ``direct_rows`` rows. One alone costs what the way
         through keys costs, and small dimensions are broadcast."""
-        joined = ["teams"] * len({"teamKey", "opponentTeamKey"} & set(keys))
-        joined += ["games"] * ("gameKey" in keys) + ["dates"] * ("dateKey" in keys) + ["players"] * players
-        return len(joined) > 1 and sum(self._rows(n) > self.direct_rows for n in joined) > 1
+        dimension = {"teamKey": "teams", "opponentTeamKey": "teams", "gameKey": "games", "dateKey": "dates"}
+        joined = {k: dimension[k] for k in FACT_KEYS if k in keys} | ({"playerKey": "players"} if players else {})
+        if len(joined) < 2:
+            return []
+        large = [k for k, name in joined.items() if self._rows(name) > self.direct_rows]
+        return large if len(large) > 1 else []
 
     def _key_tables(self, keys) -> list[DataFrame | None]:
         """Lookup, games and dates, where ``keys`` need them (else not even built)."""
