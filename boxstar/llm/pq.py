@@ -55,6 +55,8 @@ BLOCK = 2_048
 ASKERS = 4_096
 MAX_LISTS = 16_384
 ROUNDS = 6
+#: Products of vectors and centroids held at once.
+CELLS = 4_194_304
 
 
 class Quantiser:
@@ -114,14 +116,23 @@ def unit_rows(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _largest(x: np.ndarray, centres: np.ndarray, less: np.ndarray | None = None) -> np.ndarray:
+    """Per row of ``x`` the centre with the largest product (less ``less``); ``CELLS`` products at a time."""
+    near = np.empty(len(x), dtype=np.int64)
+    step = max(1, CELLS // len(centres))
+    for i in range(0, len(x), step):
+        products = x[i : i + step] @ centres.T
+        if less is not None:
+            products -= less
+        near[i : i + step] = products.argmax(axis=1)
+    return near
+
+
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int, unit: bool) -> np.ndarray:
-    x = x.astype(np.float32)
+    x = x.astype(np.float32, copy=False)
     centres = x[rng.choice(len(x), size=min(k, len(x)), replace=False)].copy()
     for _ in range(rounds):
-        near = np.empty(len(x), dtype=np.int64)
-        half = 0.5 * (centres**2).sum(axis=1)
-        for i in range(0, len(x), 1024):
-            near[i : i + 1024] = (x[i : i + 1024] @ centres.T - half).argmax(axis=1)
+        near = _largest(x, centres, 0.5 * (centres**2).sum(axis=1))
         sums = np.zeros_like(centres)
         np.add.at(sums, near, x)
         n = np.bincount(near, minlength=len(centres))
@@ -135,11 +146,11 @@ def fit(sample: np.ndarray, lists: int, seed: int = 7) -> Quantiser:
     """Coarse and residual quantisers from sample vectors of length one."""
     rng = np.random.default_rng(seed)
     centroids = _kmeans(sample, lists, rng, ROUNDS, unit=True)
-    residual = sample - centroids[(sample @ centroids.T).argmax(axis=1)]
     dim = sample.shape[1]
     spaces = min(SUBSPACES, dim)
     edges = [dim * i // spaces for i in range(spaces + 1)]
-    few = residual[: 8 * CODES]
+    few = sample[: 8 * CODES]  # of the others no residual is read
+    few = few - centroids[_largest(few, centroids)]
     tables = []
     for a, b in zip(edges, edges[1:]):
         t = _kmeans(few[:, a:b], CODES, rng, ROUNDS, unit=False)

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import struct
+import tracemalloc
 from collections import Counter
 
 import duckdb
@@ -211,6 +212,16 @@ def test_op3_empty(spark):
     assert pq.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).collect() == []
 
 
+def test_op3_fit_holds_no_table_of_sample_by_lists():
+    x = pq.unit_rows(np.random.default_rng(3).standard_normal((8192, 8)))
+    tracemalloc.start()
+    q = pq.fit(x, 4096)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(q.centroids) == 4096
+    assert most < 100e6  # the products of all vectors and centroids are 268 MB
+
+
 def test_op3_one_of_two_linked_vectors_asks_the_others_list():
     rng = np.random.default_rng(12)
     x = pq.unit_rows(rng.standard_normal((4000, 3)))  # every cell borders on others
