@@ -4,8 +4,9 @@ Equal vectors are one class first. Class vectors are scaled to length one; a
 coarse quantiser (k-means) deals them into inverted lists, and each stores a
 residual code: ``SUBSPACES`` table indices of one byte. The quantisers are
 fitted on a bounded sample by hash order (four vectors a list, ``SAMPLE`` at
-least and ``MAX_SAMPLE`` at most); every vector is indexed. There is a list for
-every ``LIST_SIZE`` vectors, ``MAX_LISTS`` at most.
+least and ``MAX_SAMPLE`` at most, ``FIT_BYTES`` in all); every vector is indexed.
+There is a list for every ``LIST_SIZE`` vectors, ``MAX_LISTS`` at most, fewer where
+the sample is bounded by its bytes.
 
 Search. Let vectors x and y with a cosine of at least the one asked for, so at
 a distance of at most ``reach``, have the lists i and j. x lies on i's side of
@@ -14,14 +15,18 @@ to ``reach`` at most, so one of them lies within half of it. A vector therefore
 asks every list whose plane against its own list is no further than
 ``reach / 2``: no link is lost, whatever the data and the sample (the tests
 compare with all pairs). A link that only one side finds is counted for both.
-In a list, distances from the query to all codes are sums of table lookups
-(asymmetric). Each vector also carries the length of its own coding error, so a
-code is passed over only where the triangle inequality rules the link out. What
-is left is decided by the exact cosine in double precision.
-
-Lists are cut into blocks of ``BLOCK`` vectors and every block answers at most
-``ASKERS`` queries in one task, however large a list or its audience grows. A
-task returns link counts and a spanning forest, not pairs.
+In a list, distances from the query to all codes are taken (asymmetric: the query
+itself, the others as coded), as products with the decoded vectors. Each vector
+also carries the length of its own coding error, so a code is passed over only
+where the triangle inequality rules the link out. What is left is decided by the
+exact cosine in double precision.
+
+Vectors are sent once: the lists, in the order of their numbers, are packed into tiles of at
+most ``TILE`` vectors and about ``TILE_BYTES``, one row each, written once; a list of
+any size is spread over as many tiles as it needs. Every pair of tiles meets in a
+cartesian product that reads the written tiles and shuffles nothing; there the
+vectors of each ask the lists of the other. A pair of tiles returns link counts and a
+spanning forest, not pairs.
 
 Defined results: vectors that are NULL, empty, zero, or hold NULL or
 non-finite components link with nothing and are their own component; vectors
@@ -33,30 +38,47 @@ result; further columns of the input are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from boxstar.llm.common import land, prepare
 from boxstar.llm.graph import components, roots
+from boxstar.session import Scratch
 
 COSINE = 0.95
 #: Slack on distances from a plane, for rounding.
-SLACK = 1e-7
+SLACK = 1e-6
 LIST_SIZE = 64
 SAMPLE = 16_384
 MAX_SAMPLE = 65_536
+#: The sample on the driver, in single precision.
+FIT_BYTES = 64 << 20
 SUBSPACES = 16
 CODES = 256
+#: Vectors of a list, and vectors that ask it, compared at once.
 BLOCK = 2_048
 ASKERS = 4_096
 MAX_LISTS = 16_384
 ROUNDS = 6
-#: Products of vectors and centroids held at once.
+#: Products of vectors and centroids held at once: of all lists, and of two tiles.
 CELLS = 4_194_304
+TILE_CELLS = 524_288
+#: A tile: vectors and bytes of vectors at most; tables of over FEW vectors have several (MIN_TILES at most for this).
+TILE = 16_384
+TILE_BYTES = 4 << 20
+FEW = 1_024
+MIN_TILES = 16
+#: Tiles that a task keeps.
+HELD = 4
+#: Parts of one side of the product of tiles.
+SIDE = 16
+#: Links handled at once.
+PAIRS = 65_536
 
 
 class Quantiser:
@@ -65,23 +87,34 @@ class Quantiser:
     def __init__(self, centroids: np.ndarray, tables: np.ndarray, edges: list[int]):
         self.centroids, self.tables, self.edges = centroids, tables, edges
 
-    def scores(self, x: np.ndarray) -> np.ndarray:
-        return x @ self.centroids.T
+    def homes(self, x: np.ndarray) -> np.ndarray:
+        """Each vector's own list."""
+        return _largest(x.astype(np.float32, copy=False), self.centroids)
 
-    def planes(self, own: np.ndarray, other: np.ndarray | slice = slice(None)) -> np.ndarray:
-        """Distance of each centroid in ``own`` from those in ``other`` (all, or one each)."""
-        a, b = self.centroids[own], self.centroids[other]
-        both = np.einsum("ij,ij->i", a, b) if isinstance(other, np.ndarray) else a @ b.T
-        na, nb = (a**2).sum(axis=1), (b**2).sum(axis=1)
-        square = (na + nb if isinstance(other, np.ndarray) else na[:, None] + nb) - 2 * both
+    def planes(self, own: np.ndarray, other: np.ndarray) -> np.ndarray:
+        """Distance of each centroid in ``own`` from those in ``other``."""
+        a, b = self.centroids[own].astype(np.float64), self.centroids[other].astype(np.float64)
+        square = (a**2).sum(axis=1)[:, None] + (b**2).sum(axis=1) - 2 * a @ b.T
         return np.sqrt(np.maximum(square, 0))
 
+    def asks(self, x: np.ndarray, own: np.ndarray, lists: np.ndarray, reach: float) -> np.ndarray:
+        """Per list of ``lists`` the vectors of ``x`` (single precision, of the lists ``own``) that ask it, as bits."""
+        there, here = self.centroids[lists], np.einsum("ij,ij->i", x, self.centroids[own])
+        bits = np.empty((len(lists), -(-len(x) // 8)), dtype=np.uint8)
+        step = max(8, TILE_CELLS // max(1, len(lists)) // 8 * 8)
+        for i in range(0, len(x), step):
+            mine, place = np.unique(own[i : i + step], return_inverse=True)
+            near = (reach / 2 * self.planes(lists, mine) + _slack(x.shape[1])).astype(np.float32)[:, place]
+            near += there @ x[i : i + step].T
+            bits[:, i // 8 : (i + step) // 8] = np.packbits(near >= here[i : i + step], axis=1)
+        return bits
+
     def asked(self, x: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Each vector's own list, and pairs (row, list) of a vector and a list that it asks."""
-        s = self.scores(x)
-        own = s.argmax(axis=1)
-        behind = s[np.arange(len(x)), own][:, None] - s
-        row, at = np.nonzero(behind <= reach / 2 * self.planes(own) + SLACK)
+        x = x.astype(np.float32)
+        own = self.homes(x)
+        bits = self.asks(x, own, np.arange(len(self.centroids)), reach)
+        at, row = np.nonzero(np.unpackbits(bits, axis=1, count=len(x)))
         return own, row, at
 
     def encode(self, residual: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -90,22 +123,22 @@ class Quantiser:
         missed = np.zeros(len(residual))
         for s, table in enumerate(self.tables):
             part = residual[:, self.edges[s] : self.edges[s + 1]]
-            d = (part**2).sum(1)[:, None] - 2 * part @ table.T + (table**2).sum(1)[None, :]
-            codes[:, s] = d.argmin(axis=1)
+            words = table.astype(np.float32)
+            codes[:, s] = _largest(part.astype(np.float32), words, 0.5 * (words**2).sum(axis=1))
             missed += ((part - table[codes[:, s]]) ** 2).sum(axis=1)
         return codes, np.sqrt(missed)
 
-    def distances(self, residual: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        """Squared distances (codes x queries) from queries to coded vectors: per
-        subspace a table of codeword distances, one row per codeword, is looked up."""
-        x = residual.astype(np.float32)
-        out = np.zeros((len(codes), len(x)), dtype=np.float32)
+    def decode(self, own: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """What the codes of vectors of the lists ``own`` stand for, in single precision."""
+        x = self.centroids[own]
         for s, table in enumerate(self.tables):
-            part, words = x[:, self.edges[s] : self.edges[s + 1]], table.astype(np.float32)
-            lookup = (-2 * words) @ part.T
-            lookup += (words**2).sum(axis=1)[:, None]
-            out += lookup[codes[:, s]]
-        return out + (x**2).sum(axis=1)[None, :]
+            x[:, self.edges[s] : self.edges[s + 1]] += table.astype(np.float32)[codes[:, s]]
+        return x
+
+
+def _slack(dim: int) -> float:
+    """More than a product of two vectors of about length one can be off in single precision, twice."""
+    return SLACK + dim * 2.5e-7
 
 
 def unit_rows(x: np.ndarray) -> np.ndarray:
@@ -151,6 +184,7 @@ def fit(sample: np.ndarray, lists: int, seed: int = 7) -> Quantiser:
     edges = [dim * i // spaces for i in range(spaces + 1)]
     few = sample[: 8 * CODES]  # of the others no residual is read
     few = few - centroids[_largest(few, centroids)]
+    centroids = centroids.astype(np.float32)
     tables = []
     for a, b in zip(edges, edges[1:]):
         t = _kmeans(few[:, a:b], CODES, rng, ROUNDS, unit=False)
@@ -169,18 +203,16 @@ def _reach(cosine: float) -> float:
     return float(np.sqrt(max(0.0, 2 - 2 * cosine)))
 
 
-def _counted(q: Quantiser, dim: int, reach: float):
-    """Class vectors -> one row per list and task: (list, vectors that ask it, vectors in it)."""
+def _counted(q: Quantiser, dim: int):
+    """Class vectors -> one row per list and task: (list, vectors in it)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked, homes = (np.zeros(len(q.centroids), dtype=np.int64) for _ in range(2))
+        homes = np.zeros(len(q.centroids), dtype=np.int64)
         for b in batches:
             if b.num_rows:
-                own, _, at = q.asked(_unit(b.column(2), dim), reach)
-                asked += np.bincount(at, minlength=len(asked))
-                homes += np.bincount(own, minlength=len(homes))
-        some = np.flatnonzero(asked)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(asked[some]), pa.array(homes[some])], names=["list", "asked", "n"])
+                homes += np.bincount(q.homes(_unit(b.column(2), dim)), minlength=len(homes))
+        some = np.flatnonzero(homes)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(homes[some])], names=["list", "n"])
 
     return run
 
@@ -199,94 +231,202 @@ def _unpacked(column: pa.ChunkedArray, kind: str, dim: int) -> np.ndarray:
     return np.concatenate(parts).view(kind).reshape(-1, dim)
 
 
-def _copies(rows: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each row so many times, and the number of the copy."""
-    first = np.cumsum(times) - times
-    return np.repeat(rows, times), np.arange(times.sum()) - np.repeat(first, times)
-
-
-def _sent(q: Quantiser, dim: int, reach: float, kind: str, blocks: np.ndarray, audiences: np.ndarray):
-    """Class vectors -> rows (list, block, audience, node, copies, own list, home, vector);
-    vectors travel in the precision that the table has. An asker goes to one audience
-    and every block of a list, a point of the list to one block and every audience."""
+def _dealt(q: Quantiser, dim: int, kind: str, sizes: np.ndarray, rows: int):
+    """Class vectors -> (tile, list, node, copies, missed, codes, vector); lists lie one after the other
+    and are cut every ``rows`` vectors; a vector takes a place of its list by its hash.
+    Vectors travel in the precision that the table has."""
+    first, some = np.cumsum(sizes) - sizes, np.maximum(sizes, 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            node, copies = b.column(0).to_numpy(), b.column(1).to_numpy()
+            node = b.column(0).to_numpy()
             raw = b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(kind)
-            own, row, at = q.asked(_unit(b.column(2), dim), reach)
+            x = _unit(b.column(2), dim)
+            own = q.homes(x)
+            codes, missed = q.encode(x - q.centroids[own])
             spread = ((node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64)
-            ask, block = _copies(np.arange(len(row)), blocks[at])
-            asker, asked = row[ask], at[ask]
-            point, audience = _copies(np.arange(len(own)), audiences[own])
-            everyone = np.concatenate([asker, point])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate([asked, own[point]])),
-                    pa.array(np.concatenate([block, spread[point] % blocks[own[point]]])),
-                    pa.array(np.concatenate([spread[asker] % audiences[asked], audience])),
-                    pa.array(node[everyone]), pa.array(copies[everyone]), pa.array(own[everyone]),
-                    pa.array(np.arange(len(everyone)) >= len(asker)), _packed(raw[everyone]),
+                    pa.array((first[own] + spread % some[own]) // rows), pa.array(own.astype(np.int32)), b.column(0), b.column(1),
+                    pa.array(missed.astype(np.float32)), _packed(codes), _packed(raw),
                 ],
-                names=["list", "block", "audience", "node", "copies", "own", "home", "vector"],
+                names=["tile", "list", "node", "copies", "missed", "codes", "vector"],
             )
 
     return run
 
 
-def _search(q: Quantiser, dim: int, kind: str, cosine: float):
-    reach = _reach(cosine)
+#: A tile row: its vectors one after the other, by list.
+TILE_ROW = "tile long, list binary, node binary, copies binary, missed binary, codes binary, vector binary"
+
 
+def _tiled(dim: int, kind: str, spaces: int):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        here = key[0].as_py()
-        centre = q.centroids[here]
-        home = table["home"].to_numpy(zero_copy_only=False)
-        node, copies, own = (table[c].to_numpy() for c in ("node", "copies", "own"))
-        x = unit_rows(_unpacked(table["vector"], kind, dim).astype(np.float64))
-        points, askers = np.flatnonzero(home), np.flatnonzero(~home)
-        codes, missed = q.encode(x[points] - centre)
-        links = np.zeros(len(node), dtype=np.int64)
-        a, b = [], []
-        for i in range(0, len(askers), 512):
-            part = askers[i : i + 512]
-            far = q.distances(x[part] - centre, codes)
-            p, m = np.nonzero(far <= ((missed + reach + 1e-4) ** 2)[:, None])
-            m, p = part[m], points[p]
-            exact = np.einsum("ij,ij->i", x[m], x[p])
-            good = (exact >= cosine) & (node[m] != node[p])
-            m, p = m[good], p[good]
-            np.add.at(links, m, copies[p])
-            if len(m):  # a partner that does not ask the asker's own list gets its count here
-                behind = np.einsum("ij,ij->i", x[p], centre - q.centroids[own[m]])
-                blind = behind > reach / 2 * q.planes(own[m], np.full(len(m), here)) + SLACK
+        order = np.argsort(table["list"].to_numpy(), kind="stable")
+        parts = {c: table[c].to_numpy() for c in ("list", "node", "copies", "missed")}
+        parts |= {"codes": _unpacked(table["codes"], "u1", spaces), "vector": _unpacked(table["vector"], kind, dim)}
+        return pa.table({"tile": [key[0].as_py()]} | {c: pa.array([v[order].tobytes()], pa.binary()) for c, v in parts.items()})
+
+    return run
+
+
+class Tile:
+    """A tile in memory. ``x``: its vectors in single precision; ``coded``: what their codes stand for;
+    ``least``: a product with ``coded`` under this rules a link out."""
+
+    def __init__(self, q: Quantiser, dim: int, kind: str, reach: float, columns: dict[str, pa.Buffer]):
+        own, node, copies = (np.frombuffer(columns[c], t) for c, t in (("list", "<i4"), ("node", "<i8"), ("copies", "<i8")))
+        self.own, self.node, self.copies = own.copy(), node.copy(), copies.copy()  # the batch can go
+        self.exact = unit_rows(np.frombuffer(columns["vector"], kind).reshape(-1, dim).astype(np.float64))
+        self.x = self.exact.astype(np.float32)
+        self.coded = q.decode(self.own, np.frombuffer(columns["codes"], "u1").reshape(len(self.own), -1))
+        far = np.frombuffer(columns["missed"], "<f4").astype(np.float64) + reach
+        self.least = ((1 + np.einsum("ij,ij->i", self.coded, self.coded) - far**2) / 2 - _slack(dim)).astype(np.float32)
+        self.lists, self.first, self.place = np.unique(self.own, return_index=True, return_inverse=True)
+        self.last = np.append(self.first[1:], len(self.own))
+
+
+def _found(asker: Tile, point: Tile, asks: np.ndarray, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links from vectors of one tile to vectors of the lists of the other that they ask."""
+    for bits, first, last in zip(asks, point.first, point.last):
+        if not bits.any():
+            continue
+        asking = np.flatnonzero(np.unpackbits(bits, count=len(asker.own)).view(bool))
+        for i in range(0, len(asking), ASKERS):
+            part = asking[i : i + ASKERS]
+            x = asker.x[part]
+            for k in range(first, last, BLOCK):
+                end = min(last, k + BLOCK)
+                hits = np.flatnonzero(x @ point.coded[k:end].T >= point.least[k:end])
+                for h in range(0, len(hits), PAIRS):
+                    m, p = np.divmod(hits[h : h + PAIRS], end - k)
+                    m, p = part[m], p + k
+                    good = np.einsum("ij,ij->i", asker.exact[m], point.exact[p]) >= cosine
+                    if asker is point:
+                        good &= m != p
+                    if good.any():
+                        yield m[good], p[good]
+
+
+class Forest:
+    """Components of links that come bit by bit; no more than ``PAIRS`` of them are kept, and a batch."""
+
+    def __init__(self, n: int):
+        self.label, self.waiting, self.kept = np.arange(n), [], 0
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        a, b = self.label[a], self.label[b]
+        new = a != b
+        if new.any():
+            self.waiting.append((a[new], b[new]))
+            self.kept += int(new.sum())
+            if self.kept >= PAIRS:
+                self.fold()
+
+    def fold(self) -> np.ndarray:
+        """Per element one of its component."""
+        if self.waiting:
+            a, b = (np.concatenate(side) for side in zip(*self.waiting))
+            self.label = roots(len(self.label), a, b)[self.label]
+            self.waiting, self.kept = [], 0
+        return self.label
+
+
+def _compared(q: Quantiser, dim: int, kind: str, cosine: float):
+    """Pairs of tiles -> (node, links, root) of the vectors with links in the pair."""
+    reach = _reach(cosine)
+
+    def links_of(a: Tile, b: Tile) -> pa.RecordBatch | None:
+        node, copies = (getattr(a, c) if a is b else np.concatenate([getattr(a, c), getattr(b, c)]) for c in ("node", "copies"))
+        ab = q.asks(a.x, a.own, b.lists, reach)
+        ba = ab if a is b else q.asks(b.x, b.own, a.lists, reach)
+        turns = [(a, b, ab, ba, 0, 0)] if a is b else [(a, b, ab, ba, 0, len(a.own)), (b, a, ba, ab, len(a.own), 0)]
+        links, forest = np.zeros(len(node), dtype=np.int64), Forest(len(node))
+        for asker, point, asks, back, i, j in turns:
+            for m, p in _found(asker, point, asks, cosine):
+                # a partner that does not ask the asker's own list gets its count here
+                blind = back[asker.place[m], p >> 3] >> (7 - (p & 7)).astype(np.uint8) & 1 == 0
+                m, p = m + i, p + j
+                np.add.at(links, m, copies[p])
                 np.add.at(links, p[blind], copies[m[blind]])
-            a.append(m), b.append(p)
-        names, index = np.unique(node, return_inverse=True)  # smallest node first
-        a = index[np.concatenate(a)] if a else np.empty(0, np.int64)
-        b = index[np.concatenate(b)] if b else np.empty(0, np.int64)
-        root = names[roots(len(names), a, b)]
-        some = links > 0
-        return pa.table({"node": node[some], "links": links[some], "root": root[index][some]})
+                forest.add(m, p)
+        some = np.flatnonzero(links)
+        if not len(some):
+            return None
+        label = forest.fold()[some]
+        least = np.full(len(node), np.iinfo(np.int64).max)
+        np.minimum.at(least, label, node[some])
+        return pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array(links[some]), pa.array(least[label])], names=["node", "links", "root"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [c.split()[0] for c in TILE_ROW.split(", ")]
+        held: dict[int, Tile] = {}
+        for batch in batches:
+            for r in range(batch.num_rows):
+                row = [batch.column(c)[r] for c in range(batch.num_columns)]
+                pair = []
+                for half in (row[: len(names)], row[len(names) :]):
+                    key = half[0].as_py()
+                    tile = held.pop(key, None) or Tile(q, dim, kind, reach, {c: v.as_buffer() for c, v in zip(names[1:], half[1:])})
+                    held[key] = tile
+                    pair.append(tile)
+                while len(held) > HELD:  # the one that was not used for longest goes
+                    del held[next(iter(held))]
+                out = links_of(*pair)
+                if out is not None:
+                    yield out
 
     return run
 
 
+def _pairs_of_tiles(tiles: DataFrame) -> DataFrame:
+    """Every two tiles once, and each with itself. Which of two stands on the left goes by turns, so
+    that the parts of the product have equal shares."""
+    a, b = (tiles.select(*(F.col(c).alias(f"{side}_{c}") for c in tiles.columns)) for side in "ab")
+    left, right = F.col("a_tile"), F.col("b_tile")
+    even = (left + right) % 2 == 0
+    return a.coalesce(SIDE).crossJoin(b.hint("shuffle_replicate_nl")).where((left == right) | ((left < right) & even) | ((left > right) & ~even))
+
+
+@contextmanager
+def _rows_one_by_one(spark: SparkSession) -> Iterator[None]:
+    """A row of the plans inside is an Arrow batch of its own."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    former = spark.conf.get(name)
+    spark.conf.set(name, "1")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, former)
+
+
+def _sample(own: DataFrame, n: int, most: int, dim: int) -> np.ndarray:
+    """The ``most`` vectors with the smallest hashes, of length one in single precision."""
+    share = (most + 6 * most**0.5 + 64) / n  # hashes are spread evenly: so many are under the bound, all but surely
+    some = own.where(F.col("node") <= int(-(2**63) + share * 2**64)) if share < 1 else own
+    picked = some.orderBy("node").limit(most).select("embedding").toArrow()
+    return np.concatenate([_unit(b.column(0), dim).astype(np.float32) for b in picked.to_batches() if b.num_rows])
+
+
 def _valid() -> F.Column:
     v = F.col("embedding")
-    ok = v.isNotNull() & (F.size(v) > 0) & ~F.exists(v, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
-    return F.coalesce(ok, F.lit(False)) & F.coalesce(F.exists(v, lambda c: c != 0), F.lit(False))
+    whole = ~F.array_contains(v, F.lit(float("nan")))  # NULL where a component is
+    least, most = F.array_min(v), F.array_max(v)
+    return F.coalesce(whole & (least > float("-inf")) & (most < float("inf")) & ((least != 0) | (most != 0)), F.lit(False))
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SAMPLE) -> DataFrame:
     """Per row of (vec_id, embedding): vec_id, n_links, component_id, kept."""
     spark = vectors.sparkSession
     prepare(spark)
-    kind = "<f4" if vectors.schema["embedding"].dataType == T.ArrayType(T.FloatType()) else "<f8"
-    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"))
-    good = rows.where(_valid()).select("vec_id", F.transform("embedding", lambda c: c + F.lit(0.0)).alias("embedding"))
-    # one row per distinct vector; the key is its smallest id, made unique by a rank where ids repeat
+    single = vectors.schema["embedding"].dataType == T.ArrayType(T.FloatType())
+    kind, item = ("<f4", "float") if single else ("<f8", "double")
+    plain = F.transform("embedding", lambda c: (c + F.lit(0.0)).cast(item))  # without negative zeros
+    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast(f"array<{item}>"))
+    good = rows.where(_valid()).select("vec_id", plain.alias("embedding"))
+    # one row per distinct vector; the key is its hash
     classes = land(
         good.groupBy("embedding").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"))
         .withColumn("node", F.xxhash64("embedding")),
@@ -297,38 +437,40 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SA
     for dim in dims:  # in practice one
         own = classes.where(F.size("embedding") == dim).select("node", "copies", "embedding")
         n = own.count()
-        lists = int(min(MAX_LISTS, max(1, n // LIST_SIZE)))
-        picked = own.orderBy("node").limit(min(MAX_SAMPLE, max(sample, 4 * lists))).select("embedding").toArrow()
-        x = picked["embedding"].combine_chunks().flatten().to_numpy().reshape(-1, dim)
-        x = unit_rows(x)
-        q = fit(x, lists)
-        reach = _reach(cosine)
-        visits = own.mapInArrow(_counted(q, dim, reach), "list long, asked long, n long")
-        sizes = visits.groupBy("list").agg(F.sum("asked").alias("asked"), F.sum("n").alias("n")).toArrow()  # one row per list
-        blocks, audiences = np.zeros(lists, dtype=np.int64), np.zeros(lists, dtype=np.int64)
-        at = sizes["list"].to_numpy()
-        blocks[at], audiences[at] = -(-sizes["n"].to_numpy() // BLOCK), -(-sizes["asked"].to_numpy() // ASKERS)
-        sent = own.mapInArrow(
-            _sent(q, dim, reach, kind, blocks, audiences),
-            "list long, block long, audience long, node long, copies long, own long, home boolean, vector binary",
+        most = max(1, FIT_BYTES // (4 * dim))
+        lists = int(min(MAX_LISTS, max(1, n // LIST_SIZE), max(1, most // 4)))
+        q = fit(_sample(own, n, min(most, MAX_SAMPLE, max(sample, 4 * lists)), dim), lists)
+        counted = own.mapInArrow(_counted(q, dim), "list long, n long")
+        counts = counted.groupBy("list").agg(F.sum("n").alias("n")).toArrow()  # one row per list
+        sizes = np.zeros(len(q.centroids), dtype=np.int64)
+        sizes[counts["list"].to_numpy()] = counts["n"].to_numpy()
+        most = max(1, min(TILE, TILE_BYTES // (np.dtype(kind).itemsize * dim)))
+        cut = max(-(-n // most), min(MIN_TILES, -(-n // FEW)))
+        dealt = own.mapInArrow(
+            _dealt(q, dim, kind, sizes, -(-n // cut)),
+            "tile long, list int, node long, copies long, missed float, codes binary, vector binary",
         )
-        part = sent.groupBy("list", "block", "audience").applyInArrow(_search(q, dim, kind, cosine), "node long, links long, root long")
+        scratch = Scratch()
+        with scratch.active():
+            tiles = land(dealt.repartition(cut, "tile").groupBy("tile").applyInArrow(_tiled(dim, kind, len(q.tables)), TILE_ROW), "vector_tiles")
+        try:
+            with _rows_one_by_one(spark):
+                part = land(_pairs_of_tiles(tiles).mapInArrow(_compared(q, dim, kind, cosine), "node long, links long, root long"), "vector_links")
+        finally:
+            scratch.close()
         found = part if found is None else found.unionByName(part)
     if found is None:
-        named = spark.createDataFrame([], "embedding array<double>, others long, component_id long")
+        named = spark.createDataFrame([], "node long, others long, component_id long")
     else:
-        found = land(found, "vector_links")
         others = found.groupBy("node").agg(F.sum("links").alias("others"))
         tree = components(found.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
-        joined = classes.join(others, "node", "left").join(tree, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        keys = classes.select("node", "least", "copies")  # vectors are not moved again
+        joined = keys.join(others, "node", "left").join(tree, "node", "left").withColumn("root", F.coalesce("root", "node"))
         least = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-        named = joined.join(least, "root").select(
-            "embedding", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("others"), "component_id"
-        )
+        named = joined.join(least, "root").select("node", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("others"), "component_id")
     # back to the rows by class hash: short keys, and hot classes are split by the skew join
-    keyed = named.select(F.xxhash64("embedding").alias("node"), "others", "component_id")
-    labelled = rows.withColumn("node", F.when(_valid(), F.xxhash64(F.transform("embedding", lambda c: c + F.lit(0.0)))))
-    return labelled.select("vec_id", "node").join(keyed, "node", "left").select(
+    labelled = rows.select("vec_id", F.when(_valid(), F.xxhash64(plain)).alias("node"))
+    return labelled.join(named, "node", "left").select(
         "vec_id",
         F.coalesce("others", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component_id", "vec_id").alias("component_id"),

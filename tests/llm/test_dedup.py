@@ -236,6 +236,58 @@ def test_op3_one_of_two_linked_vectors_asks_the_others_list():
     assert asks.sum() < 0.5 * asks.size  # most lists are passed over
 
 
+def test_op3_vectors_are_sent_once_and_tiles_change_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(21)
+    base = rng.standard_normal((300, 6))
+    close = base[0] + 0.02 * rng.standard_normal((200, 6))  # a group over several tiles
+    x = np.concatenate([base, base[:150] + 0.1 * rng.standard_normal((150, 6)), close]).astype(np.float32)
+    rows = [(i, v) for i, v in enumerate(x.tolist())] + [(700 + i, x[0].tolist()) for i in range(5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    tiles, batch = [], spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+    def land(frame, name, *more, land=pq.land):
+        out = land(frame, name, *more)
+        if name == "vector_tiles":
+            tiles.extend(len(r.node) // 8 for r in out.select("node").collect())
+        return out
+
+    monkeypatch.setattr(pq, "land", land)
+    for name, value in (("TILE", 70), ("LIST_SIZE", 10), ("BLOCK", 16), ("ASKERS", 32), ("PAIRS", 100), ("TILE_CELLS", 500), ("CELLS", 900)):
+        monkeypatch.setattr(pq, name, value)
+    got = Counter((r.vec_id, r.n_links, r.component_id) for r in pq.near_duplicates(df).collect())
+    links, comps = brute_vectors(rows)
+    assert got == Counter((i, n, c) for (i, _), n, c in zip(rows, links, comps))
+    assert sum(tiles) == 650 and len(tiles) == 10 and max(tiles) < 2 * 70  # every class once, whatever it asks
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") in (batch, "512")
+
+
+def test_op3_a_sample_bounded_by_bytes_loses_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(22)
+    x = rng.standard_normal((400, 12))
+    x = np.concatenate([x, x[:100] + 0.05 * rng.standard_normal((100, 12))])
+    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    sizes = []
+    monkeypatch.setattr(pq, "fit", lambda sample, lists, fit=pq.fit: sizes.append((len(sample), lists)) or fit(sample, lists))
+    monkeypatch.setattr(pq, "FIT_BYTES", 4 * 12 * 16)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in pq.near_duplicates(df).collect()}
+    links, comps = brute_vectors(rows)
+    assert got == {i: (n, c) for (i, _), n, c in zip(rows, links, comps)}
+    assert sizes == [(16, 4)]
+
+
+def test_op3_forest_over_batches():
+    rng = np.random.default_rng(23)
+    a, b = rng.integers(0, 500, 400), rng.integers(0, 500, 400)
+    forest = pq.Forest(500)
+    for i in range(0, 400, 7):
+        forest.add(a[i : i + 7], b[i : i + 7])
+        if i % 5 == 0:
+            forest.fold()
+    label, want = forest.fold(), graph.roots(500, a, b)
+    assert len(set(zip(label.tolist(), want.tolist()))) == len(set(label.tolist())) == len(set(want.tolist()))
+
+
 def test_small_lists_and_audiences_change_nothing(spark, monkeypatch):
     rng = np.random.default_rng(8)
     base = rng.standard_normal((20, 8))
