@@ -69,12 +69,12 @@ ROUNDS = 6
 CELLS = 4_194_304
 TILE_CELLS = 524_288
 #: A tile: vectors and bytes of vectors at most; tables of over FEW vectors have several (MIN_TILES at most for this).
-TILE = 16_384
-TILE_BYTES = 4 << 20
+TILE = 12_288
+TILE_BYTES = 3 << 20
 FEW = 1_024
 MIN_TILES = 16
 #: Tiles that a task keeps.
-HELD = 4
+HELD = 3
 #: Parts of one side of the product of tiles.
 SIDE = 16
 #: Links handled at once.
@@ -279,14 +279,22 @@ class Tile:
     def __init__(self, q: Quantiser, dim: int, kind: str, reach: float, columns: dict[str, pa.Buffer]):
         own, node, copies = (np.frombuffer(columns[c], t) for c, t in (("list", "<i4"), ("node", "<i8"), ("copies", "<i8")))
         self.own, self.node, self.copies = own.copy(), node.copy(), copies.copy()  # the batch can go
-        self.exact = unit_rows(np.frombuffer(columns["vector"], kind).reshape(-1, dim).astype(np.float64))
-        self.x = self.exact.astype(np.float32)
+        self.raw, self.exact = np.frombuffer(columns["vector"], kind).reshape(-1, dim).copy(), None
+        self.x = np.empty(self.raw.shape, dtype=np.float32)
+        for i in range(0, len(self.x), BLOCK):
+            self.x[i : i + BLOCK] = unit_rows(self.raw[i : i + BLOCK].astype(np.float64))
         self.coded = q.decode(self.own, np.frombuffer(columns["codes"], "u1").reshape(len(self.own), -1))
         far = np.frombuffer(columns["missed"], "<f4").astype(np.float64) + reach
         self.least = ((1 + np.einsum("ij,ij->i", self.coded, self.coded) - far**2) / 2 - _slack(dim)).astype(np.float32)
         self.lists, self.first, self.place = np.unique(self.own, return_index=True, return_inverse=True)
         self.last = np.append(self.first[1:], len(self.own))
 
+    def unit(self, rows: np.ndarray) -> np.ndarray:
+        """Vectors of length one in double precision; where many are asked for, all are kept."""
+        if self.exact is None and 4 * len(rows) > len(self.raw):
+            self.exact = unit_rows(self.raw.astype(np.float64))
+        return unit_rows(self.raw[rows].astype(np.float64)) if self.exact is None else self.exact[rows]
+
 
 def _found(asker: Tile, point: Tile, asks: np.ndarray, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Links from vectors of one tile to vectors of the lists of the other that they ask."""
@@ -303,7 +311,7 @@ def _found(asker: Tile, point: Tile, asks: np.ndarray, cosine: float) -> Iterato
                 for h in range(0, len(hits), PAIRS):
                     m, p = np.divmod(hits[h : h + PAIRS], end - k)
                     m, p = part[m], p + k
-                    good = np.einsum("ij,ij->i", asker.exact[m], point.exact[p]) >= cosine
+                    good = np.einsum("ij,ij->i", asker.unit(m), point.unit(p)) >= cosine
                     if asker is point:
                         good &= m != p
                     if good.any():
